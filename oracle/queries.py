@@ -137,3 +137,80 @@ ORACLE["corpus_summary"] = W(POSTS, TOKS) + """SELECT (SELECT count(*) FROM post
   (SELECT count(DISTINCT t) FROM (SELECT unnest(tags) AS t FROM posts))::BIGINT AS n_unique_tags,
   (SELECT count(DISTINCT t) FROM (SELECT unnest(tokens) AS t FROM toks))::BIGINT AS n_unique_words,
   (SELECT sum(len(tokens)) FROM toks)::BIGINT AS n_tokens"""
+
+# ------------------------------------------------------------------ E
+BOW = "bow AS (SELECT id, term, count(*)::BIGINT AS tf FROM (SELECT id, unnest(tokens) AS term FROM toks) GROUP BY id, term)"
+ORACLE["bag_of_words"] = W(POSTS, TOKS, BOW) + "SELECT id, term, tf FROM bow"
+ORACLE["tfidf"] = W(POSTS, TOKS, BOW) + """, dfq AS (SELECT term, count(*) AS df FROM bow GROUP BY term),
+nd AS (SELECT count(*) AS n FROM documents),
+w AS (SELECT b.id, b.term, b.tf * (ln((1e0 + nd.n) / (1e0 + dfq.df)) + 1e0) AS w FROM bow b JOIN dfq USING (term), nd)
+SELECT id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY id)), 6) AS tfidf FROM w"""
+ORACLE["tags_in_post"] = W(POSTS, TOKS, TAGC) + (
+    "SELECT DISTINCT t.id, t.tag FROM (SELECT id, unnest(tokens) AS tag FROM toks) t JOIN tagc c ON t.tag = c.term")
+ORACLE["tag_freq_in_post"] = W(POSTS, TOKS, TAGC) + (
+    "SELECT t.id, t.tag, count(*)::BIGINT AS tf FROM (SELECT id, unnest(tokens) AS tag FROM toks) t "
+    "JOIN tagc c ON t.tag = c.term GROUP BY t.id, t.tag")
+ORACLE["predict_target"] = W(POSTS, TOKS, TAGC) + (
+    "SELECT t.id, t.tag, count(*)::BIGINT AS value FROM (SELECT id, unnest(tokens) AS tag FROM toks) t "
+    "JOIN tagc c ON t.tag = c.term GROUP BY t.id, t.tag")
+ORACLE["matrix_shape"] = W(POSTS, TOKS, BOW) + """SELECT (SELECT count(*) FROM documents)::BIGINT AS n_docs,
+  count(DISTINCT term)::BIGINT AS n_terms, count(*)::BIGINT AS nnz,
+  round(count(*) / ((SELECT count(*) FROM documents) * count(DISTINCT term)), 6) AS density FROM bow"""
+_U = md5int("'42|' || cast(l.id AS VARCHAR) || ':' || cast(l.pos AS VARCHAR)")
+ORACLE["subsample_tokens"] = W(POSTS, TOKS, LONG_TOKS, IDS) + f""", freq AS (SELECT tok, count(*) AS c FROM long GROUP BY tok),
+tot AS (SELECT sum(c) AS t FROM freq),
+kept AS (SELECT l.id, l.pos, CASE WHEN {_U} / 4294967296.0 < least(1.0, sqrt(1e-3 / (f.c / tot.t)) + 1e-3 / (f.c / tot.t))
+                THEN l.tok END AS tok FROM long l JOIN freq f ON l.tok = f.tok, tot)
+""" + report(rebuilt("ids", "kept"))
+
+WV = "wv AS (SELECT 'w' || cast(vec_id AS VARCHAR) AS word, embedding::DOUBLE[] AS vector, label FROM embeddings)"
+BAGS = """bags AS (SELECT e.vec_id AS id, j AS pos, 'w' || cast((e.vec_id * 7 + j * 13) % nv.n AS VARCHAR) AS word
+  FROM embeddings e, (SELECT count(*) AS n FROM embeddings) nv, range(5) t(j))"""
+
+
+def docvec(name: str, src: str) -> str:
+    return f"""{name}_x AS (SELECT b.id, unnest(range(len(v.vector))) AS dim, unnest(v.vector) AS x FROM {src} b JOIN wv v ON b.word = v.word),
+{name}_l AS (SELECT id, dim, avg(x) AS value FROM {name}_x GROUP BY id, dim),
+{name} AS (SELECT id, list(value ORDER BY dim) AS vector FROM {name}_l GROUP BY id)"""
+
+
+ORACLE["doc_mean_vector"] = W(WV, BAGS, docvec("dv", "bags")) + "SELECT id, dim::BIGINT AS dim, round(value, 6) AS value FROM dv_l"
+TRUE_TAGS = "tt AS (SELECT b.* FROM bags b WHERE b.word IN (SELECT word FROM wv WHERE label < 5))"
+ORACLE["doc_embedding_matrix"] = W(WV, BAGS, TRUE_TAGS, docvec("tv", "tt")) + (
+    "SELECT id, dim::BIGINT AS dim, round(value, 6) AS value FROM tv_l")
+ORACLE["similar_by_word"] = W(WV) + """SELECT word, neighbor, round(cosine, 6) AS cosine, rank FROM (
+  SELECT a.word, b.word AS neighbor, list_cosine_similarity(a.vector, b.vector) AS cosine,
+         row_number() OVER (PARTITION BY a.word ORDER BY list_cosine_similarity(a.vector, b.vector) DESC, b.word)::BIGINT AS rank
+  FROM wv a JOIN wv b ON a.word <> b.word) WHERE rank <= 10"""
+CAND50 = """cand AS (SELECT id, word, cosine, rank FROM (
+  SELECT d.id, w.word, list_cosine_similarity(d.vector, w.vector) AS cosine,
+         row_number() OVER (PARTITION BY d.id ORDER BY list_cosine_similarity(d.vector, w.vector) DESC, w.word)::BIGINT AS rank
+  FROM dv d, wv w) WHERE rank <= {k})"""
+ORACLE["similar_by_vector"] = W(WV, BAGS, docvec("dv", "bags"), CAND50.format(k=10)) + (
+    "SELECT id, word, round(cosine, 6) AS cosine, rank FROM cand")
+ORACLE["minmax_scale_2d"] = W(WV) + """SELECT word,
+  round((vector[1] - min(vector[1]) OVER ()) / (max(vector[1]) OVER () - min(vector[1]) OVER ()), 6) AS x,
+  round((vector[2] - min(vector[2]) OVER ()) / (max(vector[2]) OVER () - min(vector[2]) OVER ()), 6) AS y FROM wv"""
+
+# ------------------------------------------------------------------ F
+TAGV = "tagv AS (SELECT word AS term FROM wv WHERE label < 5)"
+PRED = """pred AS (SELECT id, word AS tag, cosine, tag_rank FROM (
+  SELECT id, word, cosine, row_number() OVER (PARTITION BY id ORDER BY cosine DESC, word)::BIGINT AS tag_rank
+  FROM cand WHERE cosine > 0.2 AND word IN (SELECT term FROM tagv)) WHERE tag_rank <= 5)"""
+AUTO = """auto AS (SELECT i.id, coalesce(p.tags, []) AS tags FROM (SELECT DISTINCT id FROM bags) i
+  LEFT JOIN (SELECT id, list(tag ORDER BY tag_rank) AS tags FROM pred GROUP BY id) p ON i.id = p.id)"""
+FBASE = (WV, BAGS, docvec("dv", "bags"), CAND50.format(k=50), TAGV, PRED, AUTO)
+ORACLE["tag_candidates"] = W(*FBASE) + "SELECT id, word, round(cosine, 6) AS cosine, rank FROM cand"
+ORACLE["predict_tags"] = W(*FBASE) + "SELECT id, tag, round(cosine, 6) AS cosine, tag_rank FROM pred"
+ORACLE["auto_tag"] = W(*FBASE) + f"SELECT id, len(tags)::BIGINT AS n_tags, {joined('tags')} AS tags FROM auto"
+EVAL = """truth AS (SELECT id, list_distinct(list(word)) AS tags FROM bags WHERE word IN (SELECT term FROM tagv) GROUP BY id),
+ev AS (SELECT coalesce(t.id, a.id) AS id, coalesce(t.tags, []) AS tr, coalesce(list_distinct(a.tags), []) AS pr
+  FROM truth t FULL JOIN auto a ON t.id = a.id),
+per AS (SELECT id, len(tr)::BIGINT AS n_true, len(pr)::BIGINT AS n_pred,
+  len(list_filter(tr, lambda x: list_contains(pr, x)))::BIGINT AS hits,
+  len(list_filter(tr, lambda x: NOT list_contains(pr, x)))::BIGINT AS misses FROM ev)"""
+ORACLE["evaluate_autotag"] = W(*FBASE, EVAL) + "SELECT * FROM per"
+ORACLE["autotag_summary"] = W(*FBASE, EVAL) + """SELECT count(*)::BIGINT AS n_posts, sum(hits)::BIGINT AS hits, sum(misses)::BIGINT AS misses,
+  CASE WHEN sum(misses) > 0 THEN round(sum(hits) / sum(misses), 6) END AS hit_miss_ratio,
+  CASE WHEN sum(n_pred) > 0 THEN round(sum(hits) / sum(n_pred), 6) END AS precision,
+  CASE WHEN sum(n_true) > 0 THEN round(sum(hits) / sum(n_true), 6) END AS recall FROM per"""

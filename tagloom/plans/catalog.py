@@ -229,3 +229,170 @@ def q_verb_noun_ratio(spark, d):
 def q_corpus_summary(spark, d):
     p = posts(spark, d)
     return profile.corpus_summary(p.select(T.corpus_tokens(F.concat_ws("\n", "title", "content")).alias("tokens"), "tags"))
+
+
+# ------------------------------------------------------------------ E: features and embeddings
+from tagloom.operators import embed, features, tagging  # noqa: E402
+
+
+def post_text(spark, d):
+    return posts(spark, d).select("id", F.concat_ws("\n", "title", "content").alias("text"))
+
+
+def bow(spark, d):
+    return features.bag_of_words(post_text(spark, d), text_col="text", tokens_col=None)
+
+
+def r6(c):
+    return F.round(F.col(c), 6).alias(c)
+
+
+@query("bag_of_words")
+def q_bag_of_words(spark, d):
+    return bow(spark, d)
+
+
+@query("tfidf")
+def q_tfidf(spark, d):
+    n_docs = V.table(spark, d, "documents").count()
+    return features.tfidf(bow(spark, d), n_docs=n_docs).select("id", "term", r6("tfidf"))
+
+
+@query("tags_in_post")
+def q_tags_in_post(spark, d):
+    p = posts(spark, d)
+    return features.tags_in_post(V.post_tokens(p), profile.tag_counts(p))
+
+
+@query("tag_freq_in_post")
+def q_tag_freq_in_post(spark, d):
+    p = posts(spark, d)
+    return features.tag_freq_in_post(V.post_tokens(p), profile.tag_counts(p))
+
+
+@query("matrix_shape")
+def q_matrix_shape(spark, d):
+    b = bow(spark, d)
+    n_docs = V.table(spark, d, "documents").count()
+    return features.matrix_shape(b, n_rows=n_docs)
+
+
+@query("subsample_tokens")
+def q_subsample_tokens(spark, d):
+    return report_tokens(features.subsample_tokens(toks(spark, d), sample=1e-3, seed=42))
+
+
+@query("predict_target")
+def q_predict_target(spark, d):
+    p = posts(spark, d)
+    return columns.predict_target(V.post_tokens(p), "tag_counts", tag_vocab=profile.tag_counts(p))
+
+
+def long_vector(df: DataFrame, key: str) -> DataFrame:
+    return df.select(key, F.posexplode("vector").alias("dim", "value")).select(
+        key, F.col("dim").cast("bigint"), F.round("value", 6).alias("value"))
+
+
+def wv(spark, d):
+    return V.word_vectors(spark, d)
+
+
+def doc_vectors(spark, d):
+    return embed.mean_vectors(V.bags(spark, d), wv(spark, d))
+
+
+@query("doc_mean_vector")
+def q_doc_mean_vector(spark, d):
+    return long_vector(doc_vectors(spark, d), "id")
+
+
+def true_tags_long(spark, d):
+    """Bag words that are tags (label < 5)."""
+    tags = wv(spark, d).filter(F.col("label") < 5).select("word")
+    return V.bags(spark, d).join(tags, "word", "left_semi")
+
+
+@query("doc_embedding_matrix")
+def q_doc_embedding_matrix(spark, d):
+    return long_vector(embed.mean_vectors(true_tags_long(spark, d), wv(spark, d)), "id")
+
+
+@query("similar_by_word")
+def q_similar_by_word(spark, d):
+    return embed.similar_by_word(wv(spark, d), 10).select("word", "neighbor", r6("cosine"), "rank")
+
+
+@query("similar_by_vector")
+def q_similar_by_vector(spark, d):
+    return embed.similar_by_vector(doc_vectors(spark, d), wv(spark, d), 10).select("id", "word", r6("cosine"), "rank")
+
+
+@query("minmax_scale_2d")
+def q_minmax_scale_2d(spark, d):
+    xy = wv(spark, d).select("word", F.col("vector")[0].alias("x"), F.col("vector")[1].alias("y"))
+    return embed.minmax_scale(xy).select("word", r6("x"), r6("y"))
+
+
+@query("project_2d")
+def q_project_2d(spark, d):
+    return embed.minmax_scale(embed.project_2d(wv(spark, d).select("word", "vector")).select("word", "x", "y"))
+
+
+@query("word2vec_train")
+def q_word2vec_train(spark, d):
+    model = embed.word2vec_train(toks(spark, d), vector_size=128, window=10, min_count=0, seed=42)
+    return embed.model_vectors(model).select("word", F.size("vector").cast("bigint").alias("dim"))
+
+
+@query("tag_aware_embedding")
+def q_tag_aware_embedding(spark, d):
+    p = posts(spark, d)
+    sent = p.select("id", T.corpus_tokens(F.concat_ws("\n", "title", "content")).alias("tokens"), "tags")
+    model = embed.tag_aware_embedding(sent, vector_size=128, window=10, min_count=0, seed=42)
+    tags = profile.tag_counts(p).select(F.col("term").alias("word"))
+    return embed.model_vectors(model).join(tags, "word", "left_semi").select(
+        "word", F.size("vector").cast("bigint").alias("dim"))
+
+
+# ------------------------------------------------------------------ F: auto-tagging
+def tag_vocab(spark, d):
+    return wv(spark, d).filter(F.col("label") < 5).select(F.col("word").alias("term"))
+
+
+@query("tag_candidates")
+def q_tag_candidates(spark, d):
+    return tagging.tag_candidates(V.bags(spark, d), wv(spark, d), 50).select("id", "word", r6("cosine"), "rank")
+
+
+def predicted(spark, d):
+    cand = tagging.tag_candidates(V.bags(spark, d), wv(spark, d), 50)
+    return tagging.predict_tags(cand, tag_vocab(spark, d))
+
+
+@query("predict_tags")
+def q_predict_tags(spark, d):
+    return predicted(spark, d).select("id", "tag", r6("cosine"), "tag_rank")
+
+
+def autotagged(spark, d):
+    return tagging.auto_tag(V.bags(spark, d), wv(spark, d), tag_vocab(spark, d), n_neighbors=50)
+
+
+@query("auto_tag")
+def q_auto_tag(spark, d):
+    return autotagged(spark, d).select("id", F.size("tags").cast("bigint").alias("n_tags"), T.joined("tags").alias("tags"))
+
+
+def autotag_eval(spark, d):
+    truth = true_tags_long(spark, d).groupBy("id").agg(F.collect_set("word").alias("tags"))
+    return tagging.evaluate_autotag(autotagged(spark, d), truth)
+
+
+@query("evaluate_autotag")
+def q_evaluate_autotag(spark, d):
+    return autotag_eval(spark, d)
+
+
+@query("autotag_summary")
+def q_autotag_summary(spark, d):
+    return tagging.autotag_summary(autotag_eval(spark, d))

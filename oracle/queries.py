@@ -214,3 +214,143 @@ ORACLE["autotag_summary"] = W(*FBASE, EVAL) + """SELECT count(*)::BIGINT AS n_po
   CASE WHEN sum(misses) > 0 THEN round(sum(hits) / sum(misses), 6) END AS hit_miss_ratio,
   CASE WHEN sum(n_pred) > 0 THEN round(sum(hits) / sum(n_pred), 6) END AS precision,
   CASE WHEN sum(n_true) > 0 THEN round(sum(hits) / sum(n_true), 6) END AS recall FROM per"""
+
+# ------------------------------------------------------------------ H
+LAB = f"lab AS (SELECT id, thread, CASE WHEN {bucket('id', 4)} = 0 THEN 'test' ELSE 'train' END AS split FROM posts)"
+
+
+def nb_sql(name: str, train_where: str, alpha: float = 1.0, fit_prior: bool = True, lab: str = "lab") -> list[str]:
+    """CTEs ending in ``{name}`` (id, prediction) — multinomial NB fitted on rows of ``lab`` matching train_where."""
+    p = name
+    prior = f"ln({p}_d.nd / (SELECT count(*) FROM {p}_tr))" if fit_prior else f"-ln((SELECT count(*) FROM {p}_d))"
+    return [
+        f"{p}_tr AS (SELECT id, thread AS label FROM {lab} WHERE {train_where})",
+        f"{p}_cnt AS (SELECT t.label, b.term, sum(b.tf) AS n FROM bow b JOIN {p}_tr t ON b.id = t.id GROUP BY t.label, b.term)",
+        f"{p}_voc AS (SELECT DISTINCT term FROM {p}_cnt)",
+        f"{p}_d AS (SELECT label, count(*) AS nd FROM {p}_tr GROUP BY label)",
+        f"""{p}_cls AS (SELECT {p}_d.label, {prior} AS lp,
+            ln(coalesce(tot.N, 0) + {alpha} * (SELECT count(*) FROM {p}_voc)) AS ld
+          FROM {p}_d LEFT JOIN (SELECT label, sum(n) AS N FROM {p}_cnt GROUP BY label) tot ON {p}_d.label = tot.label)""",
+        f"{p}_len AS (SELECT id, sum(tf) AS L FROM bow WHERE term IN (SELECT term FROM {p}_voc) GROUP BY id)",
+        f"""{p}_part AS (SELECT b.id, c.label, sum(b.tf * (ln(c.n + {alpha}) - ln({alpha}))) AS s
+          FROM bow b JOIN {p}_cnt c ON b.term = c.term GROUP BY b.id, c.label)""",
+        f"""{p}_sc AS (SELECT l.id, c.label, c.lp + coalesce(dl.L, 0) * (ln({alpha}) - c.ld) + coalesce(pt.s, 0) AS score
+          FROM {lab} l CROSS JOIN {p}_cls c LEFT JOIN {p}_len dl ON l.id = dl.id
+          LEFT JOIN {p}_part pt ON pt.id = l.id AND pt.label = c.label)""",
+        f"""{name} AS (SELECT id, label AS prediction FROM (SELECT id, label,
+          row_number() OVER (PARTITION BY id ORDER BY score DESC, label) AS r FROM {p}_sc) WHERE r = 1)""",
+    ]
+
+
+def metrics_sql(src: str, by: str) -> str:
+    """(by, metric, value) from CTE ``src`` with columns by, thread, prediction."""
+    return f"""mc AS (SELECT {by}, thread, prediction, count(*) AS n FROM {src} GROUP BY {by}, thread, prediction),
+pc AS (SELECT {by}, cls, sum(tp) AS tp, sum(t) AS n_true, sum(p) AS n_pred FROM (
+    SELECT {by}, thread AS cls, n AS t, 0 AS p, CASE WHEN thread = prediction THEN n ELSE 0 END AS tp FROM mc
+    UNION ALL SELECT {by}, prediction AS cls, 0 AS t, n AS p, 0 AS tp FROM mc) GROUP BY {by}, cls),
+agg AS (SELECT {by}, sum(tp) / sum(n_true) AS accuracy,
+    avg(CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0 END) AS precision_macro,
+    avg(CASE WHEN n_true > 0 THEN tp / n_true ELSE 0 END) AS recall_macro,
+    avg(CASE WHEN n_true + n_pred > 0 THEN 2.0 * tp / (n_true + n_pred) ELSE 0 END) AS f1_macro FROM pc GROUP BY {by}),
+met AS (SELECT {by}, 'accuracy' AS metric, round(accuracy, 6) AS value FROM agg
+    UNION ALL SELECT {by}, 'precision_macro', round(precision_macro, 6) FROM agg
+    UNION ALL SELECT {by}, 'recall_macro', round(recall_macro, 6) FROM agg
+    UNION ALL SELECT {by}, 'f1_macro', round(f1_macro, 6) FROM agg)"""
+
+
+HBASE = (POSTS, TOKS, BOW, LAB, *nb_sql("nb", "split = 'train'"),
+         "np AS (SELECT l.id, l.split, l.thread, n.prediction FROM lab l JOIN nb n ON l.id = n.id)")
+ORACLE["train_test_split"] = W(POSTS, LAB) + "SELECT id, split FROM lab"
+ORACLE["naive_bayes"] = W(*HBASE) + "SELECT id, split, thread, prediction FROM np"
+ORACLE["classification_metrics"] = W(*HBASE, metrics_sql("np", "split")) + "SELECT split, metric, value FROM met"
+ORACLE["confusion_matrix"] = W(*HBASE) + """SELECT actual, predicted, count, round(count / sum(count) OVER (PARTITION BY actual), 6) AS share
+FROM (SELECT thread AS actual, prediction AS predicted, count(*)::BIGINT AS count FROM np WHERE split = 'test' GROUP BY 1, 2)"""
+ORACLE["mse_score"] = W(*HBASE) + """, ids AS (SELECT thread AS name, (dense_rank() OVER (ORDER BY thread) - 1) AS i FROM (SELECT DISTINCT thread FROM np))
+SELECT split, round(avg(power(a.i - b.i, 2)), 6) AS mse, round(0.0 - avg(power(a.i - b.i, 2)), 6) AS neg_mse
+FROM np JOIN ids a ON np.thread = a.name JOIN ids b ON np.prediction = b.name GROUP BY split"""
+FOLD = f"fl AS (SELECT id, thread, {bucket('id', 5, 42)} AS fold FROM lab WHERE split = 'train')"
+ORACLE["kfold_assign"] = W(POSTS, LAB, FOLD) + "SELECT id, fold::BIGINT AS fold FROM fl"
+
+
+def _kfold() -> str:
+    ctes, parts = [], []
+    for f in range(5):
+        ctes += nb_sql(f"f{f}", f"fold <> {f}", lab="fl")
+        parts.append(f"SELECT {f} AS fold, CASE WHEN l.fold = {f} THEN 'validate' ELSE 'train' END AS split, "
+                     f"l.thread, n.prediction FROM fl l JOIN f{f} n ON l.id = n.id")
+    ctes.append("fp AS (" + " UNION ALL ".join(parts) + ")")
+    return W(POSTS, TOKS, BOW, LAB, FOLD, *ctes, metrics_sql("fp", "fold, split")) + """SELECT split,
+  round(avg(CASE WHEN metric = 'accuracy' THEN value END), 6) AS accuracy,
+  round(avg(CASE WHEN metric = 'precision_macro' THEN value END), 6) AS precision_macro,
+  round(avg(CASE WHEN metric = 'recall_macro' THEN value END), 6) AS recall_macro,
+  round(avg(CASE WHEN metric = 'f1_macro' THEN value END), 6) AS f1_macro FROM met GROUP BY split"""
+
+
+ORACLE["kfold_summary"] = _kfold()
+EMB = f"""emb AS (SELECT vec_id, embedding::DOUBLE[] AS vector, label,
+  CASE WHEN {bucket('vec_id', 4)} = 0 THEN 'test' ELSE 'train' END AS split FROM embeddings)"""
+ORACLE["knn_classify"] = W(EMB) + """, nn AS (SELECT q.vec_id, t.label, row_number() OVER (PARTITION BY q.vec_id
+    ORDER BY list_distance(q.vector, t.vector), cast(t.vec_id AS VARCHAR)) AS r
+  FROM emb q JOIN emb t ON q.split = 'test' AND t.split = 'train'),
+votes AS (SELECT vec_id, label, count(*) AS v FROM nn WHERE r <= 50 GROUP BY vec_id, label),
+best AS (SELECT vec_id, label AS prediction FROM (SELECT vec_id, label,
+  row_number() OVER (PARTITION BY vec_id ORDER BY v DESC, label) AS r FROM votes) WHERE r = 1)
+SELECT e.vec_id, e.label::BIGINT AS label, b.prediction::BIGINT AS prediction FROM emb e JOIN best b ON e.vec_id = b.vec_id"""
+
+
+def _nb_grid() -> str:
+    ctes, parts = [], []
+    gi = 0
+    for a in (0.1, 0.5, 1.0, 2.0):
+        for fp in (True, False):
+            for f in range(5):
+                name = f"g{gi}_{f}"
+                ctes += nb_sql(name, f"fold <> {f}", a, fp, lab="fl")
+                parts.append(f"SELECT {gi} AS gi, {a} AS alpha, {str(fp).upper()} AS fit_prior, {f} AS fold, "
+                             f"l.thread, n.prediction FROM fl l JOIN {name} n ON l.id = n.id WHERE l.fold = {f}")
+            gi += 1
+    ctes.append("gp AS (" + "\nUNION ALL ".join(parts) + ")")
+    return W(POSTS, TOKS, BOW, LAB, FOLD, *ctes, metrics_sql("gp", "gi, alpha, fit_prior, fold")) + """, f1 AS (
+  SELECT gi, alpha, fit_prior, round(avg(value), 6) AS f1_macro FROM met WHERE metric = 'f1_macro' GROUP BY gi, alpha, fit_prior)
+SELECT alpha::DOUBLE AS alpha, fit_prior, f1_macro, row_number() OVER (ORDER BY f1_macro DESC, gi) = 1 AS best FROM f1"""
+
+
+ORACLE["nb_gridsearch"] = _nb_grid()
+ORACLE["mse_score"] = ORACLE["mse_score"]
+
+# ------------------------------------------------------------------ A
+ORACLE["src_posts_by_thread"] = W(POSTS) + f"SELECT id, thread, title, content, {joined('tags')} AS tags FROM posts"
+ORACLE["cap_per_thread"] = W(POSTS) + (
+    "SELECT id, thread FROM (SELECT id, thread, row_number() OVER (PARTITION BY thread ORDER BY id) AS r FROM posts) "
+    "WHERE r <= 100")
+ORACLE["union_files"] = W(POSTS) + """SELECT id, thread, title, content FROM posts
+UNION ALL SELECT conv_id * 1000 + turn AS id, role AS thread, NULL AS title, text AS content FROM conversations"""
+ORACLE["dataset_roundtrip"] = W(POSTS) + (
+    f"SELECT id, thread, title, content, {joined('tags')} AS tags FROM posts WHERE thread = 'fr'")
+ORACLE["counts_roundtrip"] = W(POSTS, TOKS, COUNTS) + "SELECT term, count FROM counts"
+ORACLE["csv_export_import"] = W(POSTS) + (
+    f"SELECT id, thread, len(tags)::BIGINT AS n_tags, {joined('tags')} AS tags, "
+    "length(content)::BIGINT AS content_chars FROM posts")
+
+# ------------------------------------------------------------------ G (fixed topic table: one topic per thread)
+TOPIC = """phi AS (SELECT topic, term, c / sum(c) OVER (PARTITION BY topic) AS phi FROM
+  (SELECT thread AS topic, term, count(*) AS c FROM (SELECT thread, unnest(tokens) AS term FROM toks) GROUP BY 1, 2)),
+share AS (SELECT topic, m / sum(m) OVER () AS share FROM (SELECT thread AS topic, sum(len(tokens)) AS m FROM toks GROUP BY 1)),
+j AS (SELECT p.topic, p.term, p.phi, s.share, p.phi * s.share AS pw_t FROM phi p JOIN share s ON p.topic = s.topic),
+pw AS (SELECT term, sum(pw_t) AS p_w FROM j GROUP BY term),
+dist AS (SELECT j.term, sum(CASE WHEN j.pw_t / pw.p_w > 0 THEN (j.pw_t / pw.p_w) * ln((j.pw_t / pw.p_w) / j.share) ELSE 0 END)
+  AS distinctiveness FROM j JOIN pw ON j.term = pw.term GROUP BY j.term),
+ts AS (SELECT pw.term, p_w, distinctiveness, p_w * distinctiveness AS saliency FROM pw JOIN dist ON pw.term = dist.term)"""
+ORACLE["topic_share"] = W(POSTS, TOKS, TOPIC) + "SELECT topic, round(share, 6) AS share FROM share"
+ORACLE["topic_relevance"] = W(POSTS, TOKS, TOPIC) + """, rel AS (SELECT p.topic, p.term, p.phi,
+  0.6 * ln(p.phi) + (1.0 - 0.6) * ln(p.phi / ts.p_w) AS relevance, ts.saliency FROM phi p JOIN ts ON p.term = ts.term WHERE p.phi > 0)
+SELECT topic, term, round(phi, 6) AS phi, round(relevance, 6) AS relevance, round(saliency, 6) AS saliency, rank
+FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY relevance DESC, term)::BIGINT AS rank FROM rel) WHERE rank <= 30"""
+ORACLE["topic_distance"] = W(POSTS, TOKS, TOPIC) + """, tp AS (SELECT DISTINCT topic FROM phi),
+pairs AS (SELECT a.topic AS topic_a, b.topic AS topic_b FROM tp a JOIN tp b ON a.topic < b.topic),
+terms AS (SELECT DISTINCT term FROM phi),
+g AS (SELECT pr.topic_a, pr.topic_b, coalesce(pa.phi, 0) AS p, coalesce(pb.phi, 0) AS q
+  FROM pairs pr CROSS JOIN terms t LEFT JOIN phi pa ON pa.topic = pr.topic_a AND pa.term = t.term
+  LEFT JOIN phi pb ON pb.topic = pr.topic_b AND pb.term = t.term)
+SELECT topic_a, topic_b, round(sum(0.5 * CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2.0)) ELSE 0 END
+  + 0.5 * CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2.0)) ELSE 0 END), 6) AS js FROM g GROUP BY topic_a, topic_b"""

@@ -396,3 +396,276 @@ def q_evaluate_autotag(spark, d):
 @query("autotag_summary")
 def q_autotag_summary(spark, d):
     return tagging.autotag_summary(autotag_eval(spark, d))
+
+
+# ------------------------------------------------------------------ H: splits, classifiers, evaluation
+from tagloom.operators import classify, evaluate  # noqa: E402
+
+
+def labelled(spark, d):
+    """(id, thread, label, split) for every post; label = thread (the class)."""
+    p = posts(spark, d).select("id", "thread")
+    return classify.train_test_split(p).withColumn("label", F.col("thread"))
+
+
+def nb_predictions(spark, d, alpha=1.0, fit_prior=True):
+    lab = labelled(spark, d)
+    tf = bow(spark, d)
+    train = lab.filter(F.col("split") == "train")
+    model = classify.nb_fit(tf.join(train.select("id"), "id", "left_semi"), train, alpha, fit_prior)
+    return classify.nb_predict(model, tf, lab.select("id")).join(lab, "id")
+
+
+@query("train_test_split")
+def q_train_test_split(spark, d):
+    return labelled(spark, d).select("id", "split")
+
+
+@query("naive_bayes")
+def q_naive_bayes(spark, d):
+    return nb_predictions(spark, d).select("id", "split", "thread", "prediction")
+
+
+@query("classification_metrics")
+def q_classification_metrics(spark, d):
+    return evaluate.classification_metrics(nb_predictions(spark, d), "thread", "prediction", by=["split"])
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, d):
+    test = nb_predictions(spark, d).filter(F.col("split") == "test")
+    return evaluate.confusion_matrix(test, "thread", "prediction")
+
+
+@query("mse_score")
+def q_mse_score(spark, d):
+    pred = nb_predictions(spark, d)
+    mapping = columns.label_mapping(pred, "thread")
+    ids = columns.thread_label_encode(pred, mapping, "thread", "y")
+    ids = columns.thread_label_encode(ids, mapping, "prediction", "yhat")
+    return evaluate.mse_score(ids, "y", "yhat", by=["split"])
+
+
+@query("kfold_assign")
+def q_kfold_assign(spark, d):
+    train = labelled(spark, d).filter(F.col("split") == "train")
+    return evaluate.kfold_assign(train, 5, 42).select("id", F.col("fold").cast("bigint"))
+
+
+def kfold_metrics(spark, d, k=5, alpha=1.0, fit_prior=True):
+    """NB refitted per fold on the training split: (fold, split in {train, validate}, metric, value)."""
+    lab = evaluate.kfold_assign(labelled(spark, d).filter(F.col("split") == "train"), k, 42)
+    tf = bow(spark, d)
+    out = None
+    for f in range(k):
+        tr = lab.filter(F.col("fold") != f)
+        model = classify.nb_fit(tf.join(tr.select("id"), "id", "left_semi"), tr, alpha, fit_prior)
+        pred = classify.nb_predict(model, tf, lab.select("id")).join(lab, "id").withColumn(
+            "split", F.when(F.col("fold") == f, F.lit("validate")).otherwise(F.lit("train")))
+        m = evaluate.classification_metrics(pred, "thread", "prediction", by=["split"]).withColumn(
+            "fold", F.lit(f).cast("bigint"))
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@query("kfold_summary")
+def q_kfold_summary(spark, d):
+    return evaluate.kfold_summary(kfold_metrics(spark, d))
+
+
+@query("knn_classify")
+def q_knn_classify(spark, d):
+    emb = V.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"),
+                                                 F.col("embedding").cast("array<double>").alias("vector"), "label")
+    emb = classify.train_test_split(emb)
+    test = emb.filter(F.col("split") == "test")
+    train = emb.filter(F.col("split") == "train")
+    pred = classify.knn_classify(test, train, k=50)
+    return test.select(F.col("id").alias("vec_id"), F.col("label").cast("bigint")).join(
+        pred.select(F.col("id").alias("vec_id"), F.col("prediction").cast("bigint")), "vec_id")
+
+
+# ------------------------------------------------------------------ A: sources and sinks
+from tagloom.session import scratch_path  # noqa: E402
+from tagloom.sources import files  # noqa: E402
+
+
+def report_posts(df: DataFrame) -> DataFrame:
+    return df.select("id", "thread", "title", "content", T.joined("tags").alias("tags"))
+
+
+@query("src_posts_by_thread")
+def q_src_posts_by_thread(spark, d):
+    p = posts(spark, d)
+    paths = files.write_posts_by_thread(p, scratch_path(spark, "posts_csv"))
+    back = files.read_posts_by_thread(spark, paths)
+    return back.select("id", "thread", "title", "content", F.coalesce("tags", F.lit("")).alias("tags"))
+
+
+@query("cap_per_thread")
+def q_cap_per_thread(spark, d):
+    return files.cap_per_thread(posts(spark, d), 100).select("id", "thread")
+
+
+@query("union_files")
+def q_union_files(spark, d):
+    p = posts(spark, d).select("id", "thread", "title", "content")
+    conv = V.table(spark, d, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("role").alias("thread"),
+        F.col("text").alias("content"))
+    return files.union_files([p, conv]).select("id", "thread", "title", "content")
+
+
+@query("dataset_roundtrip")
+def q_dataset_roundtrip(spark, d):
+    back = files.dataset_roundtrip(posts(spark, d), "posts")
+    return report_posts(columns.filter_thread(back, "fr"))
+
+
+@query("counts_roundtrip")
+def q_counts_roundtrip(spark, d):
+    return files.dataset_roundtrip(counts(spark, d), "token_counts", None).select("term", "count")
+
+
+@query("csv_export_import")
+def q_csv_export_import(spark, d):
+    path = files.export_csv(posts(spark, d), scratch_path(spark, "posts_export"))
+    schema = posts(spark, d).schema
+    back = files.import_csv(spark, path, schema)
+    return back.select("id", "thread", F.size("tags").cast("bigint").alias("n_tags"), T.joined("tags").alias("tags"),
+                       F.length("content").cast("bigint").alias("content_chars"))
+
+
+# ------------------------------------------------------------------ G: topics
+from tagloom.operators import topics  # noqa: E402
+
+
+def fixed_topics(spark, d):
+    return topics.fixed_phi_theta(toks(spark, d))
+
+
+@query("topic_share")
+def q_topic_share(spark, d):
+    phi, theta, doc_len = fixed_topics(spark, d)
+    return topics.topic_share(theta, doc_len).select("topic", r6("share"))
+
+
+@query("topic_relevance")
+def q_topic_relevance(spark, d):
+    phi, theta, doc_len = fixed_topics(spark, d)
+    rel = topics.topic_relevance(phi, topics.topic_share(theta, doc_len), lam=0.6, n=30)
+    return rel.select("topic", "term", r6("phi"), r6("relevance"), r6("saliency"), "rank")
+
+
+@query("topic_distance")
+def q_topic_distance(spark, d):
+    phi, _, _ = fixed_topics(spark, d)
+    return topics.topic_distance(phi).select("topic_a", "topic_b", r6("js"))
+
+
+def lda_fit(spark, d, k=6, max_iter=200):
+    return topics.lda_train(toks(spark, d), k=k, max_iter=max_iter)
+
+
+@query("lda_train")
+def q_lda_train(spark, d):
+    from pyspark.ml.functions import vector_to_array
+
+    cv, lda, out = lda_fit(spark, d)
+    dist = vector_to_array("topicDistribution")
+    return out.select("id", "thread", F.array_position(dist, F.array_max(dist)).cast("bigint").alias("top_topic"))
+
+
+@query("topic_top_terms")
+def q_topic_top_terms(spark, d):
+    cv, lda, _ = lda_fit(spark, d)
+    return topics.topic_top_terms(cv, lda, 10)
+
+
+# ------------------------------------------------------------------ H: pyspark.ml trainers (rows-only checks)
+def ml_data(spark, d, kind="bow"):
+    lab = classify.train_test_split(toks(spark, d))
+    data, labels = classify.labelled_features(lab, "tokens", "thread", kind,
+                                              fit_on=lab.filter(F.col("split") == "train"))
+    return data, labels
+
+
+def ml_metrics(spark, d, name, kind="bow", **kw):
+    data, _ = ml_data(spark, d, kind)
+    return classify.fit_and_score(data, classify.estimator(name, **kw))
+
+
+@query("nb_mllib")
+def q_nb_mllib(spark, d):
+    return ml_metrics(spark, d, "nb")
+
+
+@query("random_forest")
+def q_random_forest(spark, d):
+    return ml_metrics(spark, d, "rf")
+
+
+@query("ovr_logistic")
+def q_ovr_logistic(spark, d):
+    return ml_metrics(spark, d, "ovr_lr", kind="tfidf")
+
+
+@query("ovr_svc")
+def q_ovr_svc(spark, d):
+    return ml_metrics(spark, d, "ovr_svc", kind="tfidf")
+
+
+@query("gbt_classifier")
+def q_gbt_classifier(spark, d):
+    data, _ = ml_data(spark, d)
+    head = columns.train_head_n(data, 1000).select("id")  # the reference boosts on the first n training rows
+    sub = data.join(head, "id", "left_semi").unionByName(data.filter(F.col("split") == "test"))
+    return classify.fit_and_score(sub, classify.estimator("ovr_gbt"))
+
+
+def samme_run(spark, d):
+    data, labels = ml_data(spark, d)
+    train = data.filter(F.col("split") == "train")
+    trees, alphas = classify.adaboost_samme(train, n_rounds=20, learning_rate=1.0, max_depth=1,
+                                            n_classes=len(labels))
+    return data, labels, trees, alphas
+
+
+@query("adaboost")
+def q_adaboost(spark, d):
+    data, labels, trees, alphas = samme_run(spark, d)
+    pred = classify.adaboost_predict(data, trees, alphas, len(labels)).join(data.select("id", "split"), "id")
+    return evaluate.classification_metrics(pred, by=["split"])
+
+
+@query("staged_error")
+def q_staged_error(spark, d):
+    data, labels, trees, alphas = samme_run(spark, d)
+    return classify.samme_staged_error(data, trees, alphas, len(labels))
+
+
+@query("multilabel_tags")
+def q_multilabel_tags(spark, d):
+    p = posts(spark, d)
+    tk = V.post_tokens(p)
+    top = [r["term"] for r in profile.top_tags(profile.tag_counts(p), 10).collect()]  # 10 rows
+    lab = classify.train_test_split(tk)
+    data, _ = classify.labelled_features(lab, "tokens", "thread", "tfidf", fit_on=lab.filter(F.col("split") == "train"))
+    matrix = features.tags_in_post(tk, profile.tag_counts(p))
+    return classify.multilabel_tags(data.drop("label"), matrix, top)
+
+
+@query("nb_gridsearch")
+def q_nb_gridsearch(spark, d):
+    lab = evaluate.kfold_assign(labelled(spark, d).filter(F.col("split") == "train"), 5, 42)
+    return classify.nb_grid_kfold(bow(spark, d), lab.select("id", "label", "fold"), k=5)
+
+
+@query("pipeline_facade")
+def q_pipeline_facade(spark, d):
+    from tagloom.plans.pipeline import Pipeline
+
+    lex = lexicons(spark, d)
+    pipe = Pipeline(spark, "facade", root=scratch_path(spark, "pipelines"))
+    pipe.preprocess(posts(spark, d), stop_words=lex["stop"], entities=lex["ent"], lemmas=lex["lem"])
+    return pipe.featurize("bow", "thread").model("nb").evaluate(k=5)

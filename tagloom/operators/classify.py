@@ -83,6 +83,17 @@ def nb_predict(model: NBModel, tf_long: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ pyspark.ml classifiers (H2 MLlib, H4–H11)
+def training_frame(df: DataFrame, spread: bool = True) -> DataFrame:
+    """Feature frames feed iterative trainers (many passes): spread them over at least the cluster's default
+    parallelism and keep them (memory, spilling to disk; recomputed from lineage if an executor is lost)."""
+    from pyspark import StorageLevel
+
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if spread and df.rdd.getNumPartitions() < par:
+        df = df.repartition(par)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def labelled_features(df: DataFrame, tokens_col: str = "tokens", label_col: str = "thread", kind: str = "bow",
                       vocab_size: int = 1 << 18, min_df: float = 1.0, fit_on: DataFrame | None = None):
     """(id, label double, features sparse vector, split) with a vocabulary fitted on ``fit_on`` (default: df).
@@ -101,7 +112,7 @@ def labelled_features(df: DataFrame, tokens_col: str = "tokens", label_col: str
         out = transform(df)
     else:
         raise ValueError("kind must be bow or tfidf")
-    return idx.transform(out), idx.labels
+    return training_frame(idx.transform(out)), idx.labels
 
 
 def estimator(name: str, **kw):
@@ -187,7 +198,7 @@ def adaboost_samme(data: DataFrame, n_rounds: int = 20, learning_rate: float = 1
 
     k = n_classes or data.select(F.max("label")).first()[0] + 1
     n = data.count()
-    cur = data.select("id", "label", "features").withColumn("w", F.lit(1.0 / n))
+    cur = training_frame(data.select("id", "label", "features")).withColumn("w", F.lit(1.0 / n))
     trees, alphas = [], []
     for r in range(n_rounds):
         dt = DecisionTreeClassifier(maxDepth=max_depth, weightCol="w", seed=42 + r, predictionCol="__p",
@@ -227,18 +238,26 @@ def adaboost_predict(data: DataFrame, trees, alphas, n_classes: int) -> DataFram
 
 
 # ------------------------------------------------------------------ H11: one binary model per tag
-def multilabel_tags(features: DataFrame, tag_matrix: DataFrame, tags: list[str], kind: str = "svc") -> DataFrame:
+def multilabel_tags(features: DataFrame, tag_matrix: DataFrame, tags: list[str], kind: str = "svc",
+                    parallelism: int = 4) -> DataFrame:
     """Per tag, a LinearSVC (or NB) on TF-IDF features with target = tag present in the post (E3 matrix).
     Returns (tag, split, metric, value)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.classification import LinearSVC, NaiveBayes
 
-    out = None
-    for t in tags:
+    def one(t: str) -> DataFrame:
         y = tag_matrix.filter(F.col("tag") == t).select("id", F.lit(1.0).alias("y"))
         d = features.join(y, "id", "left").withColumn("label", F.coalesce("y", F.lit(0.0))).drop("y")
         est = LinearSVC(maxIter=50, regParam=1e-4) if kind == "svc" else NaiveBayes()
-        m = fit_and_score(d, est).select(F.lit(t).alias("tag"), "*")
-        out = m if out is None else out.unionByName(m)
+        return fit_and_score(d, est).select(F.lit(t).alias("tag"), "*")
+
+    tag_matrix = training_frame(tag_matrix.filter(F.col("tag").isin(list(tags))), spread=False)
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:  # independent fits run as concurrent Spark jobs
+        parts = list(pool.map(one, tags))
+    out = parts[0]
+    for m in parts[1:]:
+        out = out.unionByName(m)
     return out
 
 

@@ -40,13 +40,7 @@ def counts(spark, d):
 
 
 def lexicons(spark, d):
-    c = counts(spark, d)
-    return {
-        "stop": V.stop_list(c),
-        "ent": V.entity_lexicon(c),
-        "lem": V.lemma_lexicon(c),
-        "pos": V.pos_lexicon(c),
-    }
+    return V.lexicons(counts(spark, d))
 
 
 def docs_text(spark, d):

@@ -10,7 +10,7 @@ The derived views re-express the reference's inputs over the given tables:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions.hashing import hash_bucket
@@ -89,25 +89,30 @@ ENTITY_TYPES = ["ORG", "DATE", "GPE"]  # by rank mod 3
 
 
 def ranked_terms(counts: DataFrame, top: int) -> DataFrame:
-    """(term, count, rank) for the ``top`` most frequent terms, ties broken by term. The global order is a
-    distributed top-k (TakeOrderedAndProject); only ``top`` rows reach the final single-partition numbering."""
-    head = counts.orderBy(F.col("count").desc(), F.col("term").asc()).limit(top)
-    w = Window.orderBy(F.col("count").desc(), F.col("term").asc())
-    return head.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    """(term, count, rank) for the ``top`` most frequent terms, ties broken by term. The order is a distributed
+    top-k (TakeOrderedAndProject); the at most ``top`` winners come back as a small local table, so lexicons built
+    from them are cheap to size-check and broadcast."""
+    rows = counts.orderBy(F.col("count").desc(), F.col("term").asc()).limit(top).collect()  # <= top rows
+    data = [(r["term"], int(r["count"]), i + 1) for i, r in enumerate(rows)]
+    return counts.sparkSession.createDataFrame(data, "term string, count bigint, rank bigint")
 
 
-def stop_list(counts: DataFrame, top: int = 20) -> DataFrame:
-    return ranked_terms(counts, top).select(F.col("term").alias("word"))
+def stop_list(counts: DataFrame, top: int = 20, ranked: DataFrame | None = None) -> DataFrame:
+    r = ranked if ranked is not None else ranked_terms(counts, top)
+    return r.filter(F.col("rank") <= top).select(F.col("term").alias("word"))
 
 
-def entity_lexicon(counts: DataFrame, first: int = 21, last: int = 70) -> DataFrame:
-    r = ranked_terms(counts, last).filter(F.col("rank") >= first)
+def entity_lexicon(counts: DataFrame, first: int = 21, last: int = 70, ranked: DataFrame | None = None) -> DataFrame:
+    r = (ranked if ranked is not None else ranked_terms(counts, last)).filter(
+        (F.col("rank") >= first) & (F.col("rank") <= last))
     etype = F.element_at(F.array(*[F.lit(t) for t in ENTITY_TYPES]), (F.col("rank") % 3 + 1).cast("int"))
     return r.select(F.col("term").alias("phrase"), etype.alias("type"))
 
 
-def lemma_lexicon(counts: DataFrame, first: int = 71, last: int = 270, min_len: int = 5) -> DataFrame:
-    r = ranked_terms(counts, last).filter((F.col("rank") >= first) & (F.length("term") >= min_len))
+def lemma_lexicon(counts: DataFrame, first: int = 71, last: int = 270, min_len: int = 5,
+                  ranked: DataFrame | None = None) -> DataFrame:
+    r = (ranked if ranked is not None else ranked_terms(counts, last)).filter(
+        (F.col("rank") >= first) & (F.col("rank") <= last) & (F.length("term") >= min_len))
     return r.select(
         F.col("term").alias("form"),
         F.when(F.col("rank") % 2 == 0, F.lit("noun")).otherwise(F.lit("verb")).alias("pos"),
@@ -115,7 +120,18 @@ def lemma_lexicon(counts: DataFrame, first: int = 71, last: int = 270, min_len:
     )
 
 
-def pos_lexicon(counts: DataFrame, top: int = 500) -> DataFrame:
-    r = ranked_terms(counts, top)
+def pos_lexicon(counts: DataFrame, top: int = 500, ranked: DataFrame | None = None) -> DataFrame:
+    r = (ranked if ranked is not None else ranked_terms(counts, top)).filter(F.col("rank") <= top)
     tag = F.element_at(F.array(*[F.lit(t) for t in POS_TAGS]), (hash_bucket("term", 4) + 1).cast("int"))
     return r.select(F.col("term").alias("token"), tag.alias("pos"))
+
+
+def lexicons(counts: DataFrame, top: int = 500) -> dict[str, DataFrame]:
+    """All four fixture lexicons from one ranking of the corpus counts (one distributed top-k)."""
+    ranked = ranked_terms(counts, top)
+    return {
+        "stop": stop_list(counts, ranked=ranked),
+        "ent": entity_lexicon(counts, ranked=ranked),
+        "lem": lemma_lexicon(counts, ranked=ranked),
+        "pos": pos_lexicon(counts, ranked=ranked),
+    }

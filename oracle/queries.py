@@ -354,3 +354,5 @@ g AS (SELECT pr.topic_a, pr.topic_b, coalesce(pa.phi, 0) AS p, coalesce(pb.phi,
   LEFT JOIN phi pb ON pb.topic = pr.topic_b AND pb.term = t.term)
 SELECT topic_a, topic_b, round(sum(0.5 * CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2.0)) ELSE 0 END
   + 0.5 * CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2.0)) ELSE 0 END), 6) AS js FROM g GROUP BY topic_a, topic_b"""
+
+ORACLE["stream_token_counts"] = ORACLE["token_counts"]

@@ -663,3 +663,11 @@ def q_pipeline_facade(spark, d):
     pipe = Pipeline(spark, "facade", root=scratch_path(spark, "pipelines"))
     pipe.preprocess(posts(spark, d), stop_words=lex["stop"], entities=lex["ent"], lemmas=lex["lem"])
     return pipe.featurize("bow", "thread").model("nb").evaluate(k=5)
+
+
+# ------------------------------------------------------------------ streaming form of D1
+@query("stream_token_counts")
+def q_stream_token_counts(spark, d):
+    from tagloom.streaming.corpus_stream import run_token_counts
+
+    return run_token_counts(spark, d, glob="documents.parquet").select("term", "count")

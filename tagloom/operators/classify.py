@@ -157,7 +157,7 @@ def grid_search(data: DataFrame, est, grid, folds: int = 5, parallelism: int = 4
     from tagloom.operators.evaluate import kfold_assign
 
     train = kfold_assign(data.filter(F.col("split") == "train"), folds, seed)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=MacroF1Evaluator(), foldCol="fold",
+    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=MacroF1Evaluator(), foldCol="fold", numFolds=folds,
                         parallelism=parallelism, seed=seed)
     model = cv.fit(train)
     spark = data.sparkSession

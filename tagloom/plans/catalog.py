@@ -671,3 +671,10 @@ def q_stream_token_counts(spark, d):
     from tagloom.streaming.corpus_stream import run_token_counts
 
     return run_token_counts(spark, d, glob="documents.parquet").select("term", "count")
+
+
+@query("model_suite")
+def q_model_suite(spark, d):
+    from tagloom.plans.suite import model_suite
+
+    return model_suite(toks(spark, d))

@@ -17,8 +17,24 @@ from tagloom.functions.hashing import hash_bucket
 from tagloom.functions.text import after_first_line, corpus_tokens, first_line
 
 
+# text tables and their document key
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(df, TEXT_KEYS[name]) if name in TEXT_KEYS else df
+
+
+def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
+    """A text table whose scan yields fewer splits than the cluster has cores (one file, one row group) would run
+    all regex work in a few tasks; hash it by its document key over the default parallelism. Large inputs already
+    have many splits and are left alone (no shuffle). Hashing by the key also lets later per-document aggregates
+    reuse the partitioning."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    return df.repartition(par, key)
 
 
 def posts_from_documents(docs: DataFrame, tag_min_len: int = 5) -> DataFrame:

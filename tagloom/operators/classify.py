@@ -40,16 +40,19 @@ def nb_fit(tf_long: DataFrame, labels: DataFrame, alpha: float = 1.0, fit_prior:
     counts for the prior, with or without terms."""
     if alpha <= 0:
         raise ValueError("alpha must be > 0")
-    if tf_long.filter(F.col("tf") < 0).limit(1).count():
+    from pyspark.sql.types import IntegralType
+
+    if not isinstance(tf_long.schema["tf"].dataType, IntegralType) and tf_long.filter(F.col("tf") < 0).limit(1).count():
         raise ValueError("naive Bayes needs non-negative feature values (scale embeddings first)")
     lab = labels.select("id", "label")
     counts = tf_long.join(lab, "id").groupBy("label", "term").agg(F.sum("tf").alias("n"))
     vocab = counts.select("term").distinct()
     v = vocab.count()
     docs = lab.groupBy("label").agg(F.count(F.lit(1)).alias("nd"))
-    n_docs = lab.count()
+    per_class = {r["label"]: r["nd"] for r in docs.collect()}  # K rows: the classes and their document counts
+    n_docs = sum(per_class.values())
     totals = counts.groupBy("label").agg(F.sum("n").alias("N"))
-    label_list = sorted(r[0] for r in docs.select("label").collect())  # the classes: K values
+    label_list = sorted(per_class)
     k = len(label_list)
     prior = F.log(F.col("nd") / F.lit(float(n_docs))) if fit_prior else F.lit(-math.log(k))
     classes = docs.join(totals, "label", "left").select(
@@ -298,13 +301,13 @@ def samme_staged_error(data: DataFrame, trees, alphas, n_classes: int, split_col
     return agg.select(split_col, stacked.alias("s")).select(split_col, "s.round", F.round("s.error", 6).alias("error"))
 
 
-def nb_grid_kfold(tf_long: DataFrame, lab: DataFrame, alphas=(0.1, 0.5, 1.0, 2.0), fit_priors=(True, False),
-                  k: int = 5) -> DataFrame:
-    """H3 in one pass: multinomial NB for every (alpha, fit_prior) x fold, scored by mean validation macro F1.
+def _nb_fold_predictions(tf_long: DataFrame, lab: DataFrame, alphas, fit_priors, k: int, eval_train: bool):
+    """Predictions of k-fold multinomial NB for every (alpha, fit_prior) grid point, from one aggregation.
 
     Counts are aggregated once per (fold, label, term); the model for fold g uses total minus fold-g counts, so the
-    k x |grid| fits share one shuffle instead of re-reading the data per fit. lab: (id, label, fold) of the
-    training split. Returns (alpha, fit_prior, f1_macro, best) with best = highest F1, ties to grid order."""
+    k x |grid| fits share one shuffle instead of re-reading the data per fit. Each document is scored by the model
+    of its own fold (split 'validate') and, with ``eval_train``, by the other k-1 models (split 'train').
+    Returns (gi, alpha, fit_prior, g, split, id, truth, prediction)."""
     lab = lab.select("id", "label", F.col("fold").cast("int").alias("fold"))
     labels = sorted(r[0] for r in lab.select("label").distinct().collect())  # the K classes
     t = tf_long.join(lab, "id")
@@ -321,26 +324,31 @@ def nb_grid_kfold(tf_long: DataFrame, lab: DataFrame, alphas=(0.1, 0.5, 1.0, 2.0
     nd_cg = lab.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("nd_f"))
     nd_g = lab.groupBy("fold").agg(F.count(F.lit(1)).alias("docs_f"))
     n_docs = lab.count()
-    folds = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("fold")
-    cls = (nd_c.select("label", "nd", folds)
+    models = F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    cls = (nd_c.select("label", "nd", models.alias("fold"))
            .join(n_c, "label", "left").join(n_cg, ["fold", "label"], "left").join(nd_cg, ["fold", "label"], "left")
            .join(nd_g, "fold", "left").join(only_in, "fold", "left")
-           .select("fold", "label",
+           .select(F.col("fold").alias("g"), "label",
                    (F.coalesce("N", F.lit(0)) - F.coalesce("N_f", F.lit(0))).alias("Ng"),
                    (F.col("nd") - F.coalesce("nd_f", F.lit(0))).alias("ndg"),
                    (F.lit(n_docs) - F.coalesce("docs_f", F.lit(0))).alias("docs_g"),
                    (F.lit(v_all) - F.coalesce("n_only", F.lit(0))).alias("Vg")))
-    val = t.join(tt, "term").join(tft, ["fold", "term"]).filter(F.col("nt") - F.col("nft") > 0).select(
-        "id", "fold", "term", "tf")
-    length = val.groupBy("id", "fold").agg(F.sum("tf").alias("L"))
-    part_rows = (val.join(c, "term").join(cf, ["fold", "label", "term"], "left")
+    g_col = models if eval_train else F.col("fold")  # which fold models score each document
+    docs_g = lab.withColumn("g", g_col)
+    tg = t.select("id", "term", "tf", "fold").withColumn("g", g_col)
+    tftg = tft.withColumnRenamed("fold", "g")
+    cfg = cf.withColumnRenamed("fold", "g")
+    val = (tg.join(tt, "term").join(tftg, ["g", "term"], "left")
+           .filter(F.col("nt") - F.coalesce("nft", F.lit(0)) > 0).select("id", "g", "term", "tf"))
+    length = val.groupBy("id", "g").agg(F.sum("tf").alias("L"))
+    part_rows = (val.join(c, "term").join(cfg, ["g", "label", "term"], "left")
                  .withColumn("ng", F.col("n") - F.coalesce("n_f", F.lit(0))).filter(F.col("ng") > 0))
-    part = part_rows.groupBy("id", "fold", "label").agg(
+    part = part_rows.groupBy("id", "g", "label").agg(
         *[F.sum(F.col("tf") * (F.log(F.col("ng") + F.lit(a)) - F.lit(math.log(a)))).alias(f"s{i}")
           for i, a in enumerate(alphas)])
-    grid = lab.select("id", "fold", F.col("label").alias("truth"),
-                      F.explode(F.array(*[F.lit(x) for x in labels])).alias("label"))
-    g = grid.join(cls, ["fold", "label"]).join(length, ["id", "fold"], "left").join(part, ["id", "fold", "label"], "left")
+    grid = docs_g.select("id", "fold", "g", F.col("label").alias("truth"),
+                         F.explode(F.array(*[F.lit(x) for x in labels])).alias("label"))
+    gg = grid.join(cls, ["g", "label"]).join(length, ["id", "g"], "left").join(part, ["id", "g", "label"], "left")
     points = []
     for i, a in enumerate(alphas):
         for j, fp in enumerate(fit_priors):
@@ -349,14 +357,32 @@ def nb_grid_kfold(tf_long: DataFrame, lab: DataFrame, alphas=(0.1, 0.5, 1.0, 2.0
                      + F.coalesce(f"s{i}", F.lit(0.0)))
             points.append(F.struct(F.lit(i * len(fit_priors) + j).alias("gi"), F.lit(float(a)).alias("alpha"),
                                    F.lit(bool(fp)).alias("fit_prior"), score.alias("score")))
-    scored = g.select("id", "fold", "truth", "label", F.explode(F.array(*points)).alias("p")).select(
-        "id", "fold", "truth", "label", "p.*")
-    pred = scored.groupBy("gi", "alpha", "fit_prior", "fold", "id", "truth").agg(
+    scored = gg.select("id", "fold", "g", "truth", "label", F.explode(F.array(*points)).alias("p")).select(
+        "id", "fold", "g", "truth", "label", "p.*")
+    pred = scored.groupBy("gi", "alpha", "fit_prior", "g", "fold", "id", "truth").agg(
         F.min_by("label", F.struct((-F.col("score")).alias("s"), F.col("label"))).alias("prediction"))
-    m = classification_metrics(pred, "truth", "prediction", by=["gi", "alpha", "fit_prior", "fold"])
+    return pred.withColumn("split", F.when(F.col("fold") == F.col("g"), F.lit("validate")).otherwise(F.lit("train")))
+
+
+def nb_grid_kfold(tf_long: DataFrame, lab: DataFrame, alphas=(0.1, 0.5, 1.0, 2.0), fit_priors=(True, False),
+                  k: int = 5) -> DataFrame:
+    """H3 in one pass: multinomial NB for every (alpha, fit_prior) x fold, scored by mean validation macro F1.
+    lab: (id, label, fold) of the training split. Returns (alpha, fit_prior, f1_macro, best) with best = highest
+    F1, ties to grid order."""
+    pred = _nb_fold_predictions(tf_long, lab, alphas, fit_priors, k, eval_train=False)
+    m = classification_metrics(pred, "truth", "prediction", by=["gi", "alpha", "fit_prior", "g"])
     f1 = m.filter(F.col("metric") == "f1_macro").groupBy("gi", "alpha", "fit_prior").agg(
         F.round(F.avg("value"), 6).alias("f1_macro"))
     from pyspark.sql import Window
 
     w = Window.orderBy(F.col("f1_macro").desc(), F.col("gi").asc())  # |grid| rows
     return f1.withColumn("best", F.row_number().over(w) == 1).select("alpha", "fit_prior", "f1_macro", "best")
+
+
+def nb_kfold_metrics(tf_long: DataFrame, lab: DataFrame, alpha: float = 1.0, fit_prior: bool = True,
+                     k: int = 5) -> DataFrame:
+    """H14-H16 for naive Bayes in one pass: (fold, split in {train, validate}, metric, value), a fresh model per
+    fold fitted on the other folds."""
+    pred = _nb_fold_predictions(tf_long, lab, (alpha,), (fit_prior,), k, eval_train=True)
+    m = classification_metrics(pred, "truth", "prediction", by=["g", "split"])
+    return m.select(F.col("g").cast("bigint").alias("fold"), "split", "metric", "value")

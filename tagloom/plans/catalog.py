@@ -446,25 +446,10 @@ def q_kfold_assign(spark, d):
     return evaluate.kfold_assign(train, 5, 42).select("id", F.col("fold").cast("bigint"))
 
 
-def kfold_metrics(spark, d, k=5, alpha=1.0, fit_prior=True):
-    """NB refitted per fold on the training split: (fold, split in {train, validate}, metric, value)."""
-    lab = evaluate.kfold_assign(labelled(spark, d).filter(F.col("split") == "train"), k, 42)
-    tf = bow(spark, d)
-    out = None
-    for f in range(k):
-        tr = lab.filter(F.col("fold") != f)
-        model = classify.nb_fit(tf.join(tr.select("id"), "id", "left_semi"), tr, alpha, fit_prior)
-        pred = classify.nb_predict(model, tf, lab.select("id")).join(lab, "id").withColumn(
-            "split", F.when(F.col("fold") == f, F.lit("validate")).otherwise(F.lit("train")))
-        m = evaluate.classification_metrics(pred, "thread", "prediction", by=["split"]).withColumn(
-            "fold", F.lit(f).cast("bigint"))
-        out = m if out is None else out.unionByName(m)
-    return out
-
-
 @query("kfold_summary")
 def q_kfold_summary(spark, d):
-    return evaluate.kfold_summary(kfold_metrics(spark, d))
+    lab = evaluate.kfold_assign(labelled(spark, d).filter(F.col("split") == "train"), 5, 42)
+    return evaluate.kfold_summary(classify.nb_kfold_metrics(bow(spark, d), lab.select("id", "label", "fold"), k=5))
 
 
 @query("knn_classify")

@@ -26,7 +26,7 @@ def norm(v):
 
 
 @pytest.mark.parametrize("key", ["token_counts", "clean_data", "tfidf", "naive_bayes", "auto_tag", "knn_classify",
-                                 "strip_html", "nb_gridsearch", "topic_relevance"])
+                                 "strip_html", "nb_gridsearch", "kfold_summary", "topic_relevance"])
 def test_oracle_parity_sf0001(spark, key):
     con = duckdb.connect()
     for t in TABLES:

@@ -199,6 +199,9 @@ def adaboost_samme(data: DataFrame, n_rounds: int = 20, learning_rate: float = 1
     shared checkpoint folder every few rounds. Returns (trees, alphas)."""
     from pyspark.ml.classification import DecisionTreeClassifier
 
+    from tagloom.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(data.sparkSession)  # checkpoint() below writes to the shared folder
     k = n_classes or data.select(F.max("label")).first()[0] + 1
     n = data.count()
     cur = training_frame(data.select("id", "label", "features")).withColumn("w", F.lit(1.0 / n))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators.evaluate import MacroF1Evaluator, classification_metrics
 from tagloom.operators.neighbors import nearest
-from tagloom.session import maybe_broadcast
+from tagloom.session import materialize, maybe_broadcast
 from tagloom.sources.tables import with_split
 
 
@@ -45,7 +45,8 @@ def nb_fit(tf_long: DataFrame, labels: DataFrame, alpha: float = 1.0, fit_prior:
     if not isinstance(tf_long.schema["tf"].dataType, IntegralType) and tf_long.filter(F.col("tf") < 0).limit(1).count():
         raise ValueError("naive Bayes needs non-negative feature values (scale embeddings first)")
     lab = labels.select("id", "label")
-    counts = tf_long.join(lab, "id").groupBy("label", "term").agg(F.sum("tf").alias("n"))
+    # (class, term) counts feed the vocabulary size, the class totals and the weights: aggregate once
+    counts = materialize(tf_long.join(lab, "id").groupBy("label", "term").agg(F.sum("tf").alias("n")), "nb_counts")
     vocab = counts.select("term").distinct()
     v = vocab.count()
     docs = lab.groupBy("label").agg(F.count(F.lit(1)).alias("nd"))
@@ -62,27 +63,46 @@ def nb_fit(tf_long: DataFrame, labels: DataFrame, alpha: float = 1.0, fit_prior:
     return NBModel(classes, weights, vocab, label_list, alpha)
 
 
+def _nb_wide_scores(model: NBModel, tf_long: DataFrame, ids: DataFrame) -> tuple[DataFrame, list]:
+    """(id, s0..s{K-1}) with one score column per class, in the order of ``model.labels``.
+
+    The weights are laid out wide — one row per vocabulary term with K weight columns — so scoring is one join on
+    term (shuffle, or broadcast by AQE when the vocabulary is small) and one hash aggregate per document of K
+    conditional sums. No (document x class) grid, no per-class joins; class constants (K rows) are literals."""
+    labels = model.labels
+    consts = {r["label"]: (r["log_prior"], r["log_denom"]) for r in model.classes.collect()}  # K rows
+    wide = model.weights.groupBy("term").agg(
+        *[F.sum(F.when(F.col("label") == F.lit(c), F.col("w"))).alias(f"w{i}") for i, c in enumerate(labels)])
+    per_doc = tf_long.join(wide, "term").groupBy("id").agg(
+        F.sum("tf").alias("L"),  # in-vocabulary length: every vocabulary term has a wide row
+        *[F.sum(F.col("tf") * F.coalesce(F.col(f"w{i}"), F.lit(0.0))).alias(f"p{i}") for i in range(len(labels))])
+    la = math.log(model.alpha)
+    scores = [(F.lit(consts[c][0]) + F.coalesce("L", F.lit(0)) * F.lit(la - consts[c][1])
+               + F.coalesce(F.col(f"p{i}"), F.lit(0.0))).alias(f"s{i}") for i, c in enumerate(labels)]
+    return ids.select("id").join(per_doc, "id", "left").select("id", *scores), labels
+
+
 def nb_scores(model: NBModel, tf_long: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, label, score) for every document in ``ids`` and every class."""
-    in_vocab = tf_long.join(model.vocab, "term", "left_semi")
-    length = in_vocab.groupBy("id").agg(F.sum("tf").alias("L"))
-    part = in_vocab.join(model.weights, "term").groupBy("id", "label").agg(F.sum(F.col("tf") * F.col("w")).alias("s"))
-    label_arr = F.array(*[F.lit(x) for x in model.labels])  # K classes per document: a generator, not a join
-    grid = ids.select("id", F.explode(label_arr).alias("label"))
-    grid = grid.join(maybe_broadcast(model.classes), "label").join(length, "id", "left").join(part, ["id", "label"], "left")
-    score = (F.col("log_prior") + F.coalesce("L", F.lit(0)) * (F.lit(math.log(model.alpha)) - F.col("log_denom"))
-             + F.coalesce("s", F.lit(0.0)))
-    return grid.select("id", "label", score.alias("score"))
+    wide, labels = _nb_wide_scores(model, tf_long, ids)
+    rows = F.array(*[F.struct(F.lit(c).alias("label"), F.col(f"s{i}").alias("score")) for i, c in enumerate(labels)])
+    return wide.select("id", F.explode(rows).alias("r")).select("id", "r.label", "r.score")
 
 
 def argmax_label(scores: DataFrame) -> DataFrame:
-    """(id, prediction): best score, ties to the smallest label."""
+    """(id, prediction) from long (id, label, score): best score, ties to the smallest label."""
     return scores.groupBy("id").agg(F.min_by("label", F.struct((-F.col("score")).alias("s"), F.col("label"))).alias(
         "prediction"))
 
 
 def nb_predict(model: NBModel, tf_long: DataFrame, ids: DataFrame) -> DataFrame:
-    return argmax_label(nb_scores(model, tf_long, ids))
+    """(id, prediction): the argmax is a row expression over the K score columns (ties to the smallest label,
+    labels being sorted), so prediction adds no aggregation or shuffle to scoring."""
+    wide, labels = _nb_wide_scores(model, tf_long, ids)
+    best = F.greatest(*[F.struct(F.col(f"s{i}").alias("s"), F.lit(-i).alias("neg")) for i in range(len(labels))]) \
+        if len(labels) > 1 else F.struct(F.col("s0").alias("s"), F.lit(0).alias("neg"))
+    label_arr = F.array(*[F.lit(c) for c in labels])
+    return wide.select("id", F.element_at(label_arr, (F.lit(1) - best["neg"]).cast("int")).alias("prediction"))
 
 
 # ------------------------------------------------------------------ pyspark.ml classifiers (H2 MLlib, H4–H11)
@@ -314,7 +334,8 @@ def _nb_fold_predictions(tf_long: DataFrame, lab: DataFrame, alphas, fit_priors,
     lab = lab.select("id", "label", F.col("fold").cast("int").alias("fold"))
     labels = sorted(r[0] for r in lab.select("label").distinct().collect())  # the K classes
     t = tf_long.join(lab, "id")
-    cf = t.groupBy("fold", "label", "term").agg(F.sum("tf").alias("n_f"))
+    # every model statistic derives from the (fold, class, term) counts: aggregate them once
+    cf = materialize(t.groupBy("fold", "label", "term").agg(F.sum("tf").alias("n_f")), "nb_fold_counts")
     c = cf.groupBy("label", "term").agg(F.sum("n_f").alias("n"))
     tt = c.groupBy("term").agg(F.sum("n").alias("nt"))
     tft = cf.groupBy("fold", "term").agg(F.sum("n_f").alias("nft"))

@@ -394,6 +394,7 @@ def q_autotag_summary(spark, d):
 
 # ------------------------------------------------------------------ H: splits, classifiers, evaluation
 from tagloom.operators import classify, evaluate  # noqa: E402
+from tagloom.session import materialize  # noqa: E402
 
 
 def labelled(spark, d):
@@ -402,9 +403,14 @@ def labelled(spark, d):
     return classify.train_test_split(p).withColumn("label", F.col("thread"))
 
 
+def bow_table(spark, d):
+    """The corpus bag of words written once: NB fit, length and score jobs all read it (no repeated tokenising)."""
+    return materialize(bow(spark, d), "bow")
+
+
 def nb_predictions(spark, d, alpha=1.0, fit_prior=True):
     lab = labelled(spark, d)
-    tf = bow(spark, d)
+    tf = bow_table(spark, d)
     train = lab.filter(F.col("split") == "train")
     model = classify.nb_fit(tf.join(train.select("id"), "id", "left_semi"), train, alpha, fit_prior)
     return classify.nb_predict(model, tf, lab.select("id")).join(lab, "id")
@@ -449,7 +455,8 @@ def q_kfold_assign(spark, d):
 @query("kfold_summary")
 def q_kfold_summary(spark, d):
     lab = evaluate.kfold_assign(labelled(spark, d).filter(F.col("split") == "train"), 5, 42)
-    return evaluate.kfold_summary(classify.nb_kfold_metrics(bow(spark, d), lab.select("id", "label", "fold"), k=5))
+    return evaluate.kfold_summary(classify.nb_kfold_metrics(bow_table(spark, d), lab.select("id", "label", "fold"),
+                                                            k=5))
 
 
 @query("knn_classify")
@@ -637,7 +644,7 @@ def q_multilabel_tags(spark, d):
 @query("nb_gridsearch")
 def q_nb_gridsearch(spark, d):
     lab = evaluate.kfold_assign(labelled(spark, d).filter(F.col("split") == "train"), 5, 42)
-    return classify.nb_grid_kfold(bow(spark, d), lab.select("id", "label", "fold"), k=5)
+    return classify.nb_grid_kfold(bow_table(spark, d), lab.select("id", "label", "fold"), k=5)
 
 
 @query("pipeline_facade")

@@ -59,6 +59,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Used where one derived table (e.g. long-form term counts of the whole corpus) feeds several jobs of the same
+    query: the upstream work (text scan, regex tokenising, shuffles) runs once instead of once per job, the lineage
+    is cut (a lost executor re-reads the files instead of recomputing the text), and later scans get column pruning
+    and filter pushdown on the written columns."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def is_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> bool:
     """Counted size check used before any explicit broadcast (bounded: stops counting past the bound)."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -330,61 +330,69 @@ def _nb_fold_predictions(tf_long: DataFrame, lab: DataFrame, alphas, fit_priors,
     Counts are aggregated once per (fold, label, term); the model for fold g uses total minus fold-g counts, so the
     k x |grid| fits share one shuffle instead of re-reading the data per fit. Each document is scored by the model
     of its own fold (split 'validate') and, with ``eval_train``, by the other k-1 models (split 'train').
+
+    Scoring is wide: one row per (model g, term) carries a weight column per (alpha, class), so a document meets its
+    models in one join on (g, term) and one hash aggregate per (id, g); the argmax per grid point is a row
+    expression. Class constants (k x K values) are literals.
     Returns (gi, alpha, fit_prior, g, split, id, truth, prediction)."""
     lab = lab.select("id", "label", F.col("fold").cast("int").alias("fold"))
-    labels = sorted(r[0] for r in lab.select("label").distinct().collect())  # the K classes
     t = tf_long.join(lab, "id")
     # every model statistic derives from the (fold, class, term) counts: aggregate them once
     cf = materialize(t.groupBy("fold", "label", "term").agg(F.sum("tf").alias("n_f")), "nb_fold_counts")
     c = cf.groupBy("label", "term").agg(F.sum("n_f").alias("n"))
-    tt = c.groupBy("term").agg(F.sum("n").alias("nt"))
-    tft = cf.groupBy("fold", "term").agg(F.sum("n_f").alias("nft"))
-    v_all = tt.count()
-    only_in = tft.join(tt, "term").filter(F.col("nft") == F.col("nt")).groupBy("fold").agg(
-        F.count(F.lit(1)).alias("n_only"))
-    n_c = c.groupBy("label").agg(F.sum("n").alias("N"))
-    n_cg = cf.groupBy("fold", "label").agg(F.sum("n_f").alias("N_f"))
-    nd_c = lab.groupBy("label").agg(F.count(F.lit(1)).alias("nd"))
-    nd_cg = lab.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("nd_f"))
-    nd_g = lab.groupBy("fold").agg(F.count(F.lit(1)).alias("docs_f"))
-    n_docs = lab.count()
-    models = F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
-    cls = (nd_c.select("label", "nd", models.alias("fold"))
-           .join(n_c, "label", "left").join(n_cg, ["fold", "label"], "left").join(nd_cg, ["fold", "label"], "left")
-           .join(nd_g, "fold", "left").join(only_in, "fold", "left")
-           .select(F.col("fold").alias("g"), "label",
-                   (F.coalesce("N", F.lit(0)) - F.coalesce("N_f", F.lit(0))).alias("Ng"),
-                   (F.col("nd") - F.coalesce("nd_f", F.lit(0))).alias("ndg"),
-                   (F.lit(n_docs) - F.coalesce("docs_f", F.lit(0))).alias("docs_g"),
-                   (F.lit(v_all) - F.coalesce("n_only", F.lit(0))).alias("Vg")))
-    g_col = models if eval_train else F.col("fold")  # which fold models score each document
-    docs_g = lab.withColumn("g", g_col)
-    tg = t.select("id", "term", "tf", "fold").withColumn("g", g_col)
-    tftg = tft.withColumnRenamed("fold", "g")
-    cfg = cf.withColumnRenamed("fold", "g")
-    val = (tg.join(tt, "term").join(tftg, ["g", "term"], "left")
-           .filter(F.col("nt") - F.coalesce("nft", F.lit(0)) > 0).select("id", "g", "term", "tf"))
-    length = val.groupBy("id", "g").agg(F.sum("tf").alias("L"))
-    part_rows = (val.join(c, "term").join(cfg, ["g", "label", "term"], "left")
-                 .withColumn("ng", F.col("n") - F.coalesce("n_f", F.lit(0))).filter(F.col("ng") > 0))
-    part = part_rows.groupBy("id", "g", "label").agg(
-        *[F.sum(F.col("tf") * (F.log(F.col("ng") + F.lit(a)) - F.lit(math.log(a)))).alias(f"s{i}")
-          for i, a in enumerate(alphas)])
-    grid = docs_g.select("id", "fold", "g", F.col("label").alias("truth"),
-                         F.explode(F.array(*[F.lit(x) for x in labels])).alias("label"))
-    gg = grid.join(cls, ["g", "label"]).join(length, ["id", "g"], "left").join(part, ["id", "g", "label"], "left")
+    # counts of model g = all training folds but g; a (g, label, term) row exists only where that count is > 0
+    cg = (c.select("label", "term", "n", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("g"))
+          .join(cf.withColumnRenamed("fold", "g"), ["g", "label", "term"], "left")
+          .select("g", "label", "term", (F.col("n") - F.coalesce("n_f", F.lit(0))).alias("ng"))
+          .filter(F.col("ng") > 0))
+    nd = {(r["fold"], r["label"]): r["nd"] for r in lab.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("nd")).collect()}
+    labels = sorted({lb for _, lb in nd})
+    # one row per (model g, vocabulary term): its count and weight for every class (and alpha), written once
+    wide = materialize(cg.groupBy("g", "term").agg(
+        *[F.sum(F.when(F.col("label") == F.lit(lb), F.col("ng"))).alias(f"n{j}") for j, lb in enumerate(labels)],
+        *[F.sum(F.when(F.col("label") == F.lit(lb), F.log(F.col("ng") + F.lit(a)) - F.lit(math.log(a)))).alias(
+            f"w{i}_{j}") for i, a in enumerate(alphas) for j, lb in enumerate(labels)]), "nb_model_weights")
+    # per model g: vocabulary size (its rows) and token total per class — k small rows
+    stats = wide.groupBy("g").agg(F.count(F.lit(1)).alias("V"),
+                                  *[F.sum(f"n{j}").alias(f"N{j}") for j in range(len(labels))]).collect()
+    voc = {r["g"]: r["V"] for r in stats}
+    tot = {(r["g"], lb): (r[f"N{j}"] or 0) for r in stats for j, lb in enumerate(labels)}
+    n_by_fold = {}
+    for (f, _), v in nd.items():
+        n_by_fold[f] = n_by_fold.get(f, 0) + v
+    n_all = sum(n_by_fold.values())
+    folds = range(k)
+
+    def per_g(values):  # literal lookup by the model index g
+        return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("g") + 1)
+
+    g_col = F.explode(F.sequence(F.lit(0), F.lit(k - 1))) if eval_train else F.col("fold")
+    tg = t.select("id", "term", "tf", g_col.alias("g"))
+    sums = tg.join(wide, ["g", "term"]).groupBy("id", "g").agg(
+        F.sum("tf").alias("L"),
+        *[F.sum(F.col("tf") * F.coalesce(F.col(f"w{i}_{j}"), F.lit(0.0))).alias(f"p{i}_{j}")
+          for i in range(len(alphas)) for j in range(len(labels))])
+    docs = lab.select("id", "fold", F.col("label").alias("truth"), g_col.alias("g")).join(sums, ["id", "g"], "left")
+    label_arr = F.array(*[F.lit(x) for x in labels])
     points = []
     for i, a in enumerate(alphas):
-        for j, fp in enumerate(fit_priors):
-            prior = F.log(F.col("ndg") / F.col("docs_g")) if fp else F.lit(-math.log(len(labels)))
-            score = (prior + F.coalesce("L", F.lit(0)) * (F.lit(math.log(a)) - F.log(F.col("Ng") + F.lit(a) * F.col("Vg")))
-                     + F.coalesce(f"s{i}", F.lit(0.0)))
-            points.append(F.struct(F.lit(i * len(fit_priors) + j).alias("gi"), F.lit(float(a)).alias("alpha"),
-                                   F.lit(bool(fp)).alias("fit_prior"), score.alias("score")))
-    scored = gg.select("id", "fold", "g", "truth", "label", F.explode(F.array(*points)).alias("p")).select(
-        "id", "fold", "g", "truth", "label", "p.*")
-    pred = scored.groupBy("gi", "alpha", "fit_prior", "g", "fold", "id", "truth").agg(
-        F.min_by("label", F.struct((-F.col("score")).alias("s"), F.col("label"))).alias("prediction"))
+        for fi, fp in enumerate(fit_priors):
+            cands = []
+            for j, lb in enumerate(labels):
+                ndg = [sum(nd.get((f, lb), 0) for f in folds if f != g) for g in folds]
+                docs_g = [n_all - n_by_fold.get(g, 0) for g in folds]
+                prior = (per_g([math.log(x / y) if x > 0 else float("-inf") for x, y in zip(ndg, docs_g)]) if fp
+                         else F.lit(-math.log(len(labels))))
+                denom = per_g([math.log(tot.get((g, lb), 0) + a * voc.get(g, 0)) for g in folds])
+                score = (prior + F.coalesce("L", F.lit(0)) * (F.lit(math.log(a)) - denom)
+                         + F.coalesce(F.col(f"p{i}_{j}"), F.lit(0.0)))
+                cands.append(F.struct(score.alias("s"), F.lit(-j).alias("neg")))
+            best = F.greatest(*cands) if len(cands) > 1 else cands[0]
+            points.append(F.struct(F.lit(i * len(fit_priors) + fi).alias("gi"), F.lit(float(a)).alias("alpha"),
+                                   F.lit(bool(fp)).alias("fit_prior"),
+                                   F.element_at(label_arr, (F.lit(1) - best["neg"]).cast("int")).alias("prediction")))
+    pred = docs.select("id", "fold", "g", "truth", F.explode(F.array(*points)).alias("p")).select(
+        "p.gi", "p.alpha", "p.fit_prior", "g", "fold", "id", "truth", "p.prediction")
     return pred.withColumn("split", F.when(F.col("fold") == F.col("g"), F.lit("validate")).otherwise(F.lit("train")))
 
 

@@ -1,10 +1,16 @@
 """Stop-word removal, entity casing, lemmatising, the configurable cleaning chain, post preparation and
 the preprocessing ablation grid.
 
-Character-level steps are column expressions. Token-level lexicon steps (entities, stop words, lemmas) run on the
-long form (id, pos, tok): one posexplode, hash joins against the lexicons (broadcast only after a counted size
-check, otherwise a shuffle join that AQE can split on skew), and a single rebuild per document ordered by pos.
-A document with no surviving token keeps an empty array (null markers, not dropped rows).
+Character-level steps are column expressions. Token-level lexicon steps (entities, stop words, lemmas) take one of
+two plans:
+
+* inline (lexicons of at most ``INLINE_LEXICON_ROWS`` rows, counted by one bounded collect): the lexicon becomes a
+  literal set tested inside ``filter`` / ``transform`` over each document's token array (``isin`` is planned as a
+  hash-set InSet) — a narrow step, no explode and no shuffle of the corpus tokens;
+* long form (larger lexicons, or lemma forms with several lemmas): one posexplode, hash joins against the lexicons
+  (broadcast only after a counted size check, otherwise a shuffle join that AQE can split on skew), and a single
+  rebuild per document ordered by pos. A document with no surviving token keeps an empty array (null markers, not
+  dropped rows).
 """
 
 from __future__ import annotations
@@ -59,6 +65,73 @@ def remove_stopwords(df: DataFrame, tokens_col: str = "tokens", stop_words=None,
     return res.drop(out).withColumnRenamed(tmp, out) if out in df.columns else res.withColumnRenamed(tmp, out)
 
 
+# ------------------------------------------------------------------ inline token steps (small lexicons)
+INLINE_LEXICON_ROWS = 20_000  # literal sets travel with the plan to every task: keep them small
+
+
+def _bounded_rows(df: DataFrame, cols, max_rows: int | None = None):
+    """The rows of a lexicon table if it has at most ``max_rows`` (one bounded job), else None."""
+    max_rows = INLINE_LEXICON_ROWS if max_rows is None else max_rows
+    rows = df.select(*cols).limit(max_rows + 1).collect()
+    return None if len(rows) > max_rows else [tuple(r) for r in rows]
+
+
+def inline_lexicons(entities: DataFrame | None = None, stop_words=None, lemmas: DataFrame | None = None):
+    """Literal forms of the lexicons for the inline plan, or None when any of them needs the join plan."""
+    out = {"ent": None, "stop": None, "lem": None}
+    if entities is not None:
+        rows = _bounded_rows(entities, ["phrase", "type"])
+        if rows is None:
+            return None
+        out["ent"] = sorted({p for p, t in rows if t != "DATE" and p is not None})
+    if stop_words is not None:
+        if isinstance(stop_words, DataFrame):
+            rows = _bounded_rows(stop_words, [stop_words.columns[0]])
+            if rows is None:
+                return None
+            out["stop"] = sorted({r[0] for r in rows if r[0] is not None})
+        else:
+            out["stop"] = list(stop_words)
+    if lemmas is not None:
+        rows = _bounded_rows(lemmas, ["form", "pos", "lemma"])
+        if rows is None:
+            return None
+        lem = {}
+        for pos in ("noun", "verb"):
+            pairs = [(f, l) for f, p, l in rows if p == pos and f is not None]
+            if len({f for f, _ in pairs}) != len(pairs):
+                return None  # a form with several lemmas multiplies tokens in the join plan: keep that plan
+            lem[pos] = dict(pairs)
+        out["lem"] = lem
+    return out
+
+
+def inline_entity_case(arr, ents):
+    """C8 on a token array: entity tokens (lower-case form in ``ents``) upper-cased, all others lower-cased."""
+    return F.transform(arr, lambda t: F.when(F.lower(t).isin(ents), F.upper(t)).otherwise(F.lower(t)))
+
+
+def inline_stop_words(arr, words):
+    """C7 on a token array (case-sensitive)."""
+    return F.filter(arr, lambda t: ~t.isin(words)) if words else arr
+
+
+def inline_lemmas(arr, lem):
+    """C9 on a token array: noun lemma, then verb lemma of the result; unknown forms stay. The hash-set test runs
+    first, so only tokens that are lexicon forms reach the map lookup."""
+    for pos in ("noun", "verb"):
+        pairs = lem.get(pos) or {}
+        if not pairs:
+            continue
+        forms = sorted(pairs)
+        arr = F.transform(arr, _lemma_step(forms, F.create_map(*[F.lit(x) for f in forms for x in (f, pairs[f])])))
+    return arr
+
+
+def _lemma_step(forms, m):
+    return lambda t: F.when(t.isin(forms), F.coalesce(F.element_at(m, t), t)).otherwise(t)
+
+
 # ------------------------------------------------------------------ long-form token steps
 def explode_tokens(df: DataFrame, id_col: str, tokens_col: str, keep=()) -> DataFrame:
     """(id, keep..., pos, tok); posexplode_outer keeps one marker row for documents without tokens."""
@@ -114,12 +187,20 @@ def apply_lemmas(long_df: DataFrame, lemmas: DataFrame) -> DataFrame:
 
 def entity_uppercase(df: DataFrame, entities: DataFrame, id_col: str = "id", tokens_col: str = "tokens") -> DataFrame:
     """C8 as a standalone operator: (id, tokens) with entity tokens upper-cased and the rest lower-cased."""
+    lex = inline_lexicons(entities=entities)
+    if lex is not None:
+        arr = F.coalesce(F.col(tokens_col), F.array().cast("array<string>"))
+        return df.select(id_col, inline_entity_case(arr, lex["ent"]).alias(tokens_col))
     long_df = apply_entity_case(explode_tokens(df, id_col, tokens_col), entities)
     return rebuild_tokens(long_df, id_col, out=tokens_col)
 
 
 def lemmatize(df: DataFrame, lemmas: DataFrame, id_col: str = "id", tokens_col: str = "tokens") -> DataFrame:
     """C9 as a standalone operator."""
+    lex = inline_lexicons(lemmas=lemmas)
+    if lex is not None:
+        arr = F.coalesce(F.col(tokens_col), F.array().cast("array<string>"))
+        return df.select(id_col, inline_lemmas(arr, lex["lem"]).alias(tokens_col))
     long_df = apply_lemmas(explode_tokens(df, id_col, tokens_col), lemmas)
     return rebuild_tokens(long_df, id_col, out=tokens_col)
 
@@ -150,7 +231,18 @@ def clean_data(df: DataFrame, text_col: str = "ttl_ctxt", id_col: str = "id", ke
     else:
         text = T.repair_encoding(text)
     base = df.select(id_col, *keep, T.whitespace_tokens(text).alias("__toks"))
-    if token_steps:
+    lex = inline_lexicons(entities if ner else None, stop_words if rem_stopwords else None,
+                          lemmas if lemmatize else None) if token_steps else None
+    if token_steps and lex is not None:  # small lexicons: narrow array steps, no shuffle
+        arr = F.coalesce(F.col("__toks"), F.array().cast("array<string>"))  # null text -> empty array, as below
+        if ner:
+            arr = inline_entity_case(arr, lex["ent"]) if entities is not None else F.transform(arr, F.lower)
+        if rem_stopwords:
+            arr = inline_stop_words(arr, lex["stop"] if stop_words is not None else list(default_stop_words()))
+        if lemmatize:
+            arr = inline_lemmas(arr, lex["lem"])
+        base = base.withColumn("__toks", arr)
+    elif token_steps:
         long_df = explode_tokens(base, id_col, "__toks", keep)
         if ner:
             long_df = apply_entity_case(long_df, entities)

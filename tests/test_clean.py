@@ -49,3 +49,29 @@ def test_prepare_posts_and_variants(spark):
     assert v.count() == 8
     got = {r["config"]: r["n_tokens"] for r in v.collect()}
     assert got["stop1_ner0_lemma0"] == 7 and got["stop0_ner0_lemma0"] == 8
+
+
+def test_inline_and_join_plans_agree(spark, monkeypatch):
+    """Small lexicons run as narrow array steps; larger ones as explode + join + rebuild. Same tokens either way."""
+    df = spark.createDataFrame(
+        [(1, "<p>Paris cats</p> the Dogs may cats"), (2, "the"), (3, None), (4, ""), (5, "café CATS dogs")],
+        "id long, t string")
+    ents = spark.createDataFrame([("paris", "GPE"), ("may", "DATE")], "phrase string, type string")
+    stops = spark.createDataFrame([("the",), ("may",)], "word string")
+    lem = spark.createDataFrame([("cats", "noun", "cat"), ("cat", "verb", "ca"), ("dogs", "verb", "dog")],
+                                "form string, pos string, lemma string")
+
+    def run():
+        out = {}
+        for order in ("default", "legacy"):
+            res = clean.clean_data(df, "t", stop_words=stops, entities=ents, lemmas=lem, order=order)
+            out[order] = {r["id"]: r["tokens"] for r in res.collect()}
+        return out
+
+    inline = run()
+    monkeypatch.setattr(clean, "INLINE_LEXICON_ROWS", 0)
+    assert clean.inline_lexicons(entities=ents) is None
+    joined = run()
+    assert inline == joined
+    assert inline["default"][1] == ["PARIS", "ca", "dog", "ca"]
+    assert inline["default"][3] == [] and inline["default"][2] == []

@@ -132,6 +132,19 @@ def _lemma_step(forms, m):
     return lambda t: F.when(t.isin(forms), F.coalesce(F.element_at(m, t), t)).otherwise(t)
 
 
+def inline_token_steps(arr, lex: dict, ner: bool, rem_stopwords: bool, lemmatize: bool):
+    """The token steps of clean_data on an array column, with the literals of ``inline_lexicons`` (entity casing
+    lower-cases everything when there is no entity lexicon; no stop list means the default one)."""
+    arr = F.coalesce(arr, F.array().cast("array<string>"))  # null text -> empty array, as in the join plan
+    if ner:
+        arr = inline_entity_case(arr, lex["ent"]) if lex["ent"] is not None else F.transform(arr, F.lower)
+    if rem_stopwords:
+        arr = inline_stop_words(arr, lex["stop"] if lex["stop"] is not None else list(default_stop_words()))
+    if lemmatize:
+        arr = inline_lemmas(arr, lex["lem"])
+    return arr
+
+
 # ------------------------------------------------------------------ long-form token steps
 def explode_tokens(df: DataFrame, id_col: str, tokens_col: str, keep=()) -> DataFrame:
     """(id, keep..., pos, tok); posexplode_outer keeps one marker row for documents without tokens."""
@@ -206,6 +219,20 @@ def lemmatize(df: DataFrame, lemmas: DataFrame, id_col: str = "id", tokens_col:
 
 
 # ------------------------------------------------------------------ the chain
+def base_tokens(text, order: str = "default", html: bool = True, rem_punc: bool = True):
+    """Character-level part of clean_data: whitespace tokens after HTML stripping, encoding repair and punctuation
+    removal (default order), or after encoding repair only (legacy order)."""
+    if order == "default":
+        if html:
+            text = T.strip_html(text)
+        text = T.repair_encoding(text)
+        if rem_punc:
+            text = T.remove_punctuation(text)
+    else:
+        text = T.repair_encoding(text)
+    return T.whitespace_tokens(text)
+
+
 def clean_data(df: DataFrame, text_col: str = "ttl_ctxt", id_col: str = "id", keep=(), rem_stopwords: bool = True,
                ner: bool = True, rem_punc: bool = True, lemmatize: bool = True, html: bool = True,
                stop_words=None, entities: DataFrame | None = None, lemmas: DataFrame | None = None,
@@ -221,27 +248,11 @@ def clean_data(df: DataFrame, text_col: str = "ttl_ctxt", id_col: str = "id", ke
     if lemmatize and lemmas is None:
         raise ValueError("lemmatize=True needs a lemma lexicon (form, pos, lemma)")
     token_steps = ner or rem_stopwords or lemmatize
-    text = F.col(text_col)
-    if order == "default":
-        if html:
-            text = T.strip_html(text)
-        text = T.repair_encoding(text)
-        if rem_punc:
-            text = T.remove_punctuation(text)
-    else:
-        text = T.repair_encoding(text)
-    base = df.select(id_col, *keep, T.whitespace_tokens(text).alias("__toks"))
+    base = df.select(id_col, *keep, base_tokens(F.col(text_col), order, html, rem_punc).alias("__toks"))
     lex = inline_lexicons(entities if ner else None, stop_words if rem_stopwords else None,
                           lemmas if lemmatize else None) if token_steps else None
     if token_steps and lex is not None:  # small lexicons: narrow array steps, no shuffle
-        arr = F.coalesce(F.col("__toks"), F.array().cast("array<string>"))  # null text -> empty array, as below
-        if ner:
-            arr = inline_entity_case(arr, lex["ent"]) if entities is not None else F.transform(arr, F.lower)
-        if rem_stopwords:
-            arr = inline_stop_words(arr, lex["stop"] if stop_words is not None else list(default_stop_words()))
-        if lemmatize:
-            arr = inline_lemmas(arr, lex["lem"])
-        base = base.withColumn("__toks", arr)
+        base = base.withColumn("__toks", inline_token_steps(F.col("__toks"), lex, ner, rem_stopwords, lemmatize))
     elif token_steps:
         long_df = explode_tokens(base, id_col, "__toks", keep)
         if ner:
@@ -261,9 +272,8 @@ def clean_data(df: DataFrame, text_col: str = "ttl_ctxt", id_col: str = "id", ke
     return base.withColumnRenamed("__toks", out)
 
 
-def prepare_posts(posts: DataFrame, title_weight: int = 3, sep: str = " ", **clean_kw) -> DataFrame:
-    """C11: title weighting (B1) + concatenation with content (B2) + clean_data (C10) on the result, tags
-    cleaned by clean_text (C5). Returns (id, thread, tokens, tags)."""
+def title_content(posts: DataFrame, title_weight: int = 3, sep: str = " ") -> DataFrame:
+    """B1 + B2 for prepare_posts: (id, thread, tags, ttl_ctxt), tags cleaned by clean_text."""
     from tagloom.operators.columns import concat_features, title_weighting
 
     df = posts
@@ -273,7 +283,13 @@ def prepare_posts(posts: DataFrame, title_weight: int = 3, sep: str = " ", **cle
         first = "triple_title"
     df = concat_features(df, first, "content", out="ttl_ctxt", sep=sep)
     df = df.withColumn("tags", T.clean_text(T.joined("tags")))
-    return clean_data(df.select("id", "thread", "tags", "ttl_ctxt"), "ttl_ctxt", "id", keep=("thread", "tags"),
+    return df.select("id", "thread", "tags", "ttl_ctxt")
+
+
+def prepare_posts(posts: DataFrame, title_weight: int = 3, sep: str = " ", **clean_kw) -> DataFrame:
+    """C11: title weighting (B1) + concatenation with content (B2) + clean_data (C10) on the result, tags
+    cleaned by clean_text (C5). Returns (id, thread, tokens, tags)."""
+    return clean_data(title_content(posts, title_weight, sep), "ttl_ctxt", "id", keep=("thread", "tags"),
                       **clean_kw).select("id", "thread", "tokens", "tags")
 
 
@@ -284,8 +300,39 @@ def variant_name(rem_stopwords: bool, ner: bool, lemmatize: bool) -> str:
 def prep_variants(posts: DataFrame, stop_words=None, entities=None, lemmas=None, title_weight: int = 3,
                   grid=None) -> DataFrame:
     """Ablation over stop words x entity casing x lemmas (8 configs by default). One row per config:
-    (config, rem_stopwords, ner, lemmatize, n_docs, n_tokens, vocab_size)."""
+    (config, rem_stopwords, ner, lemmatize, n_docs, n_tokens, vocab_size).
+
+    With small lexicons every config is an array expression over the same base tokens, so the text is cleaned
+    once: each document yields one row per config, its distinct tokens are exploded (the first row of a document
+    carries its document and token counts), and two aggregates give all configs' statistics. Large lexicons fall
+    back to one prepare_posts per config."""
     grid = grid or [(s, n, l) for s in (True, False) for n in (True, False) for l in (True, False)]
+    if lemmas is None and any(l for _, _, l in grid):
+        raise ValueError("lemmatize=True needs a lemma lexicon (form, pos, lemma)")
+    lex = inline_lexicons(entities, stop_words, lemmas)
+    if lex is None:
+        return _prep_variants_per_config(posts, stop_words, entities, lemmas, title_weight, grid)
+    base = title_content(posts, title_weight).select(base_tokens(F.col("ttl_ctxt")).alias("__b"))
+    variants = F.array(*[F.struct(F.lit(variant_name(s, n, l)).alias("config"),
+                                  inline_token_steps(F.col("__b"), lex, n, s, l).alias("toks")) for s, n, l in grid])
+    rows = base.select(F.explode(variants).alias("v")).select("v.config", "v.toks")
+    marked = rows.select("config", F.size("toks").alias("n"),
+                         F.posexplode_outer(F.array_distinct("toks")).alias("pos", "t"))
+    first = F.col("pos").isNull() | (F.col("pos") == 0)
+    per_term = marked.groupBy("config", "t").agg(  # distinct tokens per config; documents counted once
+        F.sum(F.when(first, 1).otherwise(0)).alias("d"), F.sum(F.when(first, F.col("n")).otherwise(0)).alias("nt"))
+    stats = per_term.groupBy("config").agg(
+        F.sum("d").cast("bigint").alias("n_docs"), F.sum("nt").cast("bigint").alias("n_tokens"),
+        F.count("t").cast("bigint").alias("vocab_size"))
+    flags = base.sparkSession.createDataFrame(
+        [(variant_name(s, n, l), s, n, l) for s, n, l in grid],
+        "config string, rem_stopwords boolean, ner boolean, lemmatize boolean")
+    return flags.join(stats, "config", "left").select(  # a config over no documents still gets its row
+        "config", "rem_stopwords", "ner", "lemmatize", F.coalesce("n_docs", F.lit(0)).cast("bigint").alias("n_docs"),
+        "n_tokens", F.coalesce("vocab_size", F.lit(0)).cast("bigint").alias("vocab_size"))
+
+
+def _prep_variants_per_config(posts, stop_words, entities, lemmas, title_weight, grid) -> DataFrame:
     out = None
     for s, n, l in grid:
         prepared = prepare_posts(posts, title_weight=title_weight, rem_stopwords=s, ner=n, lemmatize=l,

@@ -75,3 +75,17 @@ def test_inline_and_join_plans_agree(spark, monkeypatch):
     assert inline == joined
     assert inline["default"][1] == ["PARIS", "ca", "dog", "ca"]
     assert inline["default"][3] == [] and inline["default"][2] == []
+
+
+def test_prep_variants_one_pass_equals_per_config(spark):
+    posts = spark.createDataFrame(
+        [(1, "en", "Paris cats", "the Dogs <b>may</b> cats", ["paris"]), (2, "fr", "the", "", []),
+         (3, "en", None, None, []), (4, "de", "café", "CATS dogs dogs", ["cafe"])],
+        "id long, thread string, title string, content string, tags array<string>")
+    ents = spark.createDataFrame([("paris", "GPE"), ("may", "DATE")], "phrase string, type string")
+    stops = spark.createDataFrame([("the",), ("may",)], "word string")
+    lem = spark.createDataFrame([("cats", "noun", "cat"), ("dogs", "verb", "dog")], "form string, pos string, lemma string")
+    grid = [(s, n, l) for s in (True, False) for n in (True, False) for l in (True, False)]
+    one = {r["config"]: r.asDict() for r in clean.prep_variants(posts, stops, ents, lem).collect()}
+    per = {r["config"]: r.asDict() for r in clean._prep_variants_per_config(posts, stops, ents, lem, 3, grid).collect()}
+    assert one == per and len(one) == 8

@@ -546,7 +546,9 @@ def q_topic_relevance(spark, d):
 @query("topic_distance")
 def q_topic_distance(spark, d):
     phi, _, _ = fixed_topics(spark, d)
-    return topics.topic_distance(phi).select("topic_a", "topic_b", r6("js"))
+    # the fixed model has one topic per thread: list them from the thread column alone (no text scan)
+    ids = [r[0] for r in posts(spark, d).select("thread").distinct().collect()]  # k thread names
+    return topics.topic_distance(phi, ids).select("topic_a", "topic_b", r6("js"))
 
 
 def lda_fit(spark, d, k=6, max_iter=200):

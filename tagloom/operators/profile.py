@@ -117,13 +117,30 @@ def verb_noun_ratio(pos_freq: DataFrame, group_col: str = "thread", verb: str =
 
 
 def corpus_summary(df: DataFrame, tokens_col: str = "tokens", tags_col: str = "tags", approx: bool = False) -> DataFrame:
-    """Number of documents, unique tags, unique words and total tokens (one row)."""
-    distinct = F.approx_count_distinct if approx else F.count_distinct
-    docs = df.agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.size(tokens_col)).alias("n_tokens"))
-    words = df.select(F.explode(tokens_col).alias("w")).agg(distinct("w").alias("n_unique_words"))
-    tags = df.select(F.explode(tags_col).alias("t")).agg(distinct("t").alias("n_unique_tags"))
-    # three one-row aggregates stacked and folded into one row (no join)
-    stacked = docs.unionByName(words, allowMissingColumns=True).unionByName(tags, allowMissingColumns=True)
-    return stacked.agg(
-        *[F.max(c).cast("bigint").alias(c) for c in ("n_docs", "n_unique_tags", "n_unique_words", "n_tokens")]
-    )
+    """Number of documents, unique tags, unique words and total tokens (one row), from one pass: each
+    document's distinct words and tags are exploded as (kind, value) rows, its first row carrying the document and
+    token counts; grouping by (kind, value) dedupes the vocabulary (partial aggregation absorbs hot terms), and a
+    one-row aggregate folds the counts. ``approx`` uses approx_count_distinct and skips the grouping shuffle."""
+    empty = F.array().cast("array<string>")
+
+    def kind(col, k):
+        return F.transform(F.array_distinct(F.coalesce(F.col(col), empty)),
+                           lambda t: F.struct(F.lit(k).alias("k"), t.alias("v")))
+
+    rows = df.select(F.size(tokens_col).alias("n"),
+                     F.posexplode_outer(F.concat(kind(tokens_col, "w"), kind(tags_col, "t"))).alias("pos", "it"))
+    first = F.col("pos").isNull() | (F.col("pos") == 0)
+    rows = rows.select(F.when(first, 1).otherwise(0).alias("d"), F.when(first, F.col("n")).alias("nt"),
+                       F.col("it.k").alias("k"), F.col("it.v").alias("v"))
+    if approx:
+        words = F.approx_count_distinct(F.when(F.col("k") == "w", F.col("v")))
+        tags = F.approx_count_distinct(F.when(F.col("k") == "t", F.col("v")))
+        out = rows.agg(F.sum("d").alias("n_docs"), F.sum("nt").alias("n_tokens"), words.alias("n_unique_words"),
+                       tags.alias("n_unique_tags"))
+    else:
+        per = rows.groupBy("k", "v").agg(F.sum("d").alias("d"), F.sum("nt").alias("nt"))
+        out = per.agg(F.sum("d").alias("n_docs"), F.sum("nt").alias("n_tokens"),
+                      F.count(F.when(F.col("k") == "w", F.col("v"))).alias("n_unique_words"),
+                      F.count(F.when(F.col("k") == "t", F.col("v"))).alias("n_unique_tags"))
+    return out.select(*[F.col(c).cast("bigint").alias(c) for c in ("n_docs", "n_unique_tags", "n_unique_words",
+                                                                   "n_tokens")])

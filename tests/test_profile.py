@@ -48,3 +48,11 @@ def test_corpus_summary_and_doc_bag(spark):
     assert rows(profile.doc_bag(d, "text")) == [(1, "A", 2), (1, "a", 1)]
     m = profile.doc_bag(d, "text", as_map=True).first()["bag"]
     assert m == {"A": 2, "a": 1}
+
+
+def test_corpus_summary_edge_rows(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "a"], ["t"]), (2, [], None), (3, ["b"], ["t", "u"]), (4, None, [])],
+                               "id long, tokens array<string>, tags array<string>")
+    exact = profile.corpus_summary(df).first().asDict()
+    assert exact == {"n_docs": 4, "n_unique_tags": 2, "n_unique_words": 2, "n_tokens": 4}
+    assert profile.corpus_summary(df, approx=True).first().asDict() == exact

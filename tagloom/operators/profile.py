@@ -101,7 +101,9 @@ def pos_frequency(tokens_df: DataFrame, lexicon: DataFrame, tokens_col: str = "t
     tagged = toks.join(maybe_broadcast(lexicon.select("token", "pos")), "token", "left").select(
         group_col, F.coalesce(F.col("pos"), F.lit(unknown)).alias("pos")
     )
-    agg = tagged.rollup("pos", group_col).agg(F.count(F.lit(1)).alias("count")).filter(F.col("pos").isNotNull())
+    # count per (group, pos) first, then roll up that small table: the rollup's Expand never sees token rows
+    per = tagged.groupBy(group_col, "pos").agg(F.count(F.lit(1)).alias("c"))
+    agg = per.rollup("pos", group_col).agg(F.sum("c").cast("bigint").alias("count")).filter(F.col("pos").isNotNull())
     return agg.select(F.coalesce(F.col(group_col), F.lit(total_label)).alias(group_col), "pos", "count")
 
 

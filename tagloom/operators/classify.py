@@ -338,7 +338,7 @@ def _nb_fold_predictions(tf_long: DataFrame, lab: DataFrame, alphas, fit_priors,
     lab = lab.select("id", "label", F.col("fold").cast("int").alias("fold"))
     t = tf_long.join(lab, "id")
     # every model statistic derives from the (fold, class, term) counts: aggregate them once
-    cf = materialize(t.groupBy("fold", "label", "term").agg(F.sum("tf").alias("n_f")), "nb_fold_counts")
+    cf = t.groupBy("fold", "label", "term").agg(F.sum("tf").alias("n_f"))  # read twice inside the job writing `wide`
     c = cf.groupBy("label", "term").agg(F.sum("n_f").alias("n"))
     # counts of model g = all training folds but g; a (g, label, term) row exists only where that count is > 0
     cg = (c.select("label", "term", "n", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("g"))

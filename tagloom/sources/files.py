@@ -20,29 +20,35 @@ POST_CSV_SCHEMA = T.StructType([
 ])
 # file stem up to the first dot; for a Spark output folder ("travel.csv/part-0000.csv") the folder's stem
 FILE_STEM = r"([^/.]+)[^/]*(/part-[^/]*)?$"
+# a Hive-style partition folder written by write_posts_by_thread
+THREAD_DIR = r"/thread=([^/]+)/[^/]*$"
 # nulls are written as \N so an empty string stays an empty string (Spark's default null marker is "")
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "encoding": "UTF-8",
                "nullValue": "\\N"}
 
 
 def read_posts_by_thread(spark: SparkSession, paths, schema: T.StructType = POST_CSV_SCHEMA) -> DataFrame:
-    """A1: read CSV files (declared schema, quoted multi-line fields) and label each row with its file stem."""
+    """A1: read CSV files (declared schema, quoted multi-line fields) and label each row with its thread: the value
+    of a ``thread=<name>`` folder (as written by ``write_posts_by_thread``), else the file stem up to the first dot
+    (one file per community, as the reference's inputs)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(paths)
-    return df.withColumn("thread", F.regexp_extract(F.col("_metadata.file_path"), FILE_STEM, 1))
-
-
-def write_posts_by_thread(posts: DataFrame, root: str, threads: list[str] | None = None) -> list[str]:
-    """Write one CSV output per thread, named '<thread>.csv' (tags as a space-separated string)."""
-    threads = threads or sorted(r[0] for r in posts.select("thread").distinct().collect())  # class names only
-    out = []
-    for t in threads:
-        path = f"{root}/{t}.csv"
-        (posts.filter(F.col("thread") == t)
-         .select("id", "title", "content", F.array_join("tags", " ").alias("tags"))
-         .write.mode("overwrite").options(**CSV_OPTIONS).csv(path))
-        out.append(path)
-    return out
+    df = df.drop("thread")  # a discovered partition column (type-inferred) is replaced by the raw folder value
+    path = F.col("_metadata.file_path")
+    # the metadata path is a URI (percent-encoded) of a folder name Spark escaped with %XX: decode both levels
+    value = F.regexp_extract(path, THREAD_DIR, 1)
+    for _ in range(2):
+        value = F.url_decode(F.regexp_replace(value, "\\+", "%2B"))  # '+' is literal in both encodings
+    label = F.when(path.rlike(THREAD_DIR), value).otherwise(F.regexp_extract(path, FILE_STEM, 1))
+    return df.withColumn("thread", label)
+
+
+def write_posts_by_thread(posts: DataFrame, root: str) -> list[str]:
+    """One CSV folder per thread in a single distributed write (``partitionBy``: each task writes its own rows of
+    every thread it holds, no pass per thread); tags as a space-separated string. Returns the paths to read."""
+    (posts.select("id", "title", "content", F.array_join("tags", " ").alias("tags"), "thread")
+     .write.mode("overwrite").partitionBy("thread").options(**CSV_OPTIONS).csv(root))
+    return [root]
 
 
 def cap_per_thread(df: DataFrame, n: int, order_col: str = "id", group_col: str = "thread") -> DataFrame:

@@ -51,3 +51,11 @@ def test_cap_union_roundtrips(spark):
     path = files.export_csv(p, scratch_path(spark, "exp"))
     imp = files.import_csv(spark, path, p.schema)
     assert rows(imp, "id", "tags") == rows(p, "id", "tags")
+
+
+def test_partitioned_thread_names_roundtrip(spark):
+    names = ["c++", "a b", "x/y", "007", "é:1=2%"]
+    df = spark.createDataFrame([(i, n, "t", "c", ["k"]) for i, n in enumerate(names)],
+                               "id long, thread string, title string, content string, tags array<string>")
+    back = files.read_posts_by_thread(spark, files.write_posts_by_thread(df, scratch_path(spark, "names")))
+    assert rows(back, "id", "thread") == [(i, n) for i, n in enumerate(names)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,13 +54,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per Spark application.
+
+    Functions that run in workers are pickled by reference, so a worker must be able to import the package wherever it
+    starts. The driver packs it and Spark hands the archive to every executor, also to those that join later."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tagloom_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tagloom-package-"), "tagloom.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(archive)
+    sc._tagloom_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for written tables (round trips, lineage cuts)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     Used where one derived table (e.g. long-form term counts of the whole corpus) feeds several jobs of the same
@@ -67,8 +88,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     is cut (a lost executor re-reads the files instead of recomputing the text), and later scans get column pruning
     and filter pushdown on the written columns."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.option("compression", compression) if compression else writer).parquet(path)
+    # the schema is known: without it Spark would start a job only to read it from the files
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def is_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> bool:

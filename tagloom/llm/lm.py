@@ -6,22 +6,19 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.bpe import _numbers, _planes
+from tagloom.llm.blocks import BLOCK_BYTES, bundles, pack, pack_strings, split, unpack, unpack_strings, write_blocks
 from tagloom.llm.common import arrow, batches, id_text
 from tagloom.llm.elias_fano import BigramTrie, dequantise, quantise
 from tagloom.session import materialize
 
-BLOCK_BYTES = 16 << 20
 DELTA = 0.1        # added to every word's count
 STRENGTH = 50.0    # words without context are worth so many observations after each context
 SPLIT = 1 << 20    # a context with more training tokens is dealt to several tasks, by the word after it
-SEGMENT = 1 << 19  # entries of one trie
-END, BEGIN, UNKNOWN = "", -1, -2  # no word is empty
+END, BEGIN, UNKNOWN = b"", -1, -2  # no word is empty
 
 
 def held_out(doc_id) -> bool:
@@ -29,30 +26,33 @@ def held_out(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 10 == 0
 
 
+BLOCK = "block long, doc_ids array<long>, lens array<int>, at binary, names binary, counts binary, train_docs long"
+
+
 def word_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks of neighbouring rows: distinct tokens sorted, the number of the token at every place, and how often each
-    occurs in the block's training rows. A text's tokens are its words (A-Z lower-cased) and the end."""
+    """Blocks of neighbouring rows: distinct tokens, the most frequent first, the number of the token at every place,
+    and how often each occurs in the block's training rows. A text's tokens are its words (A-Z lower-cased) and the end."""
     def run(rows):
         task, seq = TaskContext.get().partitionId(), 0
         ids, lens, at, seen, held = [], [], [], {}, 0
 
         def block():
-            order = sorted(seen)
-            names = [x.decode("utf-8", "replace") for x in order]
+            train = np.array([not held_out(i) for i in ids])
+            places = np.concatenate(at)
+            order = np.argsort(-np.bincount(places, minlength=len(seen)), kind="stable")
             new = np.empty(len(order), "<u4")
-            new[[seen[x] for x in order]] = np.arange(len(order), dtype="<u4")
-            places = [new[x] for x in at]
-            train = [x for x, i in zip(places, ids) if not held_out(i)]
-            counts = np.bincount(np.concatenate(train) if train else np.empty(0, np.int64), minlength=len(order))
+            new[order] = np.arange(len(order), dtype="<u4")
+            places, names = new[places], list(seen)
+            counts = np.bincount(places[np.repeat(train, lens)], minlength=len(order))
             return pa.RecordBatch.from_arrays(
-                [pa.array([(task << 32) + seq], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([lens], pa.list_(pa.int32())), pa.array([_planes(np.concatenate(places))], pa.binary()),
-                 pa.array([names], pa.list_(pa.string())), pa.array([counts.astype(np.int32)], pa.list_(pa.int32()))],
-                names=["block", "doc_ids", "lens", "at", "names", "counts"])
+                [pa.array([(task << 32) + seq], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([lens], pa.list_(pa.int32())),
+                 pa.array([pack(places)], pa.binary()), pa.array([pack_strings([names[i] for i in order])], pa.binary()),
+                 pa.array([pack(counts.astype("<u4"))], pa.binary()), pa.array([int(train.sum())], pa.int64())],
+                names=[c.split()[0] for c in BLOCK.split(", ")])
 
         for batch in batches(rows):
             for doc, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
-                words = (text or "").encode().lower().split() + [b""]
+                words = (text or "").encode().lower().split() + [END]
                 if ids and held + len(text or "") > block_bytes:
                     yield block()
                     seq += 1
@@ -66,196 +66,125 @@ def word_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         if ids:
             yield block()
 
-    return id_text(docs).mapInArrow(run, "block long, doc_ids array<long>, lens array<int>, at binary, names array<string>, "
-                                         "counts array<int>")
-
+    return id_text(docs).mapInArrow(run, BLOCK)
 
-def word_totals(blocks: DataFrame) -> DataFrame:
-    """``block, pos, id, c, first``: the corpus-wide training count of each block's words and a number for the word.
-    Equal words meet in one task (a block has each once); ``first`` marks one row for each word."""
-    def run(rows):
-        task, made, rest = TaskContext.get().partitionId() << 40, 0, None
-        for batch in rows:
-            t = pa.Table.from_batches([batch])
-            if rest is not None:
-                t = pa.concat_tables([rest, t])
-            names = t.column("name").combine_chunks()
-            if not len(names):
-                continue
-            new = np.r_[True, pc.not_equal(names[1:], names[:-1]).to_numpy(zero_copy_only=False)]
-            cut = int(np.flatnonzero(new)[-1])  # the last word may go on in the next batch
-            rest = t.slice(cut)
-            if cut:
-                yield totals(t.slice(0, cut), new[:cut], task + made)
-                made += int(new[:cut].sum())
-        if rest is not None:
-            yield totals(rest, np.arange(rest.num_rows) == 0, task + made)
 
-    def totals(t, new, base):
-        word = np.cumsum(new) - 1
-        c = np.bincount(word, weights=t.column("n").to_numpy()).astype(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [t.column("block").combine_chunks(), t.column("pos").combine_chunks(), pa.array(word + base, pa.int64()),
-             pa.array(c[word]), pa.array(new)], names=["block", "pos", "id", "c", "first"])
+def word_totals(words: DataFrame) -> DataFrame:
+    """Bundles of words and counts to ``block, bucket, totals`` (each word's number and corpus-wide training count),
+    ``kinds, tokens`` (of the whole bucket, in one of its rows). A word's number is its bucket's and its place in it."""
+    def run(key, t):
+        bucket = key[0].as_py()
+        parts = [unpack_strings(x) for x in t.column("names").to_pylist()]
+        number = {x: i for i, x in enumerate(dict.fromkeys(x for p in parts for x in p))}
+        at = [np.fromiter(map(number.__getitem__, p), np.int64, len(p)) for p in parts]
+        n = np.concatenate([unpack(x, "<u4")[0] for x in t.column("counts").to_pylist()])
+        total = np.bincount(np.concatenate(at), n, len(number)).astype("<i8")
+        blobs = [pack(x.astype("<u4"), total[x]) for x in at]
+        one = [0] * (len(parts) - 1)
+        return pa.table([t.column("block"), pa.array([bucket] * len(parts), pa.int32()), pa.array(blobs, pa.binary()),
+                         pa.array([int((total > 0).sum()), *one], pa.int64()), pa.array([int(total.sum()), *one], pa.int64())],
+                        names=["block", "bucket", "totals", "kinds", "tokens"])
 
-    words = blocks.select("block", F.posexplode(F.arrays_zip("names", "counts")).alias("pos", "x")) \
-        .select(F.col("x.names").alias("name"), "block", "pos", F.col("x.counts").alias("n"))
-    return words.repartition("name").sortWithinPartitions("name").mapInArrow(run, "block long, pos int, id long, c long, first boolean")
+    return words.groupBy("bucket").applyInArrow(run, "block long, bucket int, totals binary, kinds long, tokens long")
 
 
-#: A row for each context of a block (with its successors and, for each, the documents that have it), or for the
-#: documents of a block (context null); binary columns are arrays of fixed width.
-ENTRY = "ctx long, sub int, total long, block long, word binary, code binary, n binary, posts binary, doc binary, tf binary"
+PART = "bucket int, block long, body binary"
 
 
-def _entries(n_tokens: int, n_words: int):
+def _entries(n_tokens: int, n_words: int, train_docs: int, buckets: int, owners: int, hot: int):
+    """Blocks and their words' totals to bundles: a block's pairs (context, word) with how often its training rows
+    have them and which documents do, for each owner of contexts; and, under owner -1 - ..., the documents' own facts."""
     norm = n_tokens + DELTA * (n_words + 1)
 
     def run(key, left, right):
-        out = {c.split()[0]: [] for c in ENTRY.split(", ")}
-        pos = right.column("pos").to_numpy()
-        order = np.argsort(pos)
-        c, gid = (right.column(x).to_numpy()[order] for x in ("c", "id"))
-        gid = np.where(c > 0, gid, UNKNOWN)
-        log_p = np.log10((c + DELTA) / norm)
+        got = dict(zip(right.column("bucket").to_pylist(), right.column("totals").to_pylist()))
+        out = [], [], []
         for row in left.to_pylist():
-            at, lens = _numbers(row["at"]).astype(np.int64), np.array(row["lens"])
+            names = unpack_strings(row["names"])
+            gid, c = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+            for bucket, numbers in split(names, buckets):
+                place, total = unpack(got[bucket], "<u4", "<i8")
+                gid[numbers], c[numbers] = place.astype(np.int64) + ((bucket + 1) << 32), total
+            gid[c == 0] = UNKNOWN
+            log_p = np.log10((c + DELTA) / norm)
+            code = quantise(log_p)
+            at, lens = unpack(row["at"], "<u4")[0].astype(np.int64), np.array(row["lens"], np.int64)
             doc = np.repeat(np.arange(len(lens)), lens)
             train = np.array([not held_out(i) for i in row["doc_ids"]])
-            base = np.bincount(doc, log_p[at], len(lens))
-            known = np.bincount(doc, c[at] > 0, len(lens)).astype(np.int64)
-            # contexts: the token before, 0 at the beginning of a text, numbers from 1 on
-            ctx = np.r_[0, at[:-1] + 1] if len(at) else at
+            # contexts: the token before plus 1, or 0 at the beginning of a text
+            ctx = np.r_[0, at[:-1] + 1]
             ctx[np.cumsum(lens) - lens] = 0
-            own = np.r_[1, c][ctx] == 0  # after an unknown word only the word itself counts
-            alone = np.bincount(doc[own], dequantise(quantise(log_p))[at[own]], len(lens))
-            out["ctx"].append(None)
-            for k, v in (("sub", 0), ("total", 0), ("block", row["block"]), ("word", np.array([-1 if i is None else i for i in row["doc_ids"]], "<i8")),
-                         ("code", base.astype("<f8")), ("n", lens.astype("<i8")), ("posts", known.astype("<i8")),
-                         ("doc", alone.astype("<f8")), ("tf", np.array([i is None for i in row["doc_ids"]], "<i8"))):
-                out[k].append(v.tobytes() if isinstance(v, np.ndarray) else v)
-            keep = ~own
-            wide = len(c) + 1
-            pair = (ctx[keep] * wide + at[keep]) * len(lens) + doc[keep]
-            pair, tf = np.unique(pair, return_counts=True)
-            doc, pair = pair % len(lens), pair // len(lens)
-            new = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]]) if len(pair) else np.empty(0, np.int64)
+            ctx_id, ctx_n = np.r_[BEGIN, gid], np.r_[train_docs, c]
+            own = ctx_n[ctx] == 0  # after what training never saw only the word itself counts
+            facts = pack(np.array([-1 if i is None else i for i in row["doc_ids"]], "<i8"), np.array([i is None for i in row["doc_ids"]], "u1"),
+                         lens.astype("<i8"), np.bincount(doc, c[at] > 0, len(lens)).astype("<i8"),
+                         np.bincount(doc, log_p[at], len(lens)).view("<i8"),
+                         np.bincount(doc[own], dequantise(code)[at[own]], len(lens)).view("<i8"))
+            out[0].append(-1 - row["block"] % owners)
+            out[1].append(row["block"])
+            out[2].append(facts)
+            seen = ~own
+            if not seen.any():
+                continue
+            key_, tf = np.unique((ctx[seen] * len(names) + at[seen]) * len(lens) + doc[seen], return_counts=True)
+            doc, pair = key_ % len(lens), key_ // len(lens)
+            new = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
             posts = np.diff(np.r_[new, len(pair)])
-            seen = np.add.reduceat(tf * train[doc], new) if len(new) else new
-            ctx, word = pair[new] // wide, pair[new] % wide
-            # split contexts that are hot in the whole corpus by the word that follows
-            total = np.r_[int(1e18), c][ctx] if len(ctx) else ctx
-            begin = np.flatnonzero(ctx == 0)
-            parts = 1 + total // SPLIT
-            parts[begin] = 1 + n_tokens // SPLIT
-            sub = (gid[word] * -7046029254386353131 >> 20) % parts
-            rank = np.lexsort((word, sub, ctx))
-            # postings follow their entries
+            n = np.add.reduceat(tf * train[doc], new)
+            ctx, word = pair[new] // len(names), pair[new] % len(names)
+            # a context that is hot in the whole corpus has several owners, by the word that follows
+            sub = (gid[word] * -7046029254386353131 >> 24) % (1 + ctx_n[ctx] // hot)
+            owner = ((ctx_id[ctx] + 977 * sub) * -7046029254386353131 >> 24) % owners
+            order = np.lexsort((gid[word], ctx, owner))
             starts = np.cumsum(posts) - posts
-            take = np.repeat(starts[rank] - (np.cumsum(posts[rank]) - posts[rank]), posts[rank]) + np.arange(len(doc))
-            ctx, sub, word, seen, posts = ctx[rank], sub[rank], word[rank], seen[rank], posts[rank]
-            doc, tf = doc[take].astype("<u4"), tf[take].astype("<u4")
-            rows = np.flatnonzero(np.r_[True, (ctx[1:] != ctx[:-1]) | (sub[1:] != sub[:-1])]) if len(ctx) else np.empty(0, np.int64)
-            ends = np.r_[rows[1:], len(ctx)]
-            post_ends = np.r_[0, np.cumsum(posts)]
-            cols = {"word": gid[word].astype("<i8"), "code": quantise(log_p)[word], "n": seen.astype("<u4"), "posts": posts.astype("<u4")}
-            raw = {k: (v.tobytes(), v.itemsize) for k, v in cols.items()}
-            docs_raw, tf_raw = doc.tobytes(), tf.tobytes()
-            out["ctx"] += np.r_[BEGIN, gid][ctx[rows]].tolist()
-            out["sub"] += sub[rows].tolist()
-            out["total"] += np.where(ctx[rows] == 0, -1, np.r_[0, c][ctx[rows]]).tolist()
-            out["block"] += [row["block"]] * len(rows)
-            for k, (b, w) in raw.items():
-                out[k] += [b[s * w:e * w] for s, e in zip(rows.tolist(), ends.tolist())]
-            p0, p1 = post_ends[rows].tolist(), post_ends[ends].tolist()
-            out["doc"] += [docs_raw[4 * s:4 * e] for s, e in zip(p0, p1)]
-            out["tf"] += [tf_raw[4 * s:4 * e] for s, e in zip(p0, p1)]
-        shape = arrow(ENTRY)
-        return pa.table([pa.array(out[f.name], f.type) for f in shape], schema=shape)
-
-    return run
-
-
-PARTIAL = "block long, doc binary, score binary, ids binary, base binary, n binary, known binary, null_id binary"
-
-
-def _flat(column, kind) -> tuple[np.ndarray, np.ndarray]:
-    """All values of a binary column as one array, and how many each row has."""
-    a = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    a = pa.concat_arrays(a.chunks) if isinstance(a, pa.ChunkedArray) else a
-    width = np.dtype(kind).itemsize
-    ends = np.frombuffer(a.buffers()[1], "<i4")[a.offset:a.offset + len(a) + 1]
-    data = a.buffers()[2]
-    values = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].view(kind) if data is not None and ends[-1] > ends[0] else np.empty(0, kind)
-    return values, np.diff(ends) // width
-
-
-def _scores(train_docs: int):
-    """Entries sorted by context to partial scores of each block's documents: tries are built of whole contexts, some
-    ``SEGMENT`` entries at a time, and queried for every entry, then dropped: memory holds one at a time."""
-    def run(rows):
-        rest = None
-        for batch in rows:
-            t = pa.Table.from_batches([batch])
-            own = t.filter(pa.array(np.asarray(t.column("ctx").is_null())))
-            if own.num_rows:
-                none = pa.array([None] * own.num_rows, pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [own.column("block").combine_chunks(), none, own.column("doc").combine_chunks(), own.column("word").combine_chunks(),
-                     own.column("code").combine_chunks(), own.column("n").combine_chunks(), own.column("posts").combine_chunks(),
-                     own.column("tf").combine_chunks()], schema=arrow(PARTIAL))
-                t = t.filter(pa.array(np.asarray(t.column("ctx").is_valid())))
-            rest = t if rest is None else pa.concat_tables([rest, t])
-            if not rest.num_rows or rest.column("word").nbytes < 8 * SEGMENT:
-                continue
-            ctx, sub = rest.column("ctx").to_numpy(), rest.column("sub").to_numpy()
-            cut = np.flatnonzero((ctx != ctx[-1]) | (sub != sub[-1]))  # the last context may go on
-            if len(cut):
-                yield segment(rest.slice(0, int(cut[-1]) + 1))
-                rest = rest.slice(int(cut[-1]) + 1)
-        if rest is not None and rest.num_rows:
-            yield segment(rest)
-
-    def segment(t):
-        t = t.combine_chunks()
-        ctx, sub = t.column("ctx").to_numpy(), t.column("sub").to_numpy()
-        context = np.cumsum(np.r_[False, (ctx[1:] != ctx[:-1]) | (sub[1:] != sub[:-1])])
-        total = t.column("total").to_numpy()
-        total = np.where(total < 0, train_docs, total)[np.r_[0, np.flatnonzero(np.diff(context)) + 1]].astype(np.float64)
-        word, per = _flat(t.column("word"), "<i8")
-        code, n, posts = (_flat(t.column(c), k)[0] for c, k in (("code", "<u2"), ("n", "<u4"), ("posts", "<u4")))
-        where = np.repeat(context, per)
-        names, word = np.unique(word, return_inverse=True)
-        lower = dequantise(code)
-        wide = len(names)
-        pair, back = np.unique(where * wide + word, return_inverse=True)
-        counts = np.bincount(back, n, len(pair))
-        lowers = np.empty(len(pair))
-        lowers[back] = lower
-        seen = counts > 0
-        c, w = (pair // wide)[seen], (pair % wide)[seen]
-        log_p = np.log10((counts[seen] + STRENGTH * 10 ** lowers[seen]) / (total[c] + STRENGTH))
-        trie = BigramTrie(c, w, log_p, np.log10(STRENGTH / (total + STRENGTH)), wide)
-        score = trie.score(where, word, lower)
-        doc, _ = _flat(t.column("doc"), "<u4")
-        tf, _ = _flat(t.column("tf"), "<u4")
-        value = np.repeat(score, posts) * tf
-        blocks, number = np.unique(t.column("block").to_numpy(), return_inverse=True)
-        place = np.repeat(np.repeat(number, per), posts).astype(np.int64) << 32 | doc
-        place, back = np.unique(place, return_inverse=True)
-        value = np.bincount(back, value, len(place))
-        ends = np.searchsorted(place, (np.arange(len(blocks)) + 1) << 32)
-        starts = np.r_[0, ends[:-1]]
-        none = pa.array([None] * len(blocks), pa.binary())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(blocks, pa.int64()), pa.array([(place[s:e] & 0xFFFFFFFF).astype("<u4").tobytes() for s, e in zip(starts, ends)], pa.binary()),
-             pa.array([value[s:e].astype("<f8").tobytes() for s, e in zip(starts, ends)], pa.binary()), none, none, none, none, none],
-            schema=arrow(PARTIAL))
+            owner, ctx, word, n, posts, starts = (x[order] for x in (owner, ctx, word, n, posts, starts))
+            ends = np.cumsum(posts)
+            take = np.repeat(starts - (ends - posts), posts) + np.arange(len(doc))
+            doc, tf, ends = doc[take], tf[take], np.r_[0, ends]
+            used, cuts = np.unique(owner, return_index=True)
+            for o, s, e in zip(used.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(owner)]):
+                first = np.flatnonzero(np.r_[True, ctx[s + 1:e] != ctx[s:e - 1]]) + s
+                p, q = ends[s], ends[e]
+                out[0].append(o)
+                out[1].append(row["block"])
+                out[2].append(pack(ctx_id[ctx[first]], ctx_n[ctx[first]], np.diff(np.r_[first, e]).astype("<u4"), gid[word[s:e]],
+                                   code[word[s:e]], n[s:e].astype("<u4"), posts[s:e].astype("<u4"), doc[p:q].astype("<u4"), tf[p:q].astype("<u4")))
+        return pa.table([pa.array(x, k) for x, k in zip(out, (pa.int32(), pa.int64(), pa.binary()))], names=["bucket", "block", "body"])
 
     return run
 
 
-def score(docs: DataFrame) -> DataFrame:
+def _score(key, t):
+    """All bundles of one owner: the pairs' counts are added up, a trie is built of them, and every pair of the bundles
+    looked up in it; each block gets the sums for its documents."""
+    if key[0].as_py() < 0:
+        return t.append_column("own", pa.array([True] * t.num_rows)).select(["block", "own", "body"])
+    blocks = t.column("block").to_pylist()
+    parts = [unpack(x, "<i8", "<i8", "<u4", "<i8", "<u2", "<u4", "<u4", "<u4", "<u4") for x in t.column("body").to_pylist()]
+    entries = [len(p[3]) for p in parts]
+    ctx, total, per, word, code, n, posts, doc, tf = (np.concatenate(x) for x in zip(*parts))
+    names, first, context = np.unique(ctx, return_index=True, return_inverse=True)
+    total, where = total[first].astype(np.float64), np.repeat(context, per)
+    words, word = np.unique(word, return_inverse=True)
+    lower, wide = dequantise(code), len(words)
+    pair, first, back = np.unique(where * wide + word, return_index=True, return_inverse=True)
+    counts = np.bincount(back, n, len(pair))
+    known = counts > 0
+    c, w = (pair // wide)[known], (pair % wide)[known]
+    log_p = np.log10((counts[known] + STRENGTH * 10 ** lower[first][known]) / (total[c] + STRENGTH))
+    trie = BigramTrie(c, w, log_p, np.log10(STRENGTH / (total + STRENGTH)), wide)
+    value = trie.score(pair // wide, pair % wide, lower[first])[back]
+    value, ends = np.repeat(value, posts) * tf, np.r_[0, np.cumsum(posts, dtype=np.int64)]
+    bodies, at = [], 0
+    for k in entries:
+        s, e = ends[at], ends[at + k]
+        docs, back = np.unique(doc[s:e], return_inverse=True)
+        bodies.append(pack(docs, np.bincount(back, value[s:e], len(docs)).view("<i8")))
+        at += k
+    return pa.table([pa.array(blocks, pa.int64()), pa.array([False] * len(blocks)), pa.array(bodies, pa.binary())], names=["block", "own", "body"])
+
+
+def score(docs: DataFrame, hot: int = SPLIT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Learns from the rows that are not held out, all of them. With N training tokens of V kinds and c(w) of word w,
@@ -265,29 +194,30 @@ def score(docs: DataFrame) -> DataFrame:
     dealt to many tasks by w. ``score`` is the sum of log10 p(w | v), with log10 of p and of back-off weights in 16-bit
     steps of 0.00024; ``base_score`` the exact sum of log10 p(w).
 
-    Flow: blocks of rows with their distinct words (written once); each word's count by one shuffle, back to the
-    blocks; from there a row for each context of a block, with its successors' counts and documents, to the tasks that
-    own the context. They sum the counts up, build tries, and answer with sums for the block's documents. Null texts
+    Flow: blocks of rows with their distinct words (written once, bucketed); the words in bundles to their buckets,
+    where the counts are added up, and back; from there the blocks' pairs, in bundles, to the owners of the contexts,
+    8 for each block, so that an owner's share does not grow. An owner adds the counts up, builds a trie, looks all
+    pairs up and answers with sums for each block's documents. Null texts
     are empty (one token, the end). Repeated rows are separate rows, and count each. An empty table gives none."""
-    blocks = materialize(word_blocks(docs), "lm-blocks", compression="zstd")
-    totals = materialize(word_totals(blocks), "lm-words", compression="zstd")
-    n_words, n_tokens = totals.where("first and c > 0").agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
-    # every training text has one end, the empty word, which sorts first in every block
-    train_docs = blocks.agg(F.coalesce(F.sum(F.get("counts", F.lit(0))), F.lit(0))).first()[0]
-    entries = blocks.select("block", "doc_ids", "lens", "at").groupBy("block").cogroup(totals.select("block", "pos", "id", "c").groupBy("block")) \
-        .applyInArrow(_entries(n_tokens, n_words), ENTRY)
-    dealt = entries.withColumn("h", F.xxhash64(F.coalesce("ctx", F.col("block")), "sub"))
-    partial = dealt.repartition("h").drop("h").sortWithinPartitions("ctx", "sub").mapInArrow(_scores(train_docs), PARTIAL)
-    schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    blocks, n_blocks = write_blocks(word_blocks(docs), "lm_blocks")
+    buckets, owners = max(16, 4 * n_blocks), max(16, 8 * n_blocks)
+    totals = materialize(word_totals(bundles(blocks, buckets)), "lm-totals")
+    n_words, n_tokens = totals.agg(F.coalesce(F.sum("kinds"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+    train_docs = blocks.agg(F.coalesce(F.sum("train_docs"), F.lit(0))).first()[0]
+    entries = blocks.select("block", "doc_ids", "lens", "at", "names").groupBy("block") \
+        .cogroup(totals.select("block", "bucket", "totals").groupBy("block")) \
+        .applyInArrow(_entries(n_tokens, n_words, train_docs, buckets, owners, hot), PART)
+    partial = entries.groupBy("bucket").applyInArrow(_score, "block long, own boolean, body binary")
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def finish(key, t):
-        own = next(r for r in t.filter(pa.array(np.asarray(t.column("ids").is_valid()))).to_pylist())
-        ids, base, n, known, null = (np.frombuffer(own[k], v) for k, v in
-                                     (("ids", "<i8"), ("base", "<f8"), ("n", "<i8"), ("known", "<i8"), ("null_id", "<i8")))
-        total = np.frombuffer(own["score"], "<f8").copy()
-        rest = t.filter(pa.array(np.asarray(t.column("ids").is_null()))).combine_chunks()
-        if rest.num_rows:
-            total += np.bincount(_flat(rest.column("doc"), "<u4")[0], _flat(rest.column("score"), "<f8")[0], len(total))
+        own, bodies = t.column("own").to_pylist(), t.column("body").to_pylist()
+        ids, null, n, known, base, total = unpack(bodies[own.index(True)], "<i8", "u1", "<i8", "<i8", "<f8", "<f8")
+        total = total.copy()
+        for mine, body in zip(own, bodies):
+            if not mine:
+                docs, value = unpack(body, "<u4", "<f8")
+                total[docs] += value
         names = [None if z else i for i, z in zip(ids.tolist(), null.tolist())]
         shape = arrow(schema)
         cols = [names, [held_out(i) for i in names], n, known, np.full(len(n), n_tokens), base, total]

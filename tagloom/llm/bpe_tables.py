@@ -52,33 +52,3 @@ def pieces_of(text: str, split, found) -> list[str]:
     for i, part in enumerate(found.split(text)):
         out.extend([part] if i % 2 else split(part))
     return out
-
-
-class PieceIds(dict):
-    """piece -> its ids as little-endian uint32 bytes. Filled for many pieces at a time; cleared when it holds ``most``."""
-
-    def __init__(self, path: str, most: int = 300_000):
-        self.t, self.added, self.found = tokenizer(path)
-        self.most = most
-
-    def learn(self, pieces) -> None:
-        import numpy as np
-
-        if len(self) > self.most:
-            self.clear()
-        new = [p for p in set(pieces) if p not in self]
-        for p, e in zip(new, self.t.encode_batch_fast(new, add_special_tokens=False)):
-            self[p] = np.array(e.ids, "<u4").tobytes()
-
-
-_TABLES: dict[str, PieceIds] = {}
-
-
-def piece_ids(path: str) -> PieceIds:
-    """The worker's table, kept from task to task."""
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _TABLES:
-        _TABLES[path] = PieceIds(path)
-    return _TABLES[path]

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm.bpe_tables import BYTE_SPLIT, piece_ids, pieces_of, splitter
+from tagloom.llm.bpe_tables import BYTE_SPLIT, tokenizer
 from tagloom.llm.common import arrow, batches, id_text
+from tagloom.llm.token_counts import byte_letters
 from tagloom.session import scratch_path
 
 #: Bytes of the four values of a control byte, by control byte; and which of four bytes a length keeps.
@@ -38,18 +43,49 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.reshape(-1).view("<u4")
 
 
+@lru_cache(maxsize=None)
+def encoder(path: str):
+    """``text -> uint32 ids``, as the tokenizer file's own library gives them. Where the file is byte-level BPE whose ids
+    follow its merges (checked here, merge by merge) the ids are the ranks of a faster encoder."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    t, added, found = tokenizer(path)
+    letters, vocab = byte_letters(), {k: v for k, v in model["vocab"].items() if k not in added}
+    merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+    if t.normalizer is None and all(vocab[m] == 256 + i for i, m in enumerate(merges)):
+        ranks = {bytes(letters[c] for c in k): v for k, v in vocab.items()}
+        fast = tiktoken.Encoding(path, pat_str=BYTE_SPLIT, mergeable_ranks=ranks, special_tokens={})
+        plain = lambda x: np.asarray(fast.encode_to_numpy(x, disallowed_special=()), "<u4")
+    else:
+        plain = lambda x: np.array(t.encode(x, add_special_tokens=False).ids, "<u4")
+
+    def run(text: str) -> np.ndarray:
+        if not found or not found.search(text):
+            return plain(text)
+        return np.concatenate([np.array([added[x]], "<u4") if i % 2 else plain(x) for i, x in enumerate(found.split(text))])
+
+    return run
+
+
+ENCODED = "part int, before long, doc_id long, ids binary"
+
+
 def encode(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """``doc_id, ids``: little-endian uint32 ids of each text with ``end_id`` after them. Null texts are empty."""
+    """``part, before, doc_id, ids``: little-endian uint32 ids of each text with ``end_id`` after them, in ascending
+    ``doc_id`` order within and across parts; ``before`` counts the ids ahead in the part. Null texts are empty."""
     def run(rows):
-        table, split = piece_ids(path), splitter(BYTE_SPLIT)
-        end = np.array([end_id], "<u4").tobytes()
+        part, before, get = TaskContext.get().partitionId(), 0, encoder(path)
         for batch in batches(rows):
-            parts = [pieces_of(x or "", split, table.found) for x in batch.column("text").to_pylist()]
-            table.learn(p for x in parts for p in x)
-            ids = [b"".join(map(table.__getitem__, x)) + end for x in parts]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            ids = [np.append(get(x or ""), np.uint32(end_id)) for x in batch.column("text").to_pylist()]
+            n = np.array([len(x) for x in ids], np.int64)
+            ahead = before + np.cumsum(n) - n
+            before += int(n.sum())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(n), part, np.int32)), pa.array(ahead), batch.column("doc_id"),
+                 pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], names=["part", "before", "doc_id", "ids"])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, ids binary")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return id_text(docs).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id").mapInArrow(run, ENCODED)
 
 
 def frequency_order(encoded: DataFrame, vocabulary: int) -> np.ndarray:
@@ -58,11 +94,11 @@ def frequency_order(encoded: DataFrame, vocabulary: int) -> np.ndarray:
     def count(rows):
         total = np.zeros(vocabulary, np.int64)
         for batch in rows:
-            for x in batch.column("ids"):
-                total += np.bincount(np.frombuffer(x.as_buffer(), "<u4"), minlength=vocabulary) if len(x.as_buffer()) > vocabulary else 0
-            small = [x.as_buffer() for x in batch.column("ids") if len(x.as_buffer()) <= vocabulary]
-            if small:
-                total += np.bincount(np.frombuffer(b"".join(small), "<u4"), minlength=vocabulary)
+            ids = batch.column("ids")
+            step = max(1, (1 << 24) // max(ids.nbytes // max(len(ids), 1), 1))
+            for i in range(0, len(ids), step):
+                raw = b"".join(x.as_buffer() for x in ids.slice(i, step))
+                total += np.bincount(np.frombuffer(raw, "<u4"), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], names=["id", "n"])
 
@@ -73,67 +109,47 @@ def frequency_order(encoded: DataFrame, vocabulary: int) -> np.ndarray:
     return np.lexsort((np.arange(vocabulary), -counts)).astype("<u4")
 
 
-SEGMENT = ("part int, seq int, before long, doc_ids array<long>, lens array<int>, n_tokens long, control binary, data binary")
+SEGMENT = "part int, before long, doc_ids array<long>, lens array<int>, n_tokens long, control binary, data binary"
 
 
 def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 2, segment_tokens: int = 1 << 20) -> None:
     """Encode ``docs`` and write ``out``/segments and ``out``/order.
 
     ``segments`` holds the files: each row is a segment of whole documents in ascending doc_id order (null ids first)
-    with its control bytes and, apart from them, its data bytes; ``part`` and ``seq`` number the segments in order,
-    ``before`` counts the part's ids ahead of a segment. ``order`` holds the ids by frequency rank. Spark writes both,
-    so any store that it reaches will do, and a lost task is written again. Repeated rows are written once each; an
-    empty table gives empty files."""
+    with its control bytes and, apart from them, its data bytes; ``part`` and ``before``, the part's ids ahead of the
+    segment, order the segments. ``order`` holds the ids by frequency rank. Spark writes both, so any store that it
+    reaches will do, and a lost task is written again. Repeated rows are written once each; an empty table gives empty
+    files. The texts are dealt by ranges of ``doc_id`` first and encoded once, in order; ranks follow from all ids."""
     spark = docs.sparkSession
-    from tagloom.llm.bpe_tables import tokenizer
-
     vocabulary = max(tokenizer(path)[0].get_vocab_size(with_added_tokens=True), end_id + 1)
-    raw = f"{out}/encoded"
-    encode(docs, path, end_id).write.option("compression", "zstd").parquet(raw)
-    encoded = spark.read.parquet(raw)
+    encode(docs, path, end_id).write.option("compression", "zstd").parquet(f"{out}/encoded")
+    encoded = spark.read.schema(ENCODED).parquet(f"{out}/encoded")
     order = frequency_order(encoded, vocabulary)
     rank = np.empty(vocabulary, "<u4")
     rank[order] = np.arange(vocabulary, dtype="<u4")
     spark.createDataFrame([(order.tobytes(),)], "ids binary").write.parquet(f"{out}/order")
 
-    def recode(rows):  # ranks as separate control and data bytes are smaller than ids: that is what is shuffled
-        for batch in rows:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                got = [pack(rank[np.frombuffer(x.as_buffer(), "<u4")]) for x in part.column("ids")]
-                n = [len(x.as_buffer()) // 4 for x in part.column("ids")]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n, pa.int32()), pa.array([c for c, _ in got], pa.binary()),
-                     pa.array([d for _, d in got], pa.binary())], names=["doc_id", "n", "control", "data"])
-
     def segments(rows):
-        part, seq, before = TaskContext.get().partitionId(), 0, 0
-        held, tokens = [], 0
-
-        def segment():
-            values = [unpack(c, d, n) for _, n, c, d in held]
-            control, data = pack(np.concatenate(values))
-            lists = [[x[0] for x in held]], [[x[1] for x in held]]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([before], pa.int64()),
-                 pa.array(lists[0], pa.list_(pa.int64())), pa.array(lists[1], pa.list_(pa.int32())),
-                 pa.array([tokens], pa.int64()), pa.array([control], pa.binary()), pa.array([data], pa.binary())],
-                names=["part", "seq", "before", "doc_ids", "lens", "n_tokens", "control", "data"])
+        for batch in rows:  # rows of a batch follow each other in one part
+            ids = batch.column("ids")
+            n = (pc.binary_length(ids).to_numpy() // 4).astype(np.int64)
+            part = batch.column("part").to_numpy()
+            start = 0
+            while start < batch.num_rows:
+                end, held = start, 0
+                while end < batch.num_rows and part[end] == part[start] and (end == start or held + n[end] <= segment_tokens):
+                    held += int(n[end])
+                    end += 1
+                raw = b"".join(x.as_buffer() for x in ids.slice(start, end - start))
+                control, data = pack(rank[np.frombuffer(raw, "<u4")])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(part[start])], pa.int32()), batch.column("before").slice(start, 1),
+                     pa.array([batch.column("doc_id").slice(start, end - start).to_pylist()], pa.list_(pa.int64())),
+                     pa.array([n[start:end].astype(np.int32)], pa.list_(pa.int32())), pa.array([held], pa.int64()),
+                     pa.array([control], pa.binary()), pa.array([data], pa.binary())], names=[c.split()[0] for c in SEGMENT.split(", ")])
+                start = end
 
-        for batch in rows:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "control", "data"))):
-                if held and tokens + row[1] > segment_tokens:
-                    yield segment()
-                    seq, before, held, tokens = seq + 1, before + tokens, [], 0
-                held.append(row)
-                tokens += row[1]
-        if held:
-            yield segment()
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = encoded.mapInArrow(recode, "doc_id long, n int, control binary, data binary")
-    packed.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id").mapInArrow(segments, SEGMENT) \
-        .write.option("compression", "none").parquet(f"{out}/segments")
+    encoded.mapInArrow(segments, SEGMENT).write.option("compression", "none").parquet(f"{out}/segments")
 
 
 def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:

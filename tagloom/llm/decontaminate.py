@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import ALNUM, id_text, lower_az, words
-from tagloom.session import is_small
+from tagloom.llm.common import ALNUM, ALNUM_ANY_CASE, LOWER, UPPER, id_text, lower_az, words
+from tagloom.session import is_small, materialize
 
 #: Beyond so many windows (each 10 short words and a few numbers: below 500 MB) the windows are not broadcast.
 BROADCAST_WINDOWS = 500_000
@@ -20,34 +20,45 @@ def item_windows(benchmark: DataFrame, span: int = 10) -> DataFrame:
     return items.select("item_id", F.explode(runs).alias("win")).distinct()
 
 
+#: Ends every document's words, so that one pass tells their number too. No word has this character.
+END = "\x00"
+
+
 def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """``doc_id, win, start, span``: where the distinct ``windows`` (one column ``win``) stand in ``docs``
-    (``doc_id, w``: its words).
+    """``doc_id, win, start, span``: where the distinct ``windows`` (one column ``win``) stand in ``docs`` (``doc_id, w``:
+    its words as they are written); and a row for each document with a null ``win`` and the number of words as ``start``. ``win`` comes back as text, its words joined by a space.
 
     Prefix filter: the words of a window are ordered by how often the whole corpus has them. All must occur, so the
     rarest one alone (its first place in the window) is the necessary prefix; only the corpus's occurrences of these
-    words become candidates. Then the bounds: the window must begin and end inside the text. Last, the words are
-    compared one by one. Every occurrence is found once."""
+    words become candidates. Candidates are found under ``lower``, which equates no less than A-Z lower-casing does.
+    Then the bounds: the window must begin and end inside the text. Last, its words, A-Z lower-cased, are compared one
+    by one. Every occurrence is found once."""
     small = is_small(windows, BROADCAST_WINDOWS)
     hint = F.broadcast if small else (lambda df: df)
-    vocabulary = windows.select(F.explode("win").alias("tok")).distinct()
+    tokens = F.transform("win", F.lower)
+    vocabulary = windows.select(F.explode(tokens).alias("tok")).distinct()
     # the outer form: the plain one would make Spark test the words' number, and so split every text twice
-    counts = docs.select(F.explode_outer("w").alias("tok")).join(hint(vocabulary), "tok").groupBy("tok").count()
-    if not small:
-        windows = windows.repartition("win")
+    counts = docs.select(F.explode_outer("w").alias("tok")).select(F.lower("tok").alias("tok")) \
+        .join(hint(vocabulary), "tok").groupBy("tok").count()
     rarest = Window.partitionBy("win").orderBy("count", "tok", "off")
-    prefix = windows.select("win", F.posexplode("win").alias("off", "tok")).join(counts, "tok") \
-        .withColumn("rn", F.row_number().over(rarest)).where("rn = 1") \
-        .select("tok", "off", "win", F.size("win").alias("span"))
+    named = windows.select(F.array_join("win", " ").alias("win"), F.size("win").alias("span"), tokens.alias("toks"))  # no word has a space
+    prefix = named.select("win", "span", F.posexplode("toks").alias("off", "tok")).join(counts, "tok") \
+        .withColumn("rn", F.row_number().over(rarest)).where("rn = 1").select("tok", "off", "win", "span")
+    end = docs.sparkSession.range(1).select(F.lit(END).alias("tok"), F.lit(0).alias("off"), F.lit(None).cast("string").alias("win"),
+                                            F.lit(0).alias("span"))
+    prefix = materialize(prefix.union(end), "rare-words")
     start = F.col("pos") - F.col("off")
     fits = (start >= 0) & (start + F.col("span") <= F.size("w"))
-    if small:
-        cand = docs.select("doc_id", "w", F.posexplode_outer("w").alias("pos", "tok")).join(F.broadcast(prefix), "tok")
-        found = cand.where(fits & (F.slice("w", start + 1, F.col("span")) == F.col("win")))
-    else:  # the texts stay out of the candidate join and meet the candidates by document
-        cand = docs.select("doc_id", F.posexplode_outer("w").alias("pos", "tok")).join(prefix, "tok")
-        found = cand.join(docs, "doc_id").where(fits & (F.slice("w", start + 1, F.col("span")) == F.col("win")))
-    return found.select("doc_id", "win", start.alias("start"), "span")
+    # compared as text: functions with lambdas would take the join out of compiled code, and then every word of a text
+    # would be a row with a copy of all its words
+    here = F.translate(F.array_join(F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("span")), " "), UPPER, LOWER)
+    same = F.col("win").isNull() | F.coalesce(fits & (here == F.col("win")), F.lit(False))
+    ended = docs.select("doc_id", "w", F.concat("w", F.array(F.lit(END))).alias("e"))
+    cand = ended.select(*(["doc_id", "w"] if small else ["doc_id"]), F.posexplode_outer("e").alias("pos", "tok")) \
+        .withColumn("tok", F.lower("tok")).join(hint(prefix), "tok")
+    if not small:  # the texts stay out of the candidate join and meet the candidates by document
+        cand = cand.join(docs, "doc_id", "left")
+    return cand.where(same).select("doc_id", "win", start.alias("start"), "span")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = 10) -> DataFrame:
@@ -55,19 +66,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = 10) -> Data
 
     Null texts have no words; a null ``item_id`` hits but is no item. Documents that share a ``doc_id`` share their
     hits. An empty benchmark leaves every document clean."""
-    texts = id_text(docs).select("doc_id", words(lower_az(F.col("text")), ALNUM).alias("w"))
-    windows = item_windows(benchmark, span)
-    found = occurrences(texts, windows.select("win").distinct())
+    texts = id_text(docs).select("doc_id", words(F.col("text"), ALNUM_ANY_CASE).alias("w"))
+    windows = materialize(item_windows(benchmark, span), "windows")
+    rows = materialize(occurrences(texts, windows.select("win").distinct()), "occurrences")
+    found = rows.where("win is not null")
     # a word inside several windows is hit once; runs that overlap are cut at the next start
     spans = found.groupBy("doc_id", "start").agg(F.max("span").alias("span"))
     hits = spans.select("doc_id", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("span") - 1)).alias("pos")) \
         .groupBy("doc_id", "pos").agg(F.lit(1).alias("one")).groupBy("doc_id").agg(F.count("*").alias("n_hit"))
-    items = found.select("doc_id", "win").distinct().join(windows, "win").select("doc_id", "item_id").distinct() \
+    items = found.select("doc_id", "win").distinct().join(windows.withColumn("win", F.array_join("win", " ")), "win").select("doc_id", "item_id").distinct() \
         .groupBy("doc_id").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     hit = hits.join(items.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left") \
         .select(F.col("doc_id").alias("_id"), "n_hit", "items")
     none = F.array().cast("array<string>")
-    return texts.select("doc_id", F.size("w").cast("long").alias("n_words")) \
+    return rows.where("win is null").select("doc_id", F.col("start").cast("long").alias("n_words")) \
         .join(hit, F.col("doc_id").eqNullSafe(F.col("_id")), "left") \
         .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                 F.size(F.coalesce("items", none)).cast("long").alias("n_items"),

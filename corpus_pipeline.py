@@ -58,7 +58,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def bpe_encode_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` (little-endian uint32) and the ``text`` decoded from them."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    both = bpe.decode(bpe.encode(docs, path), path)
+    both = bpe.encode(docs, path, decoded=True)
     return both.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "text")
 
 

@@ -15,6 +15,10 @@ from tagloom.session import materialize
 SALTS = 16
 
 
+def _salts() -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+
+
 def _repeat_words(hashes: Column, span: int) -> Column:
     """Words covered by windows whose hash occurs at least twice. ``hashes``: one per window, in text order.
 
@@ -90,7 +94,7 @@ def quality(docs: DataFrame, min_words: int = 10, max_repeat_pct: int = 20, max_
     A null ``source`` has no host: only the document's own rules decide. Equal rows give equal rows, an empty table an
     empty one. The hosts are joined back under a salt, so a host with a third of the documents is split over tasks."""
     rules = materialize(document_rules(docs, min_words, max_repeat_pct), "quality-rules")
-    hosts = host_verdicts(rules, max_host_rate).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hosts = host_verdicts(rules, max_host_rate).withColumn("salt", _salts())
     salted = rules.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int"))
     return salted.join(hosts, ["host", "salt"], "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -104,7 +108,8 @@ def keep_good(docs: DataFrame, **options) -> DataFrame:
     key = lambda: (F.xxhash64("source", "text"), F.hash("text", "source", F.length("text")))
     a, b = key()
     rules = materialize(document_rules(ship, **{k: v for k, v in options.items() if k != "max_host_rate"}, extra=[a.alias("k1"), b.alias("k2")]), "quality-rules")
-    bad = host_verdicts(rules, **{k: v for k, v in options.items() if k == "max_host_rate"}).where("host_rejected").select("host", F.lit(True).alias("out"))
-    gone = rules.join(bad, "host", "left").where(F.col("base_failed") | F.col("out")).select("k1", "k2").distinct()
+    bad = host_verdicts(rules, **{k: v for k, v in options.items() if k == "max_host_rate"}).where("host_rejected").select("host", F.lit(True).alias("out"), _salts().alias("salt"))
+    salted = rules.withColumn("salt", F.pmod("k1", F.lit(SALTS)).cast("int"))
+    gone = salted.join(bad, ["host", "salt"], "left").where(F.col("base_failed") | F.col("out")).select("k1", "k2").distinct()
     a, b = key()
     return docs.join(gone, (a == F.col("k1")) & (b == F.col("k2")), "left_anti")

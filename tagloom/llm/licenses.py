@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import ALNUM, lower_az, words
+from tagloom.session import materialize
 
 # The wording of common license notices.
 TEMPLATES = [
@@ -79,9 +80,12 @@ def scan(docs: DataFrame, templates: DataFrame, shingle: int = 5, containment: f
     n_bands = bands_for(containment, 4, miss)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # cheap test of the whole text first; the word test after it decides
-    parts = "|".join(sorted(anchors))
-    texts = texts.where(F.col("text").rlike(f"(?i)({parts})")) \
+    low, some = F.lower("text"), F.lit(False)
+    for x in sorted(anchors):
+        some = some | F.contains(F.col("low"), F.lit(x.lower()))
+    texts = texts.withColumn("low", low).where(some) \
         .select("doc_id", words(lower_az(F.col("text")), ALNUM).alias("w")).where(F.arrays_overlap("w", held))
+    texts = materialize(texts, "license-texts")  # read once, however many classes there are
     out = None
     for c in classes:
         width = 2 << (c + 1)  # shingles in a window

@@ -10,6 +10,7 @@ NON_WORD = r"[^\p{L}\p{N}_\t\n\x0B\f\r ]"
 HTML_BLOCKS = r"(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>"
 HTML_TAG = r"<[^>]*>"
 HTML_TITLE = r"(?is)<title[^>]*>(.*?)</title>"
+CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"),
             ("&middot;", "·"), ("&amp;", "&")]
 
@@ -31,9 +32,14 @@ def delims(x: str) -> str:
 
 
 def repair(x: str) -> str:
-    latin1 = f"unhex(array_to_string(list_transform(string_split({x}, ''), lambda c: printf('%02x', unicode(c))), ''))"
-    return (f"CASE WHEN regexp_matches({x}, '[\\xC2-\\xF4][\\x80-\\xBF]') AND regexp_full_match({x}, '[\\x00-\\xFF]*', 's') "
-            f"THEN coalesce(try(decode({latin1})), {x}) ELSE {x} END")
+    controls = "".join(chr(ch.encode("cp1252")[0]) for ch in CP1252)
+    cont = f"[\x80-\xBF{CP1252}]"
+    seq = f"(?:[\xC2-\xDF]{cont}|[\xE0-\xEF]{cont}{{2}}|[\xF0-\xF4]{cont}{{3}})"
+    raw = ("unhex(array_to_string(list_transform(string_split(translate(p, '" + CP1252 + "', '" + controls
+           + "'), ''), lambda c: printf('%02x', unicode(c))), ''))")
+    mend = f"CASE WHEN regexp_full_match(p, '{seq}+') THEN coalesce(try(decode({raw})), p) ELSE p END"
+    return (f"CASE WHEN regexp_matches({x}, '{seq}') THEN array_to_string(list_transform(regexp_extract_all({x}, "
+            f"'{seq}+|[^\xC2-\xF4]+|[\xC2-\xF4]'), lambda p: {mend}), '') ELSE {x} END")
 
 
 def unescape(x: str) -> str:

@@ -28,8 +28,14 @@ HTML_ENTITIES = [
     ("&middot;", "·"),
     ("&amp;", "&"),  # last, so '&amp;lt;' unescapes once to '&lt;'
 ]
-LATIN1_ONLY = r"^[\x00-\xFF]*$"
-UTF8_PAIR = r"[\xC2-\xF4][\x80-\xBF]"  # a lead char followed by a continuation char: mojibake is possible
+# Windows-1252 characters of the bytes 80-9F (five bytes have none) and the control characters of the same bytes
+CP1252_CHARS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+CP1252_CONTROLS = "".join(chr(ch.encode("cp1252")[0]) for ch in CP1252_CHARS)
+_CONT = "[\x80-\xBF" + CP1252_CHARS + "]"
+UTF8_SEQUENCE = f"(?:[\xC2-\xDF]{_CONT}|[\xE0-\xEF]{_CONT}{{2}}|[\xF0-\xF4]{_CONT}{{3}})"
+UTF8_RUN = f"^{UTF8_SEQUENCE}+$"
+# a text is cut into runs of sequences, runs without lead characters, and single lead characters
+UTF8_PIECES = f"{UTF8_SEQUENCE}+|[^\xC2-\xF4]+|[\xC2-\xF4]"
 
 
 def _c(col) -> Column:
@@ -54,11 +60,18 @@ def after_first_line(text) -> Column:
 
 
 def repair_encoding(text) -> Column:
-    """Undo UTF-8 read as Latin-1 ('cafÃ©' -> 'café'); text that is not such mojibake is returned unchanged."""
+    """Undo UTF-8 read as Latin-1 or Windows-1252 ('cafÃ©' -> 'café', 'itâ€™s' -> 'it’s').
+
+    Only runs of characters that form UTF-8 sequences are changed, so other characters of the text, whatever they
+    are, neither block the repair nor change. A run that is no valid UTF-8 stays."""
     t = _c(text)
-    fixed = F.try_validate_utf8(F.encode(t, "ISO-8859-1").cast("string"))
-    # Without a lead/continuation pair the Latin-1 bytes are never valid multi-byte UTF-8, so the text stays.
-    return F.when(t.rlike(UTF8_PAIR) & t.rlike(LATIN1_ONLY), F.coalesce(fixed, t)).otherwise(t)
+
+    def mend(piece: Column) -> Column:
+        raw = F.encode(F.translate(piece, CP1252_CHARS, CP1252_CONTROLS), "ISO-8859-1")
+        return F.when(piece.rlike(UTF8_RUN), F.coalesce(F.try_validate_utf8(raw.cast("string")), piece)).otherwise(piece)
+
+    pieces = F.regexp_extract_all(t, F.lit(UTF8_PIECES), F.lit(0))
+    return F.when(t.rlike(UTF8_SEQUENCE), F.array_join(F.transform(pieces, mend), "")).otherwise(t)
 
 
 def strip_delimiters(text) -> Column:

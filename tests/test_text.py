@@ -49,3 +49,19 @@ def test_strip_html(spark):
 def test_joined_empty(spark):
     df = spark.createDataFrame([([],), (None,), (["a", "b"],)], "x array<string>")
     assert sorted(r[0] for r in df.select(T.joined("x")).collect()) == ["", "", "a b"]
+
+
+def test_repair_encoding_mends_runs_only(spark):
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from oracle.duckdb_sql import repair
+    from tagloom.functions.text import repair_encoding
+
+    pairs = [("itâ€™s cafÃ©", "it’s café"), ("cafÃ© “ok” 你好", "café “ok” 你好"), ("café", "café"), ("Ã", "Ã"),
+             ("à€€ Ã©\nÃ¼", "à€€ é\nü"), ("", ""), (None, None)]
+    df = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(pairs)], "i int, t string")
+    got = {r["i"]: r["u"] for r in df.select("i", repair_encoding(F.col("t")).alias("u")).collect()}
+    assert [got[i] for i in range(len(pairs))] == [b for _, b in pairs]
+    for a, b in pairs:
+        assert duckdb.execute(f"SELECT {repair('t')} FROM (SELECT ?::VARCHAR AS t)", [a]).fetchall() == [(b,)]

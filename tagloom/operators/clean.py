@@ -7,21 +7,24 @@ two plans:
 * inline (lexicons of at most ``INLINE_LEXICON_ROWS`` rows, counted by one bounded collect): the lexicon becomes a
   literal set tested inside ``filter`` / ``transform`` over each document's token array (``isin`` is planned as a
   hash-set InSet) — a narrow step, no explode and no shuffle of the corpus tokens;
-* long form (larger lexicons, or lemma forms with several lemmas): one posexplode, hash joins against the lexicons
-  (broadcast only after a counted size check, otherwise a shuffle join that AQE can split on skew), and a single
-  rebuild per document ordered by pos. A document with no surviving token keeps an empty array (null markers, not
-  dropped rows).
+* long form (larger lexicons): the tokens are written once under a row number, then one posexplode, hash joins
+  against the lexicons (broadcast only after a counted size check, otherwise a shuffle join that AQE can split on
+  skew), and a single rebuild per row ordered by pos. A document with no surviving token keeps an empty array (null
+  markers, not dropped rows).
+
+Both give the same rows, also for repeated ids. A null token array counts as empty. A form with several lemmas of one
+part of speech takes the smallest. An entity of several words marks every token of each of its occurrences.
 """
 
 from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions import text as T
-from tagloom.session import is_small, maybe_broadcast
+from tagloom.session import is_small, materialize, maybe_broadcast
 
 # fixed value: the languages shipped with Spark's StopWordsRemover
 STOP_LANGUAGES = [
@@ -41,28 +44,33 @@ def default_stop_words() -> tuple[str, ...]:
     return tuple(sorted(words))
 
 
-def _word_list(words, col: str = "word", max_rows: int = 200_000) -> list[str]:
+def _word_list(words) -> list[str]:
     if words is None:
         return list(default_stop_words())
-    if isinstance(words, DataFrame):
-        if not is_small(words, max_rows):
-            raise ValueError(f"stop list larger than {max_rows} rows; use clean_data (join form)")
-        return [r[0] for r in words.select(col).collect()]
+    if isinstance(words, DataFrame):  # the caller has checked its size
+        return [r[0] for r in words.select(words.columns[0]).collect() if r[0] is not None]
     return list(words)
 
 
 def remove_stopwords(df: DataFrame, tokens_col: str = "tokens", stop_words=None, out_col: str | None = None,
                      case_sensitive: bool = True) -> DataFrame:
     """Drop tokens found in the stop list (default: all languages), order kept. Runs as MLlib's
-    StopWordsRemover (JVM hash set per task, no shuffle)."""
+    StopWordsRemover (JVM hash set per task, no shuffle); a list table of more than ``INLINE_LEXICON_ROWS`` rows is
+    joined instead."""
     from pyspark.ml.feature import StopWordsRemover
 
     out = out_col or tokens_col
     tmp = f"__{out}_nostop"
-    remover = StopWordsRemover(inputCol=tokens_col, outputCol=tmp, stopWords=_word_list(stop_words),
-                               caseSensitive=case_sensitive, locale="en_US")
-    res = remover.transform(df)
-    return res.drop(out).withColumnRenamed(tmp, out) if out in df.columns else res.withColumnRenamed(tmp, out)
+    full = df.withColumn("__tokens", F.coalesce(F.col(tokens_col), F.array().cast("array<string>")))
+    if isinstance(stop_words, DataFrame) and not is_small(stop_words, INLINE_LEXICON_ROWS):
+        full = keyed(full)
+        long_df = apply_stop_words(explode_tokens(full, ROW, "__tokens"), stop_words, case_sensitive)
+        res = full.join(rebuild_tokens(long_df, ROW, out=tmp), ROW).drop(ROW)
+    else:
+        remover = StopWordsRemover(inputCol="__tokens", outputCol=tmp, stopWords=_word_list(stop_words),
+                                   caseSensitive=case_sensitive, locale="en_US")
+        res = remover.transform(full)
+    return res.drop("__tokens", out).withColumnRenamed(tmp, out)
 
 
 # ------------------------------------------------------------------ inline token steps (small lexicons)
@@ -80,10 +88,10 @@ def inline_lexicons(entities: DataFrame | None = None, stop_words=None, lemmas:
     """Literal forms of the lexicons for the inline plan, or None when any of them needs the join plan."""
     out = {"ent": None, "stop": None, "lem": None}
     if entities is not None:
-        rows = _bounded_rows(entities, ["phrase", "type"])
+        rows = _bounded_rows(entity_phrases(entities), ["phrase"])
         if rows is None:
             return None
-        out["ent"] = sorted({p for p, t in rows if t != "DATE" and p is not None})
+        out["ent"] = sorted({r[0] for r in rows})
     if stop_words is not None:
         if isinstance(stop_words, DataFrame):
             rows = _bounded_rows(stop_words, [stop_words.columns[0]])
@@ -96,19 +104,54 @@ def inline_lexicons(entities: DataFrame | None = None, stop_words=None, lemmas:
         rows = _bounded_rows(lemmas, ["form", "pos", "lemma"])
         if rows is None:
             return None
-        lem = {}
-        for pos in ("noun", "verb"):
-            pairs = [(f, l) for f, p, l in rows if p == pos and f is not None]
-            if len({f for f, _ in pairs}) != len(pairs):
-                return None  # a form with several lemmas multiplies tokens in the join plan: keep that plan
-            lem[pos] = dict(pairs)
+        lem = {"noun": {}, "verb": {}}
+        for f, p, l in rows:
+            if p in lem and f is not None and l is not None:
+                lem[p][f] = min(l, lem[p].get(f, l))
         out["lem"] = lem
     return out
 
 
+def entity_phrases(entities: DataFrame) -> DataFrame:
+    """(phrase, n): lower-case phrases with single blanks and their word counts; dates are no entities here."""
+    words = T.whitespace_tokens(F.lower("phrase"))
+    return entities.filter(~F.col("type").eqNullSafe("DATE")).select(
+        F.array_join(words, " ").alias("phrase"), F.size(words).alias("n")).filter("n > 0").distinct()
+
+
+def _let(value, fn):
+    """``fn`` of a column that is computed once per row (a lambda's body would compute it per element)."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def inline_entity_case(arr, ents):
-    """C8 on a token array: entity tokens (lower-case form in ``ents``) upper-cased, all others lower-cased."""
-    return F.transform(arr, lambda t: F.when(F.lower(t).isin(ents), F.upper(t)).otherwise(F.lower(t)))
+    """C8 on a token array: tokens inside an occurrence of a phrase of ``ents`` (lower case, words separated by one
+    blank) upper-cased, all others lower-cased."""
+    by_len: dict[int, list[str]] = {}
+    for p in ents:
+        by_len.setdefault(p.count(" ") + 1, []).append(p)
+    if set(by_len) <= {1}:
+        return F.transform(arr, lambda t: F.when(F.lower(t).isin(ents), F.upper(t)).otherwise(F.lower(t)))
+    lengths = sorted(by_len)
+
+    def starts(low, n):
+        return F.transform(low, lambda t, i: F.array_join(F.slice(low, i + 1, F.lit(n)), " ").isin(by_len[n]))
+
+    def inside(hits, i):
+        marks = [F.exists(F.slice(hits[j], F.greatest(i - n + 2, F.lit(1)), F.least(i + 1, F.lit(n))), lambda x: x)
+                 for j, n in enumerate(lengths)]
+        found = marks[0]
+        for m in marks[1:]:
+            found = found | m
+        return found
+
+    def cased(raw):
+        low = F.transform(raw, F.lower)
+        hits = _let(low, lambda lw: F.array(*[starts(lw, n) for n in lengths]))
+        return _let(hits, lambda h: F.transform(
+            raw, lambda t, i: F.when(inside(h, i), F.upper(t)).otherwise(F.lower(t))))
+
+    return _let(arr, cased)
 
 
 def inline_stop_words(arr, words):
@@ -146,6 +189,15 @@ def inline_token_steps(arr, lex: dict, ner: bool, rem_stopwords: bool, lemmatize
 
 
 # ------------------------------------------------------------------ long-form token steps
+ROW = "__row"
+
+
+def keyed(df: DataFrame) -> DataFrame:
+    """``df`` under a row number, written once: ids may repeat, and a number made in a plan would change when a lost
+    executor's part is computed again."""
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "token_rows")
+
+
 def explode_tokens(df: DataFrame, id_col: str, tokens_col: str, keep=()) -> DataFrame:
     """(id, keep..., pos, tok); posexplode_outer keeps one marker row for documents without tokens."""
     return df.select(id_col, *keep, F.posexplode_outer(tokens_col).alias("pos", "tok"))
@@ -161,22 +213,35 @@ def rebuild_tokens(long_df: DataFrame, id_col: str, keep=(), out: str = "tokens"
 
 
 def apply_entity_case(long_df: DataFrame, entities: DataFrame | None) -> DataFrame:
-    """C8 on the long form: tokens that are entities (type other than DATE) upper-cased, all others lower-cased.
-    ``entities`` is (phrase, type) in lower case."""
+    """C8 on the long form: tokens inside an occurrence of an entity (type other than DATE) upper-cased, all others
+    lower-cased. ``entities`` is (phrase, type). One join per word count that phrases have."""
     if entities is None:
         return long_df.withColumn("tok", F.lower("tok"))
-    ents = maybe_broadcast(entities.filter(F.col("type") != "DATE").select(F.col("phrase").alias("__ent")).distinct())
-    j = long_df.join(ents, F.lower(long_df["tok"]) == ents["__ent"], "left")
-    return j.withColumn("tok", F.when(F.col("__ent").isNotNull(), F.upper("tok")).otherwise(F.lower("tok"))).drop(
-        "__ent"
-    )
-
-
-def apply_stop_words(long_df: DataFrame, stop_words) -> DataFrame:
-    """C7 on the long form: stop words become null markers (case-sensitive)."""
+    phrases = entity_phrases(entities)
+    lengths = sorted(r[0] for r in phrases.select("n").distinct().collect())  # word counts, a few values
+    w = Window.partitionBy(ROW).orderBy("pos")  # one document's tokens
+    out = long_df.withColumn("__in", F.lit(False))
+    for n in lengths:
+        ents = maybe_broadcast(phrases.filter(F.col("n") == n).select(F.col("phrase").alias("__ent")))
+        gram = F.lower("tok")
+        if n > 1:
+            gram = F.array_join(F.collect_list(gram).over(w.rowsBetween(0, n - 1)), " ")
+        out = out.withColumn("__gram", gram).join(ents, F.col("__gram") == F.col("__ent"), "left")
+        hit = F.col("__ent").isNotNull()
+        if n > 1:
+            hit = F.max(hit).over(w.rowsBetween(1 - n, 0))
+        out = out.withColumn("__in", F.col("__in") | hit).drop("__gram", "__ent")
+    return out.withColumn("tok", F.when(F.col("__in"), F.upper("tok")).otherwise(F.lower("tok"))).drop("__in")
+
+
+def apply_stop_words(long_df: DataFrame, stop_words, case_sensitive: bool = True) -> DataFrame:
+    """C7 on the long form: stop words become null markers."""
     if isinstance(stop_words, DataFrame):
-        stops = maybe_broadcast(stop_words.select(F.col(stop_words.columns[0]).alias("__stop")).distinct())
-        j = long_df.join(stops, long_df["tok"] == stops["__stop"], "left")
+        word, tok = F.col(stop_words.columns[0]), F.col("tok")
+        if not case_sensitive:
+            word, tok = F.lower(word), F.lower(tok)
+        stops = maybe_broadcast(stop_words.select(word.alias("__stop")).distinct())
+        j = long_df.join(stops, tok == F.col("__stop"), "left")
         return j.withColumn("tok", F.when(F.col("__stop").isNull(), F.col("tok"))).drop("__stop")
     words = _word_list(stop_words)
     return long_df.withColumn("tok", F.when(~F.col("tok").isin(words), F.col("tok")))  # InSet: hash lookup
@@ -184,11 +249,11 @@ def apply_stop_words(long_df: DataFrame, stop_words) -> DataFrame:
 
 def apply_lemmas(long_df: DataFrame, lemmas: DataFrame) -> DataFrame:
     """C9 on the long form: noun lemma of the token, then verb lemma of the result; unknown forms stay.
-    ``lemmas`` is (form, pos in {noun, verb}, lemma)."""
+    ``lemmas`` is (form, pos in {noun, verb}, lemma); the smallest lemma of a form counts."""
     out = long_df
     for pos in ("noun", "verb"):
         lex = maybe_broadcast(
-            lemmas.filter(F.col("pos") == pos).select(F.col("form").alias("__form"), F.col("lemma").alias("__lemma"))
+            lemmas.filter(F.col("pos") == pos).groupBy(F.col("form").alias("__form")).agg(F.min("lemma").alias("__lemma"))
         )
         out = (
             out.join(lex, out["tok"] == lex["__form"], "left")
@@ -204,8 +269,8 @@ def entity_uppercase(df: DataFrame, entities: DataFrame, id_col: str = "id", tok
     if lex is not None:
         arr = F.coalesce(F.col(tokens_col), F.array().cast("array<string>"))
         return df.select(id_col, inline_entity_case(arr, lex["ent"]).alias(tokens_col))
-    long_df = apply_entity_case(explode_tokens(df, id_col, tokens_col), entities)
-    return rebuild_tokens(long_df, id_col, out=tokens_col)
+    long_df = explode_tokens(keyed(df.select(id_col, tokens_col)), ROW, tokens_col, (id_col,))
+    return rebuild_tokens(apply_entity_case(long_df, entities), ROW, (id_col,), tokens_col).drop(ROW)
 
 
 def lemmatize(df: DataFrame, lemmas: DataFrame, id_col: str = "id", tokens_col: str = "tokens") -> DataFrame:
@@ -214,8 +279,8 @@ def lemmatize(df: DataFrame, lemmas: DataFrame, id_col: str = "id", tokens_col:
     if lex is not None:
         arr = F.coalesce(F.col(tokens_col), F.array().cast("array<string>"))
         return df.select(id_col, inline_lemmas(arr, lex["lem"]).alias(tokens_col))
-    long_df = apply_lemmas(explode_tokens(df, id_col, tokens_col), lemmas)
-    return rebuild_tokens(long_df, id_col, out=tokens_col)
+    long_df = explode_tokens(keyed(df.select(id_col, tokens_col)), ROW, tokens_col, (id_col,))
+    return rebuild_tokens(apply_lemmas(long_df, lemmas), ROW, (id_col,), tokens_col).drop(ROW)
 
 
 # ------------------------------------------------------------------ the chain
@@ -254,14 +319,14 @@ def clean_data(df: DataFrame, text_col: str = "ttl_ctxt", id_col: str = "id", ke
     if token_steps and lex is not None:  # small lexicons: narrow array steps, no shuffle
         base = base.withColumn("__toks", inline_token_steps(F.col("__toks"), lex, ner, rem_stopwords, lemmatize))
     elif token_steps:
-        long_df = explode_tokens(base, id_col, "__toks", keep)
+        long_df = explode_tokens(keyed(base), ROW, "__toks", (id_col, *keep))
         if ner:
             long_df = apply_entity_case(long_df, entities)
         if rem_stopwords:
             long_df = apply_stop_words(long_df, stop_words)
         if lemmatize:
             long_df = apply_lemmas(long_df, lemmas)
-        base = rebuild_tokens(long_df, id_col, keep, out="__toks")
+        base = rebuild_tokens(long_df, ROW, (id_col, *keep), out="__toks").drop(ROW)
     if order == "legacy":
         t = F.array_join("__toks", " ")
         if html:

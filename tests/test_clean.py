@@ -89,3 +89,34 @@ def test_prep_variants_one_pass_equals_per_config(spark):
     one = {r["config"]: r.asDict() for r in clean.prep_variants(posts, stops, ents, lem).collect()}
     per = {r["config"]: r.asDict() for r in clean._prep_variants_per_config(posts, stops, ents, lem, 3, grid).collect()}
     assert one == per and len(one) == 8
+
+
+def test_null_tokens_repeated_ids_and_ambiguous_lemmas(spark, monkeypatch):
+    df = spark.createDataFrame([(1, ["Cat"]), (1, ["a", "Dog"]), (2, ["leaves", "fall"]), (3, None), (3, None)],
+                               "id long, tokens array<string>")
+    lem = spark.createDataFrame([("leaves", "noun", "leave"), ("leaves", "noun", "leaf"), ("fall", "noun", None)],
+                                "form string, pos string, lemma string")
+    ents = spark.createDataFrame([("dog", None), ("cat", "DATE")], "phrase string, type string")
+    stops = spark.createDataFrame([("a",), (None,)], "word string")
+
+    def run():
+        return [rows(clean.lemmatize(df, lem)), rows(clean.entity_uppercase(df, ents)),
+                rows(clean.remove_stopwords(df, "tokens", stops), "id", "tokens")]
+
+    inline = run()
+    assert inline[0] == [(1, ["Cat"]), (1, ["a", "Dog"]), (2, ["leaf", "fall"]), (3, []), (3, [])]
+    assert inline[1] == [(1, ["a", "DOG"]), (1, ["cat"]), (2, ["leaves", "fall"]), (3, []), (3, [])]
+    assert inline[2] == [(1, ["Cat"]), (1, ["Dog"]), (2, ["leaves", "fall"]), (3, []), (3, [])]
+    monkeypatch.setattr(clean, "INLINE_LEXICON_ROWS", 0)
+    assert run() == inline
+
+
+def test_entities_of_several_words(spark, monkeypatch):
+    df = spark.createDataFrame([(1, ["In", "New", "York", "City", "new", "york"]), (2, ["new"]), (3, [])],
+                               "id long, tokens array<string>")
+    ents = spark.createDataFrame([("new york", "GPE"), ("New  York City", "GPE"), ("IN", "X"), ("york new", "DATE")],
+                                 "phrase string, type string")
+    want = [(1, ["IN", "NEW", "YORK", "CITY", "NEW", "YORK"]), (2, ["new"]), (3, [])]
+    assert rows(clean.entity_uppercase(df, ents)) == want
+    monkeypatch.setattr(clean, "INLINE_LEXICON_ROWS", 0)
+    assert rows(clean.entity_uppercase(df, ents)) == want

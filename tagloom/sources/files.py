@@ -22,15 +22,34 @@ POST_CSV_SCHEMA = T.StructType([
 FILE_STEM = r"([^/.]+)[^/]*(/part-[^/]*)?$"
 # a Hive-style partition folder written by write_posts_by_thread
 THREAD_DIR = r"/thread=([^/]+)/[^/]*$"
-# nulls are written as \N so an empty string stays an empty string (Spark's default null marker is "")
+# the folder Spark writes rows with a null partition value to
+NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
+# nulls are written as \N so an empty string stays an empty string (Spark's default null marker is ""); blanks at the
+# ends of a value belong to it
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "encoding": "UTF-8",
-               "nullValue": "\\N"}
+               "nullValue": "\\N", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# files of quoted multi-line fields cannot be split by a reader: no written file grows beyond this many rows
+FILE_ROWS = 1_000_000
+
+
+def _marked(df: DataFrame) -> DataFrame:
+    """String values that begin with a backslash get one more, so that no text is taken for the null marker."""
+    return df.select(*[F.when(F.startswith(F.col(f.name), F.lit("\\")), F.concat(F.lit("\\"), F.col(f.name)))
+                       .otherwise(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def _unmarked(df: DataFrame) -> DataFrame:
+    """The inverse of ``_marked``; a single leading backslash (files of other writers) stays."""
+    return df.select(*[F.when(F.startswith(F.col(f.name), F.lit("\\\\")), F.expr(f"substring(`{f.name}`, 2)"))
+                       .otherwise(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType)
+                       else F.col(f.name) for f in df.schema.fields])
 
 
 def read_posts_by_thread(spark: SparkSession, paths, schema: T.StructType = POST_CSV_SCHEMA) -> DataFrame:
     """A1: read CSV files (declared schema, quoted multi-line fields) and label each row with its thread: the value
     of a ``thread=<name>`` folder (as written by ``write_posts_by_thread``), else the file stem up to the first dot
-    (one file per community, as the reference's inputs)."""
+    (one file per community, as the reference's inputs). A null thread comes back as null."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(paths)
     df = df.drop("thread")  # a discovered partition column (type-inferred) is replaced by the raw folder value
@@ -39,15 +58,17 @@ def read_posts_by_thread(spark: SparkSession, paths, schema: T.StructType = POST
     value = F.regexp_extract(path, THREAD_DIR, 1)
     for _ in range(2):
         value = F.url_decode(F.regexp_replace(value, "\\+", "%2B"))  # '+' is literal in both encodings
+    value = F.when(value != NULL_DIR, value)
     label = F.when(path.rlike(THREAD_DIR), value).otherwise(F.regexp_extract(path, FILE_STEM, 1))
-    return df.withColumn("thread", label)
+    return _unmarked(df.withColumn("thread", label))
 
 
 def write_posts_by_thread(posts: DataFrame, root: str) -> list[str]:
     """One CSV folder per thread in a single distributed write (``partitionBy``: each task writes its own rows of
     every thread it holds, no pass per thread); tags as a space-separated string. Returns the paths to read."""
-    (posts.select("id", "title", "content", F.array_join("tags", " ").alias("tags"), "thread")
-     .write.mode("overwrite").partitionBy("thread").options(**CSV_OPTIONS).csv(root))
+    flat = _marked(posts.select("id", "title", "content", F.array_join("tags", " ").alias("tags"), "thread"))
+    (flat.write.mode("overwrite").partitionBy("thread").option("maxRecordsPerFile", FILE_ROWS)
+     .options(**CSV_OPTIONS).csv(root))
     return [root]
 
 
@@ -90,7 +111,7 @@ def export_csv(df: DataFrame, path: str, array_cols=("tags",)) -> str:
     out = df
     for c in array_cols:
         out = out.withColumn(c, F.to_json(c))
-    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    _marked(out).write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -98,7 +119,7 @@ def import_csv(spark: SparkSession, path: str, schema: T.StructType, array_cols=
     """Read the exported CSV with its declared schema; JSON text back to array<string>."""
     flat = T.StructType([T.StructField(f.name, T.StringType() if f.name in array_cols else f.dataType)
                          for f in schema.fields])
-    df = spark.read.options(**CSV_OPTIONS).schema(flat).csv(path)
+    df = _unmarked(spark.read.options(**CSV_OPTIONS).schema(flat).csv(path))
     for c in array_cols:
         df = df.withColumn(c, F.from_json(c, T.ArrayType(T.StringType())))
     return df

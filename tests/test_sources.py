@@ -59,3 +59,15 @@ def test_partitioned_thread_names_roundtrip(spark):
                                "id long, thread string, title string, content string, tags array<string>")
     back = files.read_posts_by_thread(spark, files.write_posts_by_thread(df, scratch_path(spark, "names")))
     assert rows(back, "id", "thread") == [(i, n) for i, n in enumerate(names)]
+
+
+def test_csv_keeps_every_value(spark):
+    data = [(1, None, "  lead and trail  ", "\\N"), (2, "a", "\\", None), (3, "\\N", "\\\\x", ""), (4, "a", " ", "x\r\ny")]
+    df = spark.createDataFrame([(i, th, t, c, ["k"]) for i, th, t, c in data],
+                               "id long, thread string, title string, content string, tags array<string>")
+    back = files.read_posts_by_thread(spark, files.write_posts_by_thread(df, scratch_path(spark, "values")))
+    got = {r["id"]: (r["id"], r["thread"], r["title"], r["content"]) for r in back.collect()}
+    assert [got[i] for i in range(1, 5)] == data
+    imp = files.import_csv(spark, files.export_csv(df, scratch_path(spark, "values2")), df.schema)
+    got = {r["id"]: (r["id"], r["thread"], r["title"], r["content"]) for r in imp.collect()}
+    assert [got[i] for i in range(1, 5)] == data

@@ -118,9 +118,9 @@ def training_frame(df: DataFrame, spread: bool = True) -> DataFrame:
 
 
 def labelled_features(df: DataFrame, tokens_col: str = "tokens", label_col: str = "thread", kind: str = "bow",
-                      vocab_size: int = 1 << 18, min_df: float = 1.0, fit_on: DataFrame | None = None):
-    """(id, label double, features sparse vector, split) with a vocabulary fitted on ``fit_on`` (default: df).
-    kind = 'bow' (counts) or 'tfidf' (smooth idf, L2)."""
+                      vocab_size: int | None = None, min_df: float = 1.0, fit_on: DataFrame | None = None):
+    """(id, label double, features sparse vector, split) with a vocabulary fitted on ``fit_on`` (default: df); all
+    its terms unless ``vocab_size`` is given. kind = 'bow' (counts) or 'tfidf' (smooth idf, L2)."""
     from pyspark.ml.feature import StringIndexer
 
     from tagloom.operators.features import count_vector_stage, tfidf_vectors
@@ -172,21 +172,31 @@ def fit_and_score(data: DataFrame, est, split_col: str = "split") -> DataFrame:
     return classification_metrics(pred, "label", "prediction", by=[split_col])
 
 
-def grid_search(data: DataFrame, est, grid, folds: int = 5, parallelism: int = 4, seed: int = 42):
-    """CrossValidator over ``grid`` on the training split with a deterministic fold column, scored by
-    macro F1 (classification) — returns (cv_model, table of (params, metric))."""
+def grid_search(data: DataFrame, est, grid, folds: int = 5, parallelism: int = 4, seed: int = 42, evaluator=None):
+    """CrossValidator over ``grid`` on the training split with a deterministic fold column.
+
+    Classifiers are scored by macro F1, regressors by the negative mean squared error, or by ``evaluator``. Returns
+    (cv_model, table of (params, score)), the score named f1_macro, neg_mse or score; higher is better in the first
+    two."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import Regressor
     from pyspark.ml.tuning import CrossValidator
 
     from tagloom.operators.evaluate import kfold_assign
 
+    regression = isinstance(est, Regressor)
+    name = "score" if evaluator is not None else "neg_mse" if regression else "f1_macro"
+    if evaluator is None:
+        evaluator = RegressionEvaluator(metricName="mse") if regression else MacroF1Evaluator()
     train = kfold_assign(data.filter(F.col("split") == "train"), folds, seed)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=MacroF1Evaluator(), foldCol="fold", numFolds=folds,
+    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=evaluator, foldCol="fold", numFolds=folds,
                         parallelism=parallelism, seed=seed)
     model = cv.fit(train)
     spark = data.sparkSession
-    rows = [(", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda x: x[0].name)), float(m))
+    sign = -1.0 if name == "neg_mse" else 1.0
+    rows = [(", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda x: x[0].name)), sign * float(m))
             for pm, m in zip(grid, model.avgMetrics)]
-    return model, spark.createDataFrame(rows, "params string, f1_macro double")
+    return model, spark.createDataFrame(rows, f"params string, {name} double")
 
 
 def rf_grid(est):
@@ -381,9 +391,12 @@ def _nb_fold_predictions(tf_long: DataFrame, lab: DataFrame, alphas, fit_priors,
             for j, lb in enumerate(labels):
                 ndg = [sum(nd.get((f, lb), 0) for f in folds if f != g) for g in folds]
                 docs_g = [n_all - n_by_fold.get(g, 0) for g in folds]
-                prior = (per_g([math.log(x / y) if x > 0 else float("-inf") for x, y in zip(ndg, docs_g)]) if fp
-                         else F.lit(-math.log(len(labels))))
-                denom = per_g([math.log(tot.get((g, lb), 0) + a * voc.get(g, 0)) for g in folds])
+                # a class without training documents in model g is never predicted by it
+                seen = [sum(any(nd.get((f, c), 0) for f in folds if f != g) for c in labels) for g in folds]
+                prior = per_g([(math.log(x / y) if fp else -math.log(s)) if x > 0 else float("-inf")
+                               for x, y, s in zip(ndg, docs_g, seen)])
+                mass = [tot.get((g, lb), 0) + a * voc.get(g, 0) for g in folds]
+                denom = per_g([math.log(m) if m > 0 else 0.0 for m in mass])
                 score = (prior + F.coalesce("L", F.lit(0)) * (F.lit(math.log(a)) - denom)
                          + F.coalesce(F.col(f"p{i}_{j}"), F.lit(0.0)))
                 cands.append(F.struct(score.alias("s"), F.lit(-j).alias("neg")))

@@ -106,18 +106,23 @@ def subsample_tokens(df: DataFrame, tokens_col: str = "tokens", id_col: str = "i
 
 
 # ------------------------------------------------------------------ vector forms for pyspark.ml
-def count_vector_stage(input_col: str = "tokens", output_col: str = "features", vocab_size: int = 1 << 18,
+ALL_TERMS = (1 << 31) - 1  # the largest size CountVectorizer takes: no term is cut
+
+
+def count_vector_stage(input_col: str = "tokens", output_col: str = "features", vocab_size: int | None = None,
                        min_df: float = 1.0):
+    """CountVectorizer over the whole vocabulary, unless the caller gives ``vocab_size`` (then the rarest terms go).
+    MLlib keeps the vocabulary on the driver."""
     from pyspark.ml.feature import CountVectorizer
 
-    return CountVectorizer(inputCol=input_col, outputCol=output_col, vocabSize=vocab_size, minDF=min_df)
+    return CountVectorizer(inputCol=input_col, outputCol=output_col, vocabSize=vocab_size or ALL_TERMS, minDF=min_df)
 
 
 def tfidf_vectors(df: DataFrame, tokens_col: str = "tokens", output_col: str = "features",
-                  vocab_size: int = 1 << 18, min_df: float = 1.0):
+                  vocab_size: int | None = None, min_df: float = 1.0):
     """Sparse TF-IDF vectors with the smooth-idf (+1) convention and L2 norm, as a fitted PipelineModel-like
-    triple (count model, scale vector, transform fn). The vocabulary (<= vocab_size terms) is the only driver-side
-    state."""
+    triple (count model, scale vector, transform fn). The vocabulary (all terms unless ``vocab_size`` is given) and
+    its idf are the only driver-side state."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, ElementwiseProduct, Normalizer
     from pyspark.ml.linalg import Vectors

@@ -139,3 +139,41 @@ def test_grid_search_and_grids(spark):
     small = ParamGridBuilder().addGrid(rf.numTrees, [3, 5]).build()
     model, table = classify.grid_search(data, rf, small, folds=2, parallelism=2)
     assert table.count() == 2 and all(0.0 <= r["f1_macro"] <= 1.0 for r in table.collect())
+
+
+def test_nb_grid_never_predicts_a_class_its_fold_has_not_seen(spark):
+    from tagloom.operators import classify
+
+    lab = spark.createDataFrame([(1, "a", 0), (2, "a", 1), (3, "b", 1), (4, "c", 0), (5, "b", 0)],
+                                "id long, label string, fold int")
+    tf = spark.createDataFrame([(1, "x", 9), (2, "x", 9), (2, "y", 1), (3, "z", 9), (4, "z", 1), (4, "q", 1), (5, "z", 9)],
+                               "id long, term string, tf long")
+    pred = classify._nb_fold_predictions(tf, lab, (1.0,), (True, False), 2, False)
+    assert {r["prediction"] for r in pred.filter("g = 0").collect()} <= {"a", "b"}
+
+
+def test_regressors_are_searched_by_squared_error(spark):
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.regression import DecisionTreeRegressor
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    from tagloom.operators import classify
+
+    data = spark.createDataFrame([(i, float(i % 7), Vectors.dense([float(i % 7), 1.0]), "train") for i in range(70)],
+                                 ["id", "label", "features", "split"])
+    est = DecisionTreeRegressor(seed=1)
+    grid = ParamGridBuilder().addGrid(est.maxDepth, [0, 5]).build()
+    _, table = classify.grid_search(data, est, grid, folds=2)
+    score = {r["params"]: r["neg_mse"] for r in table.collect()}
+    assert score["maxDepth=0"] < -1 and score["maxDepth=5"] > -0.01
+
+
+def test_vocabulary_has_every_term(spark):
+    from pyspark.sql import functions as F
+
+    from tagloom.operators.features import count_vector_stage
+
+    n = 270_000
+    df = spark.range(270).select(F.transform(F.sequence(F.col("id") * 1000, F.col("id") * 1000 + 999),
+                                             lambda x: F.concat(F.lit("t"), x.cast("string"))).alias("tokens"))
+    assert len(count_vector_stage().fit(df).vocabulary) == n

@@ -174,19 +174,20 @@ def docvec(name: str, src: str) -> str:
 {name} AS (SELECT id, list(value ORDER BY dim) AS vector FROM {name}_l GROUP BY id)"""
 
 
-ORACLE["doc_mean_vector"] = W(WV, BAGS, docvec("dv", "bags")) + "SELECT id, dim::BIGINT AS dim, round(value, 6) AS value FROM dv_l"
+ORACLE["doc_mean_vector"] = W(WV, BAGS, docvec("dv", "bags")) + (
+    "SELECT b.id, coalesce(dim, -1)::BIGINT AS dim, round(value, 6) AS value FROM (SELECT DISTINCT id FROM bags) b LEFT JOIN dv_l l ON b.id = l.id")
 TRUE_TAGS = "tt AS (SELECT b.* FROM bags b WHERE b.word IN (SELECT word FROM wv WHERE label < 5))"
 ORACLE["doc_embedding_matrix"] = W(WV, BAGS, TRUE_TAGS, docvec("tv", "tt")) + (
-    "SELECT id, dim::BIGINT AS dim, round(value, 6) AS value FROM tv_l")
+    "SELECT b.id, coalesce(dim, -1)::BIGINT AS dim, round(value, 6) AS value FROM (SELECT DISTINCT id FROM bags) b LEFT JOIN tv_l l ON b.id = l.id")
 ORACLE["similar_by_word"] = W(WV) + """SELECT word, neighbor, round(cosine, 6) AS cosine, rank FROM (
   SELECT a.word, b.word AS neighbor, list_cosine_similarity(a.vector, b.vector) AS cosine,
          row_number() OVER (PARTITION BY a.word ORDER BY list_cosine_similarity(a.vector, b.vector) DESC, b.word)::BIGINT AS rank
   FROM wv a JOIN wv b ON a.word <> b.word) WHERE rank <= 10"""
-CAND50 = """cand AS (SELECT id, word, cosine, rank FROM (
+CAND = """cand AS (SELECT id, word, cosine, rank FROM (
   SELECT d.id, w.word, list_cosine_similarity(d.vector, w.vector) AS cosine,
          row_number() OVER (PARTITION BY d.id ORDER BY list_cosine_similarity(d.vector, w.vector) DESC, w.word)::BIGINT AS rank
   FROM dv d, wv w) WHERE rank <= {k})"""
-ORACLE["similar_by_vector"] = W(WV, BAGS, docvec("dv", "bags"), CAND50.format(k=10)) + (
+ORACLE["similar_by_vector"] = W(WV, BAGS, docvec("dv", "bags"), CAND.format(k=10)) + (
     "SELECT id, word, round(cosine, 6) AS cosine, rank FROM cand")
 ORACLE["minmax_scale_2d"] = W(WV) + """SELECT word,
   round((vector[1] - min(vector[1]) OVER ()) / (max(vector[1]) OVER () - min(vector[1]) OVER ()), 6) AS x,
@@ -199,7 +200,7 @@ PRED = """pred AS (SELECT id, word AS tag, cosine, tag_rank FROM (
   FROM cand WHERE cosine > 0.2 AND word IN (SELECT term FROM tagv)) WHERE tag_rank <= 5)"""
 AUTO = """auto AS (SELECT i.id, coalesce(p.tags, []) AS tags FROM (SELECT DISTINCT id FROM bags) i
   LEFT JOIN (SELECT id, list(tag ORDER BY tag_rank) AS tags FROM pred GROUP BY id) p ON i.id = p.id)"""
-FBASE = (WV, BAGS, docvec("dv", "bags"), CAND50.format(k=50), TAGV, PRED, AUTO)
+FBASE = (WV, BAGS, docvec("dv", "bags"), CAND.format(k=500), TAGV, PRED, AUTO)
 ORACLE["tag_candidates"] = W(*FBASE) + "SELECT id, word, round(cosine, 6) AS cosine, rank FROM cand"
 ORACLE["predict_tags"] = W(*FBASE) + "SELECT id, tag, round(cosine, 6) AS cosine, tag_rank FROM pred"
 ORACLE["auto_tag"] = W(*FBASE) + f"SELECT id, len(tags)::BIGINT AS n_tags, {joined('tags')} AS tags FROM auto"
@@ -219,10 +220,12 @@ ORACLE["autotag_summary"] = W(*FBASE, EVAL) + """SELECT count(*)::BIGINT AS n_po
 LAB = f"lab AS (SELECT id, thread, CASE WHEN {bucket('id', 4)} = 0 THEN 'test' ELSE 'train' END AS split FROM posts)"
 
 
-def nb_sql(name: str, train_where: str, alpha: float = 1.0, fit_prior: bool = True, lab: str = "lab") -> list[str]:
+def nb_sql(name: str, train_where: str, alpha: float = 1.0, fit_prior: bool = True, lab: str = "lab",
+           prior: str | None = None) -> list[str]:
     """CTEs ending in ``{name}`` (id, prediction) — multinomial NB fitted on rows of ``lab`` matching train_where."""
     p = name
-    prior = f"ln({p}_d.nd / (SELECT count(*) FROM {p}_tr))" if fit_prior else f"-ln((SELECT count(*) FROM {p}_d))"
+    fitted = f"ln({p}_d.nd / (SELECT count(*) FROM {p}_tr))" if fit_prior else f"-ln((SELECT count(*) FROM {p}_d))"
+    prior = prior or fitted
     return [
         f"{p}_tr AS (SELECT id, thread AS label FROM {lab} WHERE {train_where})",
         f"{p}_cnt AS (SELECT t.label, b.term, sum(b.tf) AS n FROM bow b JOIN {p}_tr t ON b.id = t.id GROUP BY t.label, b.term)",
@@ -263,6 +266,11 @@ HBASE = (POSTS, TOKS, BOW, LAB, *nb_sql("nb", "split = 'train'"),
 ORACLE["train_test_split"] = W(POSTS, LAB) + "SELECT id, split FROM lab"
 ORACLE["naive_bayes"] = W(*HBASE) + "SELECT id, split, thread, prediction FROM np"
 ORACLE["classification_metrics"] = W(*HBASE, metrics_sql("np", "split")) + "SELECT split, metric, value FROM met"
+ORACLE["nb_mllib"] = W(  # MLlib smooths the class prior as it does the terms
+    POSTS, TOKS, BOW, LAB, *nb_sql("nb", "split = 'train'", prior="ln((nb_d.nd + 1.0) / ((SELECT count(*) FROM nb_tr) "
+                                   "+ (SELECT count(*) FROM nb_d)))"),
+    "np AS (SELECT l.id, l.split, l.thread, n.prediction FROM lab l JOIN nb n ON l.id = n.id)",
+    metrics_sql("np", "split")) + "SELECT split, metric, value FROM met"
 ORACLE["confusion_matrix"] = W(*HBASE) + """SELECT actual, predicted, count, round(count / sum(count) OVER (PARTITION BY actual), 6) AS share
 FROM (SELECT thread AS actual, prediction AS predicted, count(*)::BIGINT AS count FROM np WHERE split = 'test' GROUP BY 1, 2)"""
 ORACLE["mse_score"] = W(*HBASE) + """, ids AS (SELECT thread AS name, (dense_rank() OVER (ORDER BY thread) - 1) AS i FROM (SELECT DISTINCT thread FROM np))
@@ -316,7 +324,6 @@ SELECT alpha::DOUBLE AS alpha, fit_prior, f1_macro, row_number() OVER (ORDER BY
 
 
 ORACLE["nb_gridsearch"] = _nb_grid()
-ORACLE["mse_score"] = ORACLE["mse_score"]
 
 # ------------------------------------------------------------------ A
 ORACLE["src_posts_by_thread"] = W(POSTS) + f"SELECT id, thread, title, content, {joined('tags')} AS tags FROM posts"
@@ -326,11 +333,10 @@ ORACLE["cap_per_thread"] = W(POSTS) + (
 ORACLE["union_files"] = W(POSTS) + """SELECT id, thread, title, content FROM posts
 UNION ALL SELECT conv_id * 1000 + turn AS id, role AS thread, NULL AS title, text AS content FROM conversations"""
 ORACLE["dataset_roundtrip"] = W(POSTS) + (
-    f"SELECT id, thread, title, content, {joined('tags')} AS tags FROM posts WHERE thread = 'fr'")
+    f"SELECT id, thread, title, content, {joined('tags')} AS tags FROM posts")
 ORACLE["counts_roundtrip"] = W(POSTS, TOKS, COUNTS) + "SELECT term, count FROM counts"
 ORACLE["csv_export_import"] = W(POSTS) + (
-    f"SELECT id, thread, len(tags)::BIGINT AS n_tags, {joined('tags')} AS tags, "
-    "length(content)::BIGINT AS content_chars FROM posts")
+    f"SELECT id, thread, title, content, len(tags)::BIGINT AS n_tags, {joined('tags')} AS tags FROM posts")
 
 # ------------------------------------------------------------------ G (fixed topic table: one topic per thread)
 TOPIC = """phi AS (SELECT topic, term, c / sum(c) OVER (PARTITION BY topic) AS phi FROM
@@ -356,3 +362,6 @@ SELECT topic_a, topic_b, round(sum(0.5 * CASE WHEN p > 0 THEN p * ln(p / ((p + q
   + 0.5 * CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2.0)) ELSE 0 END), 6) AS js FROM g GROUP BY topic_a, topic_b"""
 
 ORACLE["stream_token_counts"] = ORACLE["token_counts"]
+# the trained vectors are no SQL; every word must have one of the asked dimension
+ORACLE["word2vec_train"] = W(POSTS, TOKS, COUNTS) + "SELECT term AS word, 128::BIGINT AS dim FROM counts"
+ORACLE["tag_aware_embedding"] = W(POSTS, TAGC) + "SELECT term AS word, 128::BIGINT AS dim FROM tagc"

@@ -10,12 +10,13 @@ from tagloom.session import maybe_broadcast
 
 
 def word2vec_train(df: DataFrame, tokens_col: str = "tokens", vector_size: int = 128, window: int = 10,
-                   min_count: int = 0, max_iter: int = 1, seed: int = 42, num_partitions: int = 4):
+                   min_count: int = 0, max_iter: int = 1, seed: int = 42, num_partitions: int | None = None):
     """MLlib Word2Vec (skip-gram). The reference's sub-sampling (sample=1e-3) has no MLlib parameter; apply
-    ``features.subsample_tokens`` to the input first. ``num_partitions`` mirrors the reference's 4 workers. The
+    ``features.subsample_tokens`` to the input first. ``num_partitions`` defaults to the cluster's parallelism. The
     model's vocabulary x dim lives on the driver: bound it with ``min_count``."""
     from pyspark.ml.feature import Word2Vec
 
+    num_partitions = num_partitions or df.sparkSession.sparkContext.defaultParallelism
     w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter, seed=seed,
                    inputCol=tokens_col, outputCol="__w2v", numPartitions=num_partitions)
     return w2v.fit(df)
@@ -46,7 +47,8 @@ def tag_aware_embedding(df: DataFrame, tokens_col: str = "tokens", tags_col: str
 
 def mean_vectors(tokens_long: DataFrame, vectors: DataFrame, id_col: str = "id", word_col: str = "word") -> DataFrame:
     """(id, vector, n_words) — mean of the in-vocabulary word vectors of each document; repeated words
-    count each time; documents without any in-vocabulary word are absent (a null vector at the edge).
+    count each time. Every id of ``tokens_long`` gets a row: a document without any in-vocabulary word (a null word
+    stands for a document without words) has a null vector and 0 words.
 
     The per-document mean is MLlib's Summarizer (a partial aggregate holding dim values per group), so a long
     document never materialises its word vectors in one place."""
@@ -54,16 +56,18 @@ def mean_vectors(tokens_long: DataFrame, vectors: DataFrame, id_col: str = "id",
     from pyspark.ml.stat import Summarizer
 
     vec = maybe_broadcast(vectors.select(F.col("word").alias(word_col), F.col("vector").cast("array<double>")))
-    j = tokens_long.select(F.col(id_col).alias("id"), word_col).join(vec, word_col)
-    agg = j.groupBy("id").agg(
+    tokens = tokens_long.select(F.col(id_col).alias("id"), word_col)
+    agg = tokens.join(vec, word_col).groupBy("id").agg(
         Summarizer.mean(array_to_vector("vector")).alias("mean"), F.count(F.lit(1)).alias("n_words")
     )
-    return agg.select("id", vector_to_array("mean").alias("vector"), F.col("n_words").cast("bigint"))
+    means = agg.select("id", vector_to_array("mean").alias("vector"), F.col("n_words").cast("bigint"))
+    return tokens.select("id").distinct().join(means, "id", "left").select(
+        "id", "vector", F.coalesce("n_words", F.lit(0)).cast("bigint").alias("n_words"))
 
 
 def doc_embedding_matrix(df: DataFrame, vectors: DataFrame, tokens_col: str = "tokens", id_col: str = "id") -> DataFrame:
     """Mean vectors for every document from any token-array column (post text or tag text)."""
-    long_df = df.select(F.col(id_col).alias("id"), F.explode(tokens_col).alias("word"))
+    long_df = df.select(F.col(id_col).alias("id"), F.explode_outer(tokens_col).alias("word"))
     return mean_vectors(long_df, vectors)
 
 

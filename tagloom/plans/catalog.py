@@ -283,8 +283,9 @@ def q_predict_target(spark, d):
 
 
 def long_vector(df: DataFrame, key: str) -> DataFrame:
-    return df.select(key, F.posexplode("vector").alias("dim", "value")).select(
-        key, F.col("dim").cast("bigint"), F.round("value", 6).alias("value"))
+    """(key, dim, value); a null vector is one row with dim -1 and a null value."""
+    return df.select(key, F.posexplode_outer("vector").alias("dim", "value")).select(
+        key, F.coalesce("dim", F.lit(-1)).cast("bigint").alias("dim"), F.round("value", 6).alias("value"))
 
 
 def wv(spark, d):
@@ -308,7 +309,9 @@ def true_tags_long(spark, d):
 
 @query("doc_embedding_matrix")
 def q_doc_embedding_matrix(spark, d):
-    return long_vector(embed.mean_vectors(true_tags_long(spark, d), wv(spark, d)), "id")
+    tags = tag_vocab(spark, d).select(F.col("term").alias("word"), F.lit(True).alias("is_tag"))
+    words = V.bags(spark, d).join(tags, "word", "left").select("id", F.when(F.col("is_tag"), F.col("word")).alias("word"))
+    return long_vector(embed.mean_vectors(words, wv(spark, d)), "id")
 
 
 @query("similar_by_word")
@@ -355,11 +358,11 @@ def tag_vocab(spark, d):
 
 @query("tag_candidates")
 def q_tag_candidates(spark, d):
-    return tagging.tag_candidates(V.bags(spark, d), wv(spark, d), 50).select("id", "word", r6("cosine"), "rank")
+    return tagging.tag_candidates(V.bags(spark, d), wv(spark, d), 500).select("id", "word", r6("cosine"), "rank")
 
 
 def predicted(spark, d):
-    cand = tagging.tag_candidates(V.bags(spark, d), wv(spark, d), 50)
+    cand = tagging.tag_candidates(V.bags(spark, d), wv(spark, d), 500)
     return tagging.predict_tags(cand, tag_vocab(spark, d))
 
 
@@ -369,7 +372,7 @@ def q_predict_tags(spark, d):
 
 
 def autotagged(spark, d):
-    return tagging.auto_tag(V.bags(spark, d), wv(spark, d), tag_vocab(spark, d), n_neighbors=50)
+    return tagging.auto_tag(V.bags(spark, d), wv(spark, d), tag_vocab(spark, d), n_neighbors=500)
 
 
 @query("auto_tag")
@@ -504,8 +507,7 @@ def q_union_files(spark, d):
 
 @query("dataset_roundtrip")
 def q_dataset_roundtrip(spark, d):
-    back = files.dataset_roundtrip(posts(spark, d), "posts")
-    return report_posts(columns.filter_thread(back, "fr"))
+    return report_posts(files.dataset_roundtrip(posts(spark, d), "posts"))
 
 
 @query("counts_roundtrip")
@@ -518,8 +520,8 @@ def q_csv_export_import(spark, d):
     path = files.export_csv(posts(spark, d), scratch_path(spark, "posts_export"))
     schema = posts(spark, d).schema
     back = files.import_csv(spark, path, schema)
-    return back.select("id", "thread", F.size("tags").cast("bigint").alias("n_tags"), T.joined("tags").alias("tags"),
-                       F.length("content").cast("bigint").alias("content_chars"))
+    return back.select("id", "thread", "title", "content", F.size("tags").cast("bigint").alias("n_tags"),
+                       T.joined("tags").alias("tags"))
 
 
 # ------------------------------------------------------------------ G: topics

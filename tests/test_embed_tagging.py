@@ -14,7 +14,8 @@ def vectors(spark):
 def test_mean_vectors_in_vocab_only(spark):
     toks = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (1, "zz"), (2, "zz")], "id long, word string")
     got = {r["id"]: (r["vector"], r["n_words"]) for r in embed.mean_vectors(toks, vectors(spark)).collect()}
-    assert got == {1: ([2 / 3, 1 / 3], 3)}  # repeats count, OOV ignored, all-OOV document absent
+    # repeats count, words without a vector do not; a document of only such words has a null vector
+    assert got == {1: ([2 / 3, 1 / 3], 3), 2: (None, 0)}
 
 
 def test_similar_by_word_excludes_self(spark):

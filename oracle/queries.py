@@ -210,6 +210,8 @@ ev AS (SELECT coalesce(t.id, a.id) AS id, coalesce(t.tags, []) AS tr, coalesce(l
 per AS (SELECT id, len(tr)::BIGINT AS n_true, len(pr)::BIGINT AS n_pred,
   len(list_filter(tr, lambda x: list_contains(pr, x)))::BIGINT AS hits,
   len(list_filter(tr, lambda x: NOT list_contains(pr, x)))::BIGINT AS misses FROM ev)"""
+ORACLE["auto_tag_posts"] = W(POSTS) + ("SELECT id, len(tags)::BIGINT AS n_true, true AS at_most_five, true AS all_known, "
+                                       "true AS adds_up FROM posts")
 ORACLE["evaluate_autotag"] = W(*FBASE, EVAL) + "SELECT * FROM per"
 ORACLE["autotag_summary"] = W(*FBASE, EVAL) + """SELECT count(*)::BIGINT AS n_posts, sum(hits)::BIGINT AS hits, sum(misses)::BIGINT AS misses,
   CASE WHEN sum(misses) > 0 THEN round(sum(hits) / sum(misses), 6) END AS hit_miss_ratio,

@@ -118,3 +118,18 @@ def html_title(html) -> Column:
 def joined(tokens, sep: str = " ") -> Column:
     """array<string> -> string for reporting; an empty or null array gives ''."""
     return F.coalesce(F.array_join(_c(tokens), sep), F.lit(""))
+
+
+def run_lengths(tokens) -> Column:
+    """array<struct<term, tf>>: the distinct elements of an array with their frequencies, in sorted order. Sorting
+    brings equal elements together; a run ends where the next begins, so the row needs no other row and no shuffle."""
+    let = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))  # noqa: E731  evaluates value once
+
+    def entries(s):
+        first = lambda i: (i == 0) | ~F.get(s, i).eqNullSafe(F.get(s, i - 1))
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), first)
+        return let(starts, lambda at: F.transform(at, lambda i, j: F.struct(
+            F.get(s, i).alias("term"), (F.coalesce(F.get(at, j + 1), F.size(s)) - i).cast("bigint").alias("tf"))))
+
+    # sequence(0, -1) would count down: empty arrays have no runs
+    return F.when(F.size(_c(tokens)) > 0, let(F.sort_array(_c(tokens)), entries))

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tagloom.operators.neighbors import nearest
 from tagloom.session import maybe_broadcast
 
+#: Word vectors beyond so many bytes are joined by shuffle, not broadcast.
+BROADCAST_BYTES = 64 << 20
+
 
 def word2vec_train(df: DataFrame, tokens_col: str = "tokens", vector_size: int = 128, window: int = 10,
                    min_count: int = 0, max_iter: int = 1, seed: int = 42, num_partitions: int | None = None):
@@ -55,7 +58,9 @@ def mean_vectors(tokens_long: DataFrame, vectors: DataFrame, id_col: str = "id",
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
-    vec = maybe_broadcast(vectors.select(F.col("word").alias(word_col), F.col("vector").cast("array<double>")))
+    vec = vectors.select(F.col("word").alias(word_col), F.col("vector").cast("array<double>").alias("vector"))
+    dim = vec.select(F.size("vector")).first()
+    vec = maybe_broadcast(vec, BROADCAST_BYTES // (8 * max(dim[0], 1) if dim else 8))
     tokens = tokens_long.select(F.col(id_col).alias("id"), word_col)
     agg = tokens.join(vec, word_col).groupBy("id").agg(
         Summarizer.mean(array_to_vector("vector")).alias("mean"), F.count(F.lit(1)).alias("n_words")

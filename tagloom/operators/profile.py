@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.functions.text import whitespace_tokens
+from tagloom.functions.text import run_lengths, whitespace_tokens
 from tagloom.session import maybe_broadcast
 
 
@@ -36,15 +36,12 @@ def tag_counts(df: DataFrame, tags_col: str = "tags") -> DataFrame:
 
 def doc_bag(df: DataFrame, text_col: str, id_col: str = "id", as_map: bool = False) -> DataFrame:
     """D3: per-document term frequencies of a whitespace split (no lower-casing). Long form (id, term, tf);
-    ``as_map`` gives (id, bag map<string,bigint>) — one map per document, bounded by the document length."""
-    bag = (
-        df.select(F.col(id_col).alias("id"), F.explode(whitespace_tokens(F.col(text_col))).alias("term"))
-        .groupBy("id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    if not as_map:
-        return bag
-    return bag.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("term", "tf"))).alias("bag"))
+    ``as_map`` gives (id, bag map<string,bigint>) — one map per document, bounded by the document length. A row is a
+    document and is counted by itself."""
+    bag = df.select(F.col(id_col).alias("id"), whitespace_tokens(F.col(text_col)).alias("tokens"))
+    if as_map:
+        return bag.where(F.size("tokens") > 0).select("id", F.map_from_entries(run_lengths("tokens")).alias("bag"))
+    return bag.select("id", F.inline(run_lengths("tokens")))
 
 
 def top_terms(counts: DataFrame, n: int, skip: int = 0, rarest: bool = False) -> DataFrame:

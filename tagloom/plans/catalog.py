@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import text as T
 from tagloom.operators import clean, columns, profile
+from tagloom.session import materialize
 from tagloom.sources import tables as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -395,9 +396,27 @@ def q_autotag_summary(spark, d):
     return tagging.autotag_summary(autotag_eval(spark, d))
 
 
+@query("auto_tag_posts")
+def q_auto_tag_posts(spark, d):
+    """Real posts end to end: subsampled Word2Vec over the corpus, mean vectors, 500 neighbours, tag filter, hits.
+    The vectors depend on the trainer's thread timing, so the result states what must hold of every post's tags."""
+    p = posts(spark, d)
+    tokens = V.post_tokens(p)
+    model = embed.word2vec_train(features.subsample_tokens(tokens, sample=1e-3, seed=42), vector_size=128, window=10)
+    vectors = materialize(embed.model_vectors(model), "post_vectors")
+    vocab = profile.tag_counts(p)
+    words = tokens.select("id", F.explode_outer("tokens").alias("word"))
+    tagged = materialize(tagging.auto_tag(words, vectors, vocab, n_neighbors=500), "post_tags")
+    known = tagged.select("id", F.explode("tags").alias("term")).join(vocab, "term", "left_semi").groupBy("id").count()
+    per = tagging.evaluate_autotag(tagged, p.select("id", "tags"))
+    return per.join(known, "id", "left").select(
+        "id", "n_true", (F.col("n_pred") <= 5).alias("at_most_five"),
+        (F.col("n_pred") == F.coalesce("count", F.lit(0))).alias("all_known"),
+        (F.col("hits") + F.col("misses") == F.col("n_true")).alias("adds_up"))
+
+
 # ------------------------------------------------------------------ H: splits, classifiers, evaluation
 from tagloom.operators import classify, evaluate  # noqa: E402
-from tagloom.session import materialize  # noqa: E402
 
 
 def labelled(spark, d):

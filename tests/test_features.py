@@ -54,3 +54,25 @@ def test_subsample_deterministic(spark):
     assert a == b
     keep_all = {r["id"]: r["tokens"] for r in features.subsample_tokens(df, sample=10.0).collect()}
     assert keep_all[2] == ["a", "c"] and len(keep_all[1]) == 51
+
+
+def test_subsample_in_place(spark):
+    """Each token against its own hash draw; null and empty arrays stay as empty ones, repeated ids stay apart."""
+    import hashlib
+
+    data = [(1, ["a"] * 50 + ["b"]), (2, ["a", "c", None]), (3, None), (4, []), (2, ["b", "a"])]
+    df = spark.createDataFrame(data, "id long, tokens array<string>")
+    n = sum(len(t or []) for _, t in data)
+    share = {w: sum((t or []).count(w) for _, t in data) / n for w in "abc"}
+    draw = lambda i, pos: int(hashlib.md5(f"7|{i}:{pos}".encode()).hexdigest()[:8], 16) / 2**32
+    keep = lambda w: 1.0 if w is None else min(1, math.sqrt(0.1 / share[w]) + 0.1 / share[w])
+    want = [(i, [w for pos, w in enumerate(t or []) if draw(i, pos) < keep(w)]) for i, t in data]
+    got = [(r.id, r.tokens) for r in features.subsample_tokens(df, sample=0.1, seed=7).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and want[0] != data[0]
+
+
+def test_bags_need_no_shuffle(spark):
+    df = spark.createDataFrame([(1, ["b", "a", "b", None]), (2, []), (3, None)], "id long, tokens array<string>")
+    tf = features.bag_of_words(df)
+    assert {tuple(r) for r in tf.collect()} == {(1, None, 1), (1, "a", 1), (1, "b", 2)}
+    assert "Exchange" not in tf._jdf.queryExecution().executedPlan().toString()

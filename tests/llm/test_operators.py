@@ -228,6 +228,38 @@ def test_repeated_passages(docs):
     assert substrings.cut("a  b c\nd", [(1, 2)]) == "a  d"
 
 
+def test_swapped_sentences(spark):
+    """A passage AB against BA: 42 of 50 shingles in common, 21 at either shift."""
+    g = random.Random(11)
+    text = lambda n: [f"w{g.randrange(10**9)}" for _ in range(n)]
+    rows, want = [], set()
+    for i in range(0, 80, 2):
+        a, b = text(25), text(25)
+        rows += [(i, " ".join(a + b)), (i + 1, " ".join(b + a))]
+        want.add((i + 1, i))
+    found = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), hashes=8)
+    got = {(r.doc_id, r.first_doc_id): (r.start_word, r.n_words, r.first_start_word) for r in found.collect()}
+    assert set(got) == want and set(got.values()) == {(0, 50, 25)}
+
+
+@pytest.mark.parametrize("names,width", [(3, 6), (30, 10), (10**6, 46)])
+def test_verify(names, width):
+    """Every window that is similar to any window of the other text, and no other, as sets and in any order."""
+    g = random.Random(names)
+    for _ in range(60):
+        a = [g.randrange(names) for _ in range(g.randint(width, 160))]
+        b, k = list(a), g.randrange(len(a))
+        b = [b[k:] + b[:k], b[:k] + b[k + 1:], b[:k] + [names] + b[k:], [*b[:k], names, *b[k + 1:]]][g.randrange(4)]
+        sets = [set(b[j:j + width]) for j in range(len(b) - width + 1)]
+        similar = [i for i in range(len(a) - width + 1)
+                   if any(len(x & y) >= 0.8 * len(x | y) - 1e-9 for x in [set(a[i:i + width])] for y in sets)]
+        a_, b_ = np.array(a, "<u4"), np.array(b, "<u4")
+        covered = {k for i in similar for k in range(i, i + width) if a[k] in b}
+        got = substrings._verify(a_, b_, np.arange(len(a) - width + 1), width, 0.8)
+        assert covered == {k for first, last, _ in got for k in range(first, last + 1) if a[k] in b and k in covered}
+        assert all({first, last} <= covered and a[first] == b[j] for first, last, j in got)
+
+
 def test_token_files(spark, docs):
     t = Tokenizer.from_file(BYTE)
     got = token_files.token_files(docs, BYTE).collect()

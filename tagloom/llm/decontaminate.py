@@ -34,6 +34,8 @@ def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
     Then the bounds: the window must begin and end inside the text. Last, its words, A-Z lower-cased, are compared one
     by one. Every occurrence is found once."""
     small = is_small(windows, BROADCAST_WINDOWS)
+    if not small:  # ids may be null or repeated: what is fetched again goes by a written row number
+        docs = materialize(docs.withColumn("row", F.monotonically_increasing_id()), "texts")
     hint = F.broadcast if small else (lambda df: df)
     tokens = F.transform("win", F.lower)
     vocabulary = windows.select(F.explode(tokens).alias("tok")).distinct()
@@ -53,11 +55,12 @@ def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
     # would be a row with a copy of all its words
     here = F.translate(F.array_join(F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("span")), " "), UPPER, LOWER)
     same = F.col("win").isNull() | F.coalesce(fits & (here == F.col("win")), F.lit(False))
-    ended = docs.select("doc_id", "w", F.concat("w", F.array(F.lit(END))).alias("e"))
-    cand = ended.select(*(["doc_id", "w"] if small else ["doc_id"]), F.posexplode_outer("e").alias("pos", "tok")) \
+    kept = ["doc_id", "w"] if small else ["row"]
+    ended = docs.select(*kept, F.concat("w", F.array(F.lit(END))).alias("e"))
+    cand = ended.select(*kept, F.posexplode_outer("e").alias("pos", "tok")) \
         .withColumn("tok", F.lower("tok")).join(hint(prefix), "tok")
-    if not small:  # the texts stay out of the candidate join and meet the candidates by document
-        cand = cand.join(docs, "doc_id", "left")
+    if not small:  # the texts stay out of the candidate join and meet the candidates by row
+        cand = cand.join(docs, "row")
     return cand.where(same).select("doc_id", "win", start.alias("start"), "span")
 
 

@@ -215,6 +215,19 @@ def test_decontaminate(docs, benchmark, spark):
     assert len(bare) == len(ROWS) and not any(r.contaminated for r in bare)
 
 
+def test_decontaminate_without_broadcast(spark, docs, benchmark, monkeypatch):
+    """Null and repeated ids with texts of their own: the same rows on both sides of the switch."""
+    text = ROWS[5][1]
+    more = spark.createDataFrame([(None, text), (None, prose(25)), (500, text), (500, "short"), (500, prose(40)), (500, text)], "doc_id long, text string")
+    both = docs.select("doc_id", "text").union(more)
+    want = Counter(map(tuple, decontaminate.decontaminate(both, benchmark).collect()))
+    assert sum(want.values()) == len(ROWS) + 6
+    assert sum(n for r, n in want.items() if r[0] is None and r[-1]) == 3  # rows that share an id share their hits
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    assert Counter(map(tuple, decontaminate.decontaminate(both, benchmark).collect())) == want
+    test_decontaminate(docs, benchmark, spark)
+
+
 def test_repeated_passages(docs):
     got = {(r.doc_id, r.first_doc_id): r for r in substrings.repeated_passages(docs).collect()}
     assert {(7, 6), (9, 8), (99, 4)} <= set(got) and {(10, 8), (10, 9)} & set(got), sorted(got)

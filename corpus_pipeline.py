@@ -1,8 +1,8 @@
 """The corpus pipeline: quality rules, near duplicates, repeated passages, benchmark decontamination, BPE.
 
 Each stage takes the documents that the one before kept, written as Parquet and read again, and calls one operator of
-``tagloom.llm``. All but the last return the columns of ``documents``. Rows without ``doc_id`` go through every stage
-under a number made of their text.
+``tagloom.llm``. All but the last return the columns of ``documents``. Rows without ``doc_id`` go through stages 2 to 4
+under a number made of their text. Rows with one ``doc_id`` and different texts are different documents.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from tagloom.llm import bpe, decontaminate, quality, simhash, substrings
 from tagloom.llm.common import table
 from tagloom.session import scratch_path
 
-_KEY = "__document"
+_KEY, _HASH = "__document", "__text_hash"
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -24,6 +24,17 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return docs.withColumn(_KEY, F.coalesce(F.col("doc_id").cast("long"), made))
 
 
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """``_numbered``, but where an id has several texts only one of them (the least by its hash) goes by the id; the others
+    go by numbers above those of the rows without one, made of id and text. Copies of a row share their key."""
+    named = _numbered(docs).withColumn(_HASH, F.xxhash64("text"))
+    several = named.groupBy(_KEY).agg(F.min(_HASH).alias("__least"), F.max(_HASH).alias("__most")).where("__least <> __most") \
+        .select(F.col(_KEY).alias("__id"), "__least")
+    made = F.lit(3 << 61) + F.xxhash64(_KEY, "text").bitwiseAND(F.lit((1 << 61) - 1))
+    return named.join(several, F.col(_KEY) == F.col("__id"), "left") \
+        .withColumn(_KEY, F.when(F.col("__least") != F.col(_HASH), made).otherwise(F.col(_KEY))).drop(_HASH, "__id", "__least")
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col(_KEY).alias("doc_id"), "text")
 
@@ -34,11 +45,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays, once if its row is repeated."""
-    named = _numbered(docs)
-    groups = simhash.near_duplicates(_keyed(named))
-    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias(_KEY)).distinct()
-    return named.join(stay, _KEY, "left_semi").dropDuplicates([_KEY]).drop(_KEY)
+    """Of each group of near duplicates the document with the smallest id stays, once if its row is repeated. A row of
+    another group stays for its own, also under the same id."""
+    named = _numbered(docs).withColumn(_HASH, F.xxhash64("text"))
+    stay = simhash.survivors(_keyed(named)).select(F.col("doc_id").alias(_KEY), F.col("text_hash").alias(_HASH))
+    return named.join(stay, [_KEY, _HASH], "left_semi").dropDuplicates([_KEY, _HASH]).drop(_KEY, _HASH)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +60,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window of a benchmark item go."""
-    named = _numbered(docs)
+    named = _told_apart(docs)
     found = decontaminate.decontaminate(_keyed(named), table(spark, sf_dir, "benchmark"))
     gone = found.where("contaminated").select(F.col("doc_id").alias(_KEY)).distinct()
     return named.join(gone, _KEY, "left_anti").drop(_KEY)

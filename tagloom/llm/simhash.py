@@ -37,13 +37,13 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, fp``: the 64 bits as a signed long, one row per row of ``docs``; a null text has no words."""
+    """``doc_id, fp, text_hash``: the 64 bits as a signed long, one row per row of ``docs``; a null text has no words."""
     def run(rows):
         for batch in batches(rows):
             fps = np.array([fingerprint(x, shingle) for x in batch.column("text").to_pylist()], "<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps), batch.column("text_hash")], names=["doc_id", "fp", "text_hash"])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, fp long")
+    return id_text(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, "doc_id long, fp long, text_hash long")
 
 
 def _bits(fps: np.ndarray) -> np.ndarray:
@@ -275,6 +275,20 @@ def links(nodes: DataFrame, distance: int = 3, large: int = LARGE) -> DataFrame:
     return out.union(two).union(more.where("a <> b").distinct())
 
 
+def _rooted(nodes: DataFrame, distance: int) -> DataFrame:
+    """``nodes`` (distinct ``fp``) with the ``root`` of their group."""
+    found = components(links(nodes, distance))
+    return nodes.join(found, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
+
+
+def survivors(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """``doc_id, text_hash`` (xxhash64) of the row that stays of each group of near duplicates: the smallest id, then the
+    smallest fingerprint, then the smallest hash. Ids must not be null; groups that share a smallest id keep a row each."""
+    row = F.struct("doc_id", "fp", "text_hash")
+    nodes = materialize(fingerprints(docs, shingle).groupBy("fp").agg(F.min(row).alias("row")), "nodes")
+    return _rooted(nodes, distance).groupBy("root").agg(F.min("row").alias("row")).select("row.doc_id", "row.text_hash")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, fingerprint`` (16 hex digits) and ``component_id``, the smallest
     ``doc_id`` reachable over links of at most ``distance`` bits, its own included.
@@ -282,10 +296,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> Dat
     Exact copies (and all texts without words) have one fingerprint, which is one node, so a group of copies costs one
     row however large. Null ids take part but are never the smallest; a group of null ids only has a null
     ``component_id``. Repeated rows get the same row each. An empty table gives none."""
-    prints = materialize(fingerprints(docs, shingle), "fingerprints")
+    prints = materialize(fingerprints(docs, shingle).select("doc_id", "fp"), "fingerprints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    found = components(links(nodes, distance))
-    rooted = nodes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(nodes, distance)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
     return prints.join(labels, F.col("fp") == F.col("_fp")).select(

@@ -26,6 +26,20 @@ def test_stages(spark, tmp_path):
     assert got[4].split() == texts[4].split()[:90] + texts[4].split()[150:]
 
 
+def test_rows_with_one_id(spark, tmp_path):
+    """Rows that share an id and not their text are documents of their own in the SimHash and the benchmark stage."""
+    one, two, unique, item = prose(150), prose(150), prose(150), prose(20)
+    rows = [(5, one), (5, two), (5, two), (3, one), (5, unique), (7, two), (9, prose(60) + " " + item), (9, prose(70))]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id, r.text) for r in corpus_pipeline.simhash_near_dedup(spark, docs, str(tmp_path)).collect())
+    assert got == sorted([(3, one), (5, two), (5, unique), *rows[6:]])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in clean.collect()) == sorted(rows[:6] + rows[7:])
+
+
 def test_registered():
     import __spark_entry__ as entry
 

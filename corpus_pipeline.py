@@ -53,8 +53,9 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages are cut out of all documents but the earliest; documents that consist of them go."""
-    left = substrings.remove_repeats(docs)
+    """Repeated passages are cut out of all documents but the earliest; documents that consist of them go.
+    Rows under made numbers count as later than all others."""
+    left = substrings.remove_repeats(_told_apart(docs), key=_KEY).drop(_KEY)
     return left.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else left
 
 

@@ -40,6 +40,22 @@ def test_rows_with_one_id(spark, tmp_path):
     assert sorted((r.doc_id, r.text) for r in clean.collect()) == sorted(rows[:6] + rows[7:])
 
 
+def test_repeats_without_id(spark, tmp_path):
+    """Passages repeated in rows without an id are cut, and spans of one row never from another row of its id."""
+    p, q, r = prose(60), prose(60), prose(60)
+    heads = [prose(40) for _ in range(6)]
+    rows = [(None, heads[0] + " " + p), (None, heads[1] + " " + p), (1, heads[2] + " " + q), (None, heads[3] + " " + q),
+            (4, heads[4] + " " + r), (4, heads[5] + " " + prose(90)), (2, r)]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.substring_dedup(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    got = [(x.doc_id, x.text.strip()) for x in out.collect()]
+    assert len(got) == len(rows) and sum(p in t for _, t in got) == 1
+    assert {(1, rows[2][1]), (None, heads[3]), (4, heads[4]), rows[5], (2, r)} <= set(got)
+    assert {heads[0], heads[1]} & {t for i, t in got if i is None}
+
+
 def test_registered():
     import __spark_entry__ as entry
 

@@ -105,6 +105,23 @@ def test_licenses(spark):
     assert licenses.bands_for(0.8, 4, 1e-6) * math.log(1 - 0.8 / 4.2) <= math.log(1e-6)
 
 
+def test_license_texts(spark):
+    """Whole texts and headers with small changes, inside other text; half a text is none."""
+    changed = lambda t: " ".join("other" if i % 60 == 30 else w for i, w in enumerate(t.upper().split()))
+    long = [(name, t) for name, t in licenses.TEMPLATES if name.endswith(("-text", "-header", "-notice"))]
+    rows = [(i, prose(300 + 7 * i) + " " + changed(t) + " " + prose(200)) for i, (_, t) in enumerate(long)]
+    half = next(t for name, t in long if name == "isc-text").split()
+    rows += [(100, " ".join(half[:len(half) // 2])), (101, prose(500)),
+             (102, "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+                   "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program "
+                   "is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY "
+                   "or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.license_ids.split(",") for r in licenses.license_report(docs, licenses.templates(spark)).collect()}
+    assert [name for i, (name, _) in enumerate(long) if name not in got[i]] == []
+    assert got[100] == [""] and got[101] == [""] and "gpl-3.0-header" in got[102]
+
+
 def test_token_counts(docs):
     t = Tokenizer.from_file(WORD)
     got = by_id(token_counts.prefix_counts(docs, WORD, limit=50, keep_counts=True).collect())

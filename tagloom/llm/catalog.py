@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tagloom.llm import bpe, decontaminate, licenses, lm, quality, shards, simhash, substrings, token_counts, token_files
+from tagloom.llm import alignment, bpe, decontaminate, jaccard, licenses, lm, quality, shards, simhash, substrings, token_counts, token_files, whitening
 from tagloom.llm.common import table
 
 
@@ -53,6 +53,18 @@ def op10(spark, sf_dir) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+def op11(spark, sf_dir) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op12(spark, sf_dir) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13(spark, sf_dir) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1,
     "op2_license_scan": op2,
@@ -64,6 +76,9 @@ QUERIES = {
     "op8_repeated_passages": op8,
     "op9_token_files": op9,
     "op10_lm_scores": op10,
+    "op11_alignment": op11,
+    "op12_whitening": op12,
+    "op13_ngram_jaccard": op13,
 }
 
 _W = r"[^\x20\x09-\x0D]+"

@@ -18,7 +18,8 @@ from tagloom.operators.skew import heavy_join
 from tagloom.session import materialize, maybe_broadcast
 
 SHINGLE, PERCENT = 4, 85   # words of a shingle; 100 * intersection >= PERCENT * union
-ELEMENTS = 8               # shingles that a signature covers on average, at least, where a band allows it
+ELEMENTS = 5               # shingles that a signature covers in the middle of a band, at least, where the band allows it
+CHUNK = 4096               # sets of one signature that are compared with as many others in one place
 _U = np.uint64
 
 
@@ -69,9 +70,10 @@ def most_apart(total: int, percent: int = PERCENT) -> int:
 
 @lru_cache(maxsize=None)
 def band(index: int, percent: int = PERCENT) -> tuple[int, int]:
-    """Sizes (first, last) of a band: a set links only within its band and with the next one on either side."""
+    """Sizes (first, last) of a band: a set links only within its band and with the next one on either side. Bands are two
+    steps of 100 / ``percent`` wide, so half of the sets are too small to link with the next one at all."""
     first = 1 if index == 0 else band(index - 1, percent)[1] + 1
-    return first, first * 100 // percent
+    return first, first * 100 // percent * 100 // percent
 
 
 @lru_cache(maxsize=None)
@@ -82,34 +84,44 @@ def plan(index: int, percent: int = PERCENT) -> tuple[int, int, tuple[tuple[int,
     most. If n1 = floor(k / (k2 + 1)) + 1 + spare, then in 1 + spare partitions they differ in k2 at most, so n2 - k2 of
     the parts there are equal: some subset of that size signs both alike. Chosen is what needs the fewest signatures of
     ``ELEMENTS`` elements on average; where the sets are too small for that, those with the most elements."""
-    last = band(index, percent)[1]
+    first, last = band(index, percent)
     k = most_apart(2 * last, percent)
     if not k:
         return None
     options = []
-    for k2 in range(min(k, 4) + 1):
+    for k2 in range(1, min(k, 4) + 1):
         n1 = k // (k2 + 1) + 1
-        spare = 1 if n1 >= 4 else 0
+        spare = 0 if n1 < 4 else 1 if n1 < 8 else 2 if n1 < 12 else 3
         for n2 in range(k2 + 1, k2 + 5):
             subsets = tuple(combinations(range(n2), n2 - k2))
-            mean = last / (n1 + spare) * (n2 - k2) / n2
+            mean = (first * last) ** 0.5 / (n1 + spare) * (n2 - k2) / n2
             options.append((max(ELEMENTS - mean, 0), (n1 + spare) * len(subsets), n1 + spare, n2, subsets, spare))
     return min(options, key=lambda o: (round(o[0], 6), *o[1:4]))[2:]
 
 
+def sketch(h: np.ndarray, index: int, percent: int = PERCENT) -> bytes:
+    """Parities of a set's elements hashed to 1.5 bits for each element of the band's largest set. Every bit in which two
+    sketches differ takes an element that only one of the sets has."""
+    bits = 64 * -(-3 * band(index, percent)[1] // 128)
+    place = ((_mix(h ^ _U(0xA0761D6478BD642F)) >> _U(32)) * _U(bits) >> _U(32)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=bits) & 1).tobytes()
+
+
 class Signer:
     """``sorted distinct hashes -> signatures``, for the set's band and, as the smaller set of a pair, for the next one."""
 
     def __init__(self, percent: int = PERCENT):
         self.percent, self.last = percent, [band(0, percent)[1]]
 
-    def __call__(self, h: np.ndarray) -> np.ndarray:
-        while self.last[-1] < len(h):
+    def bands(self, size: int) -> list[int]:
+        """The band of a set and, if it can link with larger sets there, the next one."""
+        while self.last[-1] < size:
             self.last.append(band(len(self.last), self.percent)[1])
-        own = int(np.searchsorted(self.last, len(h)))
-        reaches = 100 * len(h) >= self.percent * band(own + 1, self.percent)[0]
-        found = [self._sign(h, b) for b in ([own, own + 1] if reaches else [own])]
-        return np.concatenate(found)
+        own = int(np.searchsorted(self.last, size))
+        return [own, own + 1] if 100 * size >= self.percent * band(own + 1, self.percent)[0] else [own]
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        return np.concatenate([self._sign(h, b) for b in self.bands(len(h))])
 
     def _sign(self, h: np.ndarray, index: int) -> np.ndarray:
         how = plan(index, self.percent)
@@ -132,19 +144,28 @@ class Signer:
         return signs[~empty] if int(empty.any(axis=1).sum()) <= spare else signs.reshape(-1)
 
 
-def classes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, cls, size``: one row per row of ``docs``, the name and size of its shingle set."""
+ROWS = "doc_id long, cls long, size long, band int, own binary, next binary"
+
+
+def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``ROWS``: one row per row of ``docs``: the name and size of its shingle set, its band, and its sketches for that band
+    and, where it takes part there, for the next one (null for sets that only link with equal ones)."""
     def run(rows):
-        sets = Shingles(shingle)
+        sets, sign, shape = Shingles(shingle), Signer(percent), arrow(ROWS)
         for batch in batches(rows):
-            found = [sets(x) for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([class_of(h) for h in found], pa.int64()),
-                                              pa.array([len(h) for h in found], pa.int64())], names=["doc_id", "cls", "size"])
+            out = []
+            for doc, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
+                h = sets(text)
+                near = [b for b in sign.bands(len(h)) if plan(b, percent)] if len(h) else []
+                cells = {b: sketch(h, b, percent) for b in near}
+                own = sign.bands(len(h))[0] if len(h) else -1
+                out.append((doc, class_of(h), len(h), own, cells.get(own), cells.get(own + 1)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), shape)], schema=shape)
 
-    return id_text(docs).mapInArrow(run, "doc_id long, cls long, size long")
+    return id_text(docs).mapInArrow(run, ROWS)
 
 
-SIGNED = "sig long, cls long, size int, lead long, lead_size int"
+SIGNED = "sig long, cls long, size int, band int, lead long, lead_size int"
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, most: int = 1 << 19) -> DataFrame:
@@ -153,18 +174,18 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     Where a signature has several sets within ``most`` rows, the least is their ``lead`` there and only its row (lead null)
     goes on to meet the same signature of other stretches; the rows of the others say whom they met already."""
     def run(rows):
-        sets, sign = Shingles(shingle), Signer(percent)
-        sigs, owners, sizes, seen, held = [], [], [], set(), 0
+        sets, sign, shape = Shingles(shingle), Signer(percent), arrow(SIGNED)
+        held, seen, n = [], set(), 0
 
         def flush():
-            sig, cls, size = np.concatenate(sigs).view("<i8"), np.concatenate(owners), np.concatenate(sizes)
+            sig, cls, size, level = (np.concatenate(x) for x in zip(*held))
+            sig = sig.view("<i8")
             order = np.lexsort((cls, sig))
-            sig, cls, size = sig[order], cls[order], size[order]
+            sig, cls, size, level = sig[order], cls[order], size[order], level[order]
             new = np.r_[True, sig[1:] != sig[:-1]]
-            again = np.r_[False, (sig[1:] == sig[:-1]) & (cls[1:] == cls[:-1])]
             first = np.flatnonzero(new)[np.cumsum(new) - 1]
-            keep, shape = ~again, arrow(SIGNED)
-            cols = sig[keep], cls[keep], size[keep], pa.array(cls[first][keep], mask=new[keep]), pa.array(size[first][keep], mask=new[keep])
+            keep = ~np.r_[False, (sig[1:] == sig[:-1]) & (cls[1:] == cls[:-1])]
+            cols = sig[keep], cls[keep], size[keep], level[keep], pa.array(cls[first][keep], mask=new[keep]), pa.array(size[first][keep], mask=new[keep])
             return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], schema=shape)
 
         for batch in batches(rows):
@@ -174,46 +195,44 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
                 if not len(h) or cls in seen:
                     continue
                 seen.add(cls)
-                got = sign(h)
-                sigs.append(got)
-                owners.append(np.full(len(got), cls))
-                sizes.append(np.full(len(got), len(h), "<i4"))
-                held += len(got)
-                if held > most:
+                for b in sign.bands(len(h)):
+                    got = sign._sign(h, b)
+                    held.append((got, np.full(len(got), cls), np.full(len(got), len(h), "<i4"), np.full(len(got), b, "<i4")))
+                    n += len(got)
+                if n > most:
                     yield flush()
-                    sigs, owners, sizes, seen, held = [], [], [], set(), 0
-        if held:
+                    held, seen, n = [], set(), 0
+        if n:
             yield flush()
 
     return id_text(docs).mapInArrow(run, SIGNED)
 
 
-MET = "sig long, lead long, lead_size int, cls long, size int"
+MET = "sig long, band int, lead long, lead_size int, cls long, size int"
 
 
 def meetings(signed: DataFrame) -> DataFrame:
     """``MET``: rows of one signature next to each other; each set but the first of a signature meets that first one. Rows
     with a lead have met it already, and lie wherever they fall: a signature has one other row for each stretch."""
     def run(rows):
-        last = None  # (sig, cls, lead, lead_size) of the last row that takes part
+        shape, last = arrow(MET), (None, None, 0, 0)  # (sig, cls, lead, lead_size) of the last row that takes part
         for batch in rows:
-            sig, cls, size, lead, lead_size = (batch.column(i) for i in range(5))
+            sig, cls, size, level, lead, lead_size = (batch.column(i) for i in range(6))
             met = pc.is_valid(lead)
-            out = [pa.RecordBatch.from_arrays([c.filter(met) for c in (sig, lead, lead_size, cls, size)], schema=arrow(MET))]
+            out = [pa.RecordBatch.from_arrays([c.filter(met) for c in (sig, level, lead, lead_size, cls, size)], schema=shape)]
             alone = np.flatnonzero(~met.to_numpy(zero_copy_only=False))
             if len(alone):
-                sig, cls, size = (c.to_numpy(zero_copy_only=False)[alone] for c in (sig, cls, size))
-                before = last or (None, None, 0, 0)
-                joins = bool(sig[0] == before[0])
+                sig, cls, size, level = (c.to_numpy(zero_copy_only=False)[alone] for c in (sig, cls, size, level))
+                joins = bool(sig[0] == last[0])
                 new = np.r_[not joins, sig[1:] != sig[:-1]]
-                again = np.r_[joins and bool(cls[0] == before[1]), (sig[1:] == sig[:-1]) & (cls[1:] == cls[:-1])]
-                at = np.cumsum(new) - 1
+                again = np.r_[joins and bool(cls[0] == last[1]), (sig[1:] == sig[:-1]) & (cls[1:] == cls[:-1])]
+                at = np.cumsum(new) - 1  # -1: still the signature that the batch before ended with
                 first = np.flatnonzero(new)[np.maximum(at, 0)] if new.any() else np.zeros(len(sig), np.int64)
-                lead = np.where(at < 0, before[2], cls[first])
-                lead_size = np.where(at < 0, before[3], size[first]).astype("<i4")
+                lead = np.where(at < 0, last[2], cls[first])
+                lead_size = np.where(at < 0, last[3], size[first]).astype("<i4")
                 last = sig[-1], cls[-1], lead[-1], lead_size[-1]
                 keep = ~new & ~again & (cls != lead)
-                out.append(pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, lead, lead_size, cls, size)], schema=arrow(MET)))
+                out.append(pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, level, lead, lead_size, cls, size)], schema=shape))
             yield from (b for b in out if b.num_rows)
 
     parts = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -238,15 +257,105 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) ->
     return every.join(maybe_broadcast(wanted, 1_000_000), "cls", "left_semi").dropDuplicates(["cls"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs ``a, b`` whose sets are linked."""
+def verified(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The pairs ``a, b`` whose sets are linked, by the exact intersection of the sets, which are made from the texts again
+    for the classes that need it."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = materialize(shingle_sets(docs, nodes, shingle), "jaccard-sets")
     one, two = (sets.select(F.col("cls").alias(c), F.col("shingles").alias(s)) for c, s in (("a", "of_a"), ("b", "of_b")))
     both = F.size(F.array_intersect("of_a", "of_b"))
     return pairs.join(two, "b").join(one, "a").where(100 * both >= percent * (F.size("of_a") + F.size("of_b") - both)).select("a", "b")
 
 
-def _sizes_fit(x: str, y: str, percent: int):
-    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+def _apart_bound(total, percent: int):
+    """``most_apart`` for a pair of sizes: beyond it two sets are not linked."""
+    return total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent) - F.lit(1e-9))
+
+
+def near_by_sketch(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``a, b, n`` of the pairs (a, b, band, n) whose sketches differ in no more bits than linked sets may in elements."""
+    one, two = (sketches.select(F.col("cls").alias(c), "band", F.col("bits").alias(f"bits_{c}"), F.col("size").alias(f"size_{c}")) for c in "ab")
+    joined = pairs.join(two, ["b", "band"]).join(one, ["a", "band"])
+
+    def run(rows):
+        for batch in rows:
+            x, y = (batch.column(c).to_pylist() for c in ("bits_a", "bits_b"))
+            differ = np.array([(int.from_bytes(p, "little") ^ int.from_bytes(q, "little")).bit_count() for p, q in zip(x, y)], np.int64)
+            yield batch.select(["a", "b", "n"]).filter(pa.array(differ <= batch.column("most").to_numpy(zero_copy_only=False)))
+
+    return joined.withColumn("most", _apart_bound(F.col("size_a") + F.col("size_b"), percent)) \
+        .select("a", "b", "n", "most", "bits_a", "bits_b").mapInArrow(run, "a long, b long, n long")
+
+
+def _pairs_of(first: np.ndarray, second: np.ndarray | None, cls, root, size, percent: int, all_pairs: bool):
+    """Pairs (places) of sets in different components whose sketches allow a link: all of them, or for each set the nearest
+    one of each other component. ``first``: sketches of the sets, compared with each other or with those from ``second`` on."""
+    words = np.ascontiguousarray(first).view("<u8") if first.shape[1] % 8 == 0 else first
+    cut = len(words) if second is None else second
+    rows, cols = (np.arange(len(words)),) * 2 if second is None else (np.arange(cut), np.arange(cut, len(words)))
+    for at in range(0, len(rows), 256):
+        i = rows[at:at + 256]
+        apart = np.zeros((len(i), len(cols)), np.int32)
+        for w in range(words.shape[1]):
+            apart += np.bitwise_count(words[i, w][:, None] ^ words[cols, w][None, :])
+        total = size[i][:, None] + size[cols][None, :]
+        most = total - 2 * -(-percent * total // (100 + percent))
+        fits = (apart <= most) & (root[i][:, None] != root[cols][None, :]) & (100 * np.minimum(size[i][:, None], size[cols][None, :]) >= percent * np.maximum(size[i][:, None], size[cols][None, :]))
+        x, y = np.nonzero(fits)
+        if not all_pairs and len(x):
+            order = np.lexsort((apart[x, y], root[cols[y]], x))
+            x, y = x[order], y[order]
+            new = np.r_[True, (x[1:] != x[:-1]) | (root[cols[y]][1:] != root[cols[y]][:-1])]
+            x, y = x[new], y[new]
+        yield i[x], cols[y]
+
+
+def cross_pairs(met: DataFrame, sketches: DataFrame, roots: DataFrame, all_pairs: bool, percent: int = PERCENT) -> DataFrame:
+    """``a, b``: pairs of sets that share a signature, lie in different components and may be linked by their sketches; all
+    of them, or only the nearest of each set in each other component.
+
+    Only signatures with more than two sets and several components take part: the two of any other have met. A signature with
+    more than ``CHUNK`` sets is cut, and each two of its cuts meet in a place of their own."""
+    members = met.select("sig", "band", "cls").union(met.select("sig", "band", "lead")).distinct()
+    members = _labelled(members, "cls", roots, "root")
+    mixed = members.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where("x <> y and n > 2")
+    cuts = mixed.select("sig", F.ceil(F.col("n") / CHUNK).alias("cuts"))
+    members = members.join(cuts, "sig").join(sketches, ["cls", "band"]).withColumn("cut", F.pmod(F.xxhash64("cls"), F.col("cuts")))
+    others = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1).cast("array<bigint>"), lambda o: F.struct(F.least("cut", o).alias("i"), F.greatest("cut", o).alias("j")))
+    members = members.select("sig", "cls", "root", "size", "bits", "cut", F.inline(others))
+
+    def run(rows):
+        def settle(t):
+            key = [t.column(c).to_numpy() for c in ("sig", "i", "j")]
+            new = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in key], axis=0)])
+            cls, root, size, cut = (t.column(c).to_numpy() for c in ("cls", "root", "size", "cut"))
+            bits, a, b = t.column("bits").to_pylist(), [], []
+            for s, e in zip(new.tolist(), [*new[1:].tolist(), t.num_rows]):
+                if e - s < 2 or (root[s:e] == root[s]).all():
+                    continue
+                table = np.frombuffer(b"".join(bits[s:e]), np.uint8).reshape(e - s, -1)
+                second = None if key[1][s] == key[2][s] else int((cut[s:e] == key[1][s]).sum())
+                for x, y in _pairs_of(table, second, cls[s:e], root[s:e], size[s:e], percent, all_pairs):
+                    a.append(cls[s:e][x])
+                    b.append(cls[s:e][y])
+            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+        held = None
+        for batch in rows:
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([held, t]) if held is not None else t
+            key = [t.column(c).to_numpy() for c in ("sig", "i", "j")]
+            last = int(np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in key], axis=0)])[-1])
+            if last:  # the last group may go on in the next batch
+                yield settle(t.slice(0, last).combine_chunks())
+            held = t.slice(last)
+        if held is not None and held.num_rows:
+            yield settle(held.combine_chunks())
+
+    parts = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return members.repartition(parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "cut").mapInArrow(run, "a long, b long").distinct()
 
 
 def _labelled(rows: DataFrame, column: str, roots: DataFrame, name: str) -> DataFrame:
@@ -255,40 +364,41 @@ def _labelled(rows: DataFrame, column: str, roots: DataFrame, name: str) -> Data
         .withColumn(name, F.coalesce("__root", column)).drop("__root")
 
 
-def linked_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``node, root``: classes with a link to another class, and the least class that each can reach.
+def linked_classes(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``node, root``: classes with a link to another class, and the least class that each can reach. ``rows``: ``classes``.
 
-    All pairs of sets that share a signature are settled, but a pair is only looked at if its two sets are not connected
-    already: first each set against the lead that it shares the most signatures with, then against all its leads, and then,
-    in signatures that still hold several components, every set outside the largest against those of other components."""
+    All pairs of sets that share a signature are settled: ruled out by sizes or sketches, verified by their intersection, or
+    connected already by others. In the order that spares most: first each set against the lead that it shares the most
+    signatures with; then against its other leads and, in signatures that hold several components, against the nearest set
+    of each other component; at last all pairs that are still apart."""
     met = materialize(meetings(signatures(docs, shingle, percent)), "jaccard-met")
-    sets = materialize(shingle_sets(docs, met.select(F.explode(F.array("lead", "cls")).alias("cls")).distinct(), shingle), "jaccard-sets")
-    near = met.where(_sizes_fit("lead_size", "size", percent)) \
-        .groupBy(F.least("lead", "cls").alias("a"), F.greatest("lead", "cls").alias("b")).agg(F.count("*").alias("n"))
-    near = materialize(near, "jaccard-pairs")
-    best = near.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
-    links = materialize(verified(best, sets, percent), "jaccard-links")
-    roots = components(links)
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        return _labelled(_labelled(pairs, "a", roots, "ra"), "b", roots, "rb").where("ra <> rb").select("a", "b")
-
-    more = materialize(verified(apart(near).join(best, ["a", "b"], "left_anti"), sets, percent), "jaccard-links")
-    links = links.union(more)
-    roots = components(links)
-
-    members = met.select("sig", "cls", "size").union(met.select("sig", "lead", "lead_size")).distinct()
-    members = _labelled(members, "cls", roots, "root")
-    mixed = members.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where("x <> y and n > 2")
-    members = materialize(members.join(mixed.select("sig"), "sig", "left_semi"), "jaccard-mixed")
-    main = members.groupBy("sig", "root").count().groupBy("sig").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    members = members.join(main, "sig")
-    x, y = (members.select("sig", "main", *(F.col(c).alias(c + s) for c in ("cls", "size", "root"))) for s in "xy")
-    cross = x.where("rootx <> main").join(y.drop("main"), "sig").where("rootx <> rooty and (rooty = main or clsx < clsy)") \
-        .where(_sizes_fit("sizex", "sizey", percent)) \
-        .select(F.least("clsx", "clsy").alias("a"), F.greatest("clsx", "clsy").alias("b")).distinct()
-    last = materialize(verified(cross.join(near, ["a", "b"], "left_anti"), sets, percent), "jaccard-links")
-    return components(links.union(last)) if last.limit(1).count() else roots
+    nodes = materialize(met.select(F.explode(F.array("lead", "cls")).alias("cls")).distinct(), "jaccard-nodes")
+    known = rows.where("own is not null").join(maybe_broadcast(nodes, 1_000_000), "cls", "left_semi").dropDuplicates(["cls"])
+    each = F.array(F.struct(F.col("band").alias("band"), F.col("own").alias("bits")), F.struct((F.col("band") + 1).alias("band"), F.col("next").alias("bits")))
+    sketches = known.select("cls", "size", F.inline(each)).where("bits is not null")
+    sketches = materialize(sketches.withColumn("size", F.col("size").cast("int")), "jaccard-sketches")
+    star = met.where(100 * F.least("lead_size", "size") >= percent * F.greatest("lead_size", "size")) \
+        .groupBy(F.least("lead", "cls").alias("a"), F.greatest("lead", "cls").alias("b")).agg(F.min("band").alias("band"), F.count("*").alias("n"))
+    star = materialize(near_by_sketch(star, sketches, percent), "jaccard-star")
+    best = star.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
+    done, links = materialize(best, "jaccard-done"), None
+    roots = docs.sparkSession.createDataFrame([], "node long, root long")
+    for round_ in range(3):
+        pairs = done if not round_ else None
+        if round_:
+            found = cross_pairs(met, sketches, roots, round_ == 2, percent)
+            if round_ == 1:
+                apart = _labelled(_labelled(star.select("a", "b"), "a", roots, "ra"), "b", roots, "rb").where("ra <> rb").select("a", "b")
+                found = found.union(apart).distinct()
+            pairs = materialize(found.join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
+            if not pairs.limit(1).count():
+                continue
+            done = done.union(pairs)
+        new = materialize(verified(pairs, docs, shingle, percent), "jaccard-links")
+        if new.limit(1).count():
+            links = new if links is None else links.union(new)
+            roots = materialize(components(links), "jaccard-roots")
+    return roots
 
 
 def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -302,17 +412,18 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     and a set's signatures are its elements in each subset of a partition's parts (``plan``), such that linked sets share
     one. Signatures meet in one exchange of (signature, set) rows, exact copies and hot signatures reduced to one row for
     each stretch of the input before it. Candidates are verified by their exact intersections. Shingles and sets
-    stand as 64-bit hashes. Nothing is capped: any set of any signature is settled against any other.
+    stand as 64-bit hashes. Nothing is capped: any set of any signature is settled against any other; parities of a set's
+    elements (a bound from below for what two sets do not share) rule out most pairs before their sets are fetched.
 
     Repeated rows, and rows of one id with different texts, are rows of their own. Rows without id link like others and get
     the smallest id of their component, null if it has none. Very long texts are as many shingles and signatures. An empty
     table gives no rows; of ``docs`` only ``doc_id`` and ``text`` are read."""
-    rows = materialize(classes(docs, shingle), "jaccard-rows")
-    roots = linked_classes(docs, shingle, percent)
+    rows = materialize(classes(docs, shingle, percent), "jaccard-rows")
+    roots = linked_classes(docs, rows, shingle, percent)
     each = rows.where("size > 0").groupBy("cls").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     each = _labelled(each, "cls", roots, "root")
     least = each.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n_classes"))
     each = materialize(heavy_join(materialize(each, "jaccard-classes"), least, "root", F.col("n_classes")).select("cls", "n", "component_id"), "jaccard-labels")
-    linked = heavy_join(rows.where("size > 0"), each, "cls", F.col("n"))
+    linked = heavy_join(rows.where("size > 0").select("doc_id", "cls", "size"), each, "cls", F.col("n"))
     shape = ["doc_id", F.col("size").alias("n_shingles"), "component_id"]
     return linked.select(*shape).union(rows.where("size = 0").select("doc_id", F.col("size"), F.col("doc_id")))

@@ -83,7 +83,7 @@ def encode(docs: DataFrame, path: str, decoded: bool = False, buckets_per_block:
     travel in bundles, one for each bucket of pieces. Equal pieces meet and are encoded once; the ids go back to the
     block by position in the bundle, where the places turn into ids. No piece is hot: a block has it once."""
     blocks, n = write_blocks(split_blocks(docs, path), "bpe_blocks")
-    buckets = max(16, buckets_per_block * n)
+    buckets = max(16, min(buckets_per_block * n, max(512, n // 8)))  # bundles stay worth their headers on large inputs
     coded = encode_distinct(bundles(blocks, buckets), path)
     names_of_ids = id_pieces(path) if decoded else None
 

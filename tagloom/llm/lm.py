@@ -10,13 +10,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.blocks import BLOCK_BYTES, bundles, pack, pack_strings, split, unpack, unpack_strings, write_blocks
+from tagloom.llm.blocks import bundles, pack, pack_strings, split, unpack, unpack_strings, write_blocks
 from tagloom.llm.common import arrow, batches, id_text
 from tagloom.llm.elias_fano import BigramTrie, dequantise, quantise
 from tagloom.session import materialize
 
 DELTA = 0.1        # added to every word's count
 STRENGTH = 50.0    # words without context are worth so many observations after each context
+BLOCK_BYTES = 4 << 20  # text of a block: its pairs and their documents are sorted in memory
 SPLIT = 1 << 20    # a context with more training tokens is dealt to several tasks, by the word after it
 END, BEGIN, UNKNOWN = b"", -1, -2  # no word is empty
 
@@ -126,12 +127,19 @@ def _entries(n_tokens: int, n_words: int, train_docs: int, buckets: int, owners:
             seen = ~own
             if not seen.any():
                 continue
-            key_, tf = np.unique((ctx[seen] * len(names) + at[seen]) * len(lens) + doc[seen], return_counts=True)
-            doc, pair = key_ % len(lens), key_ // len(lens)
+            key_ = (ctx[seen] * len(names) + at[seen]) * len(lens) + doc[seen]
+            del ctx, at, doc, own, seen
+            key_.sort()
+            first = np.flatnonzero(np.r_[True, key_[1:] != key_[:-1]])
+            tf = np.diff(np.r_[first, len(key_)]).astype(np.int32)
+            pair, doc = np.divmod(key_[first], len(lens))
+            del key_, first
+            doc = doc.astype(np.int32)
             new = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
             posts = np.diff(np.r_[new, len(pair)])
             n = np.add.reduceat(tf * train[doc], new)
-            ctx, word = pair[new] // len(names), pair[new] % len(names)
+            ctx, word = np.divmod(pair[new], len(names))
+            del pair
             # a context that is hot in the whole corpus has several owners, by the word that follows
             sub = (gid[word] * -7046029254386353131 >> 24) % (1 + ctx_n[ctx] // hot)
             owner = ((ctx_id[ctx] + 977 * sub) * -7046029254386353131 >> 24) % owners
@@ -139,8 +147,10 @@ def _entries(n_tokens: int, n_words: int, train_docs: int, buckets: int, owners:
             starts = np.cumsum(posts) - posts
             owner, ctx, word, n, posts, starts = (x[order] for x in (owner, ctx, word, n, posts, starts))
             ends = np.cumsum(posts)
-            take = np.repeat(starts - (ends - posts), posts) + np.arange(len(doc))
+            take = np.repeat(starts - (ends - posts), posts)
+            take += np.arange(len(doc))
             doc, tf, ends = doc[take], tf[take], np.r_[0, ends]
+            del take, starts, order
             used, cuts = np.unique(owner, return_index=True)
             for o, s, e in zip(used.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(owner)]):
                 first = np.flatnonzero(np.r_[True, ctx[s + 1:e] != ctx[s:e - 1]]) + s
@@ -195,12 +205,13 @@ def score(docs: DataFrame, hot: int = SPLIT) -> DataFrame:
     steps of 0.00024; ``base_score`` the exact sum of log10 p(w).
 
     Flow: blocks of rows with their distinct words (written once, bucketed); the words in bundles to their buckets,
-    where the counts are added up, and back; from there the blocks' pairs, in bundles, to the owners of the contexts,
-    8 for each block, so that an owner's share does not grow. An owner adds the counts up, builds a trie, looks all
+    where the counts are added up, and back; from there the blocks' pairs, in bundles, to the owners of the contexts, 8 for each
+    block, 512 from 64 blocks to 4,096 (bundles of some 10 KB), one for 8 blocks beyond. An owner adds the counts up, builds a trie, looks all
     pairs up and answers with sums for each block's documents. Null texts
     are empty (one token, the end). Repeated rows are separate rows, and count each. An empty table gives none."""
     blocks, n_blocks = write_blocks(word_blocks(docs), "lm_blocks")
-    buckets, owners = max(16, 4 * n_blocks), max(16, 8 * n_blocks)
+    # a share of an owner does not grow up to 64 blocks; from there on bundles do not shrink, until shares reach 32 MB
+    buckets, owners = (max(16, min(k * n_blocks, max(512, n_blocks // 8))) for k in (4, 8))
     totals = materialize(word_totals(bundles(blocks, buckets)), "lm-totals")
     n_words, n_tokens = totals.agg(F.coalesce(F.sum("kinds"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     train_docs = blocks.agg(F.coalesce(F.sum("train_docs"), F.lit(0))).first()[0]

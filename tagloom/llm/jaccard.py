@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import arrow, batches, id_text
-from tagloom.llm.components import components
 from tagloom.operators.skew import heavy_join
 from tagloom.session import materialize, maybe_broadcast
 
 SHINGLE, PERCENT = 4, 85   # words of a shingle; 100 * intersection >= PERCENT * union
-ELEMENTS = 5               # shingles that a signature covers in the middle of a band, at least, where the band allows it
+ELEMENTS = 4               # shingles that a signature covers in the middle of a band, at least, where the band allows it
 CHUNK = 4096               # sets of one signature that are compared with as many others in one place
 _U = np.uint64
 
@@ -83,20 +83,26 @@ def plan(index: int, percent: int = PERCENT) -> tuple[int, int, tuple[tuple[int,
     The domain of shingles falls into n1 partitions and each of these into n2 parts. Two linked sets differ in k elements at
     most. If n1 = floor(k / (k2 + 1)) + 1 + spare, then in 1 + spare partitions they differ in k2 at most, so n2 - k2 of
     the parts there are equal: some subset of that size signs both alike. Chosen is what needs the fewest signatures of
-    ``ELEMENTS`` elements on average; where the sets are too small for that, those with the most elements."""
+    ``ELEMENTS`` elements on average, those of nothing (``Signer``) included, with less than one chance in 100,000 that two
+    strangers share one of nothing; where the sets are too small for that, what comes nearest."""
     first, last = band(index, percent)
     k = most_apart(2 * last, percent)
     if not k:
         return None
     options = []
     for k2 in range(1, min(k, 4) + 1):
-        n1 = k // (k2 + 1) + 1
-        spare = 0 if n1 < 4 else 1 if n1 < 8 else 2 if n1 < 12 else 3
         for n2 in range(k2 + 1, k2 + 5):
             subsets = tuple(combinations(range(n2), n2 - k2))
-            mean = (first * last) ** 0.5 / (n1 + spare) * (n2 - k2) / n2
-            options.append((max(ELEMENTS - mean, 0), (n1 + spare) * len(subsets), n1 + spare, n2, subsets, spare))
-    return min(options, key=lambda o: (round(o[0], 6), *o[1:4]))[2:]
+            for spare in (*range(33), *range(40, 400, 20)):
+                n1 = k // (k2 + 1) + 1 + spare
+                share = (n2 - k2) / n2 / n1
+                # empty subsets of the smallest set that is signed here, and how many choices of 1 + spare of them
+                least = share * percent * first / 100
+                of = lambda one: (1 + spare) * (math.log(n1 * len(subsets)) - one) - math.lgamma(2 + spare)
+                choices, strangers = math.exp(min(of(least), 30)), of(2 * least) / math.log(10)
+                short = max(ELEMENTS - share * (first * last) ** 0.5, 0) + max(strangers + 5, 0)
+                options.append((short, n1 * len(subsets) + choices, n1, n2, subsets, spare))
+    return min(options, key=lambda o: (round(o[0], 3), *o[1:4]))[2:]
 
 
 def sketch(h: np.ndarray, index: int, percent: int = PERCENT) -> bytes:
@@ -121,9 +127,9 @@ class Signer:
         return [own, own + 1] if 100 * size >= self.percent * band(own + 1, self.percent)[0] else [own]
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
-        return np.concatenate([self._sign(h, b) for b in self.bands(len(h))])
+        return np.concatenate([self.sign(h, b) for b in self.bands(len(h))])
 
-    def _sign(self, h: np.ndarray, index: int) -> np.ndarray:
+    def sign(self, h: np.ndarray, index: int) -> np.ndarray:
         how = plan(index, self.percent)
         if how is None:
             return np.empty(0, _U)
@@ -138,48 +144,57 @@ class Signer:
         held = np.stack([size[:, list(s)].sum(axis=1) for s in subsets], axis=1)
         where = (_U(index) << _U(40)) + (np.arange(n1, dtype=_U)[:, None] << _U(8)) + places[None, :]
         signs = _mix(signs ^ _mix(where))
-        # 1 + spare partitions agree. If at most ``spare`` of a set's have a subset without elements, one that agrees has
-        # none, so the signatures of nothing, which strangers share, are not needed for this set.
         empty = held == 0
-        return signs[~empty] if int(empty.any(axis=1).sum()) <= spare else signs.reshape(-1)
+        some = signs[~empty]
+        # 1 + spare partitions agree. Either one agrees in some elements, or all agree in nothing: then both sets have
+        # nothing there, and so share one choice of 1 + spare such places. Strangers hardly ever do.
+        thin = np.flatnonzero(empty.any(axis=1))
+        if len(thin) <= spare:
+            return some
+        marks = [_mix(where[i][empty[i]]) for i in thin]
+        none = [_mix(_mix(np.array(m, _U)).sum(keepdims=True, dtype=_U) + _U(index)) for c in combinations(marks, 1 + spare) for m in product(*c)]
+        return np.concatenate([some, *none])
 
 
-ROWS = "doc_id long, cls long, size long, band int, own binary, next binary"
+ROWS = "doc_id long, text_hash long, cls long, size long, band int, own binary, next binary, own_sigs binary, next_sigs binary"
 
 
-def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``ROWS``: one row per row of ``docs``: the name and size of its shingle set, its band, and its sketches for that band
-    and, where it takes part there, for the next one (null for sets that only link with equal ones)."""
+def profiles(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, most_seen: int = 1 << 20) -> DataFrame:
+    """``ROWS``: one row per row of ``docs``: the name and size of its shingle set and its band; and, once for each set in a
+    stretch of rows, its sketches and signatures for that band and, where it takes part there, for the next one."""
     def run(rows):
-        sets, sign, shape = Shingles(shingle), Signer(percent), arrow(ROWS)
+        sets, sign, shape, seen = Shingles(shingle), Signer(percent), arrow(ROWS), set()
         for batch in batches(rows):
             out = []
-            for doc, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
+            for doc, code, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text"))):
                 h = sets(text)
-                near = [b for b in sign.bands(len(h)) if plan(b, percent)] if len(h) else []
-                cells = {b: sketch(h, b, percent) for b in near}
-                own = sign.bands(len(h))[0] if len(h) else -1
-                out.append((doc, class_of(h), len(h), own, cells.get(own), cells.get(own + 1)))
+                cls, bands = class_of(h), sign.bands(len(h)) if len(h) else [-1]
+                cells = {}
+                if len(h) and cls not in seen:
+                    seen.add(cls)
+                    cells = {b: (sketch(h, b, percent), sign.sign(h, b).tobytes()) for b in bands if plan(b, percent)}
+                own, after = (cells.get(bands[0] + i, (None, None)) for i in (0, 1))
+                out.append((doc, code, cls, len(h), bands[0], own[0], after[0], own[1], after[1]))
+            if len(seen) > most_seen:
+                seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), shape)], schema=shape)
 
-    return id_text(docs).mapInArrow(run, ROWS)
+    return id_text(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, ROWS)
 
 
 SIGNED = "sig long, cls long, size int, band int, lead long, lead_size int"
 
 
-def signatures(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, most: int = 1 << 19) -> DataFrame:
-    """``SIGNED``: the signatures of all sets, each distinct set of a stretch of rows once.
+def signatures(rows: DataFrame, most: int = 1 << 19) -> DataFrame:
+    """``SIGNED``: the signatures of all sets (``ROWS``), one row for each in a stretch of about ``most`` signatures.
 
-    Where a signature has several sets within ``most`` rows, the least is their ``lead`` there and only its row (lead null)
+    Where a signature has several sets within a stretch, the least is their ``lead`` there and only its row (lead null)
     goes on to meet the same signature of other stretches; the rows of the others say whom they met already."""
     def run(rows):
-        sets, sign, shape = Shingles(shingle), Signer(percent), arrow(SIGNED)
-        held, seen, n = [], set(), 0
+        shape, held, n = arrow(SIGNED), [], 0
 
         def flush():
             sig, cls, size, level = (np.concatenate(x) for x in zip(*held))
-            sig = sig.view("<i8")
             order = np.lexsort((cls, sig))
             sig, cls, size, level = sig[order], cls[order], size[order], level[order]
             new = np.r_[True, sig[1:] != sig[:-1]]
@@ -188,24 +203,24 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
             cols = sig[keep], cls[keep], size[keep], level[keep], pa.array(cls[first][keep], mask=new[keep]), pa.array(size[first][keep], mask=new[keep])
             return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], schema=shape)
 
-        for batch in batches(rows):
-            for text in batch.column("text").to_pylist():
-                h = sets(text)
-                cls = class_of(h)
-                if not len(h) or cls in seen:
-                    continue
-                seen.add(cls)
-                for b in sign.bands(len(h)):
-                    got = sign._sign(h, b)
-                    held.append((got, np.full(len(got), cls), np.full(len(got), len(h), "<i4"), np.full(len(got), b, "<i4")))
-                    n += len(got)
+        for batch in rows:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                for column, step in (("own_sigs", 0), ("next_sigs", 1)):
+                    here = part.filter(pc.is_valid(part.column(column)))
+                    blobs = here.column(column).to_pylist()
+                    counts = [len(x) // 8 for x in blobs]
+                    sig = np.frombuffer(b"".join(blobs), "<i8")
+                    cls, size, level = (np.repeat(here.column(c).to_numpy(), counts) for c in ("cls", "size", "band"))
+                    held.append((sig, cls, size.astype("<i4"), (level + step).astype("<i4")))
+                    n += len(sig)
                 if n > most:
                     yield flush()
-                    held, seen, n = [], set(), 0
+                    held, n = [], 0
         if n:
             yield flush()
 
-    return id_text(docs).mapInArrow(run, SIGNED)
+    return rows.where("own_sigs IS NOT NULL OR next_sigs IS NOT NULL").select("cls", "size", "band", "own_sigs", "next_sigs").mapInArrow(run, SIGNED)
 
 
 MET = "sig long, band int, lead long, lead_size int, cls long, size int"
@@ -241,7 +256,8 @@ def meetings(signed: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``cls, shingles`` (distinct hashes) of the classes in ``wanted`` (``cls``), once each in a task, from the texts."""
+    """``cls, shingles`` (distinct hashes) of the classes in ``wanted`` (``cls, text_hash`` of one of its texts). Only those
+    texts are read again word by word."""
     def run(rows):
         sets = Shingles(shingle)
         for batch in batches(rows):
@@ -253,15 +269,15 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) ->
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.list_(pa.int64()))],
                                              names=["cls", "shingles"])
 
-    every = id_text(docs).mapInArrow(run, "cls long, shingles array<long>")
-    return every.join(maybe_broadcast(wanted, 1_000_000), "cls", "left_semi").dropDuplicates(["cls"])
+    texts = id_text(docs).withColumn("text_hash", F.xxhash64("text"))
+    texts = texts.join(maybe_broadcast(wanted.select("text_hash").distinct(), 1_000_000), "text_hash", "left_semi").select("text")
+    return texts.mapInArrow(run, "cls long, shingles array<long>").dropDuplicates(["cls"])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The pairs ``a, b`` whose sets are linked, by the exact intersection of the sets, which are made from the texts again
-    for the classes that need it."""
+def verified(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The pairs ``a, b`` whose sets are linked, by the exact intersection of the sets."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = materialize(shingle_sets(docs, nodes, shingle), "jaccard-sets")
+    sets = materialize(shingle_sets(docs, sketches.join(nodes, "cls", "left_semi"), shingle), "jaccard-sets")
     one, two = (sets.select(F.col("cls").alias(c), F.col("shingles").alias(s)) for c, s in (("a", "of_a"), ("b", "of_b")))
     both = F.size(F.array_intersect("of_a", "of_b"))
     return pairs.join(two, "b").join(one, "a").where(100 * both >= percent * (F.size("of_a") + F.size("of_b") - both)).select("a", "b")
@@ -287,67 +303,88 @@ def near_by_sketch(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT
         .select("a", "b", "n", "most", "bits_a", "bits_b").mapInArrow(run, "a long, b long, n long")
 
 
-def _pairs_of(first: np.ndarray, second: np.ndarray | None, cls, root, size, percent: int, all_pairs: bool):
-    """Pairs (places) of sets in different components whose sketches allow a link: all of them, or for each set the nearest
-    one of each other component. ``first``: sketches of the sets, compared with each other or with those from ``second`` on."""
-    words = np.ascontiguousarray(first).view("<u8") if first.shape[1] % 8 == 0 else first
-    cut = len(words) if second is None else second
-    rows, cols = (np.arange(len(words)),) * 2 if second is None else (np.arange(cut), np.arange(cut, len(words)))
+def _pairs_of(bits: np.ndarray, cut: int | None, root: np.ndarray, size: np.ndarray, percent: int):
+    """(places, places, bits apart) of sets in different components whose sizes and sketches allow a link: among all sets, or
+    between those before ``cut`` and those from it on."""
+    words = np.ascontiguousarray(bits).view("<u8")
+    rows, cols = (np.arange(len(words)),) * 2 if cut is None else (np.arange(cut), np.arange(cut, len(words)))
+    found = [(np.zeros(0, np.int64),) * 3]
     for at in range(0, len(rows), 256):
         i = rows[at:at + 256]
-        apart = np.zeros((len(i), len(cols)), np.int32)
+        x, y = np.nonzero((root[i][:, None] != root[cols][None, :]) & ((cut is not None) | (i[:, None] < cols[None, :])))
+        x, y = i[x], cols[y]
+        total = size[x] + size[y]
+        fits = 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
+        x, y, total = x[fits], y[fits], total[fits]
+        apart = np.zeros(len(x), np.int64)
         for w in range(words.shape[1]):
-            apart += np.bitwise_count(words[i, w][:, None] ^ words[cols, w][None, :])
-        total = size[i][:, None] + size[cols][None, :]
-        most = total - 2 * -(-percent * total // (100 + percent))
-        fits = (apart <= most) & (root[i][:, None] != root[cols][None, :]) & (100 * np.minimum(size[i][:, None], size[cols][None, :]) >= percent * np.maximum(size[i][:, None], size[cols][None, :]))
-        x, y = np.nonzero(fits)
-        if not all_pairs and len(x):
-            order = np.lexsort((apart[x, y], root[cols[y]], x))
-            x, y = x[order], y[order]
-            new = np.r_[True, (x[1:] != x[:-1]) | (root[cols[y]][1:] != root[cols[y]][:-1])]
-            x, y = x[new], y[new]
-        yield i[x], cols[y]
-
-
-def cross_pairs(met: DataFrame, sketches: DataFrame, roots: DataFrame, all_pairs: bool, percent: int = PERCENT) -> DataFrame:
-    """``a, b``: pairs of sets that share a signature, lie in different components and may be linked by their sketches; all
-    of them, or only the nearest of each set in each other component.
-
-    Only signatures with more than two sets and several components take part: the two of any other have met. A signature with
-    more than ``CHUNK`` sets is cut, and each two of its cuts meet in a place of their own."""
+            apart += np.bitwise_count(words[x, w] ^ words[y, w])
+        near = apart <= total - 2 * -(-percent * total // (100 + percent))
+        found.append((x[near], y[near], apart[near]))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _nearest_only(x, y, apart, root):
+    """Of the pairs those that are the nearest of one of their sets in the other's component."""
+    keep = np.zeros(len(x), bool)
+    for p, q in ((x, y), (y, x)):
+        order = np.lexsort((apart, root[q], p))
+        p, r = p[order], root[q][order]
+        keep[order[np.r_[True, (p[1:] != p[:-1]) | (r[1:] != r[:-1])]]] = True
+    return x[keep], y[keep]
+
+
+CROSS = "a long, b long, open long"
+
+
+def cross_pairs(met: DataFrame, sketches: DataFrame, roots: DataFrame, only: DataFrame | None = None, percent: int = PERCENT) -> DataFrame:
+    """``CROSS``: pairs of sets that share a signature, lie in different components and may be linked by their sketches.
+
+    Where a signature has more than eight such pairs for each of its sets, only the nearest of each set in each other
+    component are given, and the signature is named as ``open``; with ``only`` (a table of such ``sig``) all of theirs are.
+    Signatures with the same sets count once. One with more than ``CHUNK`` sets is cut, and each two of its cuts meet in a
+    place of their own."""
+    met = met if only is None else met.join(only, "sig", "left_semi")
     members = met.select("sig", "band", "cls").union(met.select("sig", "band", "lead")).distinct()
     members = _labelled(members, "cls", roots, "root")
-    mixed = members.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where("x <> y and n > 2")
-    cuts = mixed.select("sig", F.ceil(F.col("n") / CHUNK).alias("cuts"))
-    members = members.join(cuts, "sig").join(sketches, ["cls", "band"]).withColumn("cut", F.pmod(F.xxhash64("cls"), F.col("cuts")))
+    mixed = members.groupBy("sig", "band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("sets"))
+    mixed = mixed.where("x <> y").groupBy("band", "x", "y", "n", "sets").agg(F.min("sig").alias("sig"))
+    members = members.join(mixed.select("sig", F.ceil(F.col("n") / CHUNK).alias("cuts")), "sig").join(sketches.drop("text_hash"), ["cls", "band"])
+    members = members.withColumn("cut", F.pmod(F.xxhash64("cls"), F.col("cuts")))
     others = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1).cast("array<bigint>"), lambda o: F.struct(F.least("cut", o).alias("i"), F.greatest("cut", o).alias("j")))
     members = members.select("sig", "cls", "root", "size", "bits", "cut", F.inline(others))
+    every = only is not None
 
     def run(rows):
-        def settle(t):
+        def starts(t):
             key = [t.column(c).to_numpy() for c in ("sig", "i", "j")]
-            new = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in key], axis=0)])
+            return key, np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in key], axis=0)])
+
+        def settle(t):
+            key, new = starts(t)
             cls, root, size, cut = (t.column(c).to_numpy() for c in ("cls", "root", "size", "cut"))
-            bits, a, b = t.column("bits").to_pylist(), [], []
+            bits, a, b, left = t.column("bits").to_pylist(), [], [], []
             for s, e in zip(new.tolist(), [*new[1:].tolist(), t.num_rows]):
                 if e - s < 2 or (root[s:e] == root[s]).all():
                     continue
                 table = np.frombuffer(b"".join(bits[s:e]), np.uint8).reshape(e - s, -1)
-                second = None if key[1][s] == key[2][s] else int((cut[s:e] == key[1][s]).sum())
-                for x, y in _pairs_of(table, second, cls[s:e], root[s:e], size[s:e], percent, all_pairs):
-                    a.append(cls[s:e][x])
-                    b.append(cls[s:e][y])
+                x, y, apart = _pairs_of(table, None if key[1][s] == key[2][s] else int((cut[s:e] == key[1][s]).sum()), root[s:e], size[s:e].astype(np.int64), percent)
+                if len(x) > 8 * (e - s) and not every:
+                    x, y = _nearest_only(x, y, apart, root[s:e])
+                    left.append(key[0][s])
+                a.append(cls[s:e][x])
+                b.append(cls[s:e][y])
             a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            none = [None] * len(left)
+            return pa.RecordBatch.from_arrays([pa.array([*pairs[0].tolist(), *none], pa.int64()), pa.array([*pairs[1].tolist(), *none], pa.int64()),
+                                               pa.array([None] * pairs.shape[1] + left, pa.int64())], names=["a", "b", "open"])
 
         held = None
         for batch in rows:
             t = pa.Table.from_batches([batch])
             t = pa.concat_tables([held, t]) if held is not None else t
-            key = [t.column(c).to_numpy() for c in ("sig", "i", "j")]
-            last = int(np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in key], axis=0)])[-1])
+            last = int(starts(t)[1][-1]) if t.num_rows else 0
             if last:  # the last group may go on in the next batch
                 yield settle(t.slice(0, last).combine_chunks())
             held = t.slice(last)
@@ -355,7 +392,68 @@ def cross_pairs(met: DataFrame, sketches: DataFrame, roots: DataFrame, all_pairs
             yield settle(held.combine_chunks())
 
     parts = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return members.repartition(parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "cut").mapInArrow(run, "a long, b long").distinct()
+    return members.repartition(parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "cut").mapInArrow(run, CROSS)
+
+
+def connected(links: DataFrame, most_rounds: int = 40) -> DataFrame:
+    """``node, root`` as ``components`` gives them, in one exchange a round: every node and its neighbours, in order, move to
+    the least of them (hash to min). Links of one task are first reduced to those that connect something new there."""
+    def thin(rows):
+        up = {}
+
+        def find(x):
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for batch in rows:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                a, b = find(a), find(b)
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+            if len(up) > 1 << 18:
+                yield stars(up, find)
+                up.clear()
+        if up:
+            yield stars(up, find)
+
+    def stars(up, find):
+        rows = [(x, find(x)) for x in list(up) if find(x) != x]
+        x, r = (np.array(c, np.int64) for c in zip(*rows)) if rows else (np.zeros(0, np.int64),) * 2
+        return pa.RecordBatch.from_arrays([pa.array(np.r_[x, r]), pa.array(np.r_[r, x])], names=["u", "v"])
+
+    def step(rows):
+        node, least, last = None, None, None
+        for batch in rows:
+            u, v = batch.column("u").to_numpy(), batch.column("v").to_numpy()
+            if not len(u):
+                continue
+            goes_on = u[0] == node
+            new = np.r_[not goes_on, u[1:] != u[:-1]]
+            at = np.flatnonzero(new)
+            low = np.empty(len(u), np.int64)  # v ascends: the least neighbour comes first
+            if len(at):
+                low[at[0]:] = np.repeat(np.minimum(u[at], v[at]), np.diff(np.r_[at, len(u)]))
+            low[:at[0] if len(at) else len(u)] = 0 if least is None else least
+            again = np.r_[bool(goes_on and v[0] == last), (u[1:] == u[:-1]) & (v[1:] == v[:-1])]
+            # the node itself and all its neighbours learn of the least; it has settled if that is all that it knows
+            mine, theirs = new & (low != u), ~again & (low != v)
+            settled = np.where(low == u, True, v == low)
+            a = np.r_[u[mine], low[mine], v[theirs], low[theirs]]
+            b = np.r_[low[mine], u[mine], low[theirs], v[theirs]]
+            still = np.zeros(len(a), bool)
+            still[len(a) - int(theirs.sum()):] = ~settled[theirs]
+            node, least, last = u[-1], low[-1], v[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(still)], names=["u", "v", "moving"])
+
+    parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = links.select("a", "b").mapInArrow(thin, "u long, v long")
+    for _ in range(most_rounds):
+        edges = edges.select("u", "v").repartition(parts, "u").sortWithinPartitions("u", "v").mapInArrow(step, "u long, v long, moving boolean")
+        edges = materialize(edges, "jaccard-edges")
+        if not edges.where("moving").limit(1).count():
+            return edges.where("v < u").select(F.col("u").alias("node"), F.col("v").alias("root")).distinct()
+    raise RuntimeError("components did not settle")
 
 
 def _labelled(rows: DataFrame, column: str, roots: DataFrame, name: str) -> DataFrame:
@@ -365,39 +463,35 @@ def _labelled(rows: DataFrame, column: str, roots: DataFrame, name: str) -> Data
 
 
 def linked_classes(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``node, root``: classes with a link to another class, and the least class that each can reach. ``rows``: ``classes``.
+    """``node, root``: classes with a link to another class, and the least class that each can reach. ``rows``: ``ROWS``.
 
     All pairs of sets that share a signature are settled: ruled out by sizes or sketches, verified by their intersection, or
     connected already by others. In the order that spares most: first each set against the lead that it shares the most
-    signatures with; then against its other leads and, in signatures that hold several components, against the nearest set
-    of each other component; at last all pairs that are still apart."""
-    met = materialize(meetings(signatures(docs, shingle, percent)), "jaccard-met")
-    nodes = materialize(met.select(F.explode(F.array("lead", "cls")).alias("cls")).distinct(), "jaccard-nodes")
-    known = rows.where("own is not null").join(maybe_broadcast(nodes, 1_000_000), "cls", "left_semi").dropDuplicates(["cls"])
+    signatures with; then, in signatures that hold several components, the pairs that are still apart, where they are many
+    the nearest ones; at last all pairs of those where some were left."""
+    met = materialize(meetings(signatures(rows)), "jaccard-met")
     each = F.array(F.struct(F.col("band").alias("band"), F.col("own").alias("bits")), F.struct((F.col("band") + 1).alias("band"), F.col("next").alias("bits")))
-    sketches = known.select("cls", "size", F.inline(each)).where("bits is not null")
-    sketches = materialize(sketches.withColumn("size", F.col("size").cast("int")), "jaccard-sketches")
+    sketches = rows.where("own IS NOT NULL OR next IS NOT NULL").select("cls", "text_hash", F.col("size").cast("int").alias("size"), F.inline(each))
+    sketches = materialize(sketches.where("bits IS NOT NULL").dropDuplicates(["cls", "band"]), "jaccard-sketches")
     star = met.where(100 * F.least("lead_size", "size") >= percent * F.greatest("lead_size", "size")) \
         .groupBy(F.least("lead", "cls").alias("a"), F.greatest("lead", "cls").alias("b")).agg(F.min("band").alias("band"), F.count("*").alias("n"))
-    star = materialize(near_by_sketch(star, sketches, percent), "jaccard-star")
-    best = star.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
-    done, links = materialize(best, "jaccard-done"), None
-    roots = docs.sparkSession.createDataFrame([], "node long, root long")
-    for round_ in range(3):
-        pairs = done if not round_ else None
-        if round_:
-            found = cross_pairs(met, sketches, roots, round_ == 2, percent)
-            if round_ == 1:
-                apart = _labelled(_labelled(star.select("a", "b"), "a", roots, "ra"), "b", roots, "rb").where("ra <> rb").select("a", "b")
-                found = found.union(apart).distinct()
-            pairs = materialize(found.join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
-            if not pairs.limit(1).count():
-                continue
+    best = near_by_sketch(star, sketches, percent).groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a"))
+    done = materialize(best.select("a", "b"), "jaccard-done")
+    links = materialize(verified(done, docs, sketches, shingle, percent), "jaccard-links")
+    roots = materialize(connected(links), "jaccard-roots")
+    only = None
+    for _ in range(2):
+        cross = materialize(cross_pairs(met, sketches, roots, only, percent), "jaccard-cross")
+        pairs = materialize(cross.where("a IS NOT NULL").select("a", "b").distinct().join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
+        if pairs.limit(1).count():
+            new = materialize(verified(pairs, docs, sketches, shingle, percent), "jaccard-links")
             done = done.union(pairs)
-        new = materialize(verified(pairs, docs, shingle, percent), "jaccard-links")
-        if new.limit(1).count():
-            links = new if links is None else links.union(new)
-            roots = materialize(components(links), "jaccard-roots")
+            if new.limit(1).count():
+                links = links.union(new)
+                roots = materialize(connected(links), "jaccard-roots")
+        only = cross.where("open IS NOT NULL").select(F.col("open").alias("sig")).distinct()
+        if not only.limit(1).count():
+            break
     return roots
 
 
@@ -418,7 +512,7 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     Repeated rows, and rows of one id with different texts, are rows of their own. Rows without id link like others and get
     the smallest id of their component, null if it has none. Very long texts are as many shingles and signatures. An empty
     table gives no rows; of ``docs`` only ``doc_id`` and ``text`` are read."""
-    rows = materialize(classes(docs, shingle, percent), "jaccard-rows")
+    rows = materialize(profiles(docs, shingle, percent), "jaccard-rows")
     roots = linked_classes(docs, rows, shingle, percent)
     each = rows.where("size > 0").groupBy("cls").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     each = _labelled(each, "cls", roots, "root")

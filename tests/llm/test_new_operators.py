@@ -277,8 +277,10 @@ def test_jaccard_without_leads_in_one_stretch(spark):
     """Stretches of a few signatures: sets meet over stretches, not within."""
     texts = planted()
     docs = spark.createDataFrame(rows_of(texts), CLASH).repartition(5)
-    met = jaccard.meetings(jaccard.signatures(docs, most=1)).select("sig", "cls").union(jaccard.meetings(jaccard.signatures(docs, most=1)).select("sig", "lead"))
-    whole = jaccard.meetings(jaccard.signatures(docs))
+    sets = jaccard.profiles(docs).persist()
+    met = jaccard.meetings(jaccard.signatures(sets, most=1))
+    met = met.select("sig", "cls").union(met.select("sig", "lead"))
+    whole = jaccard.meetings(jaccard.signatures(sets))
     whole = whole.select("sig", "cls").union(whole.select("sig", "lead"))
     assert set(map(tuple, met.collect())) == set(map(tuple, whole.collect()))
 
@@ -302,6 +304,46 @@ def test_linked_sets_share_a_signature():
                     assert (one ^ two).bit_count() <= len(x) + len(y) - 2 * both <= jaccard.most_apart(len(x) + len(y))
 
 
+def test_signatures_of_nothing():
+    """Sets so thin that all partitions that agree may agree in nothing."""
+    g, sign = np.random.default_rng(8), jaccard.Signer()
+    met = 0
+    for index in (10, 14, 18):
+        first = jaccard.band(index)[0]
+        n1, n2, subsets, spare = jaccard.plan(index)
+        for _ in range(40):
+            x = np.unique(jaccard._mix(g.integers(0, 1 << 62, first).astype(np.uint64)))
+            cell = (x >> np.uint64(32)) * np.uint64(n1) >> np.uint64(32)
+            keep = np.isin(cell, np.unique(cell)[:n1 - spare - 2])  # nothing at all in the last partitions
+            x = x[keep]
+            y = x[1:]
+            met += len(sign.sign(x, index)) > 0
+            assert len(np.intersect1d(sign.sign(x, index), sign.sign(y, index)))
+            other = np.unique(jaccard._mix(g.integers(0, 1 << 62, first).astype(np.uint64)))
+            assert not len(np.intersect1d(sign.sign(x, index), sign.sign(other, index)))
+    assert met == 120
+
+
+def test_connected(spark):
+    g = random.Random(2)
+    links = [(a, a + 1) for a in range(0, 60)] + [(g.randrange(100, 400), g.randrange(100, 400)) for _ in range(200)] + [(900, 901), (901, 900), (5, 5)]
+    links += [(1000, x) for x in range(1001, 1200)] + [(1500, 1100)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    df = spark.createDataFrame(links, "a long, b long").repartition(7)
+    got = {r.node: r.root for r in jaccard.connected(df).collect()}
+    assert got == {x: find(x) for x in list(root) if find(x) != x}
+    assert jaccard.connected(df.limit(0)).collect() == []
+
+
 def test_bands_and_distances():
     for percent in (70, 85, 95):
         for i in range(40):

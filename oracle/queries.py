@@ -151,8 +151,10 @@ ORACLE["tag_freq_in_post"] = W(POSTS, TOKS, TAGC) + (
     "SELECT t.id, t.tag, count(*)::BIGINT AS tf FROM (SELECT id, unnest(tokens) AS tag FROM toks) t "
     "JOIN tagc c ON t.tag = c.term GROUP BY t.id, t.tag")
 ORACLE["predict_target"] = W(POSTS, TOKS, TAGC) + (
-    "SELECT t.id, t.tag, count(*)::BIGINT AS value FROM (SELECT id, unnest(tokens) AS tag FROM toks) t "
-    "JOIN tagc c ON t.tag = c.term GROUP BY t.id, t.tag")
+    ", own AS (SELECT t.id, t.tag, count(*)::BIGINT AS n FROM (SELECT id, unnest(tokens) AS tag FROM toks) t "
+    "JOIN tagc c ON t.tag = c.term GROUP BY t.id, t.tag) "
+    "SELECT 'thread' AS target, id, thread AS tag, (dense_rank() OVER (ORDER BY thread) - 1)::BIGINT AS value FROM posts "
+    "UNION ALL SELECT 'tag_counts', id, tag, n FROM own UNION ALL SELECT 'tag_bool', id, tag, 1::BIGINT FROM own")
 ORACLE["matrix_shape"] = W(POSTS, TOKS, BOW) + """SELECT (SELECT count(*) FROM documents)::BIGINT AS n_docs,
   count(DISTINCT term)::BIGINT AS n_terms, count(*)::BIGINT AS nnz,
   round(count(*) / ((SELECT count(*) FROM documents) * count(DISTINCT term)), 6) AS density FROM bow"""
@@ -210,8 +212,6 @@ ev AS (SELECT coalesce(t.id, a.id) AS id, coalesce(t.tags, []) AS tr, coalesce(l
 per AS (SELECT id, len(tr)::BIGINT AS n_true, len(pr)::BIGINT AS n_pred,
   len(list_filter(tr, lambda x: list_contains(pr, x)))::BIGINT AS hits,
   len(list_filter(tr, lambda x: NOT list_contains(pr, x)))::BIGINT AS misses FROM ev)"""
-ORACLE["auto_tag_posts"] = W(POSTS) + ("SELECT id, len(tags)::BIGINT AS n_true, true AS at_most_five, true AS all_known, "
-                                       "true AS adds_up FROM posts")
 ORACLE["evaluate_autotag"] = W(*FBASE, EVAL) + "SELECT * FROM per"
 ORACLE["autotag_summary"] = W(*FBASE, EVAL) + """SELECT count(*)::BIGINT AS n_posts, sum(hits)::BIGINT AS hits, sum(misses)::BIGINT AS misses,
   CASE WHEN sum(misses) > 0 THEN round(sum(hits) / sum(misses), 6) END AS hit_miss_ratio,
@@ -367,3 +367,67 @@ ORACLE["stream_token_counts"] = ORACLE["token_counts"]
 # the trained vectors are no SQL; every word must have one of the asked dimension
 ORACLE["word2vec_train"] = W(POSTS, TOKS, COUNTS) + "SELECT term AS word, 128::BIGINT AS dim FROM counts"
 ORACLE["tag_aware_embedding"] = W(POSTS, TAGC) + "SELECT term AS word, 128::BIGINT AS dim FROM tagc"
+
+ORACLE["project_2d"] = W(WV) + """, m AS (SELECT i, avg(x) AS m FROM (SELECT unnest(range(len(vector))) AS i, unnest(vector) AS x FROM wv) GROUP BY i),
+l AS (SELECT word, unnest(range(len(vector))) AS i, unnest(vector) AS x FROM wv)
+SELECT word, round(sum((x - m.m) * (x - m.m)), 6) AS spread FROM l JOIN m USING (i) GROUP BY word"""
+ORACLE["cooccurrence_ppmi"] = W(POSTS, TOKS) + """, pos AS (SELECT id, unnest(tokens) AS t, generate_subscripts(tokens, 1) AS i FROM toks),
+once AS (SELECT a.t AS word, b.t AS context FROM pos a JOIN pos b ON a.id = b.id AND b.i IN (a.i + 1, a.i + 2)),
+both_ AS (SELECT word, context FROM once UNION ALL SELECT context, word FROM once),
+n AS (SELECT word, context, count(*)::BIGINT AS n FROM both_ GROUP BY word, context),
+w AS (SELECT word, sum(n)::DOUBLE AS s FROM n GROUP BY word), tot AS (SELECT sum(n)::DOUBLE AS s FROM n)
+SELECT n.word, n.context, n.n, round(greatest(ln(n.n * tot.s / (a.s * b.s)), 0), 6) AS ppmi
+FROM n JOIN w a ON n.word = a.word JOIN w b ON n.context = b.word, tot WHERE n.word <= n.context"""
+
+
+def _staged() -> str:
+    totals = ", ".join(f"sum(CASE WHEN pos % 10 = {c} THEN x ELSE 0 END) OVER (PARTITION BY vec_id ORDER BY pos) AS t{c}" for c in range(10))
+    listed = ", ".join(f"round(t{c}, 9)" for c in range(10))
+    return f"""WITH e AS (SELECT vec_id, label, CASE WHEN {bucket('vec_id', 4)} = 0 THEN 'test' ELSE 'train' END AS split,
+  unnest(range(len(embedding))) AS pos, unnest(embedding::DOUBLE[]) AS x FROM embeddings),
+c AS (SELECT split, label, pos, {totals} FROM e),
+p AS (SELECT split, label, pos + 1 AS round, list_position([{listed}], list_max([{listed}])) - 1 AS said FROM c)
+SELECT split, round::BIGINT AS round, round(avg(CASE WHEN said <> label THEN 1.0 ELSE 0.0 END), 6) AS error FROM p GROUP BY split, round"""
+
+
+ORACLE["staged_error_scores"] = _staged()
+ORACLE["saved_pipeline"] = ORACLE["naive_bayes"]
+ORACLE["topic_map"] = ORACLE["topic_distance"].replace("SELECT topic_a, topic_b, round(sum(", "SELECT topic_a, topic_b, round(js, 6) AS js, round(sqrt(greatest(js, 0)), 6) AS map_distance FROM (SELECT topic_a, topic_b, (sum(") \
+    .replace(", 6) AS js FROM g GROUP BY topic_a, topic_b", ") AS js FROM g GROUP BY topic_a, topic_b)")
+
+
+def _em(k: int = 3, iterations: int = 2, seed: int = 42) -> str:
+    """pLSA by EM: start from hashed shares, topics alike in all documents."""
+    each = range(k)
+    ctes = [f"u AS (SELECT term, {', '.join(f'{md5int(chr(39) + str(seed) + chr(124) + chr(39) + ' || term || ' + chr(39) + chr(124) + str(t) + chr(39))} / 4294967296.0::DOUBLE + 0.5 AS u{t}' for t in each)} FROM (SELECT DISTINCT term FROM bow))",
+            f"phi0 AS (SELECT term, {', '.join(f'u{t} / sum(u{t}) OVER () AS p{t}' for t in each)} FROM u)",
+            f"th0 AS (SELECT DISTINCT id, {', '.join(f'1.0::DOUBLE / {k} AS q{t}' for t in each)} FROM bow)"]
+    for i in range(iterations):
+        s = " + ".join(f"p{t} * q{t}" for t in each)
+        ctes += [f"r{i} AS (SELECT b.id, b.term, {', '.join(f'b.tf * p{t} * q{t} / ({s}) AS r{t}' for t in each)} FROM bow b JOIN phi{i} USING (term) JOIN th{i} USING (id))",
+                 f"n{i} AS (SELECT term, {', '.join(f'sum(r{t}) AS r{t}' for t in each)} FROM r{i} GROUP BY term)",
+                 f"phi{i + 1} AS (SELECT term, {', '.join(f'r{t} / sum(r{t}) OVER () AS p{t}' for t in each)} FROM n{i})",
+                 f"th{i + 1} AS (SELECT id, {', '.join(f'sum(r{t}) / sum({' + '.join(f'r{x}' for x in each)}) AS q{t}' for t in each)} FROM r{i} GROUP BY id)"]
+    return W(POSTS, TOKS, BOW, *ctes) + f"SELECT term, {', '.join(f'round(p{t} * 1e6, 4) AS p{t}' for t in each)} FROM phi{iterations}"
+
+
+ORACLE["topic_em_step"] = _em()
+ORACLE["multilabel_nb"] = W(POSTS, TOKS, TAGC, LAB) + f""",
+pairs AS (SELECT DISTINCT t.id, t.tag FROM (SELECT id, unnest(tokens) AS tag FROM toks) t JOIN tagc c ON t.tag = c.term),
+x AS (SELECT id, split, b, count(*)::DOUBLE AS tf FROM (SELECT id, {bucket('term', 512)} AS b FROM (SELECT id, unnest(tokens) AS term FROM toks)) JOIN lab USING (id) GROUP BY id, split, b),
+tr AS (SELECT id FROM lab WHERE split = 'train'), te AS (SELECT id FROM lab WHERE split = 'test'),
+nb AS (SELECT b, sum(tf) AS n FROM x WHERE split = 'train' GROUP BY b),
+total AS (SELECT (SELECT coalesce(sum(n), 0) FROM nb) AS n, (SELECT count(*) FROM tr)::DOUBLE AS posts),
+tag AS (SELECT tag, count(*)::DOUBLE AS posts FROM pairs JOIN tr USING (id) GROUP BY tag),
+ntb AS (SELECT p.tag, x.b, sum(x.tf) AS n FROM pairs p JOIN x ON p.id = x.id AND x.split = 'train' GROUP BY p.tag, x.b),
+nt AS (SELECT tag, sum(n) AS n FROM ntb GROUP BY tag),
+w AS (SELECT ntb.tag, ntb.b, ln(ntb.n + 1) + ln((nb.n + 1) / (nb.n - ntb.n + 1)) AS w FROM ntb JOIN nb USING (b)),
+bias AS (SELECT t.tag, CASE WHEN t.posts = total.posts THEN 1e300 ELSE ln(t.posts) - ln(total.posts - t.posts) END AS prior,
+  ln(total.n - coalesce(nt.n, 0) + 512) - ln(coalesce(nt.n, 0) + 512) AS per_token FROM tag t LEFT JOIN nt USING (tag), total),
+doc AS (SELECT x.id, sum(x.tf) AS len, sum(-x.tf * ln(coalesce(nb.n, 0) + 1)) AS base FROM x LEFT JOIN nb USING (b) WHERE x.split = 'test' GROUP BY x.id),
+part AS (SELECT x.id, w.tag, sum(x.tf * w.w) AS s FROM x JOIN w USING (b) WHERE x.split = 'test' GROUP BY x.id, w.tag),
+sc AS (SELECT te.id, bias.tag, prior + coalesce(doc.base, 0) + coalesce(doc.len, 0) * per_token + coalesce(part.s, 0) > 0 AS said, p.id IS NOT NULL AS own
+  FROM te CROSS JOIN bias LEFT JOIN doc ON doc.id = te.id LEFT JOIN part ON part.id = te.id AND part.tag = bias.tag
+  LEFT JOIN pairs p ON p.id = te.id AND p.tag = bias.tag)
+SELECT tag, 'test' AS split, count(*)::BIGINT AS n, sum(own::INT)::BIGINT AS n_true, sum(said::INT)::BIGINT AS n_pred, sum((own AND said)::INT)::BIGINT AS tp
+FROM sc GROUP BY tag"""

@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.operators.evaluate import MacroF1Evaluator, classification_metrics
+from tagloom.operators.features import small_terms
 from tagloom.operators.neighbors import nearest
-from tagloom.session import materialize, maybe_broadcast
+from tagloom.operators.skew import heavy_join
+from tagloom.session import materialize
 from tagloom.sources.tables import with_split
 
 
@@ -63,6 +65,14 @@ def nb_fit(tf_long: DataFrame, labels: DataFrame, alpha: float = 1.0, fit_prior:
     return NBModel(classes, weights, vocab, label_list, alpha)
 
 
+def _terms_of(tf_long: DataFrame, wide: DataFrame) -> DataFrame:
+    """Rows of ``tf_long`` with what ``wide`` (a row for each term, ``weight``) has for their terms: a small table goes to the
+    rows, of a large one its frequent terms do and the others are met by key."""
+    if small_terms(wide):
+        return tf_long.join(F.broadcast(wide), "term")
+    return heavy_join(tf_long, wide, "term", F.col("weight"))
+
+
 def _nb_wide_scores(model: NBModel, tf_long: DataFrame, ids: DataFrame) -> tuple[DataFrame, list]:
     """(id, s0..s{K-1}) with one score column per class, in the order of ``model.labels``.
 
@@ -71,9 +81,10 @@ def _nb_wide_scores(model: NBModel, tf_long: DataFrame, ids: DataFrame) -> tuple
     conditional sums. No (document x class) grid, no per-class joins; class constants (K rows) are literals."""
     labels = model.labels
     consts = {r["label"]: (r["log_prior"], r["log_denom"]) for r in model.classes.collect()}  # K rows
-    wide = model.weights.groupBy("term").agg(
-        *[F.sum(F.when(F.col("label") == F.lit(c), F.col("w"))).alias(f"w{i}") for i, c in enumerate(labels)])
-    per_doc = tf_long.join(wide, "term").groupBy("id").agg(
+    wide = materialize(model.weights.groupBy("term").agg(
+        *[F.sum(F.when(F.col("label") == F.lit(c), F.col("w"))).alias(f"w{i}") for i, c in enumerate(labels)],
+        F.sum(F.exp("w")).alias("weight")), "nb_weights")  # exp(w) = 1 + n / alpha: as heavy as the term is frequent
+    per_doc = _terms_of(tf_long, wide).groupBy("id").agg(
         F.sum("tf").alias("L"),  # in-vocabulary length: every vocabulary term has a wide row
         *[F.sum(F.col("tf") * F.coalesce(F.col(f"w{i}"), F.lit(0.0))).alias(f"p{i}") for i in range(len(labels))])
     la = math.log(model.alpha)
@@ -139,7 +150,11 @@ def labelled_features(df: DataFrame, tokens_col: str = "tokens", label_col: str
 
 
 def estimator(name: str, **kw):
-    """Classifier by name: nb, rf, ovr_lr, ovr_svc, ovr_gbt, dt."""
+    """Classifier by name: nb, rf, ovr_lr, ovr_svc, ovr_gbt, dt.
+
+    One-vs-rest models are fitted one after the other: side by side, pyspark gives all its threads the same copy of the
+    session's local properties, and one clears the execution id that another is reading. Whole fits may run side by side,
+    from threads of their own."""
     from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                            NaiveBayes, OneVsRest, RandomForestClassifier)
 
@@ -152,14 +167,14 @@ def estimator(name: str, **kw):
     if name == "ovr_lr":  # elastic-net penalised logistic regression, one model per class
         return OneVsRest(classifier=LogisticRegression(maxIter=kw.get("maxIter", 50), regParam=kw.get("regParam", 1e-4),
                                                        elasticNetParam=kw.get("elasticNetParam", 0.15)),
-                         parallelism=kw.get("parallelism", 4))
+                         parallelism=1)
     if name == "ovr_svc":
         return OneVsRest(classifier=LinearSVC(maxIter=kw.get("maxIter", 50), regParam=kw.get("regParam", 1e-4)),
-                         parallelism=kw.get("parallelism", 4))
+                         parallelism=1)
     if name == "ovr_gbt":  # boosted stumps: 20 rounds, depth 1, step 1.0 (GBTClassifier is binary-only)
         return OneVsRest(classifier=GBTClassifier(maxIter=kw.get("maxIter", 20), maxDepth=kw.get("maxDepth", 1),
                                                   stepSize=kw.get("stepSize", 1.0), seed=kw.get("seed", 42)),
-                         parallelism=kw.get("parallelism", 4))
+                         parallelism=1)
     if name == "dt":
         return DecisionTreeClassifier(maxDepth=kw.get("maxDepth", 5), seed=kw.get("seed", 42))
     raise ValueError(f"unknown estimator {name!r}")
@@ -199,33 +214,11 @@ def grid_search(data: DataFrame, est, grid, folds: int = 5, parallelism: int = 4
     return model, spark.createDataFrame(rows, f"params string, {name} double")
 
 
-def rf_grid(est):
-    """The reference's grid: depth {None,6,10,3} x features {sqrt,log2,None} x trees {10,15,20}. None depth maps
-    to 30 (MLlib maximum), None features to 'all'."""
-    from pyspark.ml.tuning import ParamGridBuilder
-
-    return (ParamGridBuilder().addGrid(est.maxDepth, [30, 6, 10, 3])
-            .addGrid(est.featureSubsetStrategy, ["sqrt", "log2", "all"])
-            .addGrid(est.numTrees, [10, 15, 20]).build())
-
-
-def gbt_regression_grid(est):
-    """H10 grid (729 points): lr {.05,.1,.3} x rounds {50} x depth {1,3,7} x min leaf {1,5,10} x subsample
-    {1,.5,.75} x features {all,sqrt,log2}; min_samples_split has no MLlib counterpart (min leaf stands in twice
-    in the reference grid, so it is used once here: 243 distinct points)."""
-    from pyspark.ml.tuning import ParamGridBuilder
-
-    return (ParamGridBuilder().addGrid(est.stepSize, [0.05, 0.1, 0.3]).addGrid(est.maxIter, [50])
-            .addGrid(est.maxDepth, [1, 3, 7]).addGrid(est.minInstancesPerNode, [1, 5, 10])
-            .addGrid(est.subsamplingRate, [1.0, 0.5, 0.75])
-            .addGrid(est.featureSubsetStrategy, ["all", "sqrt", "log2"]).build())
-
-
 # ------------------------------------------------------------------ H9: SAMME AdaBoost over decision trees
 def adaboost_samme(data: DataFrame, n_rounds: int = 20, learning_rate: float = 1.0, max_depth: int = 1,
                    n_classes: int | None = None, checkpoint_every: int = 5):
     """Multi-class AdaBoost (SAMME): each round fits a weighted DecisionTreeClassifier; misclassified rows gain
-    weight exp(alpha); weights are renormalised by a one-row aggregate. Lineage is cut by checkpoint() into the
+    weight exp(alpha); the error is their share of all weight, so weights need no other norm. Lineage is cut by checkpoint() into the
     shared checkpoint folder every few rounds. Returns (trees, alphas)."""
     from pyspark.ml.classification import DecisionTreeClassifier
 
@@ -273,30 +266,6 @@ def adaboost_predict(data: DataFrame, trees, alphas, n_classes: int) -> DataFram
     return out.select("id", "label", (-votes["neg"]).cast("double").alias("prediction"))
 
 
-# ------------------------------------------------------------------ H11: one binary model per tag
-def multilabel_tags(features: DataFrame, tag_matrix: DataFrame, tags: list[str], kind: str = "svc",
-                    parallelism: int = 4) -> DataFrame:
-    """Per tag, a LinearSVC (or NB) on TF-IDF features with target = tag present in the post (E3 matrix).
-    Returns (tag, split, metric, value)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.ml.classification import LinearSVC, NaiveBayes
-
-    def one(t: str) -> DataFrame:
-        y = tag_matrix.filter(F.col("tag") == t).select("id", F.lit(1.0).alias("y"))
-        d = features.join(y, "id", "left").withColumn("label", F.coalesce("y", F.lit(0.0))).drop("y")
-        est = LinearSVC(maxIter=50, regParam=1e-4) if kind == "svc" else NaiveBayes()
-        return fit_and_score(d, est).select(F.lit(t).alias("tag"), "*")
-
-    tag_matrix = training_frame(tag_matrix.filter(F.col("tag").isin(list(tags))), spread=False)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:  # independent fits run as concurrent Spark jobs
-        parts = list(pool.map(one, tags))
-    out = parts[0]
-    for m in parts[1:]:
-        out = out.unionByName(m)
-    return out
-
-
 # ------------------------------------------------------------------ H12: k-NN
 def knn_classify(test: DataFrame, train: DataFrame, k: int = 50, id_col: str = "id", metric: str = "euclidean"):
     """Majority label of the k nearest training rows (ties: smallest label). test/train: (id, vector[, label]).
@@ -337,36 +306,26 @@ def samme_staged_error(data: DataFrame, trees, alphas, n_classes: int, split_col
 def _nb_fold_predictions(tf_long: DataFrame, lab: DataFrame, alphas, fit_priors, k: int, eval_train: bool):
     """Predictions of k-fold multinomial NB for every (alpha, fit_prior) grid point, from one aggregation.
 
-    Counts are aggregated once per (fold, label, term); the model for fold g uses total minus fold-g counts, so the
-    k x |grid| fits share one shuffle instead of re-reading the data per fit. Each document is scored by the model
-    of its own fold (split 'validate') and, with ``eval_train``, by the other k-1 models (split 'train').
-
-    Scoring is wide: one row per (model g, term) carries a weight column per (alpha, class), so a document meets its
-    models in one join on (g, term) and one hash aggregate per (id, g); the argmax per grid point is a row
-    expression. Class constants (k x K values) are literals.
+    One row for each term holds its count in every (fold, class). The model that fold g has not taken part in is the sum
+    over all folds less that of g: an expression in the row, for every alpha. So k x |grid| models are one table of terms,
+    made by one aggregation, and all documents are scored by one join with it. Each document is scored by the model of its own
+    fold (split 'validate') and, with ``eval_train``, by the other k - 1 (split 'train').
     Returns (gi, alpha, fit_prior, g, split, id, truth, prediction)."""
     lab = lab.select("id", "label", F.col("fold").cast("int").alias("fold"))
-    t = tf_long.join(lab, "id")
-    # every model statistic derives from the (fold, class, term) counts: aggregate them once
-    cf = t.groupBy("fold", "label", "term").agg(F.sum("tf").alias("n_f"))  # read twice inside the job writing `wide`
-    c = cf.groupBy("label", "term").agg(F.sum("n_f").alias("n"))
-    # counts of model g = all training folds but g; a (g, label, term) row exists only where that count is > 0
-    cg = (c.select("label", "term", "n", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("g"))
-          .join(cf.withColumnRenamed("fold", "g"), ["g", "label", "term"], "left")
-          .select("g", "label", "term", (F.col("n") - F.coalesce("n_f", F.lit(0))).alias("ng"))
-          .filter(F.col("ng") > 0))
     nd = {(r["fold"], r["label"]): r["nd"] for r in lab.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("nd")).collect()}
     labels = sorted({lb for _, lb in nd})
-    # one row per (model g, vocabulary term): its count and weight for every class (and alpha), written once
-    wide = materialize(cg.groupBy("g", "term").agg(
-        *[F.sum(F.when(F.col("label") == F.lit(lb), F.col("ng"))).alias(f"n{j}") for j, lb in enumerate(labels)],
-        *[F.sum(F.when(F.col("label") == F.lit(lb), F.log(F.col("ng") + F.lit(a)) - F.lit(math.log(a)))).alias(
-            f"w{i}_{j}") for i, a in enumerate(alphas) for j, lb in enumerate(labels)]), "nb_model_weights")
-    # per model g: vocabulary size (its rows) and token total per class — k small rows
-    stats = wide.groupBy("g").agg(F.count(F.lit(1)).alias("V"),
-                                  *[F.sum(f"n{j}").alias(f"N{j}") for j in range(len(labels))]).collect()
-    voc = {r["g"]: r["V"] for r in stats}
-    tot = {(r["g"], lb): (r[f"N{j}"] or 0) for r in stats for j, lb in enumerate(labels)}
+    t = tf_long.join(lab, "id")
+    cell = lambda f, j: F.col(f"f{f}_{j}")
+    wide = materialize(t.groupBy("term").agg(
+        *[F.coalesce(F.sum(F.when((F.col("fold") == f) & (F.col("label") == F.lit(lb)), F.col("tf"))), F.lit(0)).alias(f"f{f}_{j}")
+          for f in range(k) for j, lb in enumerate(labels)], F.count(F.lit(1)).alias("weight")), "nb_fold_counts")
+    rest = lambda g, j: sum((cell(f, j) for f in range(k) if f != g), F.lit(0))
+    seen_in = lambda g: sum((rest(g, j) for j in range(len(labels))), F.lit(0)) > 0
+    # per model g: vocabulary size and token total per class, from one pass over the terms
+    stats = wide.agg(*[F.sum(seen_in(g).cast("bigint")).alias(f"V{g}") for g in range(k)],
+                     *[F.sum(rest(g, j)).alias(f"N{g}_{j}") for g in range(k) for j in range(len(labels))]).first()
+    voc = {g: stats[f"V{g}"] or 0 for g in range(k)}
+    tot = {(g, lb): stats[f"N{g}_{j}"] or 0 for g in range(k) for j, lb in enumerate(labels)}
     n_by_fold = {}
     for (f, _), v in nd.items():
         n_by_fold[f] = n_by_fold.get(f, 0) + v
@@ -377,11 +336,14 @@ def _nb_fold_predictions(tf_long: DataFrame, lab: DataFrame, alphas, fit_priors,
         return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("g") + 1)
 
     g_col = F.explode(F.sequence(F.lit(0), F.lit(k - 1))) if eval_train else F.col("fold")
-    tg = t.select("id", "term", "tf", g_col.alias("g"))
-    sums = tg.join(wide, ["g", "term"]).groupBy("id", "g").agg(
+    tg = _terms_of(t.select("id", "term", "tf", "fold"), wide).withColumn("g", g_col)
+    here = lambda j: F.element_at(F.array(*[rest(g, j) for g in range(k)]), F.col("g") + 1)
+    tg = tg.select("id", "g", "tf", *[here(j).alias(f"n{j}") for j in range(len(labels))])
+    known = sum((F.col(f"n{j}") for j in range(len(labels))), F.lit(0)) > 0
+    sums = tg.where(known).groupBy("id", "g").agg(
         F.sum("tf").alias("L"),
-        *[F.sum(F.col("tf") * F.coalesce(F.col(f"w{i}_{j}"), F.lit(0.0))).alias(f"p{i}_{j}")
-          for i in range(len(alphas)) for j in range(len(labels))])
+        *[F.sum(F.when(F.col(f"n{j}") > 0, F.col("tf") * (F.log(F.col(f"n{j}") + F.lit(a)) - F.lit(math.log(a)))).otherwise(0.0)).alias(f"p{i}_{j}")
+          for i, a in enumerate(alphas) for j in range(len(labels))])
     docs = lab.select("id", "fold", F.col("label").alias("truth"), g_col.alias("g")).join(sums, ["id", "g"], "left")
     label_arr = F.array(*[F.lit(x) for x in labels])
     points = []

@@ -18,6 +18,8 @@ part of speech takes the smallest. An entity of several words marks every token
 
 from __future__ import annotations
 
+import zlib
+
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, Window
@@ -159,20 +161,29 @@ def inline_stop_words(arr, words):
     return F.filter(arr, lambda t: ~t.isin(words)) if words else arr
 
 
+LEMMA_MAPS = 64
+
+
 def inline_lemmas(arr, lem):
-    """C9 on a token array: noun lemma, then verb lemma of the result; unknown forms stay. The hash-set test runs
-    first, so only tokens that are lexicon forms reach the map lookup."""
+    """C9 on a token array: noun lemma, then verb lemma of the result; unknown forms stay. A hash-set test comes first, so
+    only lexicon forms are looked up; a literal map is searched from its start, so the forms are dealt to ``LEMMA_MAPS``
+    maps by their hash and a look-up goes through one of them."""
     for pos in ("noun", "verb"):
         pairs = lem.get(pos) or {}
-        if not pairs:
-            continue
-        forms = sorted(pairs)
-        arr = F.transform(arr, _lemma_step(forms, F.create_map(*[F.lit(x) for f in forms for x in (f, pairs[f])])))
+        if pairs:
+            arr = F.transform(arr, _lemma_step(pairs))
     return arr
 
 
-def _lemma_step(forms, m):
-    return lambda t: F.when(t.isin(forms), F.coalesce(F.element_at(m, t), t)).otherwise(t)
+def _lemma_step(pairs):
+    forms = sorted(pairs)
+    maps: list[list] = [[] for _ in range(LEMMA_MAPS if len(forms) > LEMMA_MAPS else 1)]
+    for f in forms:
+        maps[zlib.crc32(f.encode("utf-8", "surrogatepass")) % len(maps)] += [F.lit(f), F.lit(pairs[f])]
+    empty = F.create_map().cast("map<string,string>")
+    table = F.array(*[F.create_map(*m) if m else empty for m in maps])
+    place = lambda t: (F.crc32(F.encode(t, "UTF-8")) % F.lit(len(maps))).cast("int")
+    return lambda t: F.when(t.isin(forms), F.coalesce(F.element_at(F.get(table, place(t)), t), t)).otherwise(t)
 
 
 def inline_token_steps(arr, lex: dict, ner: bool, rem_stopwords: bool, lemmatize: bool):

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.operators.features import small_terms
 from tagloom.operators.neighbors import nearest
-from tagloom.session import maybe_broadcast
+from tagloom.operators.skew import heavy_join
+from tagloom.session import materialize, maybe_broadcast, ship_package
 
 #: Word vectors beyond so many bytes are joined by shuffle, not broadcast.
 BROADCAST_BYTES = 64 << 20
@@ -92,15 +96,188 @@ def similar_by_vector(query_vectors: DataFrame, vectors: DataFrame, n: int = 10,
     return res.select(F.col("qid").alias(id_col), F.col("item").alias("word"), F.col("score").alias("cosine"), "rank")
 
 
+def principal_axes(df: DataFrame, vector_col: str = "vector", k: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """(mean, axes in columns, variance along each, variance in all) of the vectors: one pass of partial counts, means and
+    centred products, merged pairwise; the driver factors the dim x dim covariance. Of each axis the largest entry (the first of
+    equal ones) is positive. Rows without a vector do not count."""
+    ship_package(df.sparkSession)
+    vectors = df.where(F.col(vector_col).isNotNull()).select(F.col(vector_col).cast("array<double>").alias("v"))
+
+    def add(a, b):
+        if not a[0] or not b[0]:
+            return b if not a[0] else a
+        step, n = b[1] - a[1], a[0] + b[0]
+        return n, a[1] + step * (b[0] / n), a[2] + b[2] + np.outer(step, step) * (a[0] * b[0] / n)
+
+    def part(batches):
+        held = 0, None, None
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                mean = x.mean(axis=0)
+                held = add(held, (len(x), mean, (x - mean).T @ (x - mean)))
+        if held[0]:
+            yield _state(held)
+
+    def _state(held):
+        return pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1].tobytes()], pa.binary()), pa.array([held[2].tobytes()], pa.binary())],
+                                          names=["n", "mean", "products"])
+
+    def merge(rows):
+        held = 0, None, None
+        for r in rows:
+            mean = np.frombuffer(r["mean"])
+            held = add(held, (r["n"], mean, np.frombuffer(r["products"]).reshape(len(mean), -1)))
+        return held
+
+    def some(key, t):
+        return pa.Table.from_batches([_state(merge(t.to_pylist()))])
+
+    schema = "n long, mean binary, products binary"
+    parts = vectors.mapInArrow(part, schema).withColumn("slot", F.spark_partition_id() % 32)
+    n, mean, products = merge([r.asDict() for r in parts.groupBy("slot").applyInArrow(some, schema).collect()])  # 32 rows at most
+    if not n:
+        return np.zeros(0), np.zeros((0, 0)), np.zeros(0), 0.0
+    value, axis = np.linalg.eigh(products / n)
+    order = np.argsort(-value, kind="stable")[:k]
+    axis = axis[:, order]
+    axis = axis * np.sign(axis[np.argmax(np.abs(axis), axis=0), np.arange(axis.shape[1])])
+    return mean, axis, np.maximum(value[order], 0), float(np.trace(products) / n)
+
+
 def project_2d(df: DataFrame, vector_col: str = "vector", k: int = 2) -> DataFrame:
-    """PCA to k dimensions (re-aimed from t-SNE: distributed and deterministic). Adds x, y."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+    """PCA to k dimensions (re-aimed from t-SNE: distributed and deterministic). Adds x, y, ``residual`` (how far the
+    vector is from the plane) and ``explained`` (share of the variance that the plane has); null for rows without vector."""
+    mean, axes, variance, total = principal_axes(df, vector_col, k)
+    explained = float(variance.sum() / total) if total else None
+    cols = ("x", "y", *(f"x{i}" for i in range(3, k + 1)))[:k]
+    kinds = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"{c} double" for c in (*cols, "residual", "explained")])
+
+    def run(batches):
+        for batch in batches:
+            v = batch.column(batch.schema.get_field_index(vector_col))
+            there = v.is_valid().to_numpy(zero_copy_only=False)
+            out = np.full((batch.num_rows, len(cols) + 1), np.nan)
+            if there.any():
+                x = v.filter(pa.array(there)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(int(there.sum()), -1) - mean
+                at = x @ axes
+                out[there] = np.column_stack([at, np.linalg.norm(x - at @ axes.T, axis=1)])
+            new = [pa.array(c, pa.float64(), mask=~there) for c in out.T] + [pa.array([explained] * batch.num_rows, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *cols, "residual", "explained"])
+
+    return df.mapInArrow(run, kinds)
+
+
+# ------------------------------------------------------------------ E6/E7 from counts
+def cooccurrence(df: DataFrame, window: int = 5, tokens_col: str = "tokens") -> DataFrame:
+    """(word, context, n): how often the two words stand at most ``window`` tokens apart, counted from both sides."""
+    size = F.size(tokens_col)
+    pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(window)), lambda o: F.when(size > o, F.transform(
+        F.sequence(F.lit(0), size - o - 1), lambda i: F.struct(F.get(F.col(tokens_col), i).alias("word"), F.get(F.col(tokens_col), i + o).alias("context"))))
+        .otherwise(F.array().cast("array<struct<word:string,context:string>>"))))
+    once = df.where(size > 1).select(F.explode(pairs).alias("p")).select("p.word", "p.context").where("word IS NOT NULL AND context IS NOT NULL") \
+        .groupBy("word", "context").agg(F.count("*").alias("n"))
+    return once.union(once.select("context", "word", "n")).groupBy("word", "context").agg(F.sum("n").alias("n"))
+
+
+def ppmi(counts: DataFrame) -> DataFrame:
+    """(word, context, n, ppmi): positive pointwise mutual information, max(0, ln(n N / (n_word n_context))). The words' sums
+    go to the pairs if they are small, else the frequent words' do and the others meet their pairs by key."""
+    sums = materialize(counts.groupBy("word").agg(F.sum("n").alias("n_word"), F.count("*").alias("weight")), "word_sums")
+    total = float(sums.agg(F.sum("n_word")).first()[0] or 0)
+    small = small_terms(sums, "word")
+
+    def meet(left, on):
+        right = sums.select(F.col("word").alias(on), F.col("n_word").alias(f"n_{on}"), "weight")
+        return left.join(F.broadcast(right.drop("weight")), on) if small else heavy_join(left, right, on, F.col("weight")).drop("weight")
+
+    both = meet(meet(counts.select("word", "context", "n"), "word"), "context")
+    value = F.log(F.col("n") * F.lit(total) / (F.col("n_word") * F.col("n_context")))
+    return both.select("word", "context", "n", F.greatest(value, F.lit(0.0)).alias("ppmi"))
+
+
+def _drawn(words: DataFrame, r: int, seed: int) -> DataFrame:
+    """(word, v): r normal numbers for each word, by its hash."""
+    def run(batches):
+        for batch in batches:
+            rows = [np.random.default_rng(h & ((1 << 64) - 1)).normal(size=r) for h in batch.column("h").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(rows, pa.list_(pa.float64()))], names=["word", "v"])
+
+    return words.select("word", F.xxhash64(F.lit(seed), "word").alias("h")).mapInArrow(run, "word string, v array<double>")
+
+
+def _times(matrix: DataFrame, x: DataFrame, r: int) -> DataFrame:
+    """(word, v): the sparse (word, context, m) times the table x of r numbers for each context. Products are added up in
+    each task before they are shuffled."""
+    weights = matrix.groupBy("context").agg(F.count("*").alias("weight"))
+    right = materialize(weights.join(x.withColumnRenamed("word", "context"), "context"), "factor")
+    joined = matrix.join(F.broadcast(right.drop("weight")), "context") if right.count() * (8 * r + 64) < BROADCAST_BYTES \
+        else heavy_join(matrix, right, "context", F.col("weight"))
+    out = joined.groupBy("word").agg(*[F.sum(F.col("m") * F.col("v")[i]).alias(f"v{i}") for i in range(r)])
+    return materialize(out.select("word", F.array(*[f"v{i}" for i in range(r)]).alias("v")), "factor")
+
+
+def _gram(x: DataFrame, y: DataFrame | None, r: int) -> np.ndarray:
+    """x' y (x' x without y): r x r sums."""
+    both = x.select("word", "v", F.col("v").alias("w")) if y is None else x.join(y.withColumnRenamed("v", "w"), "word")
+
+    def run(batches):
+        total = np.zeros((r, r))
+        for batch in batches:
+            a, b = (batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, r) for c in ("v", "w"))
+            total += a.T @ b
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(r * r)), pa.array(total.reshape(-1))], names=["i", "s"])
+
+    out = np.zeros(r * r)
+    for row in both.mapInArrow(run, "i long, s double").groupBy("i").agg(F.sum("s").alias("s")).collect():  # r x r rows
+        out[row.i] = row.s
+    return out.reshape(r, r)
+
+
+def _turned(x: DataFrame, by: np.ndarray) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            a = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, by.shape[0]) @ by
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(list(a), pa.list_(pa.float64()))], names=["word", "v"])
+
+    return materialize(x.mapInArrow(run, "word string, v array<double>"), "factor")
+
+
+def _orthonormal(x: DataFrame, r: int) -> DataFrame:
+    """Columns with the same span at right angles: twice, since one pass leaves what rounding took."""
+    for _ in range(2):
+        value, axis = np.linalg.eigh(_gram(x, None, r))
+        x = _turned(x, axis / np.sqrt(np.maximum(value, value.max() * 1e-14)))
+    return x
+
+
+def ppmi_vectors(weights: DataFrame, dim: int = 64, extra: int = 8, powers: int = 2, seed: int = 42) -> DataFrame:
+    """E6, E7 without a vocabulary on the driver: (word, vector), word vectors by a randomised factorisation of the symmetric
+    matrix (word, context, ppmi): its range is found by multiplying drawn vectors, which are kept at right angles, and the
+    small matrix in that range is factored. A vector is the word's row of the ``dim`` leading axes times the roots of their
+    values, largest first. Draws go by the words' hashes, so vectors can be made again; they are a written table, and the
+    driver holds (dim + extra)^2 numbers."""
+    ship_package(weights.sparkSession)
+    r = dim + extra
+    matrix = materialize(weights.where("ppmi > 0").select("word", "context", F.col("ppmi").alias("m")), "ppmi")
+    words = matrix.select("word").distinct()
+    q = _orthonormal(_times(matrix, _drawn(words, r, seed), r), r) if matrix.limit(1).count() else None
+    if q is None:
+        return weights.sparkSession.createDataFrame([], "word string, vector array<double>")
+    for _ in range(powers):
+        q = _orthonormal(_times(matrix, q, r), r)
+    z = _times(matrix, q, r)
+    small = _gram(q, z, r)
+    value, axis = np.linalg.eigh((small + small.T) / 2)
+    order = np.argsort(-np.abs(value), kind="stable")[:dim]
+    out = _turned(q, axis[:, order] * np.sqrt(np.abs(value[order])))
+    return out.select("word", F.col("v").alias("vector"))
+
 
-    v = df.withColumn("__v", array_to_vector(F.col(vector_col).cast("array<double>")))
-    model = PCA(k=k, inputCol="__v", outputCol="__p").fit(v)
-    out = model.transform(v).withColumn("__a", vector_to_array("__p"))
-    return out.select(*[c for c in df.columns], F.col("__a")[0].alias("x"), F.col("__a")[1].alias("y"))
+def context_vectors(df: DataFrame, dim: int = 64, window: int = 5, tokens_col: str = "tokens", tags_col: str | None = None, every: int = 10, **how) -> DataFrame:
+    """E6 (E7 with ``tags_col``: tags are set between the words): ``ppmi_vectors`` of the corpus's co-occurrences."""
+    sentences = interleave_tags(df, tokens_col, tags_col, every) if tags_col else df
+    return ppmi_vectors(ppmi(materialize(cooccurrence(sentences, window, tokens_col), "cooccurrence")), dim, **how)
 
 
 def minmax_scale(df: DataFrame, cols=("x", "y")) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.hashing import uniform01
 from tagloom.functions.text import corpus_tokens, run_lengths
+from tagloom.operators.skew import heavy_join
 from tagloom.session import materialize
 
 
@@ -30,46 +31,71 @@ def document_frequency(tf_long: DataFrame) -> DataFrame:
     return tf_long.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def vocabulary(tf_long: DataFrame) -> DataFrame:
-    """(term, term_index) with terms in sorted order (count-vectoriser layout). Distributed: range-partitioned
-    sort, then zipWithIndex (one small job to count partition sizes) — no single-task global numbering."""
-    terms = tf_long.select("term").distinct().orderBy("term")
-    rdd = terms.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1]))
-    return rdd.toDF("term string, term_index bigint")
+#: Tables of terms up to so many bytes go to every task; larger ones are joined by key.
+BROADCAST_TERM_BYTES = 32 << 20
 
 
-def tfidf(tf_long: DataFrame, n_docs: int | None = None, smooth: bool = True, norm: bool = True) -> DataFrame:
-    """(id, term, tf, idf, tfidf). ``n_docs`` defaults to the number of documents in ``tf_long``.
+def small_terms(table: DataFrame, term_col: str = "term", most_bytes: int = BROADCAST_TERM_BYTES) -> bool:
+    """Whether a table of terms and a few numbers is below ``most_bytes``, counted by its terms' own bytes."""
+    size = table.agg(F.sum(F.octet_length(F.col(term_col).cast("string")) + F.lit(64))).first()[0] or 0
+    return size <= most_bytes
 
-    The df table joins back on term (shuffle join; AQE splits a hot term's partition); the L2 norm is a sum over
-    each document's own rows (window by id, bounded by the document length)."""
-    if n_docs is None:
-        n_docs = tf_long.select("id").distinct().count()
-    dfreq = document_frequency(tf_long)
+
+def inverse_document_frequency(dfreq: DataFrame, n_docs: int, smooth: bool = True) -> DataFrame:
+    """(term, df, idf) of (term, df)."""
     if smooth:
         idf = F.log((F.lit(1.0) + F.lit(float(n_docs))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     else:
         idf = F.log(F.lit(float(n_docs)) / F.col("df")) + F.lit(1.0)
-    w = tf_long.join(dfreq.withColumn("idf", idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    return dfreq.select("term", "df", idf.alias("idf"))
+
+
+def weighted_terms(tf_long: DataFrame, idf: DataFrame, norm: bool = True) -> DataFrame:
+    """(id, term, tf, idf, tfidf) of (id, term, tf) and (term, df, idf); terms without idf are left out.
+
+    A small vocabulary goes to the documents; of a large one the frequent terms do and the rest meets its rows by key, so a
+    term that all documents have is never one task's. The norm is a sum over a document's own terms."""
+    if small_terms(idf):
+        w = tf_long.join(F.broadcast(idf.select("term", "idf")), "term")
+    else:
+        w = heavy_join(tf_long, idf, "term", F.col("df")).drop("df")
+    w = w.withColumn("w", F.col("tf") * F.col("idf"))
     if norm:
-        l2 = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))
-        w = w.withColumn("w", F.col("w") / l2)
+        w = w.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id"))))
     return w.select("id", "term", "tf", "idf", F.col("w").alias("tfidf"))
 
 
+def tfidf(tf_long: DataFrame, n_docs: int | None = None, smooth: bool = True, norm: bool = True) -> DataFrame:
+    """(id, term, tf, idf, tfidf). ``n_docs`` defaults to the number of documents in ``tf_long``. The table is read
+    several times: give it written."""
+    if n_docs is None:
+        n_docs = tf_long.select("id").distinct().count()
+    idf = materialize(inverse_document_frequency(document_frequency(tf_long), n_docs, smooth), "idf")
+    return weighted_terms(tf_long, idf, norm)
+
+
+def _tags_of(df: DataFrame, tag_vocab: DataFrame, tokens_col: str, id_col: str, term_col: str) -> DataFrame:
+    """(id, tag, tf): the post's own term counts, made inside its row, of the terms that are tags."""
+    bag = df.select(F.col(id_col).alias("id"), F.inline(run_lengths(tokens_col))).withColumnRenamed("term", "tag")
+    tags = materialize(tag_vocab.select(F.col(term_col).alias("tag")).where("tag IS NOT NULL").distinct(), "tags")
+    if small_terms(tags, "tag"):
+        return bag.join(F.broadcast(tags), "tag", "left_semi").select("id", "tag", "tf")
+    bag = materialize(bag, "tag_bag")
+    seen = bag.groupBy("tag").agg(F.count("*").alias("df"))
+    return heavy_join(bag, tags.join(seen, "tag"), "tag", F.col("df")).select("id", "tag", "tf")
+
+
 def tags_in_post(df: DataFrame, tag_vocab: DataFrame, tokens_col: str = "tokens", id_col: str = "id",
                  term_col: str = "term") -> DataFrame:
-    """(id, tag) for every known tag that occurs among the post's tokens (binary matrix, non-zeros only)."""
-    toks = df.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(tokens_col)).alias("tag"))
-    return toks.join(tag_vocab.select(F.col(term_col).alias("tag")).distinct(), "tag").select("id", "tag")
+    """(id, tag) for every known tag that occurs among the post's tokens (binary matrix, non-zeros only). A row is a
+    post."""
+    return _tags_of(df, tag_vocab, tokens_col, id_col, term_col).select("id", "tag")
 
 
 def tag_freq_in_post(df: DataFrame, tag_vocab: DataFrame, tokens_col: str = "tokens", id_col: str = "id",
                      term_col: str = "term") -> DataFrame:
-    """(id, tag, tf) occurrences of each known tag in the post (count matrix, non-zeros only)."""
-    toks = df.select(F.col(id_col).alias("id"), F.explode(tokens_col).alias("tag"))
-    counts = toks.groupBy("id", "tag").agg(F.count(F.lit(1)).alias("tf"))
-    return counts.join(tag_vocab.select(F.col(term_col).alias("tag")).distinct(), "tag").select("id", "tag", "tf")
+    """(id, tag, tf) occurrences of each known tag in the post (count matrix, non-zeros only). A row is a post."""
+    return _tags_of(df, tag_vocab, tokens_col, id_col, term_col)
 
 
 def matrix_shape(long_df: DataFrame, n_rows: int | None = None, n_cols: int | None = None,

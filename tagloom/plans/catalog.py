@@ -238,8 +238,8 @@ def bow(spark, d):
     return features.bag_of_words(post_text(spark, d), text_col="text", tokens_col=None)
 
 
-def r6(c):
-    return F.round(F.col(c), 6).alias(c)
+def r6(c, name: str | None = None):
+    return F.round(F.col(c) if isinstance(c, str) else c, 6).alias(name or c)
 
 
 @query("bag_of_words")
@@ -279,8 +279,13 @@ def q_subsample_tokens(spark, d):
 
 @query("predict_target")
 def q_predict_target(spark, d):
+    """All three targets: the thread's number, the counts of the known tags in the post, and their presence."""
     p = posts(spark, d)
-    return columns.predict_target(V.post_tokens(p), "tag_counts", tag_vocab=profile.tag_counts(p))
+    vocab = profile.tag_counts(p)
+    thread = columns.predict_target(p, "thread").join(p.select("id", F.col("thread").alias("tag")), "id").withColumnRenamed("label", "value")
+    parts = [thread] + [columns.predict_target(V.post_tokens(p), t, tag_vocab=vocab) for t in ("tag_counts", "tag_bool")]
+    cols = lambda df, t: df.select(F.lit(t).alias("target"), "id", "tag", F.col("value").cast("bigint").alias("value"))
+    return cols(parts[0], "thread").union(cols(parts[1], "tag_counts")).union(cols(parts[2], "tag_bool"))
 
 
 def long_vector(df: DataFrame, key: str) -> DataFrame:
@@ -333,7 +338,22 @@ def q_minmax_scale_2d(spark, d):
 
 @query("project_2d")
 def q_project_2d(spark, d):
-    return embed.minmax_scale(embed.project_2d(wv(spark, d).select("word", "vector")).select("word", "x", "y"))
+    """The plane's coordinates and what it leaves add up to the vector's distance from the mean."""
+    p = embed.project_2d(wv(spark, d).select("word", "vector"))
+    return p.select("word", r6(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("residual") * F.col("residual"), "spread"))
+
+
+@query("cooccurrence_ppmi")
+def q_cooccurrence_ppmi(spark, d):
+    """Word pairs at most two tokens apart; the matrix is symmetric, one half is reported."""
+    pairs = embed.ppmi(materialize(embed.cooccurrence(toks(spark, d), window=2), "cooccurrence"))
+    return pairs.where("word <= context").select("word", "context", "n", r6("ppmi"))
+
+
+@query("ppmi_vectors")
+def q_ppmi_vectors(spark, d):
+    v = embed.context_vectors(toks(spark, d), dim=16, window=2, powers=1)
+    return v.select("word", F.array_join(F.transform("vector", lambda x: F.format_string("%.4f", x)), " ").alias("vector"))
 
 
 @query("word2vec_train")
@@ -398,25 +418,18 @@ def q_autotag_summary(spark, d):
 
 @query("auto_tag_posts")
 def q_auto_tag_posts(spark, d):
-    """Real posts end to end: subsampled Word2Vec over the corpus, mean vectors, 500 neighbours, tag filter, hits.
-    The vectors depend on the trainer's thread timing, so the result states what must hold of every post's tags."""
+    """Real posts end to end: subsampled Word2Vec over the corpus, mean vectors, 500 neighbours, tag filter, hits."""
     p = posts(spark, d)
     tokens = V.post_tokens(p)
     model = embed.word2vec_train(features.subsample_tokens(tokens, sample=1e-3, seed=42), vector_size=128, window=10)
     vectors = materialize(embed.model_vectors(model), "post_vectors")
-    vocab = profile.tag_counts(p)
-    words = tokens.select("id", F.explode_outer("tokens").alias("word"))
-    tagged = materialize(tagging.auto_tag(words, vectors, vocab, n_neighbors=500), "post_tags")
-    known = tagged.select("id", F.explode("tags").alias("term")).join(vocab, "term", "left_semi").groupBy("id").count()
+    tagged = materialize(tagging.auto_tag_posts(tokens, vectors, profile.tag_counts(p)), "post_tags")
     per = tagging.evaluate_autotag(tagged, p.select("id", "tags"))
-    return per.join(known, "id", "left").select(
-        "id", "n_true", (F.col("n_pred") <= 5).alias("at_most_five"),
-        (F.col("n_pred") == F.coalesce("count", F.lit(0))).alias("all_known"),
-        (F.col("hits") + F.col("misses") == F.col("n_true")).alias("adds_up"))
+    return per.join(tagged, "id").select("id", "n_true", "n_pred", "hits", "misses", T.joined("tags").alias("tags"))
 
 
 # ------------------------------------------------------------------ H: splits, classifiers, evaluation
-from tagloom.operators import classify, evaluate  # noqa: E402
+from tagloom.operators import boosting, classify, evaluate, multilabel, tuning  # noqa: E402
 
 
 def labelled(spark, d):
@@ -576,6 +589,38 @@ def lda_fit(spark, d, k=6, max_iter=200):
     return topics.lda_train(toks(spark, d), k=k, max_iter=max_iter)
 
 
+def em_topics(spark, d, k, iterations):
+    return topics.topic_em(bow_table(spark, d), k, iterations)
+
+
+@query("topic_em_step")
+def q_topic_em_step(spark, d):
+    """Two iterations from the fixed start: shares of every term in each of three topics, in millionths."""
+    phi = em_topics(spark, d, 3, 2).phi
+    return phi.select("term", *[F.round(F.col(f"p{t}") * 1e6, 4).alias(f"p{t}") for t in range(3)])
+
+
+@query("topic_em_terms")
+def q_topic_em_terms(spark, d):
+    """The topic view of a trained model: shares, and the 30 most relevant terms of each topic."""
+    bag = bow_table(spark, d)
+    model = topics.topic_em(bag, 6, 10)
+    share = topics.topic_share(model.long_theta(), bag.groupBy("id").agg(F.sum("tf").alias("n_tokens")))
+    return topics.topic_relevance(model.long_phi(), share, lam=0.6, n=30).select("topic", "term", r6("phi"), r6("relevance"), r6("saliency"), "rank")
+
+
+@query("topic_map")
+def q_topic_map(spark, d):
+    """The map of the topics gives their distances back."""
+    phi, _, _ = fixed_topics(spark, d)
+    ids = [r[0] for r in posts(spark, d).select("thread").distinct().collect()]
+    js = materialize(topics.topic_distance(phi, ids), "topic_distance")
+    at = topics.topic_map(js)
+    a, b = (at.select(F.col("topic").alias(f"topic_{c}"), F.col("at").alias(f"at_{c}")) for c in "ab")
+    apart = F.sqrt(F.aggregate(F.zip_with("at_a", "at_b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    return js.join(a, "topic_a").join(b, "topic_b").select("topic_a", "topic_b", r6("js"), r6(apart, "map_distance"))
+
+
 @query("lda_train")
 def q_lda_train(spark, d):
     from pyspark.ml.functions import vector_to_array
@@ -650,18 +695,70 @@ def q_adaboost(spark, d):
 @query("staged_error")
 def q_staged_error(spark, d):
     data, labels, trees, alphas = samme_run(spark, d)
-    return classify.samme_staged_error(data, trees, alphas, len(labels))
+    scores = materialize(boosting.samme_scores(data, trees, alphas, len(labels)), "score_table")
+    return boosting.staged_error(scores, len(labels))
 
 
-@query("multilabel_tags")
-def q_multilabel_tags(spark, d):
+@query("staged_error_scores")
+def q_staged_error_scores(spark, d):
+    """Errors by round from a long score table: each number of a vector is what one round adds to one of ten classes."""
+    emb = classify.train_test_split(V.table(spark, d, "embeddings"), "vec_id")
+    long = emb.select(F.col("vec_id").alias("id"), "split", F.col("label").cast("double").alias("label"), F.posexplode(F.col("embedding").cast("array<double>")).alias("pos", "x"))
+    cells = F.array(*[F.when(F.col("pos") % 10 == c, F.col("x")).otherwise(0.0) for c in range(10)])
+    scores = long.select("id", "split", "label", (F.col("pos") + 1).cast("bigint").alias("round"), cells.alias("contributions"))
+    return boosting.staged_error(scores, 10)
+
+
+@query("rf_gridsearch")
+def q_rf_gridsearch(spark, d):
+    return tuning.forest_grid(tree_rows(spark, d))[0]
+
+
+@query("gbt_gridsearch")
+def q_gbt_gridsearch(spark, d):
+    rows = classify.train_test_split(toks(spark, d)).where("split = 'train'")
+    rows = evaluate.kfold_assign(columns.thread_label_encode(rows, out="y"), 5, 42).withColumn("y", F.col("y").cast("double"))
+    binned = materialize(tuning.binned_counts(rows, keep=("id", "y", "fold")), "boosted_rows")
+    return tuning.boosted_grid(binned)[0].drop("point")
+
+
+def tree_rows(spark, d):
+    """(id, label, split, features): hashed term counts with the thread's number as label."""
+    lab = classify.train_test_split(toks(spark, d))
+    coded = columns.thread_label_encode(lab, out="label").withColumn("label", F.col("label").cast("double"))
+    return tuning.hashed_counts(coded, dims=512).select("id", "label", "split", "features")
+
+
+def tagged_posts(spark, d):
+    """(posts (id, split, tokens), pairs (id, tag) of posts and the known tags among their tokens)."""
     p = posts(spark, d)
     tk = V.post_tokens(p)
-    top = [r["term"] for r in profile.top_tags(profile.tag_counts(p), 10).collect()]  # 10 rows
-    lab = classify.train_test_split(tk)
-    data, _ = classify.labelled_features(lab, "tokens", "thread", "tfidf", fit_on=lab.filter(F.col("split") == "train"))
-    matrix = features.tags_in_post(tk, profile.tag_counts(p))
-    return classify.multilabel_tags(data.drop("label"), matrix, top)
+    pairs = materialize(features.tags_in_post(tk, profile.tag_counts(p)), "post_tags")
+    return classify.train_test_split(tk).select("id", "split", "tokens"), pairs
+
+
+@query("multilabel_tags")
+def q_multilabel_tags(spark, d):
+    return multilabel.multilabel_svc(*tagged_posts(spark, d))
+
+
+@query("multilabel_nb")
+def q_multilabel_nb(spark, d):
+    return multilabel.multilabel_nb(*tagged_posts(spark, d), splits=("test",))
+
+
+@query("saved_pipeline")
+def q_saved_pipeline(spark, d):
+    """Tokens and naive Bayes as one pipeline: fitted, saved, loaded again, applied to all posts."""
+    from pyspark.ml import Pipeline as Stages
+    from pyspark.ml import PipelineModel
+
+    from tagloom.plans.stages import PostTokens, TermBayes
+
+    p = classify.train_test_split(posts(spark, d))
+    path = scratch_path(spark, "saved_pipeline")
+    Stages(stages=[PostTokens(), TermBayes()]).fit(p.where("split = 'train'")).save(path)
+    return PipelineModel.load(path).transform(p).select("id", "split", "thread", "prediction")
 
 
 @query("nb_gridsearch")

@@ -8,15 +8,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.operators import classify, clean, evaluate, profile
-from tagloom.session import ensure_checkpoint_dir
+from tagloom.operators import classify, clean, embed, evaluate, multilabel, profile
+from tagloom.operators.columns import label_mapping, thread_label_encode
+from tagloom.session import ensure_checkpoint_dir, materialize
 from tagloom.sources import files
 
 TARGETS = ("thread", "tag_counts", "tag_bool")
-VECTORIZERS = ("bow", "tfidf")
+VECTORIZERS = ("bow", "tfidf", "word2vec", "doc2vec")
 MODELS = ("nb", "rf", "ovr_lr", "ovr_svc", "ovr_gbt")
 
 
@@ -29,6 +31,9 @@ class Pipeline:
     data: DataFrame | None = None
     labels: list = field(default_factory=list)
     model_name: str | None = None
+    target: str = "thread"
+    vectorizer: str = "bow"
+    params: dict = field(default_factory=dict)
 
     def path(self, what: str) -> str:
         base = self.root or f"{ensure_checkpoint_dir(self.spark)}/pipelines"
@@ -46,16 +51,34 @@ class Pipeline:
     def counts(self, which: str = "token_counts") -> DataFrame:
         return files.load_dataset(self.spark, self.path(which))
 
-    def featurize(self, vectorizer: str = "bow", predict_target: str = "thread") -> "Pipeline":
+    def featurize(self, vectorizer: str = "bow", predict_target: str = "thread", dims: int = 64) -> "Pipeline":
+        """Features of the prepared posts. ``bow`` and ``tfidf`` are sparse; ``word2vec`` and ``doc2vec`` are mean vectors of the
+        posts' words, the latter's trained with the posts' tags among them. With a tag target (``tag_counts``, ``tag_bool``)
+        there is a model for every tag, on hashed terms; both targets are binary there."""
         if vectorizer not in VECTORIZERS:
             raise ValueError(f"vectorizer must be one of {VECTORIZERS}")
-        if predict_target != "thread":
-            raise ValueError("the facade trains single-label models on 'thread'; use predict_target() for tag targets")
+        if predict_target not in TARGETS:
+            raise ValueError(f"predict_target must be one of {TARGETS}")
         if self.prepared is None:
             raise RuntimeError("call preprocess() first")
         split = classify.train_test_split(self.prepared)
-        self.data, self.labels = classify.labelled_features(split, "tokens", "thread", vectorizer,
-                                                            fit_on=split.filter(F.col("split") == "train"))
+        self.target, self.vectorizer = predict_target, vectorizer
+        if predict_target != "thread":
+            if vectorizer not in ("bow", "tfidf"):
+                raise ValueError("models of all tags take bow or tfidf")
+            self.data = split
+        elif vectorizer in ("bow", "tfidf"):
+            self.data, self.labels = classify.labelled_features(split, "tokens", "thread", vectorizer,
+                                                                fit_on=split.filter(F.col("split") == "train"))
+        else:
+            train = split.filter(F.col("split") == "train")
+            model = embed.tag_aware_embedding(train, vector_size=dims) if vectorizer == "doc2vec" else embed.word2vec_train(train, vector_size=dims)
+            means = embed.doc_embedding_matrix(split, embed.model_vectors(model))
+            mean = F.coalesce("vector", F.array_repeat(F.lit(0.0), dims))
+            mapping = label_mapping(split, "thread")
+            coded = thread_label_encode(split, mapping, "thread", "label").withColumn("label", F.col("label").cast("double"))
+            self.data = materialize(coded.join(means.select("id", mean.alias("v")), "id").select("id", "thread", "split", "label", array_to_vector("v").alias("features")), "pipeline_features")
+            self.labels = [r[0] for r in split.select("thread").distinct().orderBy("thread").collect()]
         return self
 
     def model(self, name: str = "nb", **params) -> "Pipeline":
@@ -63,14 +86,21 @@ class Pipeline:
             raise ValueError(f"model must be one of {MODELS}")
         if self.data is None:
             raise RuntimeError("call featurize() first")
+        if name == "nb" and self.vectorizer in ("word2vec", "doc2vec"):
+            raise ValueError("naive Bayes needs non-negative features, not word vectors")
+        if self.target != "thread" and name not in ("nb", "ovr_svc"):
+            raise ValueError("models of all tags are nb or ovr_svc")
         self.model_name, self.params = name, params
         return self
 
     def evaluate(self, k: int = 5) -> DataFrame:
         """k-fold CV on the training split (a fresh model per fold) plus the untouched test split:
-        (fold, split, metric, value) with fold = -1 for the hold-out evaluation."""
+        (fold, split, metric, value) with fold = -1 for the hold-out evaluation. Tag targets have the hold-out evaluation
+        only: micro and macro scores over all tags."""
         if self.model_name is None:
             raise RuntimeError("call model() first")
+        if self.target != "thread":
+            return self._evaluate_tags()
         train = evaluate.kfold_assign(self.data.filter(F.col("split") == "train"), k, 42)
         out = None
         for f in range(k):
@@ -83,3 +113,23 @@ class Pipeline:
         hold = final.transform(self.data.filter(F.col("split") == "test"))
         part = evaluate.classification_metrics(hold, by=["split"]).withColumn("fold", F.lit(-1))
         return out.unionByName(part).select(F.col("fold").cast("bigint"), "split", "metric", "value")
+
+    def tag_counts(self) -> DataFrame:
+        """Per tag and split: posts, posts with the tag, posts predicted, and both (``multilabel.COUNTS``)."""
+        posts = self.data.select("id", "split", "tokens")
+        pairs = self.data.select("id", F.explode("tags").alias("tag"))
+        fit = multilabel.multilabel_nb if self.model_name == "nb" else multilabel.multilabel_svc
+        return fit(posts, pairs, **self.params)
+
+    def _evaluate_tags(self) -> DataFrame:
+        counts = materialize(self.tag_counts(), "pipeline_tags")
+        ratio = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
+        f1 = ratio(2 * F.col("tp"), F.col("n_true") + F.col("n_pred"))
+        total = {c: F.sum(c) for c in ("n", "n_true", "n_pred", "tp")}
+        wrong = total["n_true"] + total["n_pred"] - 2 * total["tp"]
+        scores = counts.groupBy("split").agg(
+            ratio(total["n"] - wrong, total["n"]).alias("accuracy"), ratio(total["tp"], total["n_pred"]).alias("precision_micro"),
+            ratio(total["tp"], total["n_true"]).alias("recall_micro"), ratio(2 * total["tp"], total["n_true"] + total["n_pred"]).alias("f1_micro"), F.avg(f1).alias("f1_macro"))
+        names = [c for c in scores.columns if c != "split"]
+        cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.round(c, 6).alias("value")) for c in names])
+        return scores.select("split", F.explode(cells).alias("m")).select(F.lit(-1).cast("bigint").alias("fold"), "split", "m.metric", "m.value")

@@ -49,8 +49,93 @@ def test_evaluate_autotag(spark):
 def test_minmax_and_pca(spark):
     df = spark.createDataFrame([(1, 1.0, 5.0), (2, 3.0, 5.0)], "id long, x double, y double")
     assert rows(embed.minmax_scale(df), "id", "x", "y") == [(1, 0.0, 0.0), (2, 1.0, 0.0)]
-    p = embed.project_2d(vectors(spark).select("word", "vector"))
-    assert p.count() == 4 and set(p.columns) >= {"x", "y"}
+
+
+def test_projection(spark):
+    import numpy as np
+
+    g = np.random.default_rng(0)
+    x = g.normal(size=(80, 6)) @ np.diag([5, 3, 1, 0.5, 0.2, 0.1]) + 4
+    df = spark.createDataFrame([(f"w{i}", v.tolist()) for i, v in enumerate(x)] + [("none", None)], "word string, vector array<double>").repartition(5)
+    got = {r.word: r for r in embed.project_2d(df).collect()}
+    c = x - x.mean(axis=0)
+    value, axis = np.linalg.eigh(c.T @ c / len(c))
+    axis = axis[:, ::-1][:, :2]
+    axis = axis * np.sign(axis[np.abs(axis).argmax(axis=0), [0, 1]])
+    assert np.allclose([[got[f"w{i}"].x, got[f"w{i}"].y] for i in range(80)], c @ axis)
+    assert np.allclose([got[f"w{i}"].residual for i in range(80)], np.linalg.norm(c - c @ axis @ axis.T, axis=1))
+    assert abs(got["w0"].explained - value[-2:].sum() / value.sum()) < 1e-9 and got["none"].x is None
+
+
+def sentences(spark):
+    import random
+
+    g = random.Random(7)
+    words = [[f"w{g.choice((g.randint(0, 5), g.randint(0, 40)))}" for _ in range(g.randint(0, 30))] for _ in range(80)]
+    return words, spark.createDataFrame([(i, w if i % 9 else None if i == 0 else w) for i, w in enumerate(words)], "id long, tokens array<string>")
+
+
+def test_cooccurrence_and_ppmi(spark):
+    from collections import Counter
+
+    import numpy as np
+
+    words, df = sentences(spark)
+    n = Counter()
+    for i, w in enumerate(words):
+        for a in range(len(w) if i else 0):
+            for b in range(a + 1, min(a + 4, len(w))):
+                n[w[a], w[b]] += 1
+                n[w[b], w[a]] += 1
+    counts = embed.cooccurrence(df, 3)
+    assert {(r.word, r.context): r.n for r in counts.collect()} == dict(n)
+    total, side = sum(n.values()), Counter()
+    for (a, _), c in n.items():
+        side[a] += c
+    got = {(r.word, r.context): r.ppmi for r in embed.ppmi(counts).collect()}
+    assert all(abs(got[k] - max(0, np.log(c * total / (side[k[0]] * side[k[1]])))) < 1e-9 for k, c in n.items())
+
+
+def test_ppmi_vectors_are_the_leading_axes(spark):
+    import numpy as np
+
+    _, df = sentences(spark)
+    weights = embed.ppmi(embed.cooccurrence(df, 3)).persist()
+    names = sorted({r.word for r in weights.collect()})
+    m = np.zeros((len(names),) * 2)
+    for r in weights.collect():
+        m[names.index(r.word), names.index(r.context)] = r.ppmi
+    value, axis = np.linalg.eigh(m)
+    order = np.argsort(-np.abs(value))[:4]
+    got = {r.word: r.vector for r in embed.ppmi_vectors(weights, 4, extra=12, powers=6).collect()}
+    v = np.array([got.get(w, [0.0] * 4) for w in names])
+    best = axis[:, order] * np.sqrt(np.abs(value[order]))
+    assert np.allclose(np.abs((v * best).sum(axis=0)), np.abs(value[order]), rtol=1e-3)  # each column is its axis, up to sign
+    again = {r.word: r.vector for r in embed.ppmi_vectors(weights, 4, extra=12, powers=6).collect()}
+    assert all(np.allclose(np.abs(again[w]), np.abs(got[w]), atol=1e-6) for w in got)
+    assert embed.ppmi_vectors(weights.limit(0), 4).count() == 0
+
+
+def test_auto_tags_of_posts_are_the_brute_force(spark):
+    """Tags of real token arrays over written vectors, post by post."""
+    import numpy as np
+
+    words, df = sentences(spark)
+    g = np.random.default_rng(2)
+    known = {f"w{i}": g.normal(size=5) for i in range(35)}
+    vecs = spark.createDataFrame([(w, v.tolist()) for w, v in known.items()], "word string, vector array<double>")
+    tags = {f"w{i}" for i in range(0, 45, 3)}
+    got = {r.id: r.tags for r in tagging.auto_tag_posts(df, vecs, spark.createDataFrame([(t,) for t in sorted(tags)], "term string"), n_neighbors=12).collect()}
+    assert len(got) == len(words)
+    for i, ws in enumerate(words):
+        inside = [known[w] for w in (ws if i else []) if w in known]
+        want = []
+        if inside:
+            m = np.mean(inside, axis=0)
+            cos = {w: v @ m / np.linalg.norm(v) / np.linalg.norm(m) for w, v in known.items()}
+            near = sorted(cos, key=lambda w: (-cos[w], w))[:12]
+            want = [w for w in near if w in tags and cos[w] > 0.2][:5]
+        assert got[i] == want
 
 
 def test_word2vec_train_save_load(spark):

@@ -30,12 +30,10 @@ def test_tfidf_vectors_match_long_form(spark):
         assert abs(vec[i][vocab.index(t)] - v) < 1e-9
 
 
-def test_bag_from_text_and_vocabulary(spark):
+def test_bag_from_text(spark):
     df = spark.createDataFrame([(1, "Bb a, a!")], "id long, text string")
     tf = features.bag_of_words(df, text_col="text", tokens_col=None)
     assert rows(tf) == [(1, "bb", 1)]  # "a" is shorter than 2 characters
-    voc = features.vocabulary(features.bag_of_words(spark.createDataFrame([(1, ["zz", "aa", "mm"])], "id long, tokens array<string>")))
-    assert rows(voc) == [("aa", 0), ("mm", 1), ("zz", 2)]
 
 
 def test_tag_matrices_and_shape(spark):
@@ -76,3 +74,34 @@ def test_bags_need_no_shuffle(spark):
     tf = features.bag_of_words(df)
     assert {tuple(r) for r in tf.collect()} == {(1, None, 1), (1, "a", 1), (1, "b", 2)}
     assert "Exchange" not in tf._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_vocabularies_give_the_same(spark, monkeypatch):
+    """Joins by key, frequent terms apart, against the small vocabulary's plan."""
+    data = [(i, ["hot"] * (i % 3 + 1) + [f"t{j}" for j in range(i % 17)] + [f"u{i}"]) for i in range(200)]
+    df = spark.createDataFrame(data, "id long, tokens array<string>")
+    vocab = spark.createDataFrame([("hot",), ("t3",), ("u7",), ("absent",), (None,)], "term string")
+    ask = lambda: (rows(features.tfidf(features.bag_of_words(df))), rows(features.tags_in_post(df, vocab)), rows(features.tag_freq_in_post(df, vocab)))
+    small = ask()
+    monkeypatch.setattr(features.small_terms, "__defaults__", ("term", -1))
+    large = ask()
+    assert small[1:] == large[1:] and [r[:3] for r in small[0]] == [r[:3] for r in large[0]]
+    assert max(abs(a[4] - b[4]) for a, b in zip(small[0], large[0])) < 1e-12
+
+
+def test_no_task_gets_the_hot_term(spark, monkeypatch):
+    """A term that every document has, no adaptive execution: what a shuffle task reads stays level."""
+    from pyspark.sql import functions as F
+
+    from tagloom.operators.skew import heavy_join
+
+    df = spark.range(4000, numPartitions=8).select("id", F.array(F.lit("hot"), F.concat(F.lit("t"), (F.col("id") % 900).cast("string"))).alias("tokens"))
+    bag = features.bag_of_words(df)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        idf = features.inverse_document_frequency(features.document_frequency(bag), 4000)
+        parts = heavy_join(bag, idf, "term", F.col("df")).groupBy(F.spark_partition_id().alias("p")).count().collect()
+        sizes = sorted(r["count"] for r in parts)
+        assert sum(sizes) == 8000 and sizes[-1] < 3 * sizes[len(sizes) // 2]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -7,6 +7,7 @@ answers in the same order goes back. Buckets grow in number with the blocks, so
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 import zlib
 
@@ -21,6 +22,15 @@ from tagloom.session import scratch_path
 BLOCK_BYTES = 16 << 20  # text of a block, unless one document alone is longer
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker's next block or group starts small, and beside the JVM it counts."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # no such call on this system
+        pass
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Integer arrays as compressed byte planes: small numbers leave the upper planes empty."""
     out = [np.array([len(arrays), *(x for a in arrays for x in (len(a), a.itemsize))], "<i8").tobytes()]

@@ -324,14 +324,14 @@ def _pairs_of(bits: np.ndarray, cut: int | None, root: np.ndarray, size: np.ndar
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def _nearest_only(x, y, apart, root):
-    """Of the pairs those that are the nearest of one of their sets in the other's component."""
-    keep = np.zeros(len(x), bool)
-    for p, q in ((x, y), (y, x)):
-        order = np.lexsort((apart, root[q], p))
-        p, r = p[order], root[q][order]
-        keep[order[np.r_[True, (p[1:] != p[:-1]) | (r[1:] != r[:-1])]]] = True
-    return x[keep], y[keep]
+def _nearest_only(x, y, apart, most: int = 2):
+    """Of the pairs those that are among the ``most`` nearest of one of their sets."""
+    one, two, d = np.r_[x, y], np.r_[y, x], np.r_[apart, apart]
+    order = np.lexsort((two, d, one))
+    new = np.r_[True, one[order][1:] != one[order][:-1]]
+    rank = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    keep = order[rank < most]
+    return one[keep], two[keep]
 
 
 CROSS = "a long, b long, open long"
@@ -340,8 +340,8 @@ CROSS = "a long, b long, open long"
 def cross_pairs(met: DataFrame, sketches: DataFrame, roots: DataFrame, only: DataFrame | None = None, percent: int = PERCENT) -> DataFrame:
     """``CROSS``: pairs of sets that share a signature, lie in different components and may be linked by their sketches.
 
-    Where a signature has more than eight such pairs for each of its sets, only the nearest of each set in each other
-    component are given, and the signature is named as ``open``; with ``only`` (a table of such ``sig``) all of theirs are.
+    Where a signature has more than two such pairs for each of its sets, only the two nearest of each set are given, and the
+    signature is named as ``open``; with ``only`` (a table of such ``sig``) all of theirs are.
     Signatures with the same sets count once. One with more than ``CHUNK`` sets is cut, and each two of its cuts meet in a
     place of their own."""
     met = met if only is None else met.join(only, "sig", "left_semi")
@@ -369,8 +369,8 @@ def cross_pairs(met: DataFrame, sketches: DataFrame, roots: DataFrame, only: Dat
                     continue
                 table = np.frombuffer(b"".join(bits[s:e]), np.uint8).reshape(e - s, -1)
                 x, y, apart = _pairs_of(table, None if key[1][s] == key[2][s] else int((cut[s:e] == key[1][s]).sum()), root[s:e], size[s:e].astype(np.int64), percent)
-                if len(x) > 8 * (e - s) and not every:
-                    x, y = _nearest_only(x, y, apart, root[s:e])
+                if len(x) > 2 * (e - s) and not every:
+                    x, y = _nearest_only(x, y, apart)
                     left.append(key[0][s])
                 a.append(cls[s:e][x])
                 b.append(cls[s:e][y])

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.blocks import bundles, pack, pack_strings, split, unpack, unpack_strings, write_blocks
+from tagloom.llm.blocks import bundles, give_back, pack, pack_strings, split, unpack, unpack_strings, write_blocks
 from tagloom.llm.common import arrow, batches, id_text
 from tagloom.llm.elias_fano import BigramTrie, dequantise, quantise
 from tagloom.session import materialize
@@ -58,6 +58,7 @@ def word_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                     yield block()
                     seq += 1
                     ids, lens, at, seen, held = [], [], [], {}, 0
+                    give_back()
                 for w in set(words).difference(seen):
                     seen[w] = len(seen)
                 ids.append(doc)
@@ -66,6 +67,8 @@ def word_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                 held += len(text or "")
         if ids:
             yield block()
+        ids, lens, at, seen = [], [], [], {}
+        give_back()
 
     return id_text(docs).mapInArrow(run, BLOCK)
 
@@ -81,6 +84,7 @@ def word_totals(words: DataFrame) -> DataFrame:
         n = np.concatenate([unpack(x, "<u4")[0] for x in t.column("counts").to_pylist()])
         total = np.bincount(np.concatenate(at), n, len(number)).astype("<i8")
         blobs = [pack(x.astype("<u4"), total[x]) for x in at]
+        give_back()
         one = [0] * (len(parts) - 1)
         return pa.table([t.column("block"), pa.array([bucket] * len(parts), pa.int32()), pa.array(blobs, pa.binary()),
                          pa.array([int((total > 0).sum()), *one], pa.int64()), pa.array([int(total.sum()), *one], pa.int64())],
@@ -159,7 +163,10 @@ def _entries(n_tokens: int, n_words: int, train_docs: int, buckets: int, owners:
                 out[1].append(row["block"])
                 out[2].append(pack(ctx_id[ctx[first]], ctx_n[ctx[first]], np.diff(np.r_[first, e]).astype("<u4"), gid[word[s:e]],
                                    code[word[s:e]], n[s:e].astype("<u4"), posts[s:e].astype("<u4"), doc[p:q].astype("<u4"), tf[p:q].astype("<u4")))
-        return pa.table([pa.array(x, k) for x, k in zip(out, (pa.int32(), pa.int64(), pa.binary()))], names=["bucket", "block", "body"])
+        table = pa.table([pa.array(x, k) for x, k in zip(out, (pa.int32(), pa.int64(), pa.binary()))], names=["bucket", "block", "body"])
+        del out
+        give_back()
+        return table
 
     return run
 
@@ -191,6 +198,8 @@ def _score(key, t):
         docs, back = np.unique(doc[s:e], return_inverse=True)
         bodies.append(pack(docs, np.bincount(back, value[s:e], len(docs)).view("<i8")))
         at += k
+    del ctx, total, per, word, code, n, posts, doc, tf, value, back, parts, trie
+    give_back()
     return pa.table([pa.array(blocks, pa.int64()), pa.array([False] * len(blocks)), pa.array(bodies, pa.binary())], names=["block", "own", "body"])
 
 

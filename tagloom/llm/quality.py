@@ -103,13 +103,14 @@ def quality(docs: DataFrame, min_words: int = 10, max_repeat_pct: int = 20, max_
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that ``quality`` keeps, all columns. The verdict follows from host and text, so rejected
-    rows are found again by two hashes of both, whatever the ids are; hosts' groups and copies stay splittable."""
+    rows are found again by two hashes of both, whatever the ids are; hosts' groups and copies stay splittable. Other
+    columns may have any name but ``__k1`` and ``__k2``. An empty table stays empty; null and empty texts fail and go."""
     ship = docs.select("doc_id", "source", "text")
     key = lambda: (F.xxhash64("source", "text"), F.hash("text", "source", F.length("text")))
     a, b = key()
-    rules = materialize(document_rules(ship, **{k: v for k, v in options.items() if k != "max_host_rate"}, extra=[a.alias("k1"), b.alias("k2")]), "quality-rules")
+    rules = materialize(document_rules(ship, **{k: v for k, v in options.items() if k != "max_host_rate"}, extra=[a.alias("__k1"), b.alias("__k2")]), "quality-rules")
     bad = host_verdicts(rules, **{k: v for k, v in options.items() if k == "max_host_rate"}).where("host_rejected").select("host", F.lit(True).alias("out"), _salts().alias("salt"))
-    salted = rules.withColumn("salt", F.pmod("k1", F.lit(SALTS)).cast("int"))
-    gone = salted.join(bad, ["host", "salt"], "left").where(F.col("base_failed") | F.col("out")).select("k1", "k2").distinct()
+    salted = rules.withColumn("salt", F.pmod("__k1", F.lit(SALTS)).cast("int"))
+    gone = salted.join(bad, ["host", "salt"], "left").where(F.col("base_failed") | F.col("out")).select("__k1", "__k2").distinct()
     a, b = key()
-    return docs.join(gone, (a == F.col("k1")) & (b == F.col("k2")), "left_anti")
+    return docs.join(gone, (a == F.col("__k1")) & (b == F.col("__k2")), "left_anti")

@@ -16,7 +16,7 @@ from tagloom.llm.components import components
 from tagloom.llm.elias_fano import BigramTrie, EliasFano
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
-SCHEMA = "doc_id long, text string, source string, n_words long, shard int, fp long, w string, block long"
+SCHEMA = "doc_id long, text string, source string, n_words long, shard int, fp long, w string, k1 long, block long"
 rng = random.Random(3)
 VOCABULARY = ["".join(rng.choice("abcdeio") for _ in range(rng.randint(1, 9))) for _ in range(400)]
 prose = lambda n: " ".join(rng.choice(VOCABULARY) for _ in range(n))
@@ -28,8 +28,8 @@ def make():
     long = prose(6000)
     texts = [None, "", "  \n\t", "one", prose(60), prose(200), long, long, PASSAGE + " tail", "Head " + prose(30) + " " + PASSAGE.upper(),
              NEAR, "Élan\x00 ÉLAN élan K <|endoftext|> İstanbul 漢字🙂 it's ½²", "spam spam " * 300, "a\nb\na\n\n#*$%&|<>", prose(40)]
-    rows = [(i, t, f"src{i % 3}" if i % 5 else None, 7, 1, 2, "x", 3) for i, t in enumerate(texts)]
-    return [*rows, rows[5], (None, prose(30), "src1", None, None, None, None, None), (99, texts[4], "src1", 0, 0, 0, "", 0)]
+    rows = [(i, t, f"src{i % 3}" if i % 5 else None, 7, 1, 2, "x", 4, 3) for i, t in enumerate(texts)]
+    return [*rows, rows[5], (None, prose(30), "src1", None, None, None, None, None, None), (99, texts[4], "src1", 0, 0, 0, "", 0, 0)]
 
 
 ROWS = make()
@@ -272,6 +272,58 @@ def test_swapped_sentences(spark):
     assert set(got) == want and set(got.values()) == {(0, 50, 25)}
 
 
+@pytest.mark.parametrize("parts", [1, 6])
+def test_passages_behind_quotes(spark, parts):
+    """Two copies of a passage of 50 words are found with the registered parameters, though an earlier text quotes a part
+    of it; and near copies with one changed word. Nothing else is."""
+    g = random.Random(parts)
+    text = lambda n: [f"w{g.randrange(10**9)}" for _ in range(n)]
+    rows, want = [], {20: set(), 30: set(), 40: set(), "near": set()}
+    for kind, pairs in want.items():
+        for _ in range(100):
+            passage, i = text(50), len(rows) * 2
+            copy = list(passage)
+            if kind == "near":
+                copy[g.randrange(50)] = "changed"
+            else:
+                at = g.randrange(51 - kind)
+                rows.append((i, text(60) + passage[at:at + kind] + text(60)))
+            rows += [(i + 1, text(60) + passage + text(60)), (i + 2, text(60) + copy + text(60))]
+            pairs.add((i + 2, i + 1))
+    g.shuffle(rows)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(parts)
+    got = {(r.doc_id, r.first_doc_id) for r in substrings.repeated_passages(df).collect()}
+    assert got <= set().union(*want.values())
+    recall = {k: len(v & got) for k, v in want.items()}
+    assert min(recall[20], recall[30], recall["near"]) >= 97 and recall[40] >= (85 if parts == 1 else 95), recall
+
+
+def test_compact_windows_are_the_brute_force():
+    """Every window that its keys stand for has the key's smallest shingle, and equal windows share a key with a side."""
+    g = random.Random(8)
+    part = [g.randrange(1 << 62) for _ in range(9)]
+    texts = [[g.randrange(1 << 62) for _ in range(g.randint(0, 30))] + part * g.randint(0, 2) + [g.randrange(1 << 62)] * g.randint(0, 3)
+             for _ in range(40)]
+    flat, lens = np.array([x for t in texts for x in t], np.uint64), np.array([len(t) for t in texts])
+    key, text, first, last = substrings.compact_windows(flat, lens, 9, 2, 2)
+    plain, sided = {}, {}
+    for k, t, a, z in zip(key.tolist(), text.tolist(), first.tolist(), last.tolist()):
+        for i in range(a, z + 1):
+            (sided if k & 8 else plain).setdefault((t, i), set()).add(k)
+    windows = {(t, i): tuple(x[i:i + 9]) for t, x in enumerate(texts) for i in range(len(x) - 8)}
+    assert set(plain) == set(windows) and all(len(x) == 2 for x in plain.values())
+    assert all({k & 7 for k in sided[w]} == {0, 1} for w, x in windows.items() if x == tuple(part))
+    low = {}
+    for w, x in windows.items():
+        for k in plain[w]:
+            least = min(int(substrings._mix(np.array([v], np.uint64) + np.uint64(0x632BE59BD9B4E019 * ((k & 7) + 1) & (1 << 64) - 1))[0]) for v in x)
+            assert k == (least & ~15) | k & 7
+            low.setdefault(x, set()).add(k)
+    assert all(len(x) == 2 for x in low.values())
+    with pytest.raises(ValueError):
+        substrings.repeated_passages(None, hashes=9)
+
+
 @pytest.mark.parametrize("names,width", [(3, 6), (30, 10), (10**6, 46)])
 def test_verify(names, width):
     """Every window that is similar to any window of the other text, and no other, as sets and in any order."""

@@ -56,6 +56,25 @@ def test_repeats_without_id(spark, tmp_path):
     assert {heads[0], heads[1]} & {t for i, t in got if i is None}
 
 
+CLASHING = ["k1", "k2", "salt", "host", "row", "w", "tok", "id", "doc", "other", "spans", "fp", "bucket", "block", "window"]
+
+
+def test_empty_and_clashing_tables(spark, tmp_path):
+    """Extra columns named like the operators' own come through unharmed; an empty table stays empty, with its columns."""
+    exact, passage, item = prose(150), prose(60), prose(20)
+    texts = [(1, exact), (2, exact), (3, prose(80) + " " + passage), (4, prose(90) + " " + passage), (5, prose(60) + " " + item), (6, ""), (None, None)]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(i, t, "en", None, len(t or ""), *(f"{c}{i}" for c in CLASHING)) for i, t in texts], columns)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.schema.simpleString() == docs.schema.simpleString(), name
+        assert all(r[c] == f"{c}{r.doc_id}" for r in got.collect() for c in CLASHING), name
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs.where("false"), str(tmp_path))
+        assert got.count() == 0 and (got.columns == docs.columns or name == "bpe_encode_decode"), name
+
+
 def test_registered():
     import __spark_entry__ as entry
 

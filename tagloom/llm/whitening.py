@@ -170,10 +170,15 @@ class Whitening:
         return Whitening(self.n, self.total, self.eigenvalues[:most], self.components[:, :most], self.trace)
 
     def project(self, x: np.ndarray) -> np.ndarray:
-        """x - S/n on the components over the roots of the eigenvalues; x are fixed-point longs."""
+        """x - S/n on the components over the roots of the eigenvalues; x are fixed-point longs. Dimensions are added one after
+        the other, so that a vector gets the same numbers in every batch."""
         middle = np.array([(2 * int(t) + self.n) // (2 * self.n) for t in self.total], np.int64)
         rest = np.array([int(t) - self.n * int(m) for t, m in zip(self.total, middle)], np.float64) / self.n
-        return ((x - middle) - rest) @ (self.components / np.sqrt(self.eigenvalues))
+        centred, by = (x - middle) - rest, self.components / np.sqrt(self.eigenvalues)
+        out = np.zeros((len(x), by.shape[1]))
+        for column, weights in zip(np.ascontiguousarray(centred.T), by):
+            out += column[:, None] * weights
+        return out
 
     def deviation(self, x: np.ndarray) -> list:
         """Sum over dimensions of (n x - S)^2, exact; None where it is beyond a long."""

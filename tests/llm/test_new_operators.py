@@ -364,3 +364,11 @@ def test_jaccard_of_nothing_and_long(spark):
 
 def test_registered():
     assert {"op11_alignment", "op12_whitening", "op13_ngram_jaccard"} <= set(QUERIES)
+
+
+def test_a_vector_is_whitened_alike_in_every_batch():
+    g = np.random.default_rng(5)
+    x = g.integers(0, 1 << 21, (200, 9))
+    m = whitening.Whitening(200, x.sum(axis=0), g.random(7) + 1, g.normal(size=(9, 7)), 1.0)
+    whole = m.project(x)
+    assert all((m.project(x[s:e]) == whole[s:e]).all() for s, e in [(i, i + 1) for i in range(200)] + [(3, 20), (50, 187)])

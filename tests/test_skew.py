@@ -30,3 +30,12 @@ def test_empty(spark):
     none = spark.createDataFrame([], "k string, n long")
     assert heavy_join(none.select("k"), none, "k", F.col("n")).count() == 0
     assert heavy_join(spark.createDataFrame([("a",)], "k string"), none, "k", F.col("n"), "left").collect()[0].n is None
+
+
+def test_many_rows_are_not_sorted(spark):
+    """The side with many rows meets the hashed other one as it comes: no sort of it, which would spill."""
+    left = spark.range(1000).selectExpr("id % 100 AS k", "id")
+    right = spark.range(100).selectExpr("id AS k", "id * 2 AS v", "CAST(10 AS bigint) AS n")
+    out = heavy_join(left, right, "k", F.col("n"), share=0.5)
+    assert "ShuffledHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id, r.v) for r in out.collect()) == [(i, i % 100 * 2) for i in range(1000)]

@@ -121,11 +121,6 @@ def entity_phrases(entities: DataFrame) -> DataFrame:
         F.array_join(words, " ").alias("phrase"), F.size(words).alias("n")).filter("n > 0").distinct()
 
 
-def _let(value, fn):
-    """``fn`` of a column that is computed once per row (a lambda's body would compute it per element)."""
-    return F.element_at(F.transform(F.array(value), fn), 1)
-
-
 def inline_entity_case(arr, ents):
     """C8 on a token array: tokens inside an occurrence of a phrase of ``ents`` (lower case, words separated by one
     blank) upper-cased, all others lower-cased."""
@@ -149,11 +144,11 @@ def inline_entity_case(arr, ents):
 
     def cased(raw):
         low = F.transform(raw, F.lower)
-        hits = _let(low, lambda lw: F.array(*[starts(lw, n) for n in lengths]))
-        return _let(hits, lambda h: F.transform(
+        hits = T.let(low, lambda lw: F.array(*[starts(lw, n) for n in lengths]))
+        return T.let(hits, lambda h: F.transform(
             raw, lambda t, i: F.when(inside(h, i), F.upper(t)).otherwise(F.lower(t))))
 
-    return _let(arr, cased)
+    return T.let(arr, cased)
 
 
 def inline_stop_words(arr, words):
@@ -300,13 +295,9 @@ def base_tokens(text, order: str = "default", html: bool = True, rem_punc: bool
     removal (default order), or after encoding repair only (legacy order)."""
     if order == "default":
         if html:
-            text = T.strip_html(text)
-        text = T.repair_encoding(text)
-        if rem_punc:
-            text = T.remove_punctuation(text)
-    else:
-        text = T.repair_encoding(text)
-    return T.whitespace_tokens(text)
+            text = T.without_tags(text)  # tokens do not depend on the white space between them
+        return T.let(T.let(text, T.repair_encoding), T.word_tokens if rem_punc else T.whitespace_tokens)
+    return T.let(T.repair_encoding(text), T.whitespace_tokens)
 
 
 def clean_data(df: DataFrame, text_col: str = "ttl_ctxt", id_col: str = "id", keep=(), rem_stopwords: bool = True,
@@ -378,34 +369,31 @@ def prep_variants(posts: DataFrame, stop_words=None, entities=None, lemmas=None,
     """Ablation over stop words x entity casing x lemmas (8 configs by default). One row per config:
     (config, rem_stopwords, ner, lemmatize, n_docs, n_tokens, vocab_size).
 
-    With small lexicons every config is an array expression over the same base tokens, so the text is cleaned
-    once: each document yields one row per config, its distinct tokens are exploded (the first row of a document
-    carries its document and token counts), and two aggregates give all configs' statistics. Large lexicons fall
-    back to one prepare_posts per config."""
+    With small lexicons the text is cleaned and cased once; the corpus's distinct tokens, raw and cased, with their counts
+    then stand for all of it: each yields its form under every config, and two aggregates give all configs' statistics.
+    Large lexicons fall back to one prepare_posts per config."""
     grid = grid or [(s, n, l) for s in (True, False) for n in (True, False) for l in (True, False)]
     if lemmas is None and any(l for _, _, l in grid):
         raise ValueError("lemmatize=True needs a lemma lexicon (form, pos, lemma)")
     lex = inline_lexicons(entities, stop_words, lemmas)
     if lex is None:
         return _prep_variants_per_config(posts, stop_words, entities, lemmas, title_weight, grid)
-    base = title_content(posts, title_weight).select(base_tokens(F.col("ttl_ctxt")).alias("__b"))
+    base = title_content(posts, title_weight).select(F.coalesce(base_tokens(F.col("ttl_ctxt")), F.array().cast("array<string>")).alias("raw"))
+    n_docs = posts.count()
+    # casing looks at a token's neighbours; all other steps at the token alone: they run on distinct pairs of both forms
+    both = T.let(F.col("raw"), lambda b: F.arrays_zip(b.alias("raw"), inline_token_steps(b, lex, True, False, False).alias("cased")))
+    pairs = materialize(base.select(F.explode(both).alias("t")).groupBy(F.col("t.raw").alias("raw"), F.col("t.cased").alias("cased")).agg(F.count("*").alias("n")), "token_pairs")
     variants = F.array(*[F.struct(F.lit(variant_name(s, n, l)).alias("config"),
-                                  inline_token_steps(F.col("__b"), lex, n, s, l).alias("toks")) for s, n, l in grid])
-    rows = base.select(F.explode(variants).alias("v")).select("v.config", "v.toks")
-    marked = rows.select("config", F.size("toks").alias("n"),
-                         F.posexplode_outer(F.array_distinct("toks")).alias("pos", "t"))
-    first = F.col("pos").isNull() | (F.col("pos") == 0)
-    per_term = marked.groupBy("config", "t").agg(  # distinct tokens per config; documents counted once
-        F.sum(F.when(first, 1).otherwise(0)).alias("d"), F.sum(F.when(first, F.col("n")).otherwise(0)).alias("nt"))
-    stats = per_term.groupBy("config").agg(
-        F.sum("d").cast("bigint").alias("n_docs"), F.sum("nt").cast("bigint").alias("n_tokens"),
-        F.count("t").cast("bigint").alias("vocab_size"))
+                                  F.get(inline_token_steps(F.array("cased" if n else "raw"), lex, False, s, l), F.lit(0)).alias("t")) for s, n, l in grid])
+    per_term = pairs.select("n", F.explode(variants).alias("v")).where("v.t IS NOT NULL").groupBy("v.config", "v.t").agg(F.sum("n").alias("n"))
+    stats = per_term.groupBy("config").agg(F.sum("n").cast("bigint").alias("n_tokens"), F.count("*").cast("bigint").alias("vocab_size"))
     flags = base.sparkSession.createDataFrame(
         [(variant_name(s, n, l), s, n, l) for s, n, l in grid],
         "config string, rem_stopwords boolean, ner boolean, lemmatize boolean")
+    none = F.lit(0 if n_docs else None).cast("bigint")
     return flags.join(stats, "config", "left").select(  # a config over no documents still gets its row
-        "config", "rem_stopwords", "ner", "lemmatize", F.coalesce("n_docs", F.lit(0)).cast("bigint").alias("n_docs"),
-        "n_tokens", F.coalesce("vocab_size", F.lit(0)).cast("bigint").alias("vocab_size"))
+        "config", "rem_stopwords", "ner", "lemmatize", F.lit(n_docs).cast("bigint").alias("n_docs"),
+        F.coalesce("n_tokens", none).alias("n_tokens"), F.coalesce("vocab_size", F.lit(0)).cast("bigint").alias("vocab_size"))
 
 
 def _prep_variants_per_config(posts, stop_words, entities, lemmas, title_weight, grid) -> DataFrame:

@@ -120,3 +120,35 @@ def test_entities_of_several_words(spark, monkeypatch):
     assert rows(clean.entity_uppercase(df, ents)) == want
     monkeypatch.setattr(clean, "INLINE_LEXICON_ROWS", 0)
     assert rows(clean.entity_uppercase(df, ents)) == want
+
+
+def test_one_pass_tokens_are_those_of_the_steps(spark):
+    """Tags, entities, broken encoding and punctuation: the chain's tokens in one pass, also for texts without any of them."""
+    from pyspark.sql import functions as F
+
+    from tagloom.functions import text as T
+
+    texts = [None, "", "  ", "plain words_1 here", "a<b>c</b>\x0b&lt;d&gt; &amp;amp; e&nbsp;f", "<script>x < y</script>z & é", "cafÃ© itâ€™s ok \x85",
+             "x<!-- \n -->y<style>p{}</style>", "< not closed", "𝒳𝒴-z ٣٤ ,.;\t\r\n", "&copy;&middot;&#39;&quot;"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    steps = T.whitespace_tokens(T.remove_punctuation(T.repair_encoding(T.strip_html("t"))))
+    plain = T.whitespace_tokens(T.remove_punctuation(T.repair_encoding("t")))
+    for r in df.select("t", steps.alias("want"), clean.base_tokens(F.col("t")).alias("got"), plain.alias("plain"),
+                       clean.base_tokens(F.col("t"), html=False).alias("without")).collect():
+        assert r.got == r.want and r.without == r.plain, r
+
+
+def test_variants_of_distinct_tokens_are_those_of_each_configuration(spark):
+    """Entities of several words, repeated and empty posts: the counts of one prepare_posts for each configuration."""
+    g = __import__("random").Random(4)
+    words = ["new", "york", "New", "the", "runs", "run", "big", "apple", "x1"]
+    posts = spark.createDataFrame([(i % 25, "en", g.choice(["", "New York runs", None]), " ".join(g.choice(words) for _ in range(g.randint(0, 12))), ["tag"]) for i in range(40)],
+                                  "id long, thread string, title string, content string, tags array<string>")
+    ents = spark.createDataFrame([("new york", "GPE"), ("apple", "ORG")], "phrase string, type string")
+    lems = spark.createDataFrame([("runs", "verb", "run"), ("RUNS", "noun", "r")], "form string, pos string, lemma string")
+    grid = [(s, n, l) for s in (True, False) for n in (True, False) for l in (True, False)]
+    got = clean.prep_variants(posts, ["the", "NEW"], ents, lems)
+    want = clean._prep_variants_per_config(posts, ["the", "NEW"], ents, lems, 3, grid)
+    assert rows(got) == rows(want)
+    none = clean.prep_variants(posts.limit(0), ["the"], ents, lems).collect()
+    assert {(r.n_docs, r.n_tokens, r.vocab_size) for r in none} == {(0, None, 0)} and len(none) == 8

@@ -150,3 +150,65 @@ def test_word2vec_train_save_load(spark):
     tagged = embed.interleave_tags(spark.createDataFrame([(["w1", "w2", "w3"], ["t"])],
                                                          "tokens array<string>, tags array<string>"), every=2)
     assert tagged.first()["tokens"] == ["w1", "w2", "t", "w3", "t"]
+
+
+def test_word_vectors_beyond_the_driver(spark):
+    """Vocabularies above the bound are trained in blocks: every word gets a vector, and words that share sentences lie closer."""
+    import random
+
+    import numpy as np
+
+    from tagloom.operators.skipgram import WordVectors
+
+    g = random.Random(1)
+    topics = [[f"t{k}w{i}" for i in range(30)] for k in range(4)]
+    posts = [[g.choice(topics[i % 4]) for _ in range(20)] for i in range(800)] + [[None, "lone"], []]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(posts)] + [(-1, None)], "id long, tokens array<string>").repartition(2)
+    for turns in (1, 2):
+        model = embed.word2vec_train(df, vector_size=16, window=5, max_iter=turns, driver_values=100)
+        assert isinstance(model, WordVectors)
+        got = {r.word: np.array(r.vector) for r in embed.model_vectors(model).collect()}
+        assert set(got) == {w for t in topics for w in t} | {"lone"} and model.getVectors().count() == 121
+        x = np.array([got[w] for t in topics for w in t])
+        x = (x - x.mean(axis=0)) / np.linalg.norm(x - x.mean(axis=0), axis=1)[:, None]
+        s, of = x @ x.T, np.arange(120) // 30
+        assert s[of[:, None] == of].mean() > s[of[:, None] != of].mean() + 0.3
+    assert embed.word2vec_train(df, vector_size=16, min_count=2, driver_values=100).table.count() == 120
+    assert embed.word2vec_train(df.limit(0), vector_size=4, driver_values=-1).table.count() == 0
+
+
+def test_blocks_and_averages(spark):
+    """Blocks hold all sentences in order; a word's vectors are averaged by how often the blocks have it."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tagloom.operators import skipgram
+
+    g = np.random.default_rng(0)
+    sentences = [[f"w{g.integers(50)}" for _ in range(g.integers(0, 20))] for _ in range(300)] + [None, ["a", None, "b"]]
+    batch = pa.RecordBatch.from_arrays([pa.array(sentences, pa.list_(pa.string()))], names=["tokens"])
+    back = []
+    for words, ids, lens in skipgram.cut_blocks([batch.slice(0, 120), batch.slice(120)], 60):
+        ends = np.cumsum(lens)
+        back += [[words[i] for i in ids[e - n:e]] for e, n in zip(ends, lens)]
+    assert [x for x in back if x] == [[w for w in x if w] for x in sentences if x]
+    rows_ = [("a", 1, [1.0, 2.0]), ("a", 3, [5.0, 6.0]), ("b", 2, [7.0, 8.0])]
+    df = spark.createDataFrame([(w, n, bytearray(np.array(v, "<f2").tobytes())) for w, n, v in rows_], "word string, n long, v binary").repartition(3)
+    got = {r.word: (r.n, np.frombuffer(r.v, "<f2").tolist()) for r in skipgram.averaged(df, 2).collect()}
+    assert got == {"a": (4, [4.0, 5.0]), "b": (2, [7.0, 8.0])}
+
+
+def test_means_by_share(spark):
+    """Means over shares are those of the broadcast plan: repeated words, words with two vectors, null ids, empty documents."""
+    import numpy as np
+
+    _, df = sentences(spark)
+    toks = df.select("id", F.explode_outer("tokens").alias("word")).union(spark.createDataFrame([(None, "w1"), (3, "zz")], "id long, word string"))
+    vecs = spark.createDataFrame([(f"w{i % 30}", np.random.default_rng(i).normal(size=3).tolist()) for i in range(33)], "word string, vector array<double>")
+    want = {r.id: r for r in embed.mean_vectors(toks, vecs).collect()}
+    for n in (50, 10**6):
+        got = {r.id: r for r in embed._means_by_share(toks, vecs, n).collect()}
+        assert set(got) == set(want)
+        for i, r in want.items():
+            assert got[i].n_words == r.n_words and (r.vector is None) == (got[i].vector is None) and (r.vector is None or np.allclose(r.vector, got[i].vector))
+    assert {r.n_words for r in embed._means_by_share(toks, vecs.limit(0), 50).collect()} == {0}

@@ -174,3 +174,45 @@ def test_vocabulary_has_every_term(spark):
     df = spark.range(270).select(F.transform(F.sequence(F.col("id") * 1000, F.col("id") * 1000 + 999),
                                              lambda x: F.concat(F.lit("t"), x.cast("string"))).alias("tokens"))
     assert len(count_vector_stage().fit(df).vocabulary) == n
+
+
+def test_stumps_are_those_of_the_tree_learner(spark):
+    """Rounds on the non-zero values give MLlib's splits: counts, a dense and a negative column, more values than bins."""
+    import math
+
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.linalg import Vectors
+
+    g = np.random.default_rng(5)
+    data = []
+    for i in range(300):
+        y = int(g.integers(3))
+        x = {0: float(g.poisson(20 + 9 * y)), 1: float(g.poisson(0.3 + (y == 1))), 2: float(g.normal()) - (y == 2), 3: float(g.poisson(0.5 + (y == 0)))}
+        data.append((i, float(y), Vectors.sparse(6, {k: v for k, v in x.items() if v}) if i % 3 else Vectors.dense([*x.values(), 0.0, 0.0])))
+    df = spark.createDataFrame(data, ["id", "label", "features"])
+    trees, alphas = classify.adaboost_samme(df, n_rounds=5, n_classes=3)
+    cur, same = df.withColumn("w", F.lit(1.0)), 0
+    for tree, alpha in zip(trees, alphas):
+        m = DecisionTreeClassifier(maxDepth=1, weightCol="w", predictionCol="p", rawPredictionCol="r", probabilityCol="q").fit(cur)
+        pred = m.transform(cur)
+        assert tree.copy().setPredictionCol("mine").transform(pred).where("mine <> p").count() == 0
+        err = pred.agg(F.sum(F.when(F.col("p") != F.col("label"), F.col("w")).otherwise(0.0)) / F.sum("w")).first()[0]
+        assert abs(alpha - math.log((1 - err) / err) - math.log(2)) < 1e-9
+        cur = pred.select("id", "label", "features", (F.col("w") * F.when(F.col("p") != F.col("label"), math.exp(alpha)).otherwise(1.0)).alias("w")).localCheckpoint()
+        same += 1
+    assert same == 5
+
+
+def test_boosting_on_the_features_that_occur(spark):
+    """Features that the fitted rows lack are left out; the model says the same of all rows."""
+    from pyspark.ml.linalg import Vectors
+
+    g = np.random.default_rng(6)
+    data = spark.createDataFrame([(i, float(i % 2), Vectors.sparse(200, {int(j): float(g.integers(1, 5)) for j in {10 + i % 2, *g.integers(20, 60 if i < 40 else 200, 5)}}),
+                                   "train" if i < 40 else "test") for i in range(80)], ["id", "label", "features", "split"])
+    train = data.where("split = 'train'")
+    small = classify.used_features(data, train)
+    assert small.first().features.size < 50
+    est = classify.estimator("ovr_gbt", maxIter=3)
+    want, got = (rows(est.fit(x.where("split = 'train'")).transform(x), "id", "prediction") for x in (data, small))
+    assert got == want

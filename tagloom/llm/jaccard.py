@@ -20,6 +20,7 @@ from tagloom.session import materialize, maybe_broadcast
 SHINGLE, PERCENT = 4, 85   # words of a shingle; 100 * intersection >= PERCENT * union
 ELEMENTS = 4               # shingles that a signature covers in the middle of a band, at least, where the band allows it
 CHUNK = 4096               # sets of one signature that are compared with as many others in one place
+SET_BYTES = 32 << 20       # of sets that are brought to one place, about
 _U = np.uint64
 
 
@@ -334,65 +335,126 @@ def _nearest_only(x, y, apart, most: int = 2):
     return one[keep], two[keep]
 
 
-CROSS = "a long, b long, open long"
-
-
-def cross_pairs(met: DataFrame, sketches: DataFrame, roots: DataFrame, only: DataFrame | None = None, percent: int = PERCENT) -> DataFrame:
-    """``CROSS``: pairs of sets that share a signature, lie in different components and may be linked by their sketches.
-
-    Where a signature has more than two such pairs for each of its sets, only the two nearest of each set are given, and the
-    signature is named as ``open``; with ``only`` (a table of such ``sig``) all of theirs are.
-    Signatures with the same sets count once. One with more than ``CHUNK`` sets is cut, and each two of its cuts meet in a
-    place of their own."""
-    met = met if only is None else met.join(only, "sig", "left_semi")
-    members = met.select("sig", "band", "cls").union(met.select("sig", "band", "lead")).distinct()
+def _members(met: DataFrame, sketches: DataFrame, roots: DataFrame, most_bytes: int | None = None) -> DataFrame:
+    """``sig, cls, root, size, bits, cut, i, j``: the sets of each signature that holds several components. Signatures with the
+    same sets count once. One with more than ``CHUNK`` sets (or, with ``most_bytes``, larger ones) is cut, and each two of its
+    cuts meet in a place (i, j) of their own."""
+    members = met.select("sig", "band", "cls", "size").union(met.select("sig", "band", "lead", "lead_size")).distinct()
     members = _labelled(members, "cls", roots, "root")
-    mixed = members.groupBy("sig", "band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("sets"))
-    mixed = mixed.where("x <> y").groupBy("band", "x", "y", "n", "sets").agg(F.min("sig").alias("sig"))
-    members = members.join(mixed.select("sig", F.ceil(F.col("n") / CHUNK).alias("cuts")), "sig").join(sketches.drop("text_hash"), ["cls", "band"])
+    mixed = members.groupBy("sig", "band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"), F.sum(8 * F.col("size").cast("long")).alias("bytes"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("sets"))
+    mixed = mixed.where("x <> y").groupBy("band", "x", "y", "n", "sets").agg(F.min("sig").alias("sig"), F.max("bytes").alias("bytes"))
+    cuts = F.ceil(F.greatest(F.col("n") / CHUNK, F.col("bytes") / most_bytes)) if most_bytes else F.ceil(F.col("n") / CHUNK)
+    members = members.join(mixed.select("sig", cuts.alias("cuts")), "sig").join(sketches.drop("text_hash", "size"), ["cls", "band"])
     members = members.withColumn("cut", F.pmod(F.xxhash64("cls"), F.col("cuts")))
     others = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1).cast("array<bigint>"), lambda o: F.struct(F.least("cut", o).alias("i"), F.greatest("cut", o).alias("j")))
-    members = members.select("sig", "cls", "root", "size", "bits", "cut", F.inline(others))
-    every = only is not None
+    return members.select("sig", "cls", "root", "size", "bits", "cut", F.inline(others))
 
-    def run(rows):
-        def starts(t):
-            key = [t.column(c).to_numpy() for c in ("sig", "i", "j")]
-            return key, np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in key], axis=0)])
-
-        def settle(t):
-            key, new = starts(t)
-            cls, root, size, cut = (t.column(c).to_numpy() for c in ("cls", "root", "size", "cut"))
-            bits, a, b, left = t.column("bits").to_pylist(), [], [], []
-            for s, e in zip(new.tolist(), [*new[1:].tolist(), t.num_rows]):
-                if e - s < 2 or (root[s:e] == root[s]).all():
-                    continue
-                table = np.frombuffer(b"".join(bits[s:e]), np.uint8).reshape(e - s, -1)
-                x, y, apart = _pairs_of(table, None if key[1][s] == key[2][s] else int((cut[s:e] == key[1][s]).sum()), root[s:e], size[s:e].astype(np.int64), percent)
-                if len(x) > 2 * (e - s) and not every:
-                    x, y = _nearest_only(x, y, apart)
-                    left.append(key[0][s])
-                a.append(cls[s:e][x])
-                b.append(cls[s:e][y])
-            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            none = [None] * len(left)
-            return pa.RecordBatch.from_arrays([pa.array([*pairs[0].tolist(), *none], pa.int64()), pa.array([*pairs[1].tolist(), *none], pa.int64()),
-                                               pa.array([None] * pairs.shape[1] + left, pa.int64())], names=["a", "b", "open"])
 
+def _by_place(members: DataFrame, settle, schema: str) -> DataFrame:
+    """``settle`` over tables of whole places: it is given the table and where its places begin and end, and gives batches."""
+    def starts(t):
+        key = [t.column(c).to_numpy() for c in ("sig", "i", "j")]
+        return np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in key], axis=0)])
+
+    def whole(t):
+        t = t.combine_chunks()
+        at = starts(t).tolist()
+        return settle(t, list(zip(at, [*at[1:], t.num_rows])))
+
+    def run(rows):
         held = None
         for batch in rows:
             t = pa.Table.from_batches([batch])
             t = pa.concat_tables([held, t]) if held is not None else t
-            last = int(starts(t)[1][-1]) if t.num_rows else 0
-            if last:  # the last group may go on in the next batch
-                yield settle(t.slice(0, last).combine_chunks())
+            last = int(starts(t)[-1]) if t.num_rows else 0
+            if last:  # the last place may go on in the next batch
+                yield from whole(t.slice(0, last))
             held = t.slice(last)
         if held is not None and held.num_rows:
-            yield settle(held.combine_chunks())
+            yield from whole(held)
+
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return members.repartition(parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "cut").mapInArrow(run, schema)
+
+
+def _apart_pairs(t: pa.Table, places, percent: int):
+    """Of each place with several components: (first row, last row + 1, pairs that sizes and sketches allow, their bits apart)."""
+    i, j, cut, root, size = (t.column(c).to_numpy() for c in ("i", "j", "cut", "root", "size"))
+    bits = t.column("bits").to_pylist()
+    for s, e in places:
+        if e - s > 1 and (root[s:e] != root[s]).any():
+            table = np.frombuffer(b"".join(bits[s:e]), np.uint8).reshape(e - s, -1)
+            yield s, e, *_pairs_of(table, None if i[s] == j[s] else int((cut[s:e] == i[s]).sum()), root[s:e], size[s:e].astype(np.int64), percent)
+
+
+CROSS = "a long, b long, open long"
+
+
+def cross_pairs(met: DataFrame, sketches: DataFrame, roots: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``CROSS``: pairs of sets that share a signature, lie in different components and may be linked by their sketches.
+
+    Where a signature has more than two such pairs for each of its sets, only the two nearest of each set are given, and the
+    signature is named as ``open``: ``closing_links`` settles the rest."""
+    def settle(t, places):
+        cls, sig = (t.column(c).to_numpy() for c in ("cls", "sig"))
+        a, b, left = [], [], []
+        for s, e, x, y, apart in _apart_pairs(t, places, percent):
+            if len(x) > 2 * (e - s):
+                x, y = _nearest_only(x, y, apart)
+                left.append(sig[s])
+            a.append(cls[s:e][x])
+            b.append(cls[s:e][y])
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        none = [None] * len(left)
+        return [pa.RecordBatch.from_arrays([pa.array([*pairs[0].tolist(), *none], pa.int64()), pa.array([*pairs[1].tolist(), *none], pa.int64()),
+                                            pa.array([None] * pairs.shape[1] + left, pa.int64())], names=["a", "b", "open"])]
+
+    return _by_place(_members(met, sketches, roots), settle, CROSS)
+
+
+def closing_links(met: DataFrame, sketches: DataFrame, roots: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``a, b``: links that connect what is still apart in each signature of ``met``, found among all its pairs.
+
+    The sets come to the places where they have a pair left, and are intersected there, the nearest pairs first; pairs that
+    links of the place connect already are passed over. So a place gives less links than it has sets, however many pairs it
+    holds."""
+    def paired(t, places):
+        rows = [np.unique(np.r_[x, y]) + s for s, e, x, y, apart in _apart_pairs(t, places, percent)]
+        return t.take(pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))).to_batches()
+
+    members = _members(met, sketches, roots, SET_BYTES)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema)
+    members = materialize(_by_place(members, paired, kinds), "jaccard-members")
+    nodes = members.select("cls").distinct()
+    sets = materialize(shingle_sets(docs, sketches.join(nodes, "cls", "left_semi"), shingle), "jaccard-sets")
+
+    def settle(t, places):
+        cls, lists, a, b = t.column("cls").to_numpy(), t.column("shingles").combine_chunks(), [], []
+        ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+        for s, e, x, y, apart in _apart_pairs(t, places, percent):
+            up = {}
+
+            def find(k):
+                while up.setdefault(k, k) != k:
+                    up[k] = k = up[up[k]]
+                return k
+
+            root = t.column("root").to_numpy()[s:e].tolist()
+            sets_ = [values[ends[k]:ends[k + 1]] for k in range(s, e)]
+            order = np.argsort(apart, kind="stable")
+            for p, q in zip(x[order].tolist(), y[order].tolist()):
+                one, two = find(root[p]), find(root[q])
+                if one == two:
+                    continue
+                both = len(np.intersect1d(sets_[p], sets_[q], assume_unique=True))
+                if 100 * both >= percent * (len(sets_[p]) + len(sets_[q]) - both):
+                    up[max(one, two)] = min(one, two)
+                    a.append(int(cls[s + p]))
+                    b.append(int(cls[s + q]))
+        return [pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])]
 
-    parts = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return members.repartition(parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "cut").mapInArrow(run, CROSS)
+    return _by_place(members.join(sets, "cls"), settle, "a long, b long").distinct()
 
 
 def connected(links: DataFrame, most_rounds: int = 40) -> DataFrame:
@@ -468,7 +530,7 @@ def linked_classes(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, per
     All pairs of sets that share a signature are settled: ruled out by sizes or sketches, verified by their intersection, or
     connected already by others. In the order that spares most: first each set against the lead that it shares the most
     signatures with; then, in signatures that hold several components, the pairs that are still apart, where they are many
-    the nearest ones; at last all pairs of those where some were left."""
+    the nearest ones; at last all pairs of those where some were left, in the place where their sets meet."""
     met = materialize(meetings(signatures(rows)), "jaccard-met")
     each = F.array(F.struct(F.col("band").alias("band"), F.col("own").alias("bits")), F.struct((F.col("band") + 1).alias("band"), F.col("next").alias("bits")))
     sketches = rows.where("own IS NOT NULL OR next IS NOT NULL").select("cls", "text_hash", F.col("size").cast("int").alias("size"), F.inline(each))
@@ -479,19 +541,16 @@ def linked_classes(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, per
     done = materialize(best.select("a", "b"), "jaccard-done")
     links = materialize(verified(done, docs, sketches, shingle, percent), "jaccard-links")
     roots = materialize(connected(links), "jaccard-roots")
-    only = None
-    for _ in range(2):
-        cross = materialize(cross_pairs(met, sketches, roots, only, percent), "jaccard-cross")
-        pairs = materialize(cross.where("a IS NOT NULL").select("a", "b").distinct().join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
-        if pairs.limit(1).count():
-            new = materialize(verified(pairs, docs, sketches, shingle, percent), "jaccard-links")
-            done = done.union(pairs)
-            if new.limit(1).count():
-                links = links.union(new)
-                roots = materialize(connected(links), "jaccard-roots")
-        only = cross.where("open IS NOT NULL").select(F.col("open").alias("sig")).distinct()
-        if not only.limit(1).count():
-            break
+    cross = materialize(cross_pairs(met, sketches, roots, percent), "jaccard-cross")
+    pairs = materialize(cross.where("a IS NOT NULL").select("a", "b").distinct().join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
+    if pairs.limit(1).count():
+        links = links.union(materialize(verified(pairs, docs, sketches, shingle, percent), "jaccard-links"))
+        roots = materialize(connected(links), "jaccard-roots")
+    left = cross.where("open IS NOT NULL").select(F.col("open").alias("sig")).distinct()
+    if left.limit(1).count():
+        new = materialize(closing_links(met.join(left, "sig", "left_semi"), sketches, roots, docs, shingle, percent), "jaccard-links")
+        if new.limit(1).count():
+            roots = materialize(connected(links.union(new)), "jaccard-roots")
     return roots
 
 

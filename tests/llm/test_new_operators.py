@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tagloom.llm import alignment, jaccard, whitening
@@ -273,6 +274,45 @@ def test_jaccard_with_cut_signatures(spark, monkeypatch):
     assert sorted(map(str, (tuple(r) for r in got))) == brute_components(texts)
 
 
+def crowd(n, links):
+    """``n`` sets of 40 shingles with one signature, each two of which share 36 or 37 (``links``: linked, or just not)."""
+    g, common = np.random.default_rng(4), 37 if links else 36
+    words = lambda k: [f"w{x}" for x in g.integers(0, 1 << 40, k)]
+    base = words(common + 3)
+    return [(i, " ".join(base + words(40 - common))) for i in range(n)]
+
+
+@pytest.mark.parametrize("links", [True, False])
+def test_jaccard_rows_of_a_crowd(spark, monkeypatch, links):
+    """What a crowded signature gives grows with its sets, not with their pairs; and no pair is left out."""
+    texts, made, keep = crowd(60, links), {}, jaccard.materialize
+
+    def count(df, name, *more):
+        out = keep(df, name, *more)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", count)
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    ids = {jaccard.class_of(h): i for i, t in texts for h in [jaccard.Shingles()(t)]}
+    rows = keep(jaccard.profiles(docs), "crowd")
+    each = F.array(F.struct(F.col("band").alias("band"), F.col("own").alias("bits")), F.struct((F.col("band") + 1).alias("band"), F.col("next").alias("bits")))
+    sketches = rows.select("cls", "text_hash", F.col("size").cast("int").alias("size"), F.inline(each)).where("bits IS NOT NULL")
+    band = sketches.first().band
+    sketches, lead = sketches.where(f"band = {band}"), min(ids)
+    met = spark.createDataFrame([(7, band, lead, 40, c, 40) for c in ids if c != lead], jaccard.MET)
+    roots = spark.createDataFrame([], "node long, root long")
+    # no sketch rules a pair out here: all 1,770 have to be intersected or connected
+    monkeypatch.setattr(jaccard, "_pairs_of", lambda bits, cut, root, size, percent: (*np.triu_indices(len(bits), 1), np.zeros(len(bits) * (len(bits) - 1) // 2, np.int64)))
+    cross = jaccard.cross_pairs(met, sketches, roots).collect()
+    assert len(cross) <= 2 * 60 + 1 and [r.open for r in cross if r.open is not None] == [7]
+    got = jaccard.closing_links(met, sketches, roots, docs).collect()
+    assert len(got) == (59 if links else 0)
+    assert made["jaccard-members"] == 60
+    root = {r.node: r.root for r in jaccard.connected(spark.createDataFrame(got, "a long, b long")).collect()}
+    assert len(root) == (59 if links else 0) and set(root.values()) <= {min(ids)}
+
+
 def test_jaccard_without_leads_in_one_stretch(spark):
     """Stretches of a few signatures: sets meet over stretches, not within."""
     texts = planted()

@@ -70,25 +70,30 @@ def encoder(path: str):
 ENCODED = "part int, before long, doc_id long, ids binary"
 
 
-def encode(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """``part, before, doc_id, ids``: little-endian uint32 ids of each text with ``end_id`` after them, in ascending
+def id_type(vocabulary: int) -> str:
+    """Type of the ids below ``vocabulary`` in the table between the two passes."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def encode(docs: DataFrame, path: str, end_id: int, kind: str = "<u4") -> DataFrame:
+    """``part, before, doc_id, ids``: ids (as ``kind``) of each text with ``end_id`` after them, in ascending
     ``doc_id`` order within and across parts; ``before`` counts the ids ahead in the part. Null texts are empty."""
     def run(rows):
         part, before, get = TaskContext.get().partitionId(), 0, encoder(path)
         for batch in batches(rows):
-            ids = [np.append(get(x or ""), np.uint32(end_id)) for x in batch.column("text").to_pylist()]
-            n = np.array([len(x) for x in ids], np.int64)
+            ids, end = [get(x or "") for x in batch.column("text").to_pylist()], np.array([end_id], kind).tobytes()
+            n = np.array([len(x) + 1 for x in ids], np.int64)
             ahead = before + np.cumsum(n) - n
             before += int(n.sum())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(n), part, np.int32)), pa.array(ahead), batch.column("doc_id"),
-                 pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], names=["part", "before", "doc_id", "ids"])
+                 pa.array([x.astype(kind).tobytes() + end for x in ids], pa.binary())], names=["part", "before", "doc_id", "ids"])
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return id_text(docs).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id").mapInArrow(run, ENCODED)
 
 
-def frequency_order(encoded: DataFrame, vocabulary: int) -> np.ndarray:
+def frequency_order(encoded: DataFrame, vocabulary: int, kind: str = "<u4") -> np.ndarray:
     """All ids below ``vocabulary``, the most frequent in ``encoded`` first, ties by id. Counts cover all rows; the
     driver gets one row for each id at most, which the vocabulary bounds."""
     def count(rows):
@@ -98,7 +103,7 @@ def frequency_order(encoded: DataFrame, vocabulary: int) -> np.ndarray:
             step = max(1, (1 << 24) // max(ids.nbytes // max(len(ids), 1), 1))
             for i in range(0, len(ids), step):
                 raw = b"".join(x.as_buffer() for x in ids.slice(i, step))
-                total += np.bincount(np.frombuffer(raw, "<u4"), minlength=vocabulary)
+                total += np.bincount(np.frombuffer(raw, kind), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], names=["id", "n"])
 
@@ -122,9 +127,10 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 2, segment_
     files. The texts are dealt by ranges of ``doc_id`` first and encoded once, in order; ranks follow from all ids."""
     spark = docs.sparkSession
     vocabulary = max(tokenizer(path)[0].get_vocab_size(with_added_tokens=True), end_id + 1)
-    encode(docs, path, end_id).write.option("compression", "zstd").parquet(f"{out}/encoded")
+    kind = id_type(vocabulary)
+    encode(docs, path, end_id, kind).write.option("compression", "zstd").parquet(f"{out}/encoded")
     encoded = spark.read.schema(ENCODED).parquet(f"{out}/encoded")
-    order = frequency_order(encoded, vocabulary)
+    order = frequency_order(encoded, vocabulary, kind)
     rank = np.empty(vocabulary, "<u4")
     rank[order] = np.arange(vocabulary, dtype="<u4")
     spark.createDataFrame([(order.tobytes(),)], "ids binary").write.parquet(f"{out}/order")
@@ -132,7 +138,7 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 2, segment_
     def segments(rows):
         for batch in rows:  # rows of a batch follow each other in one part
             ids = batch.column("ids")
-            n = (pc.binary_length(ids).to_numpy() // 4).astype(np.int64)
+            n = (pc.binary_length(ids).to_numpy() // np.dtype(kind).itemsize).astype(np.int64)
             part = batch.column("part").to_numpy()
             start = 0
             while start < batch.num_rows:
@@ -141,7 +147,7 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 2, segment_
                     held += int(n[end])
                     end += 1
                 raw = b"".join(x.as_buffer() for x in ids.slice(start, end - start))
-                control, data = pack(rank[np.frombuffer(raw, "<u4")])
+                control, data = pack(rank[np.frombuffer(raw, kind)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([int(part[start])], pa.int32()), batch.column("before").slice(start, 1),
                      pa.array([batch.column("doc_id").slice(start, end - start).to_pylist()], pa.list_(pa.int64())),

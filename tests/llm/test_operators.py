@@ -357,6 +357,16 @@ def test_token_files(spark, docs):
     assert len(token_files.unpack(*token_files.pack(values[:0]), 0)) == 0
 
 
+def test_token_ids_are_as_wide_as_the_vocabulary(spark, docs, monkeypatch, tmp_path):
+    assert [token_files.id_type(n) for n in (1 << 16, (1 << 16) + 1)] == ["<u2", "<u4"]
+    got = token_files.token_files(docs, BYTE)
+    token_files.write_tokens(docs, BYTE, str(tmp_path / "narrow"))
+    held = spark.read.parquet(str(tmp_path / "narrow" / "encoded")).selectExpr("sum(octet_length(ids)) AS n").first().n
+    assert held == 2 * sum(r.n_tokens for r in got.collect())
+    monkeypatch.setattr(token_files, "id_type", lambda vocabulary: "<u4")
+    assert sorted(map(str, token_files.token_files(docs, BYTE).collect())) == sorted(map(str, got.collect()))
+
+
 @pytest.mark.parametrize("hot", [1 << 20, 3])
 def test_lm(docs, hot):
     tokens = [(i, (t or "").encode().lower().split() + [b""]) for i, t, *_ in ROWS]

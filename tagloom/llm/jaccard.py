@@ -339,12 +339,16 @@ def _members(met: DataFrame, sketches: DataFrame, roots: DataFrame, most_bytes:
     """``sig, cls, root, size, bits, cut, i, j``: the sets of each signature that holds several components. Signatures with the
     same sets count once. One with more than ``CHUNK`` sets (or, with ``most_bytes``, larger ones) is cut, and each two of its
     cuts meet in a place (i, j) of their own."""
-    members = met.select("sig", "band", "cls", "size").union(met.select("sig", "band", "lead", "lead_size")).distinct()
+    size = ["size"] if most_bytes else []
+    members = met.select("sig", "band", "cls", *size).union(met.select("sig", "band", "lead", *(f"lead_{c}" for c in size))).distinct()
     members = _labelled(members, "cls", roots, "root")
-    mixed = members.groupBy("sig", "band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"), F.sum(8 * F.col("size").cast("long")).alias("bytes"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("sets"))
+    most = F.col("n") / CHUNK
+    if most_bytes:
+        most = F.greatest(most, F.col("bytes") / most_bytes)
+    total = F.sum(8 * F.col("size").cast("long")) if most_bytes else F.lit(0)
+    mixed = members.groupBy("sig", "band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("sets"), total.alias("bytes"))
     mixed = mixed.where("x <> y").groupBy("band", "x", "y", "n", "sets").agg(F.min("sig").alias("sig"), F.max("bytes").alias("bytes"))
-    cuts = F.ceil(F.greatest(F.col("n") / CHUNK, F.col("bytes") / most_bytes)) if most_bytes else F.ceil(F.col("n") / CHUNK)
-    members = members.join(mixed.select("sig", cuts.alias("cuts")), "sig").join(sketches.drop("text_hash", "size"), ["cls", "band"])
+    members = members.drop("size").join(mixed.select("sig", F.ceil(most).alias("cuts")), "sig").join(sketches.drop("text_hash"), ["cls", "band"])
     members = members.withColumn("cut", F.pmod(F.xxhash64("cls"), F.col("cuts")))
     others = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1).cast("array<bigint>"), lambda o: F.struct(F.least("cut", o).alias("i"), F.greatest("cut", o).alias("j")))
     return members.select("sig", "cls", "root", "size", "bits", "cut", F.inline(others))

@@ -96,6 +96,15 @@ def word_totals(words: DataFrame) -> DataFrame:
 PART = "bucket int, block long, body binary"
 
 
+def _spread(x: np.ndarray) -> np.ndarray:
+    """A number below 2^31 for each of ``x``, in which every bit counts: words of different buckets have the same places,
+    the most frequent ones the first."""
+    x = x.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x >> np.uint64(33)).astype(np.int64)
+
+
 def _entries(n_tokens: int, n_words: int, train_docs: int, buckets: int, owners: int, hot: int):
     """Blocks and their words' totals to bundles: a block's pairs (context, word) with how often its training rows
     have them and which documents do, for each owner of contexts; and, under owner -1 - ..., the documents' own facts."""
@@ -145,8 +154,8 @@ def _entries(n_tokens: int, n_words: int, train_docs: int, buckets: int, owners:
             ctx, word = np.divmod(pair[new], len(names))
             del pair
             # a context that is hot in the whole corpus has several owners, by the word that follows
-            sub = (gid[word] * -7046029254386353131 >> 24) % (1 + ctx_n[ctx] // hot)
-            owner = ((ctx_id[ctx] + 977 * sub) * -7046029254386353131 >> 24) % owners
+            sub = _spread(gid[word]) % (1 + ctx_n[ctx] // hot)
+            owner = _spread(ctx_id[ctx] + 977 * sub) % owners
             order = np.lexsort((gid[word], ctx, owner))
             starts = np.cumsum(posts) - posts
             owner, ctx, word, n, posts, starts = (x[order] for x in (owner, ctx, word, n, posts, starts))

@@ -398,3 +398,19 @@ def test_elias_fano():
     trie = BigramTrie(np.array([0, 0, 2]), np.array([1, 3, 0]), np.array([-1.0, -2, -3]), np.array([-0.5, -0.25, -1]), 4)
     got = trie.score(np.array([0, 0, 1, 2, 2]), np.array([1, 2, 2, 0, 3]), np.full(5, -4.0))
     assert np.allclose(got, [-1, -4.5, -4.25, -3, -5], atol=1e-3)
+
+
+def test_lm_contexts_are_dealt_evenly():
+    """The most frequent words of all buckets stand at the same places there; their contexts belong to different owners."""
+    import pyarrow as pa
+
+    from tagloom.llm.blocks import pack, pack_strings, split
+
+    buckets, owners, names = 128, 512, [f"w{i}".encode() for i in range(300)]
+    parts = split(names, buckets)
+    totals = [pack(np.arange(len(at), dtype="<u4"), np.full(len(at), 100, "<i8")) for _, at in parts]
+    at = np.r_[np.arange(300), np.arange(300)].astype("<u4")
+    left = pa.table({"block": [0], "doc_ids": [[3]], "lens": [[len(at)]], "at": [pack(at)], "names": [pack_strings(names)]})
+    right = pa.table({"bucket": [b for b, _ in parts], "totals": totals})
+    out = lm._entries(30_000, 300, 1, buckets, owners, 1 << 20)(None, left, right)
+    assert sum(b >= 0 for b in out.column("bucket").to_pylist()) > 150  # 301 contexts, 512 owners

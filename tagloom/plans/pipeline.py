@@ -68,8 +68,7 @@ class Pipeline:
                 raise ValueError("models of all tags take bow or tfidf")
             self.data = split
         elif vectorizer in ("bow", "tfidf"):
-            self.data, self.labels = classify.labelled_features(split, "tokens", "thread", vectorizer,
-                                                                fit_on=split.filter(F.col("split") == "train"))
+            self.data = split  # vectors are made for the models that take them
         else:
             train = split.filter(F.col("split") == "train")
             model = embed.tag_aware_embedding(train, vector_size=dims) if vectorizer == "doc2vec" else embed.word2vec_train(train, vector_size=dims)
@@ -101,6 +100,11 @@ class Pipeline:
             raise RuntimeError("call model() first")
         if self.target != "thread":
             return self._evaluate_tags()
+        if self.vectorizer == "bow" and self.model_name == "nb":
+            return self._evaluate_bayes(k)
+        if self.vectorizer in ("bow", "tfidf") and "features" not in self.data.columns:
+            self.data, self.labels = classify.labelled_features(self.data, "tokens", "thread", self.vectorizer,
+                                                                fit_on=self.data.filter(F.col("split") == "train"))
         train = evaluate.kfold_assign(self.data.filter(F.col("split") == "train"), k, 42)
         out = None
         for f in range(k):
@@ -114,6 +118,14 @@ class Pipeline:
         part = evaluate.classification_metrics(hold, by=["split"]).withColumn("fold", F.lit(-1))
         return out.unionByName(part).select(F.col("fold").cast("bigint"), "split", "metric", "value")
 
+    def _evaluate_bayes(self, k: int) -> DataFrame:
+        """The same table for naive Bayes on all terms' counts: neither vocabulary nor model is on the driver."""
+        dealt = evaluate.kfold_assign(self.data, k, 42)
+        rows = dealt.select(F.col("thread").alias("label"), F.when(F.col("split") == "test", k).otherwise(F.col("fold")).alias("fold"), "tokens")
+        pred = materialize(classify.nb_holdout_predictions(rows, k, self.params.get("smoothing", 1.0)), "pipeline_predictions")
+        self.labels = sorted(r[0] for r in rows.where(F.col("fold") < k).select("label").distinct().collect())
+        return evaluate.classification_metrics(pred, by=["fold", "split"]).select(F.col("fold").cast("bigint"), "split", "metric", "value")
+
     def tag_counts(self) -> DataFrame:
         """Per tag and split: posts, posts with the tag, posts predicted, and both (``multilabel.COUNTS``)."""
         posts = self.data.select("id", "split", "tokens")

@@ -112,3 +112,25 @@ def test_parts_of_the_suite(spark, posts):
         cells = {tuple(m[10:].split(" > ")): v for (s, m), v in by.items() if m.startswith("confusion ")}
         assert sum(cells.values()) == n_test
         assert abs(sum(v for (a, b), v in cells.items() if a == b) / n_test - by["test", "accuracy"]) < 1e-5
+
+
+def test_facade_bayes_is_that_of_mllib(spark, tmp_path):
+    """All folds' and the test rows' scores are those of MLlib's naive Bayes on vectors, which the facade does not make."""
+    import random
+
+    from tagloom.operators import evaluate
+
+    r = random.Random(5)
+    data = [(i % 150, "abc"[i % 3], " ".join(r.choice("a b c d e f g".split()) + str(r.randrange(3 + i % 3)) for _ in range(r.randrange(9)))) for i in range(180)]
+    prepared = spark.createDataFrame(data, "id long, thread string, t string").select("id", "thread", F.expr("filter(split(t, ' '), x -> x != '')").alias("tokens"))
+    pipe = Pipeline(spark, "bayes", root=str(tmp_path), prepared=prepared).featurize("bow", "thread").model("nb")
+    assert "features" not in pipe.data.columns
+    got = {(x.fold, x.split, x.metric): x.value for x in pipe.evaluate(k=3).collect()}
+    split = classify.train_test_split(prepared)
+    rows, _ = classify.labelled_features(split, fit_on=split.where("split = 'train'"))
+    train, want = evaluate.kfold_assign(rows.where("split = 'train'"), 3, 42), {}
+    parts = [(f, train.where(F.col("fold") != f), train.withColumn("split", F.when(F.col("fold") == f, "validate").otherwise("train"))) for f in range(3)]
+    for f, fitted, scored in [*parts, (-1, rows.where("split = 'train'"), rows.where("split = 'test'"))]:
+        pred = classify.estimator("nb").fit(fitted).transform(scored)
+        want |= {(f, x.split, x.metric): x.value for x in evaluate.classification_metrics(pred, by=["split"]).collect()}
+    assert got == want and len(got) == 28 and pipe.labels == ["a", "b", "c"]

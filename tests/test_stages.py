@@ -114,6 +114,29 @@ def test_parts_of_the_suite(spark, posts):
         assert abs(sum(v for (a, b), v in cells.items() if a == b) / n_test - by["test", "accuracy"]) < 1e-5
 
 
+def test_all_models_of_the_suite_see_all_rows(spark, monkeypatch):
+    """Every fit, also that of the boosted trees, gets all training rows, and every score is over all rows."""
+    from tagloom.plans import suite
+
+    none = spark.createDataFrame([], "split string, metric string, value double")
+    got, n = {}, 1600
+    tokens = spark.range(n).selectExpr("id", "if(id % 2 = 0, 'a', 'b') AS thread", "array(concat('w', id % 7)) AS tokens")
+
+    def mllib(data, model, labels, folds, **params):
+        got.setdefault(model, []).append({r.split: r["count"] for r in data.groupBy("split").count().collect()})
+        return none
+
+    monkeypatch.setattr(suite, "_mllib", mllib)
+    monkeypatch.setattr(suite, "_bayes", lambda *a: none)
+    monkeypatch.setattr(suite, "_neighbours", lambda *a: none)
+    zeros = F.array_repeat(F.lit(0.0), suite.EMBEDDING_DIMS)
+    monkeypatch.setattr(suite, "embedded_posts", lambda posts: posts.select("id", "thread", "split", zeros.alias("vector")))
+    assert suite.model_suite(tokens).count() == 0
+    sizes = {r.split: r["count"] for r in classify.train_test_split(tokens).groupBy("split").count().collect()}
+    assert sum(sizes.values()) == n and sizes["train"] > 1000
+    assert set(got) == {"rf", "ovr_gbt", "nb", "ovr_lr", "ovr_svc"} and all(x == sizes for found in got.values() for x in found)
+
+
 def test_facade_bayes_is_that_of_mllib(spark, tmp_path):
     """All folds' and the test rows' scores are those of MLlib's naive Bayes on vectors, which the facade does not make."""
     import random

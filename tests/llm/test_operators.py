@@ -298,6 +298,34 @@ def test_passages_behind_quotes(spark, parts):
     assert min(recall[20], recall[30], recall["near"]) >= 97 and recall[40] >= (85 if parts == 1 else 95), recall
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_exact_passages_behind_any_quotes(spark, parts):
+    """No earlier quotes, neither long ones nor one of each end, stand between exact copies of a passage of 50 words."""
+    g = random.Random(parts)
+    text = lambda n: [f"w{g.randrange(10**9)}" for _ in range(n)]
+    rows, want = [], set()
+    for n in range(120):
+        p, i = text(50), 10 * n
+        cuts = [(0, 40), (10, 50), (0, 44), (6, 50), (3, 47)] if n % 2 else [(0, 40), (10, 50)]
+        rows += [(i + k, text(60) + p[a:z] + text(60)) for k, (a, z) in enumerate(cuts)]
+        rows += [(i + 7, text(60) + p + text(60)), (i + 8, text(20) + p + text(90))]
+        want.add((i + 8, i + 7))
+    g.shuffle(rows)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(parts)
+    got = {(r.doc_id, r.first_doc_id): r for r in substrings.repeated_passages(df).collect()}
+    assert want <= set(got) and all(got[w].n_words >= 50 for w in want)
+
+
+def test_links_to_several_places_of_a_text():
+    """A window is linked to two places of one text under two keys: neither link stands for the other. Of two links between the
+    same windows one does."""
+    value, doc = np.array([8, 8, 16, 16, 24, 24], np.uint64), np.array([1, 2] * 3)
+    first, window = np.array([5, 7, 90, 7, 90, 7]), np.array([0, 2, 1, 2, 1, 2])
+    _, made = substrings._bundle(1, value, doc, first, first, window)
+    links = sorted(zip(*(made[0][c].tolist() for c in (0, 1, 2, 3, 5))))
+    assert links == [(8, 2, 1, 7, 5), (24, 2, 1, 7, 90)]
+
+
 def test_compact_windows_are_the_brute_force():
     """Every window that its keys stand for has the key's smallest shingle, and equal windows share a key with a side."""
     g = random.Random(8)

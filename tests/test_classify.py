@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tagloom.operators import classify, evaluate, features
@@ -203,6 +204,41 @@ def test_stumps_are_those_of_the_tree_learner(spark):
     assert same == 5
 
 
+@pytest.fixture
+def odd_docs(spark):
+    """Posts with repeated ids, without tokens, with terms that only test rows have."""
+    g = np.random.default_rng(9)
+    docs = [(i % 130, "xyz"[i % 3], [f"w{g.integers(12)}" for _ in range(int(g.integers(9)))] + ["abc"[i % 3]] * int(g.integers(3)) + (["new"] if i % 130 % 7 == 0 else [])) for i in range(150)]
+    return classify.train_test_split(spark.createDataFrame(docs, "id long, thread string, tokens array<string>"))
+
+
+def test_stumps_of_bags_are_those_of_vectors(odd_docs):
+    """Boosting on terms gives the rounds that the vocabulary's numbers give."""
+    data, labels = classify.labelled_features(odd_docs, fit_on=odd_docs.where("split = 'train'"))
+    bags, names = classify.labelled_bags(odd_docs)
+    assert names == labels
+    out = []
+    for d in (data, bags):
+        trees, alphas = classify.adaboost_samme(d.where("split = 'train'"), n_rounds=6, n_classes=3)
+        said = rows(classify.adaboost_predict(d, trees, alphas, 3), "id", "label", "prediction")
+        out.append(([round(a, 9) for a in alphas], [(t.threshold, t.left, t.right) for t in trees], said))
+    assert out[0] == out[1] and len(out[0][0]) > 2
+
+
+def test_queries_without_a_vocabulary_on_the_driver(odd_docs, monkeypatch):
+    from tagloom.operators import features
+    from tagloom.plans import catalog
+
+    def no(*a, **k):
+        raise AssertionError("a count vectorizer keeps its vocabulary on the driver")
+
+    monkeypatch.setattr(features, "count_vector_stage", no)
+    monkeypatch.setattr(catalog, "toks", lambda spark, d: odd_docs.drop("split"))
+    spark = odd_docs.sparkSession
+    assert catalog.q_adaboost(spark, "").count() == 8
+    assert {r.split for r in catalog.q_staged_error(spark, "").collect()} == {"train", "test"}
+
+
 def test_boosting_on_the_features_that_occur(spark):
     """Features that the fitted rows lack are left out; the model says the same of all rows."""
     from pyspark.ml.linalg import Vectors

@@ -212,6 +212,19 @@ def odd_docs(spark):
     return classify.train_test_split(spark.createDataFrame(docs, "id long, thread string, tokens array<string>"))
 
 
+def test_split_bayes_is_that_of_mllib(odd_docs):
+    from pyspark.ml.feature import IndexToString
+
+    data, labels = classify.labelled_features(odd_docs, fit_on=odd_docs.where("split = 'train'"))
+    model = classify.estimator("nb").fit(data.where("split = 'train'"))
+    names = lambda df, a, b: IndexToString(inputCol=a, outputCol=b, labels=labels).transform(df)
+    want = names(names(model.transform(data), "label", "l"), "prediction", "p")
+    got = classify.nb_split_predictions(odd_docs)
+    assert rows(got, "split", "label", "prediction") == rows(want, "split", "l", "p") and got.count() == 150
+    with pytest.raises(ValueError):
+        classify.nb_split_predictions(odd_docs.where("thread <> 'x' OR split = 'test'"))
+
+
 def test_stumps_of_bags_are_those_of_vectors(odd_docs):
     """Boosting on terms gives the rounds that the vocabulary's numbers give."""
     data, labels = classify.labelled_features(odd_docs, fit_on=odd_docs.where("split = 'train'"))
@@ -235,7 +248,7 @@ def test_queries_without_a_vocabulary_on_the_driver(odd_docs, monkeypatch):
     monkeypatch.setattr(features, "count_vector_stage", no)
     monkeypatch.setattr(catalog, "toks", lambda spark, d: odd_docs.drop("split"))
     spark = odd_docs.sparkSession
-    assert catalog.q_adaboost(spark, "").count() == 8
+    assert catalog.q_nb_mllib(spark, "").count() == 8 and catalog.q_adaboost(spark, "").count() == 8
     assert {r.split for r in catalog.q_staged_error(spark, "").collect()} == {"train", "test"}
 
 
